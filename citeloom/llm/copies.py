@@ -23,6 +23,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 P1, P2 = 2147483647, 2147483629
 TITLE_SEPARATORS = "|｜"
+#: Of path, query and fragment; parameters are divided by either mark.
+URL_SEPARATORS = ("", "&;", "")
 #: Symbols that count as punctuation besides Unicode's classes P; other symbols keep records apart.
 ASCII_SYMBOLS = "$+<=>^`|~"
 _SKIP, _CUT = 0, 0xFFFFFFFF
@@ -114,7 +116,7 @@ def title_hash(titles: list[str | None], seed: int = 0) -> np.ndarray:
 def url_hash(urls: list[str | None], seed: int = 0) -> np.ndarray:
     known = [split_url(u or "") for u in urls]
     total = np.zeros(len(urls), dtype=np.int64)
-    for tag, separators in enumerate(("", "&", "")):
+    for tag, separators in enumerate(URL_SEPARATORS):
         total = total + form_hash([k[tag] for k in known], separators, seed, [tag] * len(urls))
     total[[i for i, u in enumerate(urls) if u is None]] = -1
     return total
@@ -171,7 +173,7 @@ def same_citation(title: str | None, url: str | None, other_title: str | None, o
         return False
     if url is None or other_url is None or url == other_url:
         return url == other_url
-    return all(same_form(a, b, s) for a, b, s in zip(split_url(url), split_url(other_url), ("", "&", ""), strict=True))
+    return all(same_form(a, b, s) for a, b, s in zip(split_url(url), split_url(other_url), URL_SEPARATORS, strict=True))
 
 
 def with_form_keys(rows: DataFrame, title: str = "title", url: str = "url", seed: int = 0) -> DataFrame:
