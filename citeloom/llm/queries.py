@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from citeloom.llm import copies, topn
+from citeloom.llm import copies, mixing, tokens, topn
 from citeloom.plans.registry import Registry
 from citeloom.sources.tables import table
 
@@ -52,3 +52,24 @@ def p3_found(spark, d):
 )
 def p3_places(spark, d):
     return _top(spark, d).select("scope", "domain", F.col("item").alias("source_key"), F.col("score").alias("occurrence_count"), "place")
+
+
+@registry.add("p7_ids")
+def p7_ids(spark, d):
+    return tokens.encode_documents(table(spark, d, "documents"))
+
+
+def _mix(spark, d):
+    sized = mixing.sized_documents(table(spark, d, "documents"))
+    needs = mixing.source_needs(sized, table(spark, d, "mix_targets"))
+    return mixing.mix(sized, needs), needs
+
+
+@registry.add("p8_mix")
+def p8_mix(spark, d):
+    return _mix(spark, d)[0]
+
+
+@registry.add("p8_shares")
+def p8_shares(spark, d):
+    return mixing.mix_shares(*_mix(spark, d))
