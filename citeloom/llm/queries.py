@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from citeloom.llm import copies, mixing, tokens, topn
+from citeloom.llm import copies, mixing, pii, tokens, topn
 from citeloom.plans.registry import Registry
 from citeloom.sources.tables import table
 
@@ -73,3 +73,13 @@ def p8_mix(spark, d):
 @registry.add("p8_shares")
 def p8_shares(spark, d):
     return mixing.mix_shares(*_mix(spark, d))
+
+
+@registry.add("p9_found")
+def p9_found(spark, d):
+    return pii.find_in(table(spark, d, "documents")).select("doc_id", "line_no", "pii_type").distinct()
+
+
+@registry.add("p9_redacted")
+def p9_redacted(spark, d):
+    return table(spark, d, "documents").select("doc_id", pii.redact("text").alias("text"))
