@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from citeloom.llm import copies, mixing, pii, tokens, topn
+from citeloom.llm import copies, mixing, pii, templates, tokens, topn
 from citeloom.plans.registry import Registry
 from citeloom.sources.tables import table
 
@@ -83,3 +83,15 @@ def p9_found(spark, d):
 @registry.add("p9_redacted")
 def p9_redacted(spark, d):
     return table(spark, d, "documents").select("doc_id", pii.redact("text").alias("text"))
+
+
+@registry.add("p5_found")
+def p5_found(spark, d):
+    return templates.template_residue(table(spark, d, "qwen_answers")).select(F.col("row_id").alias("turn_id")).distinct()
+
+
+@registry.add("p5_clean_answers")
+def p5_clean_answers(spark, d):
+    rows = table(spark, d, "qwen_answers")
+    clean = templates.is_residue_free(rows, templates.template_residue(rows))
+    return clean.select("turn_id", "mode", "answer").distinct()
