@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from citeloom.llm import copies, mixing, pii, templates, tokens, topn
+from citeloom.llm import copies, mixing, pii, templates, tokens, topn, truncation
 from citeloom.plans.registry import Registry
 from citeloom.sources.tables import table
 
@@ -95,3 +95,27 @@ def p5_clean_answers(spark, d):
     rows = table(spark, d, "qwen_answers")
     clean = templates.is_residue_free(rows, templates.template_residue(rows))
     return clean.select("turn_id", "mode", "answer").distinct()
+
+
+def _geo_answers(spark, d):
+    """Answers with their batch's product; batch ids are few and unique."""
+    batches = table(spark, d, "geo_manifests").groupBy("batch_id").agg(F.min("product_id").alias("product_id"))
+    return table(spark, d, "geo_answers").join(batches, "batch_id", "left")
+
+
+@registry.add("p1_found")
+def p1_found(spark, d):
+    found = truncation.find_truncated(_geo_answers(spark, d), "answer_id", "answer_text_raw", ["product_id", "mode_code"])
+    return found.select(F.col("row_id").alias("answer_id"))
+
+
+@registry.add("p1_shares")
+def p1_shares(spark, d):
+    answers = _geo_answers(spark, d)
+    found = truncation.find_truncated(answers, "answer_id", "answer_text_raw", ["product_id", "mode_code"])
+    return truncation.truncation_shares(answers, found, ["product_id", "mode_code"], "answer_id")
+
+
+@registry.add("p1_limits")
+def p1_limits(spark, d):
+    return truncation.hidden_limits(_geo_answers(spark, d), ["product_id", "mode_code"], "answer_text_raw")

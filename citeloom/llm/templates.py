@@ -63,7 +63,7 @@ WEAK = (r"\berror\b", r"\bgateway\b", r"\bproxy\b", r"\bunavailable\b", r"\bretr
 # What a question asks about when the answer may speak of such things.
 TOPICS = {
     "placeholder": r"模板|占位符|变量|字段|placeholder|template|Platzhalter|Vorlage|modèle|plantilla|marcador|プレースホルダ|テンプレート",
-    "error": r"\b[45]\d\d\b|[45]\d\d ?(?:错误|报错)|显示 ?[45]\d\d|报错|打不开|错误|无法访问|\berrors?\b|error page|outage|status code|Fehler|erreur|captcha|验证码|登录|log ?in|接口|\bAPI\b|エラー",
+    "error": r"(?<![\d.])[45]\d\d(?= ?(?:错误|报错|页|[？?]|$))|\b[45]\d\d (?=errors?\b|page)|[45]\d\d ?(?:错误|报错)|显示 ?[45]\d\d|报错|打不开|错误|无法访问|\berrors?\b|error page|outage|status code|Fehler|erreur|captcha|验证码|登录|log ?in|接口|\bAPI\b|エラー",
     "script": r"javascript|脚本|cookie|\bscripts?\b|スクリプト",
     "filler": r"lorem ipsum|filler|dummy|占位|填充|示例文字|Blindtext|faux[- ]texte|relleno|ダミー",
 }
