@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from citeloom.llm.language import is_pseudo_latin
 from citeloom.session import cut_lineage
 
 #: Characters of context on each side that records are aligned by.
@@ -54,7 +55,7 @@ SCRIPT = (
 ERROR = (
     r"\bHTTP(?: Error|/\d(?:\.\d)?)? ?[1-5]\d\d\b", r"\b[45]\d\d\b[ :\-–—]*(?:Not Found|Forbidden|Bad Gateway|Bad Request|Service (?:Temporarily )?Unavailable|Gateway Time-?out|Internal Server Error|Too Many Requests|Unauthorized|Request Timeout|Gone)\b", r"<title>[^<]{0,60}</title>", r"<h1>[^<]{0,60}</h1>",
     r"\bupstream (?:connect error|request timeout)", r"\borigin unreachable\b", r"\bTraceback \(most recent call last\)", r"^\s*(?:Key|Value|Type|Attribute|Index|Runtime|Name)Error: ", r"\bException in thread\b", r"\"(?:code|status|error_code)\"\s*:\s*\"?[45]\d\d", r"\b(?:connection|request) (?:timed out|reset by peer|refused)\b", r"\bERR_[A-Z_]{4,}\b",
-    r"\bsession (?:has )?(?:expired|timed out)", r"\blog in again\b", r"\bsomething went wrong\b", r"\bchecking (?:that|if) you are (?:a )?human\b|\bverify (?:that )?you are (?:a )?human\b", r"\bunusual traffic\b", r"\brate limit (?:exceeded|reached)\b", r"\b(?:daily|free|monthly) (?:quota|limit)\W+(?:\w+\W+){0,4}?(?:reached|exceeded|used up|exhausted)", r"\btoo many requests\b", r"\b(?:service|server|site|page) (?:is )?(?:temporarily |currently )?(?:unavailable|down for maintenance|under maintenance)\b", r"\bpage (?:you requested |you are looking for )?(?:could not be|was not|cannot be) found\b", r"\baccess denied\b", r"\btry again in (?:a few|\d+) (?:minutes|seconds)\b",
+    r"\bsession (?:has )?(?:expired|timed out)", r"\blog in again\b", r"\bsomething went wrong\b", r"\bchecking (?:that|if) you are (?:a )?human\b|\bverify (?:that )?you are (?:a )?human\b", r"\bunusual traffic\b", r"\brate limit (?:exceeded|reached)\b", r"\b(?:daily|free|monthly) (?:quota|limit)\W+(?:\w+\W+){0,4}?(?:reached|exceeded|used up|exhausted)", r"\btoo many requests\b", r"\b(?:service|server|site|page) (?:is )?(?:temporarily |currently )?(?:unavailable|down for maintenance|under maintenance)\b", r"\bpage (?:you requested |you are looking for )?(?:could not be|was not|cannot be) found\b", r"\baccess denied\b", r"\b(?:access|request)\b[^.\n]{0,30}\b(?:was|is|has been) (?:blocked|denied|refused)\b", r"\btry again in (?:a few|\d+) (?:minutes|seconds)\b",
     r"页面(?:走丢|不存在|找不到|无法访问|出错|已删除)", r"(?:内容|页面|资源|文章)[^。\n]{0,6}(?:不存在|已下线|已删除)[^。\n]{0,4}(?:下线|删除|[（(][45]\d\d[)）])", r"系统(?:开小差|繁忙|异常|错误|维护)", r"刷新重试|点击重新加载|重新加载页面|请稍后(?:再试|重试)", r"(?:服务|服务器|网络)(?:繁忙|异常|错误|开小差|连接超时|超时|不可用)", r"排队，请|人排队", r"(?:免费|今日|本月)[^。\n]{0,4}(?:额度|次数)[^。\n]{0,6}(?:用完|用尽|达到?上限)", r"登录(?:状态)?[^。\n]{0,4}(?:失效|过期)", r"请(?:先|重新)?登录后", r"访问(?:异常|受限|过于频繁|被拒绝)", r"滑动(?:拼图|验证|滑块)|完成(?:安全)?验证|验证码错误", r"正在(?:升级|维护)中?",
     r"\b(?:Seite|Dienst)[^.\n]{0,20}(?:nicht gefunden|nicht verfügbar|nicht erreichbar)", r"\bSitzung (?:ist )?abgelaufen\b", r"\bpage (?:introuvable|non trouvée)\b", r"\bsession (?:a )?expiré", r"\bservice (?:temporairement )?indisponible\b", r"\bpágina no encontrada\b", r"\bla sesión ha caducado\b", r"\bservicio no disponible\b", r"ページが見つかりません|セッション(?:が|の)(?:切れ|期限)|しばらくしてから(?:再度|もう一度)",
 )
@@ -115,6 +116,10 @@ def residue(question: str | None, text: str | None) -> list[tuple[str, str, str,
             continue
         left, right = text[max(0, m.start() - CONTEXT) : m.start()], text[m.end() : m.end() + CONTEXT]
         out.append(("placeholder", m[0], _context(left), _context(right), "", alone))
+    for sentence in re.split(r"[.!?\n]", text):
+        if is_pseudo_latin(sentence) and "filler" not in asked:
+            out.append(("filler", sentence.strip()[:60], "", "", "", True))
+            break
     for name, kind in (("FILLER", "filler"), ("SCRIPT", "script"), ("ERROR", "error"), ("WEAK", "error")):
         for m in _compiled(name).finditer(text):
             line_start = text.rfind("\n", 0, m.start()) + 1
