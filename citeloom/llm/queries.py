@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from citeloom.llm import copies, mixing, pii, templates, tokens, topn, truncation
+from citeloom.llm import copies, mixing, pairs, pii, templates, tokens, topn, truncation
 from citeloom.plans.registry import Registry
 from citeloom.sources.tables import table
 
@@ -119,3 +119,13 @@ def p1_shares(spark, d):
 @registry.add("p1_limits")
 def p1_limits(spark, d):
     return truncation.hidden_limits(_geo_answers(spark, d), ["product_id", "mode_code"], "answer_text_raw")
+
+
+@registry.add("p4_found")
+def p4_found(spark, d):
+    return pairs.pair_defects(table(spark, d, "qwen_answers")).select(F.col("row_id").alias("turn_id"), "defect_type")
+
+
+@registry.add("p4_defect_counts")
+def p4_defect_counts(spark, d):
+    return pairs.pair_defects(table(spark, d, "qwen_answers")).groupBy("defect_type").agg(F.count(F.lit(1)).alias("turns"))
