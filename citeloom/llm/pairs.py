@@ -129,7 +129,7 @@ def prior() -> tuple[np.ndarray, np.ndarray]:
     w = np.zeros((len(TAGS), len(FEATURES)))
     for tag, values in {
         "answer": {"bias": 1.0, "native": 1.0, "digits": 0.8, "quoted": 1.0},
-        "refusal": {"bias": -1.5, "refusing": 5.0, "courtesy": 1.6, "near_refusing": 1.4, "apology_start": 0.6, "digits": -1.0, "echo": -2.0},
+        "refusal": {"bias": -1.5, "refusing": 5.0, "courtesy": 2.2, "near_refusing": 2.0, "apology_start": 0.6, "digits": -1.0, "echo": -2.0},
         "echo": {"bias": -2.0, "echo": 5.0, "echo_most": 1.5, "asked_words": 1.0},
         "foreign": {"bias": -2.0, "foreign": 5.0, "native": -3.0},
         "unfinished": {"bias": -3.0, "cut": 6.5, "last": 0.3},
@@ -141,10 +141,11 @@ def prior() -> tuple[np.ndarray, np.ndarray]:
     return w, t
 
 
-def fit(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 60, step: float = 0.3, strength: float = 0.02) -> tuple[np.ndarray, np.ndarray]:
+def fit(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 80, step: float = 0.3, strength: float = 3.0) -> tuple[np.ndarray, np.ndarray]:
     """Weights of the field by gradient ascent on the conditional likelihood, drawn to the prior.
 
-    Sequences of one length are run through forward and backward passes together.
+    The prior weighs as much as ``strength`` clauses. Sequences of one length are run through forward
+    and backward passes together.
     """
     w0, t0 = prior()
     w, t = w0.copy(), t0.copy()
@@ -174,7 +175,7 @@ def fit(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 60, step:
             for k in range(1, n):
                 two = np.exp(alpha[:, k - 1, :, None] + t + (scores[:, k] + beta[:, k])[:, None, :] - z[:, None, None])
                 gt += np.einsum("bi,bj->ij", gold[:, k - 1], gold[:, k]) - two.sum(axis=0)
-        gw, gt = gw / count - strength * (w - w0), gt / count - strength * (t - t0)
+        gw, gt = (gw - strength * (w - w0)) / count, (gt - strength * (t - t0)) / count
         gw2, gt2 = gw2 + gw**2, gt2 + gt**2
         w, t = w + step * gw / np.sqrt(gw2), t + step * gt / np.sqrt(gt2)
     return w, t

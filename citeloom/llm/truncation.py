@@ -182,38 +182,43 @@ def inspect(text: str | None) -> tuple[str, str]:
     return "open", stripped
 
 
-def length_measures(text: str = "text") -> list[tuple[str, int, object]]:
-    """(name, width of a cut, Column): lengths of a text under encodings, a partial last character left out."""
-    t = F.regexp_replace(F.col(text), "�+$", "")
-    n = F.length(t)
-
-    def count(c: str):
-        return n - F.length(F.replace(t, F.lit(c), F.lit("")))
-
-    non_ascii = F.length(F.regexp_replace(t, r"[\x00-\x7f]", ""))
-    feeds = count("\n") - F.floor((n - F.length(F.replace(t, F.lit("\r\n"), F.lit("")))) / 2)
-    html = n + 4 * count("&") + 3 * (count("<") + count(">")) + 5 * (count('"') + count("'"))
-    short_escapes = count('"') + count("\\") + count("\n") + count("\r") + count("\t")
-    utf8 = F.octet_length(t)
-    return [
-        ("characters", 1, n),
-        ("utf16", 2, F.octet_length(F.encode(t, "UTF-16LE")) / 2),
-        ("utf8", 4, utf8),
-        ("gbk", 2, n + non_ascii),
-        ("html", 6, html),
-        ("html_utf8", 6, html + utf8 - n),
-        ("json", 2, n + short_escapes),
-        ("json_utf8", 4, utf8 + short_escapes),
-        ("json_ascii", 6, n + short_escapes + 5 * non_ascii),
-        ("crlf", 2, n + feeds),
-        ("crlf_utf8", 4, utf8 + feeds),
-    ]
+#: Name of each measure of length and the width of a cut under it.
+MEASURES = {"characters": 1, "utf16": 2, "utf8": 4, "gbk": 2, "html": 6, "html_utf8": 6, "json": 2, "json_utf8": 4, "json_ascii": 6, "crlf": 2, "crlf_utf8": 4}
+
+
+def with_lengths(rows: DataFrame, text: str, name: str = "lengths") -> DataFrame:
+    """``rows`` with an array of a text's lengths in the order of ``MEASURES``, a partial last character left out.
+
+    Each character class is counted once; the measures are sums over the counts.
+    """
+    whole = F.when(F.col(text).endswith("�"), F.regexp_replace(F.col(text), "�+$", "")).otherwise(F.col(text))
+    keep = rows.columns
+    base = rows.withColumn("_t", whole).withColumns(
+        {
+            "_n": F.length("_t"),
+            "_u8": F.octet_length("_t"),
+            "_u16": (F.octet_length(F.encode("_t", "UTF-16LE")) / 2).cast("bigint"),
+            **{f"_{k}": F.length("_t") - F.length(F.translate("_t", c, "")) for k, c in (("amp", "&"), ("tag", "<>"), ("quote", "\"'"), ("escape", '"\\\n\r\t'), ("feed", "\n"))},
+            "_crlf": ((F.length("_t") - F.length(F.replace("_t", F.lit("\r\n"), F.lit("")))) / 2).cast("bigint"),
+            "_wide": F.length(F.regexp_replace("_t", r"[\x00-\x7f]+", "")),
+        }
+    )
+    n, u8 = F.col("_n"), F.col("_u8")
+    html = n + 4 * F.col("_amp") + 3 * F.col("_tag") + 5 * F.col("_quote")
+    feeds = F.col("_feed") - F.col("_crlf")
+    measures = {
+        "characters": n, "utf16": F.col("_u16"), "utf8": u8, "gbk": n + F.col("_wide"), "html": html, "html_utf8": html + u8 - n, "json": n + F.col("_escape"), "json_utf8": u8 + F.col("_escape"),
+        "json_ascii": n + F.col("_escape") + 5 * F.col("_wide"), "crlf": n + feeds, "crlf_utf8": u8 + feeds,
+    }
+    return base.select(*keep, F.array(*[measures[m].cast("bigint") for m in MEASURES]).alias(name))
 
 
 def hidden_limits(rows: DataFrame, groups: Sequence[str], text: str = "text") -> DataFrame:
     """(groups, measure, limit_length, width, texts): heaps of texts at a group's greatest length."""
-    measures = F.array(*[F.struct(F.lit(m).alias("measure"), F.lit(w).alias("width"), c.cast("bigint").alias("length")) for m, w, c in length_measures(text)])
-    lengths = rows.where(F.length(text) > 20).select(*groups, F.inline(measures)).groupBy(*groups, "measure", "width", "length").agg(F.count(F.lit(1)).alias("n"))
+    sized = with_lengths(rows.where(F.length(text) > 20).select(*groups, F.col(text).alias("_text")), "_text").select(*groups, F.posexplode("lengths").alias("at", "length"))
+    names, widths = F.array(*[F.lit(m) for m in MEASURES]), F.array(*[F.lit(w) for w in MEASURES.values()])
+    counted = sized.groupBy(*groups, "at", "length").agg(F.count(F.lit(1)).alias("n"))
+    lengths = counted.select(*groups, F.get(names, F.col("at")).alias("measure"), F.get(widths, F.col("at")).alias("width"), "length", "n")
     # A histogram: one row per group, measure and length, whatever the number of texts.
     near = (
         lengths.withColumn("limit_length", F.max("length").over(Window.partitionBy(*groups, "measure")))
@@ -241,8 +246,7 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
         F.col(row_id).cast("string").alias("row_id"), F.col(text).alias("text"), *[F.col(g).alias(n) for g, n in zip(groups, names, strict=True)]
     ).where("row_id IS NOT NULL AND text IS NOT NULL")
     limits = hidden_limits(slim, names, "text")
-    measured = slim.select("row_id", "text", *names, F.map_from_arrays(
-        F.array(*[F.lit(m) for m, _, _ in length_measures()]), F.array(*[c.cast("bigint") for _, _, c in length_measures()])).alias("lengths"))
+    measured = with_lengths(slim, "text")
     # One row per group with its heaps: a small table whatever the number of texts.
     heaps = limits.groupBy(*names).agg(F.collect_list(F.struct("measure", "width", "limit_length")).alias("heaps"))
     heaps = heaps.select(*[F.col(n).alias(f"h{n}") for n in names], "heaps")
@@ -250,8 +254,9 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
     for n in names:
         on = on & F.col(n).eqNullSafe(F.col(f"h{n}"))
     held = measured.join(heaps, on, "left")
+    names_of = F.array(*[F.lit(m) for m in MEASURES])
     at_limit = F.coalesce(
-        F.exists("heaps", lambda h: F.element_at("lengths", h["measure"]).between(h["limit_length"] - h["width"] + 1, h["limit_length"])), F.lit(False)
+        F.exists("heaps", lambda h: F.get("lengths", F.array_position(names_of, h["measure"]).cast("int") - 1).between(h["limit_length"] - h["width"] + 1, h["limit_length"])), F.lit(False)
     )
     held = held.select("row_id", "text", at_limit.alias("at_limit"))
 
