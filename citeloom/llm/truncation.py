@@ -241,19 +241,17 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
     empty table gives no rows; a corpus too small to know an ending leaves it whole unless the
     ending is broken by itself or stands at a limit.
     """
-    names = [f"_g{i}" for i in range(len(groups))]
+    stores = [F.col(g) for g in groups] or [F.lit(0)]  # without groups all texts are of one store
+    names = [f"_g{i}" for i in range(len(stores))]
     slim = rows.select(
-        F.col(row_id).cast("string").alias("row_id"), F.col(text).alias("text"), *[F.col(g).alias(n) for g, n in zip(groups, names, strict=True)]
+        F.col(row_id).cast("string").alias("row_id"), F.col(text).alias("text"), *[c.alias(n) for c, n in zip(stores, names, strict=True)]
     ).where("row_id IS NOT NULL AND text IS NOT NULL")
     limits = hidden_limits(slim, names, "text")
     measured = with_lengths(slim, "text")
     # One row per group with its heaps: a small table whatever the number of texts.
     heaps = limits.groupBy(*names).agg(F.collect_list(F.struct("measure", "width", "limit_length")).alias("heaps"))
     heaps = heaps.select(*[F.col(n).alias(f"h{n}") for n in names], "heaps")
-    on = F.lit(True)
-    for n in names:
-        on = on & F.col(n).eqNullSafe(F.col(f"h{n}"))
-    held = measured.join(heaps, on, "left")
+    held = measured.join(heaps, [F.col(n).eqNullSafe(F.col(f"h{n}")) for n in names], "left")
     names_of = F.array(*[F.lit(m) for m in MEASURES])
     at_limit = F.coalesce(
         F.exists("heaps", lambda h: F.get("lengths", F.array_position(names_of, h["measure"]).cast("int") - 1).between(h["limit_length"] - h["width"] + 1, h["limit_length"])), F.lit(False)
