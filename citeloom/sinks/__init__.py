@@ -1 +1 @@
-"""citeloom.sinks"""
+"""Writers: JSON lines, per-answer JSON, checksums, package directories and archives."""

@@ -1 +1 @@
-"""citeloom.streaming"""
+"""Incremental ingest with Structured Streaming."""

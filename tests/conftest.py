@@ -8,6 +8,6 @@ from citeloom.session import local_session
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(cores=4, shuffle_partitions=4, memory="3g")
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
