@@ -23,8 +23,8 @@ from citeloom.llm.templates import template_residue
 from citeloom.llm.truncation import find_truncated, inspect
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
-#: Rows of the input that the field is trained on at most.
-TRAINING_ROWS = 3000
+#: Rows of the input that the field is trained on at most, and the longest answer among them in characters.
+TRAINING_ROWS, TRAINING_CHARS = 3000, 20_000
 #: Share of a text's prose that a defect must cover.
 COVERAGE = 0.5
 
@@ -277,7 +277,7 @@ def pair_defects(
     once = slim.groupBy("row_id").agg(F.min(F.struct("question", "answer")).alias("p")).select("row_id", "p.*")
     pairs = once.join(residues, "row_id", "left_anti").join(cuts, "row_id", "left").withColumn("cut", F.coalesce("cut", F.lit(False)))
     # A bounded sample, the same rows at every run: the least hashes of the ids.
-    sample = once.orderBy(F.xxhash64("row_id"), "row_id").limit(training_rows).select("question", "answer").collect()
+    sample = once.where(F.length("answer") <= TRAINING_CHARS).orderBy(F.xxhash64("row_id"), "row_id").limit(training_rows).select("question", "answer").collect()
     w, t = fit(training_set([(r.question, r.answer, inspect(r.answer)[0] == "cut") for r in sample]))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -64,6 +64,8 @@ def _ids(tokens: list[str]) -> np.ndarray:
 #: Phrases that are looked up, the last known one decides: tokens, never beyond the start of a line, and whether names in it are alike.
 PHRASES = ((1, False), (2, False), (3, False), (10, True), (10, False))
 LONGEST = 10
+#: Tokens of a text that counts as a phrase by itself, its line's start included.
+TINY = 5
 _MULTIPLIERS = [np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1) + 0x632BE59BD9B4E019 * k) % 2**64 | 1) for k in range(LONGEST)]
 
 
@@ -270,11 +272,12 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
                 if state == "marked" and limit:
                     state = "cut"
                 grams = _ending(rest) if state != "cut" and rest else (0,) * len(PHRASES)
-                short = len(rest) <= 80 and "\n" not in rest.strip() and len(_tokens(rest)) <= LONGEST
+                count = len(_tokens(rest)) if len(rest) <= 80 and "\n" not in rest.strip() else LONGEST + 1
+                short = 2 if count <= TINY else 1 if count <= LONGEST else 0
                 out.append((i, bool(limit), state, short, rest[-1:].isalpha() and not re.search("[\u3040-\u9fff]", rest[-1:]), *grams))
             yield pd.DataFrame(out, columns=["row_id", "at_limit", "state", "short", "in_word", *phrases])
 
-    judged = held.mapInPandas(judge, "row_id string, at_limit boolean, state string, short boolean, in_word boolean, " + ", ".join(f"{p} bigint" for p in phrases))
+    judged = held.mapInPandas(judge, "row_id string, at_limit boolean, state string, short int, in_word boolean, " + ", ".join(f"{p} bigint" for p in phrases))
     unsure = judged.where("state <> 'cut'")
     counts = slim.select("text").mapInPandas(_gram_counts, "level int, gram bigint, ends bigint, total bigint")
     stats = counts.groupBy("level", "gram").agg(F.sum("ends").alias("ends"), F.sum("total").alias("total"))
@@ -291,8 +294,10 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
     longest = share(len(PHRASES))
     limit = F.when(F.col("at_limit"), LIMIT_SHARE).otherwise(OPEN_SHARE)
     backed = F.coalesce(*[share(n) for n in range(len(PHRASES), 0, -1)], F.lit(0.0))
-    # A short text is its own phrase; only the corpus' knowledge of just that phrase counts against it.
-    open_end = F.when(F.col("short") & ~F.col("at_limit"), F.coalesce(longest, F.lit(1.0)) < limit).otherwise((backed < limit) | (F.col("in_word") & (F.col("s1.total") <= 1)))
+    # A short text is its own phrase: what the corpus knows of shorter ones says little about it.
+    unknown_word = F.col("in_word") & (F.col("s1.total") <= 1)
+    own = F.when(F.col("short") == 2, F.coalesce(longest, F.lit(1.0)) < limit).otherwise((F.coalesce(longest, share(3), F.lit(1.0)) < limit) | unknown_word)
+    open_end = F.when((F.col("short") > 0) & ~F.col("at_limit"), own).otherwise((backed < limit) | unknown_word)
     by_corpus = seen.where(open_end).select("row_id", "at_limit", F.when(F.col("state") == "marked", "mark").otherwise("ending").alias("evidence"))
     by_itself = judged.where("state = 'cut'").select("row_id", "at_limit", F.lit("broken").alias("evidence"))
     return by_itself.unionByName(by_corpus).groupBy("row_id").agg(F.max("at_limit").alias("at_limit"), F.min("evidence").alias("evidence"))
