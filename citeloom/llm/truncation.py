@@ -24,6 +24,8 @@ from pyspark.sql.window import Window
 
 #: A heap: this many texts within the width of a cut, and this many times what the lengths below it hold.
 HEAP, HEAP_RATIO, BELOW = 5, 4.0, 60
+#: Characters whose phrases are counted at once.
+PART_CHARS = 1_000_000
 #: Share of whole occurrences under which an ending counts as cut: usually, and at a limit.
 OPEN_SHARE, LIMIT_SHARE = 0.5, 0.85
 #: Occurrences elsewhere that make the words before an ending known.
@@ -112,11 +114,24 @@ def _ending(text: str) -> tuple[int, ...]:
     return tuple(int(g[-1:].view(np.int64)[0]) for g in _grams(_ids(tail), _places(tail)))
 
 
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[list[str]]:
+    """The texts of batches in parts of about ``PART_CHARS``, so that long texts don't add up in memory."""
+    for b in batches:
+        part, size = [], 0
+        for text in b["text"]:
+            part.append(text)
+            size += len(text or "")
+            if size >= PART_CHARS:
+                yield part
+                part, size = [], 0
+        yield part
+
+
 def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(level, gram, ends, total): occurrences of word ends, and those where a unit ends there."""
-    for b in batches:
+    for texts in _parts(batches):
         ids, ends, places = [], [], []
-        for text in b["text"]:
+        for text in texts:
             if not text or not text.strip():
                 continue
             tokens = _tokens(text.rstrip())
