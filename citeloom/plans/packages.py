@@ -11,21 +11,22 @@ from citeloom.sources.tables import table
 
 registry = Registry()
 #: Parameters of the queries that build a package from the answers.
-BATCH, PLATFORM = "batch_0001", "qwen"
-BLOCKING = ("QwenRiskControlError", "QwenQuotaError")
+BATCH, PLATFORM = "batch_0001", "assistant"
+#: Error codes that stop a batch.
+BLOCKING = "(RiskControl|Quota)Error$"
 
 
 def results(spark, d):
     """Package tasks as run results: failed tasks with a blocking error are blocked, running ones pending."""
     status = (
-        F.when(F.col("task_status") == "success", "pass").when(F.col("task_status") == "running", "pending").when(F.col("error_code").isin(*BLOCKING), "blocked").otherwise("fail")
+        F.when(F.col("task_status") == "success", "pass").when(F.col("task_status") == "running", "pending").when(F.col("error_code").rlike(BLOCKING), "blocked").otherwise("fail")
     )
     mode = F.when(F.col("mode_code") == "expert", "research").otherwise(F.col("mode_code"))
     return table(spark, d, "geo_tasks").select("task_id", "batch_id", "question_id", "question", mode.alias("mode"), status.alias("status"), F.col("error_code").alias("error_type"), "error_message")
 
 
 _RESULTS = """WITH result AS (SELECT task_id, batch_id, question_id, question, CASE mode_code WHEN 'expert' THEN 'research' ELSE mode_code END AS mode,
-  CASE WHEN task_status = 'success' THEN 'pass' WHEN task_status = 'running' THEN 'pending' WHEN error_code IN ('QwenRiskControlError', 'QwenQuotaError') THEN 'blocked' ELSE 'fail' END AS status,
+  CASE WHEN task_status = 'success' THEN 'pass' WHEN task_status = 'running' THEN 'pending' WHEN regexp_matches(error_code, '(RiskControl|Quota)Error$') THEN 'blocked' ELSE 'fail' END AS status,
   error_code AS error_type, error_message FROM geo_tasks)
 """
 
@@ -112,8 +113,8 @@ def package_source_rows(spark, d):
 
 
 _NEST = r"""WITH a AS (SELECT * FROM (SELECT DISTINCT * FROM qwen_answers WHERE question_id IS NOT NULL AND answer IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY question_id, mode ORDER BY acquired_at DESC, turn_id DESC) = 1),
-ids AS (SELECT *, 'qwen_task_' || substring(sha1('batch_0001|' || question_id || '|' || mode), 1, 16) AS task_id FROM a),
-ids2 AS (SELECT *, 'qwen_answer_' || substring(sha1(task_id), 1, 16) AS answer_id FROM ids),
+ids AS (SELECT *, 'assistant_task_' || substring(sha1('batch_0001|' || question_id || '|' || mode), 1, 16) AS task_id FROM a),
+ids2 AS (SELECT *, 'assistant_answer_' || substring(sha1(task_id), 1, 16) AS answer_id FROM ids),
 s AS (SELECT answer_id, question_id, mode, source_row_id, q."rank" AS r, q.title AS title, q.url AS raw_url,
   regexp_replace(q.url, '^[\s\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x1c-\x1f]+|[\s\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x1c-\x1f]+$', '', 'g') AS url
   FROM ids2 JOIN qwen_sources q USING (turn_id))
@@ -122,17 +123,17 @@ s AS (SELECT answer_id, question_id, mode, source_row_id, q."rank" AS r, q.title
 
 @registry.add(
     "pkg_task_ids",
-    "SELECT task_id, 'qwen_task_' || substring(sha1(batch_id || '|' || question_id || '|' || CASE mode_code WHEN 'expert' THEN 'research' ELSE mode_code END), 1, 16) AS rebuilt FROM geo_tasks",
+    "SELECT task_id, regexp_extract(task_id, '^([a-z]+)_task_', 1) || '_task_' || substring(sha1(batch_id || '|' || question_id || '|' || CASE mode_code WHEN 'expert' THEN 'research' ELSE mode_code END), 1, 16) AS rebuilt FROM geo_tasks",
 )
 def pkg_task_ids(spark, d):
-    rebuilt = ids.task_id(F.lit(PLATFORM), F.col("batch_id"), F.col("question_id"), F.col("mode"))
+    rebuilt = ids.task_id(F.regexp_extract("task_id", "^([a-z]+)_task_", 1), F.col("batch_id"), F.col("question_id"), F.col("mode"))
     return results(spark, d).select("task_id", rebuilt.alias("rebuilt"))
 
 
 @registry.add(
     "pkg_tasks",
     _RESULTS
-    + """SELECT 'qwen_task_' || substring(sha1('batch_0001|' || question_id || '|' || mode), 1, 16) AS task_id, question_id, question, CASE mode WHEN 'research' THEN 'expert' ELSE mode END AS mode_code,
+    + """SELECT 'assistant_task_' || substring(sha1('batch_0001|' || question_id || '|' || mode), 1, 16) AS task_id, question_id, question, CASE mode WHEN 'research' THEN 'expert' ELSE mode END AS mode_code,
   CASE status WHEN 'pass' THEN 'success' WHEN 'pending' THEN 'running' ELSE 'failed' END AS task_status, error_type AS error_code, error_message FROM result""",
 )
 def pkg_tasks(spark, d):
@@ -153,7 +154,7 @@ def pkg_answers(spark, d):
 @registry.add(
     "pkg_sources",
     _NEST
-    + r"""SELECT 'qwen_source_' || substring(sha1(answer_id || '|' || r || '|' || url), 1, 16) AS occurrence_id, answer_id, r AS source_order, title AS source_title_raw, url AS source_url_raw,
+    + r"""SELECT 'assistant_source_' || substring(sha1(answer_id || '|' || r || '|' || url), 1, 16) AS occurrence_id, answer_id, r AS source_order, title AS source_title_raw, url AS source_url_raw,
   row_number() OVER (PARTITION BY answer_id, url ORDER BY r, source_row_id) > 1 AS is_duplicate_in_answer FROM s""",
 )
 def pkg_sources(spark, d):
