@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import zipfile
 from dataclasses import asdict, dataclass, field
 from datetime import datetime
 from pathlib import Path
@@ -69,6 +70,19 @@ def verify(spark: SparkSession, archive: Path) -> list[str]:
     return [f"{r.check_name}: {r.subject}" for r in rows]
 
 
+def repair_archive(spark: SparkSession, archive: Path, repaired: Path) -> list[str]:
+    """Write a repaired copy of an archive, counts and checksums anew; the faults left in it."""
+    with zipfile.ZipFile(archive) as z:
+        manifest = json.loads(z.read("manifest.json"))
+    tables = landed.package_tables(landed.read_package_lines(spark, str(archive)))
+    fixed = package.repair(*(tables[n].drop("path") for n in ("tasks", "answers", "sources")))
+    folder = repaired.with_suffix("")
+    sink.export_directory(*fixed, manifest, folder)
+    sink.export_archive(folder, repaired)
+    left = package.source_count_mismatches(fixed[1], fixed[2]).limit(100).collect()
+    return verify(spark, repaired) + [f"source_count_raw of {r.answer_id}" for r in left]
+
+
 def run(spark: SparkSession, batch_dir: str, batch_id: str, platform: str, archive: str, targets: mention.Targets | None = None, classifier: sentiment.Classifier | None = None, manifest: dict | None = None) -> PipelineResult:
     """The gate decides: blocked and partial batches end there; analysis errors leave a package and a partial status."""
     result = PipelineResult(started_at=datetime.now().isoformat())
@@ -102,7 +116,7 @@ def run(spark: SparkSession, batch_dir: str, batch_id: str, platform: str, archi
 
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="citeloom", description=__doc__)
-    parser.add_argument("action", choices=["run", "verify"])
+    parser.add_argument("action", choices=["run", "verify", "repair"])
     parser.add_argument("path", help="a batch folder, or a package archive to verify")
     parser.add_argument("--batch-id", default="batch_0001")
     parser.add_argument("--platform", default="assistant")
@@ -123,6 +137,11 @@ def main(arguments: list[str] | None = None) -> int:
         faults = verify(spark, Path(given.path))
         print(json.dumps(faults, ensure_ascii=False))
         return EXIT["failed" if faults else "completed"]
+    if given.action == "repair":
+        source = Path(given.path)
+        faults = repair_archive(spark, source, Path(given.archive) if given.archive else source.with_name(f"{source.stem}_repaired.zip"))
+        print(json.dumps(faults, ensure_ascii=False))
+        return EXIT["failed" if faults else "completed"]
     result = run(spark, given.path, given.batch_id, given.platform, given.archive or f"{given.path}/{given.batch_id}.zip", targets, sentiment.LexiconClassifier((), ()) if targets else None)
     print(json.dumps(asdict(result), ensure_ascii=False, default=str))
     return EXIT[result.status]

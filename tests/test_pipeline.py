@@ -67,6 +67,59 @@ def test_a_missing_answer_fails_the_run(spark, tmp_path):
     assert got.status == "failed" and "no answer file" in got.error_message
 
 
+def test_an_archive_is_repaired(spark, tmp_path):
+    folder = tmp_path / "batch"
+    folder.mkdir()
+    batch(folder)
+    path = folder / "q0_quick.json"
+    answer = json.loads(path.read_text())
+    path.write_text(json.dumps(answer | {"answer": "当前访问人数过多，疯狂加服务器中，请稍后再试"}, ensure_ascii=False))
+    pipeline.run(spark, str(folder), "b", "p", str(tmp_path / "b.zip"))
+    repaired = tmp_path / "b_repaired.zip"
+    assert pipeline.repair_archive(spark, tmp_path / "b.zip", repaired) == []
+    tables = landed.package_tables(landed.read_package_lines(spark, str(repaired)))
+    assert tables["answers"].count() == 1 and tables["sources"].count() == 1 and {r.task_status for r in tables["tasks"].collect()} == {"failed", "success"}
+    assert landed.newest_package(spark, str(tmp_path)).endswith("b.zip")
+
+
+def test_metrics_documents(spark, tmp_path):
+    from citeloom.operators import citations, mention
+    from citeloom.sinks import metrics
+
+    rows = spark.createDataFrame([("q", "quick", "pass", "Brand 好", 0, [(1, "T", "https://a.test")])], "question_id string, mode string, status string, answer string, item_pos bigint, sources array<struct<rank:int,title:string,url:string>>")
+    found = pipeline.analyse(rows, {"z": ["Brand"], "a": ["x"]}, sentiment.LexiconClassifier(["好"], []))
+    mentions = metrics.mention_metrics(found["mention_summary"])
+    assert list(mentions) == ["a", "z"] and mentions["z"]["all"]["mention_rate"] == 1.0
+    tone = metrics.sentiment_metrics(found["sentiment_summary"], ["z", "a"])
+    assert list(tone) == ["z", "a"] and tone["z"]["question"]["positive_count"] == 1
+    totals = citations.concentration(citations.source_ranks(found["occurrences"]), citations.source_order())
+    hosts = citations.concentration(citations.host_ranks(found["occurrences"]), citations.host_order())
+    sources = metrics.source_metrics(totals, hosts, found["source_top"], found["host_top"])
+    assert sources["url_level"]["all"]["top"][0]["source_key"] == "https://a.test/" and sources["host_level"]["research"]["top"] == []
+    metrics.write_metrics(mentions, tone, sources, tmp_path / "m.json")
+    assert json.loads((tmp_path / "m.json").read_text())["mention"]["a"]["quick"]["valid_count"] == 1
+    assert mention.build_targets({" a ": [" x ", "x"]}) == {"a": ["x"]}
+
+
+def test_task_issues(spark):
+    from citeloom.sinks.metrics import task_issues
+
+    rows = [("a", "quick", "fail"), ("a", "quick", "pass"), ("b", "quick", "blocked"), ("c", "research", "fail"), ("d", "quick", "pending")]
+    df = spark.createDataFrame([(*r, "E", "m") for r in rows], "question_id string, mode string, status string, error_type string, error_message string")
+    assert {r.file_name for r in task_issues(df).collect()} == {"b_quick_blocked.json", "c_research_failed.json"}
+
+
+def test_config():
+    from citeloom.config import load_config
+
+    assert load_config({}).retry_backoff_seconds == (3.0, 8.0) and load_config({"SENTIMENT_RETRY_BACKOFF_SECONDS": ""}).retry_backoff_seconds == ()
+    got = load_config({"SENTIMENT_PROVIDER": "http", "SENTIMENT_MODEL": "m", "SENTIMENT_MAX_RETRIES": "0"})
+    assert (got.classifier().model, got.max_retries) == ("m", 0)
+    for bad in ({"SENTIMENT_MAX_RETRIES": "-1"}, {"SENTIMENT_REQUEST_TIMEOUT_SECONDS": "x"}, {"SENTIMENT_RETRY_BACKOFF_SECONDS": "a"}, {"SENTIMENT_RETRY_BACKOFF_SECONDS": "-1"}):
+        with pytest.raises(ValueError):
+            load_config(bad)
+
+
 def test_a_changed_archive_is_found(spark, tmp_path):
     archive = tmp_path / "b.zip"
     folder = tmp_path / "batch"
