@@ -102,6 +102,55 @@ def _patterns() -> list[tuple[str, re.Pattern]]:
     return [(kind, re.compile(p, re.M)) for kind, p in out]
 
 
+_NUMBER = re.compile(r"\d(?:[ .()/+-]{0,3}\d){5}")
+_STREETS = {
+    "zh": ("号",), "ja": ("丁目",), "en": tuple(f" {w}" for w in STREET_EN.split("|")), "de": ("straße", "strasse", "tr.", "weg", "latz", "gasse", "llee", "ring", "damm", "ufer", "steig", "pfad", "Am ", "An der", "Auf dem", "Im ", "Zum ", "Zur ", "Straße"),
+    "fr": tuple(w.replace("\\", "") for w in STREET_FR.split("|")), "es": tuple(w.replace("\\", "") for w in STREET_ES.split("|")),
+}
+_HAN_LEADS = ("我叫", "我是", "本人", "姓名", "联系人", "人：", "人:", "人是", "人为", "顾客", "客户", "用户", "尊敬的", "签名")
+
+
+def _holds(text: str, words: tuple[str, ...]) -> bool:
+    return any(w in text for w in words)
+
+
+def _screened(text: str) -> list[tuple[str, re.Pattern]]:
+    """The patterns that can find anything in a text, by strings and one scan that each of them needs."""
+    lower = text.lower()
+    number = _NUMBER.search(text) is not None
+    digit = number or re.search(r"\d", text) is not None
+    found = []
+    for kind, pattern, need in _needs():
+        if need == "@":
+            ok = "@" in text
+        elif need == "number":
+            ok = number
+        elif need in _STREETS:
+            ok = digit and _holds(lower if need == "fr" else text, _STREETS[need])
+        elif need == "han":
+            ok = _holds(text, _HAN_LEADS)
+        elif need == "title":
+            ok = _holds(text, ("先生", "女士", "小姐"))
+        elif need == "han_off":
+            ok = _holds(text, ("此致", "敬礼", "敬上", "谨上", "祝好", "顺颂商祺"))
+        elif need == "lead":
+            ok = _holds(lower, NAME_LEADS)
+        elif need == "off":
+            ok = _holds(lower, SIGN_OFFS)
+        else:
+            ok = True
+        if ok:
+            found.append((kind, pattern))
+    return found
+
+
+@lru_cache(maxsize=1)
+def _needs() -> list[tuple[str, re.Pattern, str]]:
+    streets, names = iter(("zh", "zh", "ja", "en", "de", "fr", "es")), iter(("han", "title", "han_off", "lead", "off"))
+    need = {"email": lambda: "@", "phone": lambda: "number", "id_number": lambda: "number", "address": lambda: next(streets), "name": lambda: next(names)}
+    return [(kind, pattern, need[kind]()) for kind, pattern in _patterns()]
+
+
 #: What stands before numbers that identify things, not persons.
 _THING = re.compile(r"(?i:订单号?|单号|批号|条码|备案号|编号|观看量|注文番号|ロット|バーコード|\border\b|\bbarcode\b|\bbatch\b(?: no\.?)?|\bsection\b|\bbestellnummer\b|\bcharge\b|\bcommande\b|\blot\b|\bpedido\b|\blote\b|\bversion\b|\bisbn\b|\bsku\b)[ :：#]{0,3}$")
 _LINK = re.compile(r"(?i:https?://|www\.)[^\s<>\"'，。；、）】]+")
@@ -111,6 +160,7 @@ _AT = re.compile(
     r"((?:[A-Za-z0-9-]+(?:\s?[\[({]\s?(?:dot|\.)\s?[\])}]\s?|[ ]dot[ ]|\.))+[A-Za-z]{2,24})(?![A-Za-z0-9_-])",
     re.I,
 )
+_AT_WORD = re.compile(r"(?:[\[({ ]at[\])} ])[^\n]{0,60}(?:\bdot\b|\.)", re.I)
 _DOT = re.compile(r"\s?[\[({]\s?(?:dot|\.)\s?[\])}]\s?|[ ]dot[ ]", re.I)
 _SPELLED = re.compile(f"[{''.join(SPELLED)}](?:[ -]?[{''.join(SPELLED)}]){{6,17}}")
 _WORDS = re.compile(rf"\b(?:{'|'.join(DIGIT_WORDS)})(?:[ ,-]+(?:{'|'.join(DIGIT_WORDS)})){{6,17}}\b", re.I)
@@ -130,14 +180,15 @@ class Normalised:
     def __init__(self, source: str):
         self.source = source
         self.places: list[int] | None = None
-        self.text = source.translate(_width())  # one to one: places stay
+        self.text = source if source.isascii() else source.translate(_width())  # one to one: places stay
         if _ZERO_WIDTH.search(self.text):
             self._rewrite(_ZERO_WIDTH, lambda m: [])
-        self._same_length(_MIXED, self._latin)
-        self._same_length(_SPELLED, lambda s: "".join(SPELLED.get(c, c) for c in s))
+        if not source.isascii():
+            self._same_length(_MIXED, self._latin)
+            self._same_length(_SPELLED, lambda s: "".join(SPELLED.get(c, c) for c in s))
         if _WORDS.search(self.text):
             self._rewrite(_WORDS, lambda m: [(DIGIT_WORDS[w[0].lower()], w.start()) for w in re.finditer("[A-Za-z]+", m[0])])
-        if "@" in self.text or re.search(r"(?<![A-Za-z])at(?![A-Za-z])", self.text, re.I):
+        if "@" in self.text or _AT_WORD.search(self.text):
             self._rewrite(_AT, self._address)
 
     @staticmethod
@@ -186,7 +237,7 @@ def find_pii(text: str | None) -> list[tuple[str, int, int]]:
     n = Normalised(text)
     taken: list[tuple[int, int]] = [m.span() for m in _LINK.finditer(n.text)] if "://" in n.text or "www." in n.text.lower() else []
     found: list[tuple[str, int, int]] = []
-    for kind, pattern in _patterns():
+    for kind, pattern in _screened(n.text):
         for m in pattern.finditer(n.text):
             grouped = pattern.groups and kind in ("name", "id_number", "phone") and m.lastindex and len(m[m.lastindex]) > 1
             start, end = m.span(m.lastindex) if grouped else m.span()
