@@ -103,19 +103,23 @@ def clause_features(question: str | None, answer: str, cut: bool) -> tuple[np.nd
     x = np.zeros((len(parts), len(FEATURES)))
     size = np.zeros(len(parts))
     whole = language(prose(answer))
+    # What the whole answer does not hold, no clause holds.
+    may_refuse, may_excuse = _any("REFUSING").search(answer) is not None, _any("COURTESY").search(answer) is not None
+    one_language = whole is not None and whole == wanted
     refusing = []
     for i, part in enumerate(parts):
         said = prose(_INTRO.sub("", part))
         folded = _fold(part)
         size[i] = len(_LETTERS.findall(said))
-        outside = re.sub(r"“[^”]*”|\"[^\"]*\"|「[^」]*」|‘[^’]*’", "", part)
-        refusing.append(bool(_any("REFUSING").search(outside)) and not re.search(r"(?:客服|门店|店员|商家|用户|品牌)[^。]{0,8}(?:表示|说|回复|称)", part))
-        overlap = len(_grams(folded) & asked_grams) / max(1, len(_grams(folded))) if len(folded) >= 4 and asked else 0.0
+        outside = part if not (may_refuse or may_excuse) else re.sub(r"“[^”]*”|\"[^\"]*\"|「[^」]*」|‘[^’]*’", "", part)
+        refusing.append(may_refuse and bool(_any("REFUSING").search(outside)) and not re.search(r"(?:客服|门店|店员|商家|用户|品牌)[^。]{0,8}(?:表示|说|回复|称)", part))
+        # A clause of more than twice the question's length cannot be mostly the question.
+        own = _grams(folded) if asked and 4 <= len(folded) <= 2 * len(asked) + 4 else set()
+        overlap = len(own & asked_grams) / len(own) if own else 0.0
         holds = bool(asked_less) and len(asked_less) >= 6 and asked_less in folded
-        lang = language(said) if size[i] >= 8 else None
-        lang = lang or (whole if size[i] >= 8 else None)
+        lang = None if size[i] < 8 else whole if one_language else language(said) or whole
         x[i] = (
-            1, refusing[i], bool(_any("REFUSING").search(part)) and not refusing[i], bool(_any("COURTESY").search(outside)), bool(re.match(r"\W*(?:很?抱歉|对不起|非常遗憾|sorry|unfortunately|leider|es tut|je suis désolé|lo siento)", part, re.I)),
+            1, refusing[i], may_refuse and bool(_any("REFUSING").search(part)) and not refusing[i], may_excuse and bool(_any("COURTESY").search(outside)), bool(re.match(r"\W*(?:很?抱歉|对不起|非常遗憾|sorry|unfortunately|leider|es tut|je suis désolé|lo siento)", part, re.I)),
             overlap >= 0.8 or holds, overlap >= 0.5, overlap, bool(wanted and lang and lang != wanted), bool(wanted and lang == wanted), i == len(parts) - 1, cut and i == len(parts) - 1, any(c.isdigit() for c in part), len(folded) < 8, i == 0, not folded, 0,
         )
     at = FEATURES.index("near_refusing")

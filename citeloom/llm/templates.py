@@ -61,6 +61,17 @@ ERROR = (
 )
 # Weaker wording, a case only where the page's template repeats over records.
 WEAK = (r"\berror\b", r"\bgateway\b", r"\bproxy\b", r"\bunavailable\b", r"\bretry\b", r"\breload\b", r"错误|异常|重试|刷新|加载失败|请求失败",)
+#: Strings of which a text holds one wherever the patterns find something; they spare most texts the patterns.
+HINTS = {
+    "FILLER": ("lorem", "dolor", "dummy", "goes here", "placeholder", "to follow", "tbd", "todo", "fixme", "xx", "replace", "to be replaced", "do not ship", "占位", "示例", "样例", "待补", "测试", "內容", "内容待", "blindtext", "platzhalter", "factice", "remplissage", "relleno", "ejemplo", "ダミー"),
+    "SCRIPT": ("script", "skript", "cookie", "脚本"),
+    "ERROR": (
+        "http", "not found", "forbidden", "bad ", "unavailable", "gateway", "internal server", "too many", "unauthorized", "timeout", "time-out", "gone", "<title", "<h1", "upstream", "unreachable", "traceback", "error", "exception", '"code"', '"status"', "connection", "request", "err_", "session", "log in", "went wrong", "human",
+        "traffic", "rate limit", "quota", "limit", "maintenance", " page", "page ", "access", "denied", "try again", "页面", "内容", "资源", "文章", "系统", "刷新", "重新加载", "请稍后", "服务", "网络", "排队", "额度", "次数", "登录", "访问", "滑动", "验证", "升级", "维护", "seite", "dienst", "sitzung", "introuvable", "trouvée", "expiré", "indisponible", "encontrada",
+        "caducado", "disponible", "ページ", "セッション", "しばらく",
+    ),
+    "WEAK": ("error", "gateway", "proxy", "unavailable", "retry", "reload", "错误", "异常", "重试", "刷新", "失败"),
+}
 # What a question asks about when the answer may speak of such things.
 TOPICS = {
     "placeholder": r"模板|占位符|变量|字段|placeholder|template|Platzhalter|Vorlage|modèle|plantilla|marcador|プレースホルダ|テンプレート",
@@ -106,7 +117,7 @@ def residue(question: str | None, text: str | None) -> list[tuple[str, str, str,
     code = [m.span() for m in _CODE.finditer(text)] if "`" in text else []
     in_code = lambda m: any(a <= m.start() < b for a, b in code)
     asked = {kind for kind in TOPICS if question and _topic(kind).search(question)}
-    whole = text.strip()
+    whole, lower = text.strip(), text.lower()
     out = []
     for m in _compiled("PLACEHOLDERS").finditer(text):
         if in_code(m):
@@ -121,7 +132,7 @@ def residue(question: str | None, text: str | None) -> list[tuple[str, str, str,
             out.append(("filler", sentence.strip()[:60], "", "", "", True))
             break
     for name, kind in (("FILLER", "filler"), ("SCRIPT", "script"), ("ERROR", "error"), ("WEAK", "error")):
-        for m in _compiled(name).finditer(text):
+        for m in _compiled(name).finditer(text) if any(h in lower for h in HINTS[name]) else ():
             line_start = text.rfind("\n", 0, m.start()) + 1
             line_end = text.find("\n", m.end())
             line = text[line_start : line_end if line_end >= 0 else len(text)].strip()
