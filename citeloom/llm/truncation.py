@@ -293,29 +293,33 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
             yield pd.DataFrame(out, columns=["row_id", "at_limit", "state", "short", "in_word", *phrases])
 
     judged = held.mapInPandas(judge, "row_id string, at_limit boolean, state string, short int, in_word boolean, " + ", ".join(f"{p} bigint" for p in phrases))
-    unsure = judged.where("state <> 'cut'")
     counts = slim.select("text").mapInPandas(_gram_counts, "level int, gram bigint, ends bigint, total bigint")
     stats = counts.groupBy("level", "gram").agg(F.sum("ends").alias("ends"), F.sum("total").alias("total"))
-    wanted = unsure.select("row_id", "at_limit", "state", "short", "in_word", F.posexplode(F.array(*phrases)).alias("at", "gram")).withColumn("level", (F.col("at") + 1).cast("int"))
+    # What is cut by itself looks nothing up: it gets a key of its own that no phrase has.
+    cut = F.col("state") == "cut"
+    lookups = F.when(cut, F.array(F.struct(F.lit(0).alias("level"), F.xxhash64("row_id").alias("gram")))).otherwise(
+        F.array(*[F.struct(F.lit(n).alias("level"), F.col(p).alias("gram")) for n, p in enumerate(phrases, 1)])
+    )
+    wanted = judged.select("row_id", "at_limit", "state", "short", "in_word", F.inline(lookups))
     known = wanted.join(stats, ["level", "gram"], "left")
-    pair = lambda level: F.max(F.when(F.col("level") == level, F.struct(F.coalesce("ends", F.lit(0)).alias("ends"), F.coalesce("total", F.lit(0)).alias("total"))))
-    seen = known.groupBy("row_id", "at_limit", "state", "short", "in_word").agg(*[pair(n).alias(f"s{n}") for n in range(1, len(PHRASES) + 1)])
+    seen = known.groupBy("row_id", "at_limit", "state", "short", "in_word").agg(
+        *[F.coalesce(F.max(F.when(F.col("level") == n, F.col(c))), F.lit(0)).alias(f"{c}{n}") for n in range(1, len(PHRASES) + 1) for c in ("ends", "total")]
+    )
 
     def share(level: int):
         """Whole share of the other occurrences; the text's own ending does not count."""
-        others = F.col(f"s{level}.total") - 1
-        return F.when(others >= KNOWN, (F.col(f"s{level}.ends") - 1) / others)
+        others = F.col(f"total{level}") - 1
+        return F.when(others >= KNOWN, (F.col(f"ends{level}") - 1) / others)
 
     longest = share(len(PHRASES))
     limit = F.when(F.col("at_limit"), LIMIT_SHARE).otherwise(OPEN_SHARE)
     backed = F.coalesce(*[share(n) for n in range(len(PHRASES), 0, -1)], F.lit(0.0))
     # A short text is its own phrase: what the corpus knows of shorter ones says little about it.
-    unknown_word = F.col("in_word") & (F.col("s1.total") <= 1)
+    unknown_word = F.col("in_word") & (F.col("total1") <= 1)
     own = F.when(F.col("short") == 2, F.coalesce(longest, F.lit(1.0)) < limit).otherwise((F.coalesce(longest, share(3), F.lit(1.0)) < limit) | unknown_word)
     open_end = F.when((F.col("short") > 0) & ~F.col("at_limit"), own).otherwise((backed < limit) | unknown_word)
-    by_corpus = seen.where(open_end).select("row_id", "at_limit", F.when(F.col("state") == "marked", "mark").otherwise("ending").alias("evidence"))
-    by_itself = judged.where("state = 'cut'").select("row_id", "at_limit", F.lit("broken").alias("evidence"))
-    return by_itself.unionByName(by_corpus).groupBy("row_id").agg(F.max("at_limit").alias("at_limit"), F.min("evidence").alias("evidence"))
+    found = seen.where(cut | open_end).select("row_id", "at_limit", F.when(cut, "broken").when(F.col("state") == "marked", "mark").otherwise("ending").alias("evidence"))
+    return found.groupBy("row_id").agg(F.max("at_limit").alias("at_limit"), F.min("evidence").alias("evidence"))
 
 
 def truncation_shares(answers: DataFrame, found: DataFrame, groups: Sequence[str], row_id: str) -> DataFrame:
