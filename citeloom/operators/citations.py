@@ -48,18 +48,25 @@ def scoped(rows: DataFrame) -> DataFrame:
     return rows.withColumn("scope", F.explode(F.array("mode", F.lit("all"))))
 
 
+#: Answers whose counts one window sums up.
+BLOCK = 65_536
+
+
 def _seen_order(rows: DataFrame, batch: Sequence[str]) -> DataFrame:
     """1-based place of each row in its scope.
 
-    Counted without sorting a scope in one task: answers are numbered by the sums of the answers
-    before them, rows within their answer. Only the per-answer counts are windowed.
+    Counted without sorting a scope in one task: rows are numbered in their answer, answers by sums
+    within blocks of ``item_pos``, and blocks by the sums of the blocks before them.
     """
-    keys = [*batch, "scope", "item_pos"]
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*batch, "scope").orderBy("item_pos").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*keys).orderBy("source_pos", "source_key")
-    return rows.withColumn("_in", F.row_number().over(inside)).join(offsets, keys).withColumn("seen", F.col("_before") + F.col("_in")).drop("_before", "_in")
+    keys = [*batch, "scope"]
+    counts = rows.groupBy(*keys, "item_pos").agg(F.count(F.lit(1)).alias("_n")).withColumn("_block", F.floor(F.col("item_pos") / BLOCK))
+    before = lambda order, *by: Window.partitionBy(*keys, *by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = counts.groupBy(*keys, "_block").agg(F.sum("_n").alias("_b")).withColumn("_blocks", F.coalesce(F.sum("_b").over(before("_block")), F.lit(0))).drop("_b")
+    inner = counts.withColumn("_answers", F.coalesce(F.sum("_n").over(before("item_pos", "_block")), F.lit(0)))
+    offsets = inner.join(blocks, [*keys, "_block"]).select(*keys, "item_pos", (F.col("_blocks") + F.col("_answers")).alias("_before"))
+    inside = Window.partitionBy(*keys, "item_pos").orderBy("source_pos", "source_key")
+    placed = rows.withColumn("_in", F.row_number().over(inside)).join(offsets, [*keys, "item_pos"])
+    return placed.withColumn("seen", F.col("_before") + F.col("_in")).drop("_before", "_in")
 
 
 def source_ranks(deduped: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
@@ -77,8 +84,7 @@ def source_ranks(deduped: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
         F.min("seen").alias("first_seen_order"),
     )
     totals = ranks.groupBy(*keys).agg(F.sum("occurrence_count").alias("_total"))
-    # One total per scope and batch.
-    return ranks.join(F.broadcast(totals), keys).select(
+    return ranks.join(totals, keys).select(
         *keys, "source_key", "first.*", "occurrence_count", "question_count", "average_order", "first_seen_order", (F.col("occurrence_count") / F.col("_total")).alias("share")
     )
 
@@ -99,7 +105,7 @@ def host_ranks(deduped: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
     hosts = by_host.select(*batch, F.col("domain").alias("host"), F.inline(per_scope)).where("occurrence_count > 0")
     totals = hosts.groupBy(*keys).agg(F.sum("occurrence_count").alias("_total"))
     named = hosts.where((F.col("host") != "") & F.col("host").isNotNull())
-    return named.join(F.broadcast(totals), keys).select(*keys, "host", "occurrence_count", "question_count", (F.col("occurrence_count") / F.col("_total")).alias("share"))
+    return named.join(totals, keys).select(*keys, "host", "occurrence_count", "question_count", (F.col("occurrence_count") / F.col("_total")).alias("share"))
 
 
 def host_order() -> list[Column]:

@@ -53,6 +53,20 @@ def test_top_is_ten_and_scopes_without_rows_are_zero(spark):
     assert citations.top(ranks, citations.source_order()).where("scope = 'all'").count() == 10
 
 
+def test_first_seen_order_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(citations, "BLOCK", 3)
+    rng = random.Random(1)
+    rows = [(f"q{i // 2}", ("quick", "research")[i % 2], f"k{rng.randrange(12)}", "d", "t", "u", 1, i, j) for i in range(20) for j in range(rng.randrange(4))]
+    one = sorted(tuple(r) for r in citations.dedup(occ(spark, rows)).collect())
+    for scope in C.SCOPES:
+        seen = sorted((r for r in one if scope in ("all", r[1])), key=lambda r: (r[7], r[8], r[2]))
+        want: dict = {}
+        for n, r in enumerate(seen, 1):
+            want.setdefault(r[2], n)
+        got = {r.source_key: r.first_seen_order for r in citations.source_ranks(citations.dedup(occ(spark, rows))).where(F.col("scope") == scope).collect()}
+        assert got == want
+
+
 def test_citations_of_an_empty_table(spark):
     none = occ(spark, [])
     assert citations.source_ranks(citations.dedup(none)).count() == 0 and citations.host_ranks(none).count() == 0
