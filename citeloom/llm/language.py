@@ -11,7 +11,6 @@ FUNCTION_WORDS = {
     "de": "der die das und ist nicht ein eine einen einem eines von zu mit auf für im in den dem des sich auch als wird werden wurde an bei aus nach um es man nur oder sollte so hat haben war sind wie noch etwa damit dass sie ihr ihre kein keine klaren was wer gibt kann muss darf ich mir mich",
     "fr": "le la les de des du un une et est en pour que qui dans sur par plus ne pas ce cette ces au aux avec se son sa ses ou il elle on nous vous leur mais dont été entre plutôt chez sont peut sans après avant deux depuis surtout faut je me",
     "es": "el la los las de del un una y es en por para que se con no su sus al lo como más pero o si este esta hay entre sobre unos unas solo desde hasta muy ya todo son ha han puede sin antes después dos qué le nos",
-    "la": "",
 }
 _WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿß]+(?:['’][A-Za-zÀ-ÿ]+)?")
 _KANA = re.compile(r"[぀-ヿ]")
@@ -22,12 +21,22 @@ _NOT_PROSE = re.compile(
 
 
 @lru_cache(maxsize=1)
-def _lexicon() -> dict[str, set[str]]:
-    return {lang: set(words.split()) for lang, words in FUNCTION_WORDS.items() if words}
+def _lexicon() -> dict[str, tuple[str, ...]]:
+    """Function word to the languages it belongs to."""
+    out: dict[str, tuple[str, ...]] = {}
+    for lang, words in FUNCTION_WORDS.items():
+        for w in words.split():
+            out[w] = (*out.get(w, ()), lang)
+    return out
+
+
+_MARKED = re.compile(r"[`“\"「『«„|\[]|https?:")
 
 
 def prose(text: str) -> str:
     """A text without code, links, citations, tables and quotations."""
+    if not _MARKED.search(text):
+        return text
     return _NOT_PROSE.sub(" ", text)
 
 
@@ -41,7 +50,10 @@ def language(text: str) -> str | None:
     words = [w.lower() for w in _WORD.findall(text)]
     if kana >= 3 and kana >= 0.1 * (kana + han) and kana + han >= len(words):
         return "ja"
-    scores = {lang: sum(w in lexicon or w.split("'")[0].split("’")[0] in lexicon for w in words) for lang, lexicon in _lexicon().items()}
+    lexicon, scores = _lexicon(), dict.fromkeys(FUNCTION_WORDS, 0)
+    for w in words:
+        for lang in lexicon.get(w) or lexicon.get(re.split("['’]", w)[0] if "'" in w or "’" in w else "", ()):
+            scores[lang] += 1
     best = max(scores, key=scores.get)  # type: ignore[arg-type]
     latin = scores[best] >= 2 and scores[best] > max(n for lang, n in scores.items() if lang != best) and scores[best] >= 0.12 * len(words)
     # A Han name counts as one word beside Latin prose.
@@ -55,5 +67,5 @@ def is_pseudo_latin(sentence: str, least: int = 8) -> bool:
     words = [w.lower() for w in _WORD.findall(sentence)]
     if len(words) < least or re.search(r"[0-9Ͱ-\U0010FFFF]", sentence):
         return False
-    known = set().union(*_lexicon().values())
+    known = _lexicon()
     return not any(w in known for w in words) and len(set(words)) < 0.95 * len(words) + 1

@@ -42,13 +42,25 @@ COURTESY = (
 NOTHING = ("", "null", "none", "nil", "n/a", "na", "nan", "undefined", "empty", "无", "暂无", "没有", "空", "(null)", "[]", "{}", "<empty>", "no answer", "no data", "暂无内容", "暂无数据", "keine angabe", "k.a.", "s/o", "なし", "該当なし")
 # Wordings that ask for an answer in a language.
 WANTED = {
-    "en": r"用英(?:文|语)|in English|auf Englisch|en anglais|en inglés|英語で", "de": r"用德(?:文|语)|in German|auf Deutsch|en allemand|en alemán|ドイツ語で", "fr": r"用法(?:文|语)|in French|auf Französisch|en français|en francés|フランス語で",
-    "es": r"用西班牙(?:文|语)|in Spanish|auf Spanisch|en espagnol|en español|スペイン語で", "zh": r"用中文|用汉语|in Chinese|auf Chinesisch|en chinois|en chino|中国語で", "ja": r"用日(?:文|语)|in Japanese|auf Japanisch|en japonais|en japonés|日本語で",
+    "en": ("用英文", "用英语", "in english", "auf englisch", "en anglais", "en inglés", "英語で"), "de": ("用德文", "用德语", "in german", "auf deutsch", "en allemand", "en alemán", "ドイツ語で"),
+    "fr": ("用法文", "用法语", "in french", "auf französisch", "en français", "en francés", "フランス語で"), "es": ("用西班牙文", "用西班牙语", "in spanish", "auf spanisch", "en espagnol", "en español", "スペイン語で"),
+    "zh": ("用中文", "用汉语", "in chinese", "auf chinesisch", "en chinois", "en chino", "中国語で"), "ja": ("用日文", "用日语", "in japanese", "auf japanisch", "en japonais", "en japonés", "日本語で"),
+}
+#: Strings of which a text holds one wherever the patterns of refusals and courtesies find something.
+HINTS = {
+    "REFUSING": (
+        "没有办法", "无法", "不能", "不便", "不方便", "不会", "拒绝", "问题我不", "帮不上", "没学会", "超出", "范围", "不予", "恕", "i c", "i w", "i a", "i h", "i m", "i d", "we ", "decline", "keep me", "outside of", "not able", "not allowed", "not permitted", "ich", "je ", "m'est", "m’est", "sort de", "puedo", "queda fuera", "abstenerme", "posible", "お答え", "回答", "コメント",
+    ),
+    "COURTESY": (
+        "抱歉", "对不起", "遗憾", "感谢", "谅", "换个", "聊点", "其他", "别的", "专业人士", "不准确", "倾向", "如果愿意", "官方渠道", "直接咨询", "一般常识", "sorry", "unfortunately", "apologies", "thank you", "as an assistant", "another question", "anything else", "a professional", "shopping tips", "one-sided", "better contact", "leider", "tut mir", "frage", "einkaufstipps", "désolé",
+        "malheureusement", "autre question", "conseils", "lo siento", "lamentablemente", "otra pregunta", "consejos", "申し訳", "恐れ入り",
+    ),
 }
 #: How a question asks for sources, and words around a repeated question.
 SOURCES = r"请结合公开资料说明，?并列出来源|请查阅公开网页后作答，?附上出处|麻烦给出依据和链接|Please use public pages and list your sources|Cite where you found it|Bitte mit Quellen|Merci de citer les sources|Cita las fuentes, por favor"
 
 _MARKUP = re.compile(r"<[^<>]{1,60}>|&(?:[A-Za-z]{2,8}|#x?[0-9A-Fa-f]{1,6});|[​-‏⁠-⁤﻿]")
+_DIGIT = re.compile(r"\d")
 _LETTERS = re.compile(r"[^\W_]", re.U)
 _CLAUSE = re.compile(r"[^。！？!?\n；;.]*(?:\.(?!\s|$)[^。！？!?\n；;.]*)*(?:[。！？!?\n；;.]+[”\"’'）)」』]*|$)")
 _INTRO = re.compile(r"^[^：:\n。！？]{1,14}[：:](?=\s*\S)")
@@ -71,8 +83,9 @@ def expected_language(question: str | None) -> str | None:
     """The language an answer is to have: the one asked for, or the question's own."""
     if not question:
         return None
-    for lang, pattern in WANTED.items():
-        if re.search(pattern, question, re.I):
+    lower = question.lower()
+    for lang, wordings in WANTED.items():
+        if any(w in lower for w in wordings):
             return lang
     return language(question)
 
@@ -104,13 +117,14 @@ def clause_features(question: str | None, answer: str, cut: bool) -> tuple[np.nd
     size = np.zeros(len(parts))
     whole = language(prose(answer))
     # What the whole answer does not hold, no clause holds.
-    may_refuse, may_excuse = _any("REFUSING").search(answer) is not None, _any("COURTESY").search(answer) is not None
+    lower = answer.lower()
+    may_refuse, may_excuse = (any(h in lower for h in HINTS[n]) and _any(n).search(answer) is not None for n in ("REFUSING", "COURTESY"))
     one_language = whole is not None and whole == wanted
     refusing = []
     for i, part in enumerate(parts):
-        said = prose(_INTRO.sub("", part))
         folded = _fold(part)
-        size[i] = len(_LETTERS.findall(said))
+        said = prose(_INTRO.sub("", part) if ":" in part or "：" in part else part)
+        size[i] = len(folded) if said is part else len(_LETTERS.findall(said))
         outside = part if not (may_refuse or may_excuse) else re.sub(r"“[^”]*”|\"[^\"]*\"|「[^」]*」|‘[^’]*’", "", part)
         refusing.append(may_refuse and bool(_any("REFUSING").search(outside)) and not re.search(r"(?:客服|门店|店员|商家|用户|品牌)[^。]{0,8}(?:表示|说|回复|称)", part))
         # A clause of more than twice the question's length cannot be mostly the question.
@@ -120,7 +134,7 @@ def clause_features(question: str | None, answer: str, cut: bool) -> tuple[np.nd
         lang = None if size[i] < 8 else whole if one_language else language(said) or whole
         x[i] = (
             1, refusing[i], may_refuse and bool(_any("REFUSING").search(part)) and not refusing[i], may_excuse and bool(_any("COURTESY").search(outside)), bool(re.match(r"\W*(?:很?抱歉|对不起|非常遗憾|sorry|unfortunately|leider|es tut|je suis désolé|lo siento)", part, re.I)),
-            overlap >= 0.8 or holds, overlap >= 0.5, overlap, bool(wanted and lang and lang != wanted), bool(wanted and lang == wanted), i == len(parts) - 1, cut and i == len(parts) - 1, any(c.isdigit() for c in part), len(folded) < 8, i == 0, not folded, 0,
+            overlap >= 0.8 or holds, overlap >= 0.5, overlap, bool(wanted and lang and lang != wanted), bool(wanted and lang == wanted), i == len(parts) - 1, cut and i == len(parts) - 1, _DIGIT.search(part) is not None, len(folded) < 8, i == 0, not folded, 0,
         )
     at = FEATURES.index("near_refusing")
     for i in range(len(parts)):

@@ -14,7 +14,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,6 +25,8 @@ from pyspark.sql.window import Window
 HEAP, HEAP_RATIO, BELOW = 5, 4.0, 60
 #: Characters whose phrases are counted at once.
 PART_CHARS = 1_000_000
+#: Tokens remembered by a worker.
+VOCABULARY = 500_000
 #: Share of whole occurrences under which an ending counts as cut: usually, and at a limit.
 OPEN_SHARE, LIMIT_SHARE = 0.5, 0.85
 #: Occurrences elsewhere that make the words before an ending known.
@@ -53,14 +54,33 @@ def _token_id(token: str, names: bool) -> int:
     return zlib.crc32(token.encode("utf-8", "replace")) | (min(len(token), 255) << 32)
 
 
-@lru_cache(maxsize=200_000)
-def _cached_ids(token: str) -> tuple[int, int]:
-    return _token_id(token, False), _token_id(token, True)
+class _Vocabulary:
+    """Tokens met by a worker, by number, with what the counts ask of each."""
 
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.rows: list[tuple[int, int, bool, bool, bool, bool]] = []
 
-def _ids(tokens: list[str]) -> np.ndarray:
-    """A row of exact ids and one in which names are alike."""
-    return np.array([_cached_ids(t) for t in tokens], dtype=np.uint64).T
+    def add(self, token: str) -> int:
+        self.numbers[token] = n = len(self.rows)
+        self.rows.append(
+            (_token_id(token, False), _token_id(token, True), token in "。！？!?；;…\n", token == ".", token[0] in "0123456789.", token == "\n")
+        )
+        return n
+
+    def look(self, tokens: list[str]) -> tuple[np.ndarray, ...]:
+        """Exact ids, ids with names alike, and flags (end mark, dot, digit or dot, line start) of tokens."""
+        if len(self.rows) > VOCABULARY:
+            self.__init__()  # type: ignore[misc]
+        known, add = self.numbers, self.add
+        at = np.array([known[t] if t in known else add(t) for t in tokens], dtype=np.int64)
+        used, back = np.unique(at, return_inverse=True)
+        columns = list(zip(*[self.rows[i] for i in used], strict=True))
+        kinds = (np.uint64, np.uint64, bool, bool, bool, bool)
+        return tuple(np.array(c, dtype=k)[back] for c, k in zip(columns, kinds, strict=True))
+
+
+_vocabulary = _Vocabulary()
 
 
 #: Phrases that are looked up, the last known one decides: tokens, never beyond the start of a line, and whether names in it are alike.
@@ -88,9 +108,9 @@ def _grams(ids: np.ndarray, in_line: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _places(tokens: list[str]) -> np.ndarray:
-    starts = np.fromiter((t == "\n" for t in tokens), dtype=bool, count=len(tokens))
-    at = np.arange(len(tokens))
+def _places(starts: np.ndarray) -> np.ndarray:
+    """Place of each token in its line."""
+    at = np.arange(len(starts))
     return at - np.maximum.accumulate(np.where(starts, at, 0))
 
 
@@ -111,7 +131,8 @@ def _ending(text: str) -> tuple[int, ...]:
     tail = _tokens(text[-400:])
     if len(text) > 400:
         tail = tail[2:] or tail
-    return tuple(int(g[-1:].view(np.int64)[0]) for g in _grams(_ids(tail), _places(tail)))
+    exact, alike, _, _, _, starts = _vocabulary.look(tail)
+    return tuple(int(g[-1:].view(np.int64)[0]) for g in _grams(np.stack([exact, alike]), _places(starts)))
 
 
 def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[list[str]]:
@@ -130,30 +151,18 @@ def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[list[str]]:
 def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(level, gram, ends, total): occurrences of word ends, and those where a unit ends there."""
     for texts in _parts(batches):
-        ids, ends, places = [], [], []
-        for text in texts:
-            if not text or not text.strip():
-                continue
-            tokens = _tokens(text.rstrip())
-            ids.append(_ids(tokens))
-            end = np.zeros(len(tokens), dtype=bool)
-            for i in range(len(tokens) - 1):
-                following = tokens[i + 1]
-                end[i] = following in "。！？!?；;…\n" or (following == "." and (i + 2 == len(tokens) or tokens[i + 2][0] not in "0123456789.") and tokens[i][-1:] != ".")
-            end[-1] = True
-            ends.append(end)
-            places.append(_places(tokens))
-        if not ids:
-            yield pd.DataFrame({"level": pd.Series(dtype="int32"), "gram": pd.Series(dtype="int64"), "ends": pd.Series(dtype="int64"), "total": pd.Series(dtype="int64")})
+        tokens = [t for text in texts if text and text.strip() for t in _tokens(text.rstrip())]
+        if not tokens:
             continue
-        per_text = [_grams(i, p) for i, p in zip(ids, places, strict=True)]
-        whole = np.concatenate(ends)
-        for level in range(len(PHRASES)):
-            grams = np.concatenate([g[level] for g in per_text]).view(np.int64)
-            unique, inverse = np.unique(grams, return_inverse=True)
+        # A text starts with a line feed, so phrases and ends stop at its borders by themselves.
+        exact, alike, mark, dot, numeric, starts = _vocabulary.look([*tokens, "\n", "\n"])
+        whole = mark[1:-1] | (dot[1:-1] & ~numeric[2:] & ~dot[:-2])
+        grams = _grams(np.stack([exact[:-2], alike[:-2]]), _places(starts[:-2]))
+        for level, gram in enumerate(grams, 1):
+            unique, inverse = np.unique(gram.view(np.int64), return_inverse=True)
             yield pd.DataFrame(
                 {
-                    "level": np.full(len(unique), level + 1, dtype=np.int32),
+                    "level": np.full(len(unique), level, dtype=np.int32),
                     "gram": unique,
                     "ends": np.bincount(inverse, weights=whole, minlength=len(unique)).astype(np.int64),
                     "total": np.bincount(inverse, minlength=len(unique)).astype(np.int64),
