@@ -10,6 +10,7 @@ another seed.
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -49,11 +50,15 @@ def fold_table(separators: str) -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=1)
+def _expanding() -> re.Pattern:
+    """Letters that fold to several code points, such as ß."""
+    return re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if len(c.casefold()) > 1) + "]")
+
+
 def _spread(text: str) -> str:
-    """Letters that fold to several code points, as ß, are written out; others stay as they are."""
-    if text.isascii():
-        return text
-    return "".join(f if len(f := c.casefold()) > 1 else c for c in text) if any(len(c.casefold()) > 1 for c in set(text)) else text
+    """Letters that fold to several code points are written out; others stay as they are."""
+    return text if text.isascii() else _expanding().sub(lambda m: m[0].casefold(), text)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -96,7 +101,8 @@ def form_hash(texts: list[str | None], separators: str, seed: int = 0, tags: lis
         tag = np.zeros(len(starts), dtype=np.uint64) if tags is None else np.asarray(tags, dtype=np.uint64)[owner[starts]]
         word = (hashes[0] << np.uint64(32)) | hashes[1]
         whole = _mix(word + _mix(sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + tag + np.uint64(1)))
-        np.add.at(result, owner[starts], whole)
+        firsts = np.flatnonzero(np.r_[True, owner[starts][1:] != owner[starts][:-1]])
+        result[owner[starts][firsts]] = np.add.reduceat(whole, firsts)
     out = result.view(np.int64).copy()
     out[[i for i, t in enumerate(texts) if t is None]] = -1
     return out
