@@ -273,35 +273,35 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
         F.col(row_id).cast("string").alias("row_id"), F.col(text).alias("text"), *[c.alias(n) for c, n in zip(stores, names, strict=True)]
     ).where("row_id IS NOT NULL AND text IS NOT NULL")
     limits = hidden_limits(slim, names, "text")
-    measured = with_lengths(slim, "text")
-    # One row per group with its heaps: a small table whatever the number of texts.
-    heaps = limits.groupBy(*names).agg(F.collect_list(F.struct("measure", "width", "limit_length")).alias("heaps"))
-    heaps = heaps.select(*[F.col(n).alias(f"h{n}") for n in names], "heaps")
-    held = measured.join(heaps, [F.col(n).eqNullSafe(F.col(f"h{n}")) for n in names], "left")
-    names_of = F.array(*[F.lit(m) for m in MEASURES])
-    at_limit = F.coalesce(
-        F.exists("heaps", lambda h: F.get("lengths", F.array_position(names_of, h["measure"]).cast("int") - 1).between(h["limit_length"] - h["width"] + 1, h["limit_length"])), F.lit(False)
-    )
-    held = held.select("row_id", "text", at_limit.alias("at_limit"))
-
     phrases = [f"g{n}" for n in range(1, len(PHRASES) + 1)]
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows whose ending is not whole by itself, with what is to be looked up."""
         for b in batches:
-            out = []
-            for i, t, limit in zip(b["row_id"], b["text"], b["at_limit"], strict=True):
+            at, out = [], []
+            for n, t in enumerate(b["text"]):
                 state, rest = inspect(t)
                 if state == "whole":
                     continue
-                if state == "marked" and limit:
-                    state = "cut"
                 grams = _ending(rest) if state != "cut" and rest else (0,) * len(PHRASES)
                 count = len(_tokens(rest)) if len(rest) <= 80 and "\n" not in rest.strip() else LONGEST + 1
                 short = 2 if count <= TINY else 1 if count <= LONGEST else 0
-                out.append((i, bool(limit), state, short, rest[-1:].isalpha() and not re.search("[\u3040-\u9fff]", rest[-1:]), *grams))
-            yield pd.DataFrame(out, columns=["row_id", "at_limit", "state", "short", "in_word", *phrases])
+                at.append(n)
+                out.append((state, short, rest[-1:].isalpha() and not re.search("[\u3040-\u9fff]", rest[-1:]), *grams))
+            extra = pd.DataFrame(out, columns=["state", "short", "in_word", *phrases])
+            yield pd.concat([b.iloc[at].reset_index(drop=True), extra], axis=1)
 
-    judged = held.mapInPandas(judge, "row_id string, at_limit boolean, state string, short int, in_word boolean, " + ", ".join(f"{p} bigint" for p in phrases))
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema)
+    unsure = slim.mapInPandas(judge, f"{own}, state string, short int, in_word boolean, " + ", ".join(f"{p} bigint" for p in phrases))
+    # One row per group with its heaps: a small table whatever the number of texts.
+    heaps = limits.groupBy(*names).agg(F.collect_list(F.struct("measure", "width", "limit_length")).alias("heaps"))
+    heaps = heaps.select(*[F.col(n).alias(f"h{n}") for n in names], "heaps")
+    held = with_lengths(unsure, "text").drop("text").join(heaps, [F.col(n).eqNullSafe(F.col(f"h{n}")) for n in names], "left")
+    names_of = F.array(*[F.lit(m) for m in MEASURES])
+    at_limit = F.coalesce(
+        F.exists("heaps", lambda h: F.get("lengths", F.array_position(names_of, h["measure"]).cast("int") - 1).between(h["limit_length"] - h["width"] + 1, h["limit_length"])), F.lit(False)
+    )
+    judged = held.withColumn("at_limit", at_limit).withColumn("state", F.when((F.col("state") == "marked") & F.col("at_limit"), "cut").otherwise(F.col("state")))
     counts = slim.select("text").mapInPandas(_gram_counts, "level int, gram bigint, ends bigint, total bigint")
     stats = counts.groupBy("level", "gram").agg(F.sum("ends").alias("ends"), F.sum("total").alias("total"))
     # What is cut by itself looks nothing up: it gets a key of its own that no phrase has.
