@@ -219,13 +219,21 @@ def with_lengths(rows: DataFrame, text: str, name: str = "lengths") -> DataFrame
     """
     whole = F.when(F.col(text).endswith("�"), F.regexp_replace(F.col(text), "�+$", "")).otherwise(F.col(text))
     keep = rows.columns
+
+    def times(c: str):
+        return ((F.length("_t") - F.length(F.replace("_t", F.lit(c), F.lit("")))) / len(c)).cast("bigint")
+
     base = rows.withColumn("_t", whole).withColumns(
         {
             "_n": F.length("_t"),
             "_u8": F.octet_length("_t"),
             "_u16": (F.octet_length(F.encode("_t", "UTF-16LE")) / 2).cast("bigint"),
-            **{f"_{k}": F.length("_t") - F.length(F.translate("_t", c, "")) for k, c in (("amp", "&"), ("tag", "<>"), ("quote", "\"'"), ("escape", '"\\\n\r\t'), ("feed", "\n"))},
-            "_crlf": ((F.length("_t") - F.length(F.replace("_t", F.lit("\r\n"), F.lit("")))) / 2).cast("bigint"),
+            "_amp": times("&"),
+            "_tag": times("<") + times(">"),
+            "_quote": times('"') + times("'"),
+            "_escape": times('"') + times("\\") + times("\n") + times("\r") + times("\t"),
+            "_feed": times("\n"),
+            "_crlf": times("\r\n"),
             "_wide": F.length(F.regexp_replace("_t", r"[\x00-\x7f]+", "")),
         }
     )
