@@ -21,8 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from citeloom.session import cut_lineage
+
 #: A heap: this many texts within the width of a cut, and this many times what the lengths below it hold.
 HEAP, HEAP_RATIO, BELOW = 5, 4.0, 60
+#: Up to this many phrases that endings ask for are broadcast to the counts (some 20 MB); beyond, all phrases are counted.
+BROADCAST_PHRASES = 300_000
 #: Characters whose phrases are counted at once.
 PART_CHARS = 1_000_000
 #: Tokens remembered by a worker.
@@ -310,13 +314,17 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
         F.exists("heaps", lambda h: F.get("lengths", F.array_position(names_of, h["measure"]).cast("int") - 1).between(h["limit_length"] - h["width"] + 1, h["limit_length"])), F.lit(False)
     )
     judged = held.withColumn("at_limit", at_limit).withColumn("state", F.when((F.col("state") == "marked") & F.col("at_limit"), "cut").otherwise(F.col("state")))
-    counts = slim.select("text").mapInPandas(_gram_counts, "level int, gram bigint, ends bigint, total bigint")
-    stats = counts.groupBy("level", "gram").agg(F.sum("ends").alias("ends"), F.sum("total").alias("total"))
+    judged = cut_lineage(judged.select("row_id", "at_limit", "state", "short", "in_word", *phrases))
     # What is cut by itself looks nothing up: it gets a key of its own that no phrase has.
     cut = F.col("state") == "cut"
     lookups = F.when(cut, F.array(F.struct(F.lit(0).alias("level"), F.xxhash64("row_id").alias("gram")))).otherwise(
         F.array(*[F.struct(F.lit(n).alias("level"), F.col(p).alias("gram")) for n, p in enumerate(phrases, 1)])
     )
+    looked_up = judged.where(~cut).select(F.inline(lookups)).distinct()
+    counts = slim.select("text").mapInPandas(_gram_counts, "level int, gram bigint, ends bigint, total bigint")
+    few = looked_up.limit(BROADCAST_PHRASES + 1).count() <= BROADCAST_PHRASES
+    counts = counts.join(F.broadcast(looked_up), ["level", "gram"], "left_semi") if few else counts
+    stats = counts.groupBy("level", "gram").agg(F.sum("ends").alias("ends"), F.sum("total").alias("total"))
     wanted = judged.select("row_id", "at_limit", "state", "short", "in_word", F.inline(lookups))
     known = wanted.join(stats, ["level", "gram"], "left")
     seen = known.groupBy("row_id", "at_limit", "state", "short", "in_word").agg(
