@@ -23,7 +23,9 @@ def geo(spark, rows):
     return spark.createDataFrame([(i, t, s, "x", "y", "z") for i, t, s in rows], GEO)
 
 
-def test_cut_texts_are_found_whole_ones_left(spark):
+@pytest.mark.parametrize("limit", [0, 300_000])
+def test_cut_texts_are_found_whole_ones_left(spark, monkeypatch, limit):
+    monkeypatch.setattr(truncation, "BROADCAST_PHRASES", limit)
     rng = random.Random(4)
     whole = corpus()
     rows = [(f"w{i}", t, "a") for i, t in enumerate(whole)]
