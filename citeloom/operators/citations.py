@@ -52,40 +52,63 @@ def scoped(rows: DataFrame) -> DataFrame:
 BLOCK = 65_536
 
 
-def _seen_order(rows: DataFrame, batch: Sequence[str]) -> DataFrame:
-    """1-based place of each row in its scope.
+def _seen_orders(deduped: DataFrame, batch: Sequence[str]) -> DataFrame:
+    """``deduped`` with its 1-based place in its mode (``seen_mode``) and in all rows (``seen_all``).
 
-    Counted without sorting a scope in one task: rows are numbered in their answer, answers by sums
-    within blocks of ``item_pos``, and blocks by the sums of the blocks before them.
+    ``item_pos`` stands for one answer. Rows are numbered in their answer, answers by sums within
+    blocks of ``item_pos``, and blocks by the sums of the blocks before them, so no task sorts a
+    whole scope.
     """
-    keys = [*batch, "scope"]
-    counts = rows.groupBy(*keys, "item_pos").agg(F.count(F.lit(1)).alias("_n")).withColumn("_block", F.floor(F.col("item_pos") / BLOCK))
-    before = lambda order, *by: Window.partitionBy(*keys, *by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = counts.groupBy(*keys, "_block").agg(F.sum("_n").alias("_b")).withColumn("_blocks", F.coalesce(F.sum("_b").over(before("_block")), F.lit(0))).drop("_b")
-    inner = counts.withColumn("_answers", F.coalesce(F.sum("_n").over(before("item_pos", "_block")), F.lit(0)))
-    offsets = inner.join(blocks, [*keys, "_block"]).select(*keys, "item_pos", (F.col("_blocks") + F.col("_answers")).alias("_before"))
-    inside = Window.partitionBy(*keys, "item_pos").orderBy("source_pos", "source_key")
-    placed = rows.withColumn("_in", F.row_number().over(inside)).join(offsets, [*keys, "item_pos"])
-    return placed.withColumn("seen", F.col("_before") + F.col("_in")).drop("_before", "_in")
+    answer = [*batch, "item_pos"]
+    placed = deduped.withColumn("_in", F.row_number().over(Window.partitionBy(*answer).orderBy("source_pos", "source_key")))
+    answers = deduped.groupBy(*answer, "mode").agg(F.count(F.lit(1)).alias("_n")).withColumn("_block", F.floor(F.col("item_pos") / BLOCK))
+
+    def before(name: str, keys: list[str]) -> DataFrame:
+        upto = lambda order, *by: Window.partitionBy(*keys, *by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        blocks = answers.groupBy(*keys, "_block").agg(F.sum("_n").alias("_b")).withColumn("_blocks", F.coalesce(F.sum("_b").over(upto("_block")), F.lit(0))).drop("_b")
+        inner = answers.withColumn("_answers", F.coalesce(F.sum("_n").over(upto("item_pos", "_block")), F.lit(0)))
+        matched = [inner[k].eqNullSafe(blocks[k]) for k in [*keys, "_block"]]
+        return inner.join(blocks, matched).select(*[inner[k] for k in answer], (F.col("_blocks") + F.col("_answers")).alias(name))
+
+    placed = placed.join(before("_mode", [*batch, "mode"]), answer).join(before("_all", list(batch)), answer)
+    return placed.withColumns({"seen_mode": F.col("_mode") + F.col("_in"), "seen_all": F.col("_all") + F.col("_in")}).drop("_in", "_mode", "_all")
 
 
 def source_ranks(deduped: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
     """One row per (scope, source_key): counts, mean rank, first-seen order, share, and the first row's names.
 
-    ``deduped`` comes from ``dedup``. A question cited in both modes counts once under all.
+    ``deduped`` comes from ``dedup``. A question cited in both modes counts once under all. Keys are
+    grouped by question first, so that a hot key is spread; all scopes come of the same rows.
     """
-    keys = [*batch, "scope"]
-    rows = _seen_order(scoped(deduped), batch)
-    ranks = rows.groupBy(*keys, "source_key").agg(
-        F.min_by(F.struct("domain", "title", "url"), "seen").alias("first"),
-        F.count(F.lit(1)).alias("occurrence_count"),
-        F.count_distinct("question_id").alias("question_count"),
-        (F.sum("rank") / F.count("rank")).alias("average_order"),
-        F.min("seen").alias("first_seen_order"),
+    rows = _seen_orders(deduped, batch)
+    inside = {s: F.lit(True) if s == "all" else F.col("mode") == s for s in C.SCOPES}
+    seen = {s: F.col("seen_all" if s == "all" else "seen_mode") for s in C.SCOPES}
+    by_question = rows.groupBy(*batch, "source_key", "question_id").agg(
+        *[F.count_if(c).alias(f"n_{s}") for s, c in inside.items()],
+        *[F.sum(F.when(c, F.col("rank"))).alias(f"rank_{s}") for s, c in inside.items()],
+        *[F.count(F.when(c, F.col("rank"))).alias(f"ranked_{s}") for s, c in inside.items()],
+        *[F.min(F.when(c, F.struct(seen[s].alias("seen"), "domain", "title", "url"))).alias(f"first_{s}") for s, c in inside.items()],
     )
-    totals = ranks.groupBy(*keys).agg(F.sum("occurrence_count").alias("_total"))
+    total = lambda c: F.sum(c).alias(c)
+    by_key = by_question.groupBy(*batch, "source_key").agg(
+        *[total(f"{c}_{s}") for s in C.SCOPES for c in ("n", "rank", "ranked")],
+        *[F.count_if((F.col(f"n_{s}") > 0) & F.col("question_id").isNotNull()).alias(f"q_{s}") for s in C.SCOPES],
+        *[F.min(f"first_{s}").alias(f"first_{s}") for s in C.SCOPES],
+    )
+    per_scope = F.array(
+        *[
+            F.struct(
+                F.lit(s).alias("scope"), F.col(f"first_{s}").alias("first"), F.col(f"n_{s}").alias("occurrence_count"), F.col(f"q_{s}").alias("question_count"),
+                F.try_divide(F.col(f"rank_{s}"), F.col(f"ranked_{s}")).alias("average_order"),
+            )
+            for s in C.SCOPES
+        ]
+    )
+    ranks = by_key.select(*batch, "source_key", F.inline(per_scope)).where("occurrence_count > 0")
+    keys = [*batch, "scope"]
+    totals = scoped(deduped.select(*batch, "mode")).groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
     return ranks.join(totals, keys).select(
-        *keys, "source_key", "first.*", "occurrence_count", "question_count", "average_order", "first_seen_order", (F.col("occurrence_count") / F.col("_total")).alias("share")
+        *keys, "source_key", "first.domain", "first.title", "first.url", "occurrence_count", "question_count", "average_order", F.col("first.seen").alias("first_seen_order"), (F.col("occurrence_count") / F.col("_total")).alias("share")
     )
 
 

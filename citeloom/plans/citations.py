@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from citeloom.functions import text, urls
@@ -26,6 +27,11 @@ def deduped(spark, d):
     return op.dedup(landed(spark, d), WAVE)
 
 
+def kept(spark, d):
+    """``deduped``, kept on the executors: ranks read it for rows and for the places of answers."""
+    return deduped(spark, d).persist(StorageLevel.DISK_ONLY)
+
+
 LANDED = """
 WITH landed AS (SELECT occurrence_id, wave_id, question_id, mode, source_key, domain, title, url, "rank", item_pos, source_pos FROM source_occurrences
   QUALIFY row_number() OVER (PARTITION BY occurrence_id ORDER BY landed_at DESC, wave_id DESC, question_id DESC, mode DESC, source_key DESC, domain DESC NULLS LAST, title DESC NULLS LAST, url DESC, "rank" DESC) = 1),
@@ -54,12 +60,12 @@ _RANK_COLUMNS = "wave_id, scope, source_key, f.domain AS domain, f.title AS titl
 
 @registry.add("cite_rank_all", LANDED + f"SELECT {_RANK_COLUMNS} FROM ranks")
 def cite_rank_all(spark, d):
-    return op.source_ranks(deduped(spark, d), WAVE)
+    return op.source_ranks(kept(spark, d), WAVE)
 
 
 @registry.add("cite_top10_by_scope", LANDED + f"SELECT {_RANK_COLUMNS}, place::INTEGER AS place FROM placed WHERE place <= 10")
 def cite_top10_by_scope(spark, d):
-    return op.top(op.source_ranks(deduped(spark, d), WAVE), op.source_order(), WAVE)
+    return op.top(op.source_ranks(kept(spark, d), WAVE), op.source_order(), WAVE)
 
 
 @registry.add(
@@ -69,7 +75,7 @@ def cite_top10_by_scope(spark, d):
   (sum(occurrence_count) FILTER (place <= 10))::DOUBLE / sum(occurrence_count)::DOUBLE AS top_share, (sum(occurrence_count) FILTER (place > 10))::BIGINT AS outside_top FROM placed GROUP BY wave_id, scope""",
 )
 def cite_concentration(spark, d):
-    return op.concentration(op.source_ranks(deduped(spark, d), WAVE), op.source_order(), WAVE)
+    return op.concentration(op.source_ranks(kept(spark, d), WAVE), op.source_order(), WAVE)
 
 
 _HOST_COLUMNS = "wave_id, scope, host, occurrence_count::BIGINT AS occurrence_count, question_count::BIGINT AS question_count, share"
@@ -217,6 +223,6 @@ SELECT scope, s.n::BIGINT AS total_occurrences, s.k::BIGINT AS unique_sources, s
 )
 def metrics_sources(spark, d):
     """The source metrics of the first wave."""
-    one = deduped(spark, d).where("wave_id = 'w0000'")
+    one = kept(spark, d).where("wave_id = 'w0000'")
     sources = op.concentration(op.source_ranks(one, WAVE), op.source_order(), WAVE).drop("wave_id")
     return metrics.source_metrics(sources, _host_concentration(one).drop("wave_id"))
