@@ -11,12 +11,26 @@ from citeloom.sources.tables import table
 registry = Registry()
 
 
-@registry.add("p2_found")
+def _form(column: str) -> str:
+    return rf"lower(regexp_replace({column}, '[\p{{P}}\p{{Z}}\p{{C}}$+<=>^`|~]', '', 'g'))"
+
+
+def _parts(column: str, separators: str) -> str:
+    return f"list_sort(list_filter(list_transform(regexp_split_to_array({column}, '[{separators}]'), lambda x: {_form('x')}), lambda x: x <> ''))"
+
+
+_FORMS = rf"""WITH form AS (SELECT source_row_id AS i, {_parts("title", "|｜")} AS t, {_form("regexp_extract(url, '^[^?#]*')")} AS p, {_parts(r"regexp_extract(url, '^[^?#]*[?]([^#]*)', 1)", "&;")} AS q,
+  {_form("regexp_extract(url, '#(.*)$', 1)")} AS f FROM qwen_sources WHERE source_row_id IS NOT NULL),
+grp AS (SELECT t, p, q, f, min(i) AS first_row_id, count(*)::BIGINT AS row_count FROM form GROUP BY t, p, q, f)
+"""
+
+
+@registry.add("p2_found", _FORMS + "SELECT DISTINCT first_row_id, i AS copy_row_id FROM form JOIN grp USING (t, p, q, f) WHERE i <> first_row_id")
 def p2_found(spark, d):
     return copies.form_copies(table(spark, d, "qwen_sources"))
 
 
-@registry.add("p2_records")
+@registry.add("p2_records", _FORMS + "SELECT first_row_id, s.title, s.url, row_count FROM grp JOIN qwen_sources s ON s.source_row_id = first_row_id")
 def p2_records(spark, d):
     return copies.form_groups(table(spark, d, "qwen_sources"))
 

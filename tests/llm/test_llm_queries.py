@@ -19,7 +19,8 @@ def test_query(spark, name):
     rows = sorted(tuple(map(str, r)) for r in df.select(*sorted(df.columns)).collect())
     if name in registry.sql:
         con = duckdb.connect()
-        con.execute(f"CREATE VIEW source_rank_items AS SELECT * FROM '{DATA}/source_rank_items.parquet'")
+        for table in ("source_rank_items", "qwen_sources"):
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
         other = con.sql(registry.sql[name])
         at = sorted(range(len(other.columns)), key=lambda i: other.columns[i])
         assert rows == sorted(tuple(str(r[i]) for i in at) for r in other.fetchall())
