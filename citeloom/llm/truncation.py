@@ -37,6 +37,7 @@ OPEN_SHARE, LIMIT_SHARE = 0.5, 0.85
 KNOWN = 2
 
 # Marks.
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029\u3000"
 CLOSING = "。．！？!?；;。〞｡"
 QUOTES = "”’」』\"'»）)】]》*_"
 CUT_MARKS = re.compile(r"(?:…|\.\.\.|\[\.\.\.\]|（未完）|\[truncated\]|\(truncated\)|（截断）|……?（?展开全文）?|>>|查看更多|read more)\s*$", re.I)
@@ -275,9 +276,10 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
 
     ``groups`` are the columns that tell stores apart for the hidden limits. Null, empty and blank
     texts are no cases; neither are texts that end with a closing mark, a sign-off, a whole list
-    item or table row. Rows with a null id are left out; repeated rows of an id count as one. An
-    empty table gives no rows; a corpus too small to know an ending leaves it whole unless the
-    ending is broken by itself or stands at a limit.
+    item or table row. Rows with a null id are left out; repeated rows of an id count as one, and
+    rows of one text, whatever their ids, are one text to the phrase counts, so copies don't vouch
+    for one another. An empty table gives no rows; a corpus too small to know an ending leaves it
+    whole unless the ending is broken by itself or stands at a limit.
     """
     stores = [F.col(g) for g in groups] or [F.lit(0)]  # without groups all texts are of one store
     names = [f"_g{i}" for i in range(len(stores))]
@@ -321,7 +323,9 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
         F.array(*[F.struct(F.lit(n).alias("level"), F.col(p).alias("gram")) for n, p in enumerate(phrases, 1)])
     )
     looked_up = judged.where(~cut).select(F.inline(lookups)).distinct()
-    counts = slim.select("text").mapInPandas(_gram_counts, "level int, gram bigint, ends bigint, total bigint")
+    # Each text once: the end of a copy says nothing about its own ending.
+    texts = slim.select(F.rtrim("text", F.lit(BLANKS)).alias("text")).distinct()
+    counts = texts.mapInPandas(_gram_counts, "level int, gram bigint, ends bigint, total bigint")
     few = looked_up.limit(BROADCAST_PHRASES + 1).count() <= BROADCAST_PHRASES
     counts = counts.join(F.broadcast(looked_up), ["level", "gram"], "left_semi") if few else counts
     stats = counts.groupBy("level", "gram").agg(F.sum("ends").alias("ends"), F.sum("total").alias("total"))
@@ -332,7 +336,7 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
     )
 
     def share(level: int):
-        """Whole share of the other occurrences; the text's own ending does not count."""
+        """Whole share of the other occurrences; the text's own ending, counted once for all its copies, does not count."""
         others = F.col(f"total{level}") - 1
         return F.when(others >= KNOWN, (F.col(f"ends{level}") - 1) / others)
 

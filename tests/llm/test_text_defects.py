@@ -44,6 +44,13 @@ def test_cut_texts_are_found_whole_ones_left(spark, monkeypatch, limit):
     assert len(got & set(cut)) >= 0.95 * len(cut)
 
 
+def test_copies_do_not_clear_one_another(spark):
+    whole = [(f"w{i}", t, "a") for i, t in enumerate(corpus())]
+    copies = [("one", "请大家都记得把这盒新茶要放在", "a")] * 4 + [(f"k{i}", "问过店员以后才知道，也有人" + " " * (i % 3), "a") for i in range(200)]
+    got = {r.row_id for r in truncation.find_truncated(geo(spark, whole + copies), "answer_id", "text", ["store"]).collect()}
+    assert got == {"one", *(f"k{i}" for i in range(200))}
+
+
 def test_hidden_limits_under_several_encodings(spark):
     rng = random.Random(6)
     long = ["".join(rng.choice(SENTENCES[:2]).format(rng.randint(10, 99)) for _ in range(rng.randint(2, 9))) for _ in range(300)]
