@@ -137,9 +137,9 @@ def p1_limits(spark, d):
 
 @registry.add("p4_found")
 def p4_found(spark, d):
-    return pairs.pair_defects(table(spark, d, "qwen_answers")).select(F.col("row_id").alias("turn_id"), "defect_type")
+    return pairs.pair_defects(table(spark, d, "qwen_answers"), groups=("mode",)).select(F.col("row_id").alias("turn_id"), "defect_type")
 
 
 @registry.add("p4_defect_counts")
 def p4_defect_counts(spark, d):
-    return pairs.pair_defects(table(spark, d, "qwen_answers")).groupBy("defect_type").agg(F.count(F.lit(1)).alias("turns"))
+    return pairs.pair_defects(table(spark, d, "qwen_answers"), groups=("mode",)).groupBy("defect_type").agg(F.count(F.lit(1)).alias("turns"))

@@ -2,7 +2,8 @@
 
 Hidden limits: the length of every text is recomputed under several encodings (characters, UTF-16
 units, UTF-8 and GBK bytes, HTML-escaped, JSON-escaped, with CRLF line ends) and counted per group
-of rows that share a store; a limit shows as a heap of texts at the greatest length of a group.
+of rows that share a store; a limit shows as a heap of texts at the greatest length of a group, or
+as a heap of texts without a closing mark at any other, since some rows may have passed it by.
 
 Endings: some endings are whole (a closing mark) or broken (half an entity, an open bracket, a
 table row without its cells) by themselves. The others are judged by the corpus: the last words
@@ -13,18 +14,20 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from citeloom.session import cut_lineage
 
 #: A heap: this many texts within the width of a cut, and this many times what the lengths below it hold.
 HEAP, HEAP_RATIO, BELOW = 5, 4.0, 60
+#: Below the greatest length there are many lengths to look at: a heap there is this many standard deviations above its surroundings.
+DEVIATIONS = 5.0
 #: Up to this many phrases that endings ask for are broadcast to the counts (some 20 MB); beyond, all phrases are counted.
 BROADCAST_PHRASES = 300_000
 #: Characters whose phrases are counted at once.
@@ -253,22 +256,44 @@ def with_lengths(rows: DataFrame, text: str, name: str = "lengths") -> DataFrame
 
 
 def hidden_limits(rows: DataFrame, groups: Sequence[str], text: str = "text") -> DataFrame:
-    """(groups, measure, limit_length, width, texts): heaps of texts at a group's greatest length."""
-    sized = with_lengths(rows.where(F.length(text) > 20).select(*groups, F.col(text).alias("_text")), "_text").select(*groups, F.posexplode("lengths").alias("at", "length"))
+    """(groups, measure, limit_length, width, texts): heaps of texts at any length of a group.
+
+    At the greatest length all texts count; below it only those without a closing mark, since texts
+    that a limit cut stop anywhere, and they must stand out from both sides. Copies of a text count once.
+    """
+    ended = F.rtrim(F.col(text), F.lit(BLANKS)).rlike(f"[{re.escape(CLOSING)}.…][{re.escape(QUOTES)}]*$")
+    rows = rows.where(F.length(text) > 20).select(*groups, F.col(text).alias("_text"), (~ended).cast("int").alias("_open"), F.xxhash64(text).alias("_same"))
+    sized = with_lengths(rows, "_text").select(*groups, "_same", "_open", "lengths").distinct().select(*groups, "_open", F.posexplode("lengths").alias("at", "length"))
     names, widths = F.array(*[F.lit(m) for m in MEASURES]), F.array(*[F.lit(w) for w in MEASURES.values()])
-    counted = sized.groupBy(*groups, "at", "length").agg(F.count(F.lit(1)).alias("n"))
-    lengths = counted.select(*groups, F.get(names, F.col("at")).alias("measure"), F.get(widths, F.col("at")).alias("width"), "length", "n")
+    counted = sized.groupBy(*groups, "at", "length").agg(F.count(F.lit(1)).alias("n"), F.sum("_open").alias("open"))
+    lengths = counted.select(*groups, F.get(names, F.col("at")).alias("measure"), F.get(widths, F.col("at")).alias("width"), "length", "n", "open")
     # A histogram: one row per group, measure and length, whatever the number of texts.
-    near = (
-        lengths.withColumn("limit_length", F.max("length").over(Window.partitionBy(*groups, "measure")))
-        .where(F.col("length") > F.col("limit_length") - BELOW)
-        .withColumn("top", F.col("limit_length") - F.col("length") < F.col("width"))
-    )
-    heap = near.groupBy(*groups, "measure", "width", "limit_length").agg(
-        F.sum(F.when(F.col("top"), F.col("n")).otherwise(0)).alias("texts"), F.sum(F.when(F.col("top"), 0).otherwise(F.col("n"))).alias("below")
+    one = Window.partitionBy(*groups, "measure")
+
+    def around(first: int, last: int) -> WindowSpec:
+        return one.orderBy("length").rangeBetween(first, last)
+
+    def by_width(of: Callable[[int], Column]) -> Column:
+        return F.coalesce(*[F.when(F.col("width") == w, of(w)) for w in sorted(set(MEASURES.values()))])
+
+    near = lengths.withColumns(
+        {
+            "greatest": F.col("length") == F.max("length").over(one),
+            "texts": by_width(lambda w: F.sum("n").over(around(1 - w, 0))),
+            "open_texts": by_width(lambda w: F.sum("open").over(around(1 - w, 0))),
+            "to_here": F.sum("n").over(around(1 - BELOW, 0)),
+            "open_to_here": F.sum("open").over(around(1 - BELOW, 0)),
+            "open_above": F.coalesce(F.sum("open").over(around(1, BELOW)), F.lit(0)),
+        }
     )
-    usual = F.col("below") / (BELOW - F.col("width")) * F.col("width")
-    return heap.where((F.col("texts") >= HEAP) & (F.col("texts") >= HEAP_RATIO * (usual + 0.5))).drop("below")
+    usual = (F.col("to_here") - F.col("texts")) / (BELOW - F.col("width")) * F.col("width")
+    usual_open = F.greatest((F.col("open_to_here") - F.col("open_texts")) / (BELOW - F.col("width")), F.col("open_above") / BELOW) * F.col("width")
+    at_top = F.col("greatest") & (F.col("texts") >= HEAP) & (F.col("texts") >= HEAP_RATIO * (usual + 0.5))
+    inside = (F.col("open_texts") >= HEAP) & (F.col("open_texts") >= HEAP_RATIO * (usual_open + 0.5)) & (F.col("open_texts") >= usual_open + DEVIATIONS * F.sqrt(usual_open + 1))
+    # Of the lengths that share a heap, the one that holds most of it.
+    heap = near.where(at_top | inside).withColumn("rank", F.struct("texts", -F.col("length")))
+    heap = heap.withColumn("best", by_width(lambda w: F.max("rank").over(around(1 - w, w - 1)))).where(F.col("rank") == F.col("best"))
+    return heap.select(*groups, "measure", "width", F.col("length").alias("limit_length"), "texts")
 
 
 def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str] = ()) -> DataFrame:

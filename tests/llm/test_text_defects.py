@@ -62,6 +62,18 @@ def test_hidden_limits_under_several_encodings(spark):
     assert len(want & set(got)) >= 0.98 * len(want) and len(set(got) - want) <= 0.02 * len(want) and any(got.values())
 
 
+def test_a_limit_below_the_greatest_length(spark):
+    rng = random.Random(7)
+    long = ["".join(rng.choice(SENTENCES[:2]).format(rng.randint(10, 99)) for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    rows = [(f"c{i}", t[:90], "a") for i, t in enumerate(long)] + [("uncut", "茶" * 400 + "。", "a")]
+    rows += [(f"k{i}", "一" * 40 + "不", "copies") for i in range(50)] + [("l", "茶" * 400 + "。", "copies")] + [(f"f{i}", t, "free") for i, t in enumerate(long)]
+    found = {(r.store, r.limit_length) for r in truncation.hidden_limits(geo(spark, rows), ["store"], "text").where("measure = 'characters'").collect()}
+    assert found == {("a", 90)}
+    marked = [("m", long[0][:87].rstrip("。") .ljust(87, "茶") + "...", "a")]
+    got = {r.row_id: r.at_limit for r in truncation.find_truncated(geo(spark, rows + marked), "answer_id", "text", ["store"]).collect()}
+    assert got["m"] and all(v for k, v in got.items() if k[0] == "c")
+
+
 def test_cut_shares_and_empty_tables(spark):
     df = geo(spark, [("a", "茶&nbs", "s"), ("a", "茶&nbs", "s"), ("b", "茶。", "s"), ("c", None, None)])
     found = truncation.find_truncated(df, "answer_id", "text", ["store"])
