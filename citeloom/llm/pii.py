@@ -102,12 +102,16 @@ def _patterns() -> list[tuple[str, re.Pattern]]:
     return [(kind, re.compile(p, re.M)) for kind, p in out]
 
 
-_NUMBER = re.compile(r"\d(?:[ .()/+-]{0,3}\d){5}")
+#: Six digits; a labelled number's 9 digits within 20 characters leave up to 11 between two of them.
+_NUMBER = re.compile(r"\d(?:[ .()/+-]{0,11}\d){5}")
+_ZH_NUMBER = re.compile(r"[一二三四五六七八九十百\d]号")
+#: What lower() leaves apart and a pattern without case takes for one.
+_CASES = {0x17F: "s", 0x131: "i", 0x307: None, 0xA0: " "}
 _STREETS = {
-    "zh": ("号",), "ja": ("丁目",), "en": tuple(f" {w}" for w in STREET_EN.split("|")), "de": ("straße", "strasse", "tr.", "weg", "latz", "gasse", "llee", "ring", "damm", "ufer", "steig", "pfad", "Am ", "An der", "Auf dem", "Im ", "Zum ", "Zur ", "Straße"),
+    "ja": ("丁目",), "en": tuple(f" {w}" for w in STREET_EN.split("|")), "de": ("straße", "strasse", "tr.", "weg", "Weg", "latz", "gasse", "llee", "ring", "damm", "ufer", "steig", "pfad", "Am ", "An der", "Auf dem", "Im ", "Zum ", "Zur ", "Straße"),
     "fr": tuple(w.replace("\\", "") for w in STREET_FR.split("|")), "es": tuple(w.replace("\\", "") for w in STREET_ES.split("|")),
 }
-_HAN_LEADS = ("我叫", "我是", "本人", "姓名", "联系人", "人：", "人:", "人是", "人为", "顾客", "客户", "用户", "尊敬的", "签名")
+_HAN_LEADS = ("我叫", "我是", "本人", "姓名", "联系人", "收件人", "收货人", "寄件人", "抄送人", "顾客", "客户", "用户", "尊敬的", "签名")
 
 
 def _holds(text: str, words: tuple[str, ...]) -> bool:
@@ -116,7 +120,7 @@ def _holds(text: str, words: tuple[str, ...]) -> bool:
 
 def _screened(text: str) -> list[tuple[str, re.Pattern]]:
     """The patterns that can find anything in a text, by strings and one scan that each of them needs."""
-    lower = text.lower()
+    lower = text.lower() if text.isascii() else text.lower().translate(_CASES)
     number = _NUMBER.search(text) is not None
     digit = number or re.search(r"\d", text) is not None
     found = []
@@ -125,6 +129,8 @@ def _screened(text: str) -> list[tuple[str, re.Pattern]]:
             ok = "@" in text
         elif need == "number":
             ok = number
+        elif need == "zh":
+            ok = "号" in text and _ZH_NUMBER.search(text) is not None
         elif need in _STREETS:
             ok = digit and _holds(lower if need == "fr" else text, _STREETS[need])
         elif need == "han":
