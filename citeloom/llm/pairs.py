@@ -49,7 +49,7 @@ WANTED = {
 #: Strings of which a text holds one wherever the patterns of refusals and courtesies find something.
 HINTS = {
     "REFUSING": (
-        "没有办法", "无法", "不能", "不便", "不方便", "不会", "拒绝", "问题我不", "帮不上", "没学会", "超出", "范围", "不予", "恕", "i c", "i w", "i a", "i h", "i m", "i d", "we ", "decline", "keep me", "outside of", "not able", "not allowed", "not permitted", "ich", "je ", "m'est", "m’est", "sort de", "puedo", "queda fuera", "abstenerme", "posible", "お答え", "回答", "コメント",
+        "没有办法", "无法", "不能", "不便", "不方便", "不会", "拒绝", "问题我不", "帮不上", "没学会", "超出", "范围", "不予", "恕", "i c", "i w", "i a", "i h", "i m", "i d", "we ", "decline", "keep me", "outside of", "not able", "not allowed", "not permitted", "ich", "je ", "m'est", "m’est", "sort de", "auskunft", "puedo", "queda fuera", "abstenerme", "posible", "お答え", "回答", "コメント",
     ),
     "COURTESY": (
         "抱歉", "对不起", "遗憾", "感谢", "谅", "换个", "聊点", "其他", "别的", "专业人士", "不准确", "倾向", "如果愿意", "官方渠道", "直接咨询", "一般常识", "sorry", "unfortunately", "apologies", "thank you", "as an assistant", "another question", "anything else", "a professional", "shopping tips", "one-sided", "better contact", "leider", "tut mir", "frage", "einkaufstipps", "désolé",
@@ -62,6 +62,10 @@ SOURCES = r"请结合公开资料说明，?并列出来源|请查阅公开网页
 _MARKUP = re.compile(r"<[^<>]{1,60}>|&(?:[A-Za-z]{2,8}|#x?[0-9A-Fa-f]{1,6});|[​-‏⁠-⁤﻿]")
 _DIGIT = re.compile(r"\d")
 _LETTERS = re.compile(r"[^\W_]", re.U)
+#: What a text in Chinese holds wherever ``language`` calls it another: two words in Latin letters, or kana.
+_NOT_CHINESE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿß]+[^A-Za-zÀ-ÖØ-öø-ÿß]+[A-Za-zÀ-ÖØ-öø-ÿß]|[぀-ヿ]")
+#: What lower() leaves apart and a pattern without case takes for one.
+_CASES = {0x17F: "s", 0x131: "i", 0x307: None}
 _CLAUSE = re.compile(r"[^。！？!?\n；;.]*(?:\.(?!\s|$)[^。！？!?\n；;.]*)*(?:[。！？!?\n；;.]+[”\"’'）)」』]*|$)")
 _INTRO = re.compile(r"^[^：:\n。！？]{1,14}[：:](?=\s*\S)")
 
@@ -117,9 +121,9 @@ def clause_features(question: str | None, answer: str, cut: bool) -> tuple[np.nd
     size = np.zeros(len(parts))
     whole = language(prose(answer))
     # What the whole answer does not hold, no clause holds.
-    lower = answer.lower()
+    lower = answer.lower() if answer.isascii() else answer.lower().translate(_CASES)
     may_refuse, may_excuse = (any(h in lower for h in HINTS[n]) and _any(n).search(answer) is not None for n in ("REFUSING", "COURTESY"))
-    one_language = whole is not None and whole == wanted
+    chinese = whole == "zh"
     refusing = []
     for i, part in enumerate(parts):
         folded = _fold(part)
@@ -131,7 +135,7 @@ def clause_features(question: str | None, answer: str, cut: bool) -> tuple[np.nd
         own = _grams(folded) if asked and 4 <= len(folded) <= 2 * len(asked) + 4 else set()
         overlap = len(own & asked_grams) / len(own) if own else 0.0
         holds = bool(asked_less) and len(asked_less) >= 6 and asked_less in folded
-        lang = None if size[i] < 8 else whole if one_language else language(said) or whole
+        lang = None if size[i] < 8 else whole if chinese and not _NOT_CHINESE.search(said) else language(said) or whole
         x[i] = (
             1, refusing[i], may_refuse and bool(_any("REFUSING").search(part)) and not refusing[i], may_excuse and bool(_any("COURTESY").search(outside)), bool(re.match(r"\W*(?:很?抱歉|对不起|非常遗憾|sorry|unfortunately|leider|es tut|je suis désolé|lo siento)", part, re.I)),
             overlap >= 0.8 or holds, overlap >= 0.5, overlap, bool(wanted and lang and lang != wanted), bool(wanted and lang == wanted), i == len(parts) - 1, cut and i == len(parts) - 1, _DIGIT.search(part) is not None, len(folded) < 8, i == 0, not folded, 0,
