@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,8 @@ def target_metrics(mention: DataFrame, sentiment: DataFrame) -> DataFrame:
     )
 
 
-def source_metrics(sources: DataFrame, hosts: DataFrame) -> DataFrame:
-    """(scope, total_occurrences, unique_sources, source_top_share, unique_hosts, host_top_share) from two concentrations."""
-    left = sources.select("scope", "total_occurrences", F.col("unique_keys").alias("unique_sources"), F.col("top_share").alias("source_top_share"))
-    right = hosts.select("scope", F.col("unique_keys").alias("unique_hosts"), F.col("top_share").alias("host_top_share"))
-    return left.join(right, "scope")
+def source_metrics(sources: DataFrame, hosts: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
+    """(batch, scope, total_occurrences, unique_sources, source_top_share, unique_hosts, host_top_share) from two concentrations; ``batch`` are the columns that tell batches apart."""
+    left = sources.select(*batch, "scope", "total_occurrences", F.col("unique_keys").alias("unique_sources"), F.col("top_share").alias("source_top_share"))
+    right = hosts.select(*batch, "scope", F.col("unique_keys").alias("unique_hosts"), F.col("top_share").alias("host_top_share"))
+    return left.join(right, [*batch, "scope"])

@@ -125,9 +125,20 @@ _NORMAL = _ITEMS + rf""", normal AS (SELECT turn_id, trim(regexp_replace(lower(r
 
 @registry.add("rule_evidence", _NORMAL + "SELECT turn_id, rule, term, start, evidence FROM (" + _rule_sql() + ")")
 def rule_evidence(spark, d):
-    valid = items(spark, d).where("mode = 'quick'").where(text.is_valid_answer(F.col("status"), F.col("answer")))
-    normal = valid.select("turn_id", text.normalize(F.col("answer")).alias("t"))
-    return normal.select("turn_id", F.inline(text.rule_hits(F.col("t"), RULES, MARKERS)))
+    """The evidence in quick answers, as its SQL has it; ``rule_evidence_all`` has that of every mode."""
+    return _evidence(items(spark, d).where("mode = 'quick'")).drop("mode")
+
+
+def _evidence(rows):
+    valid = rows.where(text.is_valid_answer(F.col("status"), F.col("answer")))
+    normal = valid.select("turn_id", "mode", text.normalize(F.col("answer")).alias("t"))
+    return normal.select("turn_id", "mode", F.inline(text.rule_hits(F.col("t"), RULES, MARKERS)))
+
+
+@registry.add("rule_evidence_all")
+def rule_evidence_all(spark, d):
+    """The evidence of the priority rules in the answers of all modes."""
+    return _evidence(items(spark, d))
 
 
 def _classifier():

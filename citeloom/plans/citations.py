@@ -222,7 +222,16 @@ h AS (SELECT scope, count(*) AS k, sum(occurrence_count) FILTER (place <= 10) AS
 SELECT scope, s.n::BIGINT AS total_occurrences, s.k::BIGINT AS unique_sources, s.t::DOUBLE / s.n::DOUBLE AS source_top_share, h.k::BIGINT AS unique_hosts, h.t::DOUBLE / s.n::DOUBLE AS host_top_share FROM s JOIN h USING (scope)""",
 )
 def metrics_sources(spark, d):
-    """The source metrics of the first wave."""
-    one = kept(spark, d).where("wave_id = 'w0000'")
-    sources = op.concentration(op.source_ranks(one, WAVE), op.source_order(), WAVE).drop("wave_id")
-    return metrics.source_metrics(sources, _host_concentration(one).drop("wave_id"))
+    """The source metrics of the first wave, as its SQL has them; ``metrics_sources_by_wave`` has those of every wave."""
+    return _source_metrics(kept(spark, d).where("wave_id = 'w0000'")).drop("wave_id")
+
+
+def _source_metrics(rows):
+    sources = op.concentration(op.source_ranks(rows, WAVE), op.source_order(), WAVE)
+    return metrics.source_metrics(sources, _host_concentration(rows), WAVE)
+
+
+@registry.add("metrics_sources_by_wave")
+def metrics_sources_by_wave(spark, d):
+    """The source metrics of every wave."""
+    return _source_metrics(kept(spark, d))
