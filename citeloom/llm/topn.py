@@ -31,9 +31,9 @@ def local_bounds(items: DataFrame, groups: Sequence[str], n: int) -> DataFrame:
     names = list(groups)
 
     def best(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.drop_duplicates()
         # Python orders strings by code point, which is UTF-8's byte order.
         part = part.sort_values(["score", "ord", "item"], ascending=[False, True, True], kind="stable")
+        part = part.drop_duplicates([*names, "item"])  # an item counts by its best row
         return part.groupby(names, dropna=False, sort=False).head(n)
 
     def bounds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

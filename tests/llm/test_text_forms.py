@@ -113,6 +113,13 @@ def test_top_n_matches_brute_force(spark, monkeypatch, limit):
     assert got == best(rows, 10)
 
 
+def test_an_item_with_many_scores_is_one_item(spark):
+    rows = [("g", "h", 11 + i, 1, "A", "a", "b", "c", "d") for i in range(10)] + [("g", "h", 1 + i, 1, k, "a", "b", "c", "d") for i, k in enumerate("BCDEFGHIJ")]
+    df = spark.createDataFrame(rows, ITEMS).coalesce(1)
+    got = sorted((r.g, r.h, r.item) for r in topn.top_n(df, ["g", "h"], "s", "o", "k", 10).collect())
+    assert got == best(rows, 10) and len(got) == 10
+
+
 def test_top_n_of_nothing(spark):
     assert topn.top_n(spark.createDataFrame([], ITEMS), ["g"], "s", "o", "k").count() == 0
 
