@@ -3,7 +3,8 @@
 Slots are induced by aligning records of one template: the text right before and after a
 placeholder is looked up in all records, and where other records hold differing ordinary text at
 that place, the placeholder stands in an unfilled slot. Where every record holds the same string
-there, it is part of what the text says (an explanation), not a slot. Whole-page notices (error
+there and the words before it tell the reader to write it, it is part of what the text says (an
+explanation), not a slot; without such words it is a template broken in every record. Whole-page notices (error
 pages, service notices, demands for scripts) and filler are found by their wording, or by a weaker
 wording together with a page template that repeats over records.
 """
@@ -38,6 +39,8 @@ PLACEHOLDERS = (
     r"\[(?:INSERT|Insert|YOUR|Your|ENTER|Enter|ADD|Add) [^\]\n]{1,40}\]", r"【(?:请填写|请输入|填写|插入|待填)[^】\n]{0,30}】", r"（(?:此处插入|此处填写|请填写|待填写)[^）\n]{0,30}）",
     r"_{4,}",
 )
+# Words right before a placeholder that tell the reader to write it.
+TOLD = re.compile(r"(?:\b(?:put|type|write|insert|schreibe?n? Sie|tippe?n? Sie|écrivez|tapez|escriba|escribe)|写成|写作|写上|写为|填写|填入|输入|插入)[ :：]*[\"'“‘「『]?$", re.I)
 # Filler.
 FILLER = (
     r"lorem ipsum", r"\bdolor sit amet\b", r"\bdummy (?:copy|text)\b", r"\byour (?:text|content|copy) goes here\b", r"\bplaceholder (?:answer|text|copy|content)\b", r"\bbody copy to follow\b", r"^\W*(?:TBD\W*){1,}$", r"\bTBD(?:\W+TBD)+\b",
@@ -106,11 +109,11 @@ def page_template(text: str) -> str:
     return _SPACE.sub(" ", re.sub(r"\b(?=\w*\d)[\w-]+\b", "0", _DIGITS.sub("0", text.lower()))).strip()
 
 
-def residue(question: str | None, text: str | None) -> list[tuple[str, str, str, str, str, bool]]:
-    """(kind, form, left, right, page, sure) for each thing in a text that may be residue.
+def residue(question: str | None, text: str | None) -> list[tuple[str, str, str, str, str, bool, bool]]:
+    """(kind, form, left, right, page, sure, told) for each thing in a text that may be residue.
 
-    For a placeholder, left and right are its contexts and ``sure`` says that it is all the text;
-    for the others, ``page`` is the page's template and ``sure`` that the wording suffices.
+    For a placeholder, left and right are its contexts, ``sure`` says that it is all the text and
+    ``told`` that the words before it tell the reader to write it; for the others, ``page`` is the page's template and ``sure`` that the wording suffices.
     """
     if not text or not text.strip():
         return []
@@ -126,10 +129,10 @@ def residue(question: str | None, text: str | None) -> list[tuple[str, str, str,
         if "placeholder" in asked and not alone:
             continue
         left, right = text[max(0, m.start() - CONTEXT) : m.start()], text[m.end() : m.end() + CONTEXT]
-        out.append(("placeholder", m[0], _context(left), _context(right), "", alone))
+        out.append(("placeholder", m[0], _context(left), _context(right), "", alone, TOLD.search(text[max(0, m.start() - 24) : m.start()]) is not None))
     for sentence in re.split(r"[.!?\n]", text):
         if is_pseudo_latin(sentence) and "filler" not in asked:
-            out.append(("filler", sentence.strip()[:60], "", "", "", True))
+            out.append(("filler", sentence.strip()[:60], "", "", "", True, False))
             break
     for name, kind in (("FILLER", "filler"), ("SCRIPT", "script"), ("ERROR", "error"), ("WEAK", "error")):
         for m in _compiled(name).finditer(text) if any(h in lower for h in HINTS[name]) else ():
@@ -141,13 +144,13 @@ def residue(question: str | None, text: str | None) -> list[tuple[str, str, str,
                 continue
             if name == "WEAK" and (out or len(whole) > 160):
                 continue
-            out.append((kind, m[0][:60], "", "", page_template(whole)[:200], name != "WEAK"))
+            out.append((kind, m[0][:60], "", "", page_template(whole)[:200], name != "WEAK", False))
             break
     return out
 
 
 _FOUND = StructType(
-    [StructField(n, StringType()) for n in ("row_id", "kind", "form", "left", "right", "page")] + [StructField("sure", BooleanType())]
+    [StructField(n, StringType()) for n in ("row_id", "kind", "form", "left", "right", "page")] + [StructField(n, BooleanType()) for n in ("sure", "told")]
 )
 
 
@@ -223,7 +226,7 @@ def template_residue(rows: DataFrame, row_id: str = "turn_id", question: str = "
     sides = sides.withColumn("side", F.when(F.col("at") == 0, "left").otherwise("right"))
     contexts = sides.select("side", "context").distinct()
     counted = _fillings(slim, contexts).groupBy("side", "context").agg(F.count_distinct("filling").alias("fillings"))
-    # The same string at the same place in many records, and nothing else ever: text, not a slot.
+    # The same string at the same place in many records, and nothing else ever: text, not a slot, where the reader is told to write it.
     fixed = sides.groupBy("side", "context").agg(F.count_distinct("form").alias("forms"), F.count_distinct("row_id").alias("records"))
     aligned = sides.join(counted, ["side", "context"], "left").join(fixed, ["side", "context"], "left")
     fillings = F.coalesce("fillings", F.lit(0))
@@ -232,7 +235,7 @@ def template_residue(rows: DataFrame, row_id: str = "turn_id", question: str = "
     )
     slots = (
         placed.join(verdict, ["row_id", "form"], "left")
-        .where(F.coalesce(F.col("slot"), F.lit(True)) | ~F.coalesce(F.col("constant"), F.lit(False)))
+        .where(F.coalesce(F.col("slot"), F.lit(True)) | ~F.coalesce(F.col("constant"), F.lit(False)) | ~F.col("told"))
         .where((F.col("form").rlike("^_+$") & F.coalesce(F.col("slot"), F.lit(False))) | ~F.col("form").rlike("^_+$"))
         .select("row_id", "kind")
     )

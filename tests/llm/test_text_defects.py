@@ -112,6 +112,12 @@ def test_a_constant_string_is_no_slot(spark):
     assert {r.row_id for r in templates.template_residue(qa(spark, rows)).collect()} == {"x"}
 
 
+def test_a_template_broken_in_every_record(spark):
+    rows = [(f"d{i}", "Was my order sent?", f"Dear {{{{customer_name}}}}, your order was sent on day {i}.") for i in range(6)] + [(f"t{i}", "怎么写模板？", "开头写 {{customer_name}} 即可。") for i in range(4)]
+    rows += [(f"c{i}", "q", "Use `{{customer_name}}` there.") for i in range(4)]
+    assert {r.row_id for r in templates.template_residue(qa(spark, rows)).collect()} == {f"d{i}" for i in range(6)}
+
+
 @pytest.mark.parametrize("limit", [0, 1000])
 def test_slots_by_either_lookup(spark, monkeypatch, limit):
     monkeypatch.setattr(templates, "BROADCAST_CONTEXTS", limit)
