@@ -60,14 +60,35 @@ def export(items: DataFrame, batch_id: str, platform: str, manifest: dict, archi
     return verify(items.sparkSession, archive)
 
 
+#: Faults that are returned as they are; beyond, all of them go to a file.
+LISTED = 100
+
+
+def _listed(faults: DataFrame, order: list[str], path: Path) -> list[str]:
+    """The faults (column ``fault``) in order. Beyond ``LISTED`` all are written to ``path``, a line each, and the list ends with their total."""
+    ordered = faults.orderBy(*order).select("fault")
+    rows = [r.fault for r in ordered.limit(LISTED + 1).collect()]
+    if len(rows) <= LISTED:
+        return rows
+    total = 0
+    with path.open("w", encoding="utf-8") as out:
+        for total, r in enumerate(ordered.toLocalIterator(), 1):
+            out.write(json.dumps(r.fault, ensure_ascii=False) + "\n")
+    return [*rows[:LISTED], f"{total} faults in all, the first {LISTED} are listed here, all in {path}"]
+
+
 def verify(spark: SparkSession, archive: Path) -> list[str]:
-    """All faults of a package archive, those of its container first."""
+    """All faults of a package archive, those of its container first.
+
+    Of more than ``LISTED`` the first and the total are returned, and all are in ``.faults.jsonl`` beside the archive.
+    """
     faults = landed.check_archive(Path(archive).read_bytes())
     if faults:
         return faults
     tables = landed.package_tables(landed.read_package_lines(spark, str(archive)))
-    rows = package.verify(tables["tasks"], tables["answers"], tables["sources"]).orderBy("check_no", "check_name", "subject").limit(100).collect()
-    return [f"{r.check_name}: {r.subject}" for r in rows]
+    found = package.verify(tables["tasks"], tables["answers"], tables["sources"])
+    named = found.withColumn("fault", F.concat("check_name", F.lit(": "), F.coalesce(F.col("subject").cast("string"), F.lit("None"))))
+    return _listed(named, ["check_no", "check_name", "subject"], Path(archive).with_suffix(".faults.jsonl"))
 
 
 def repair_archive(spark: SparkSession, archive: Path, repaired: Path) -> list[str]:
@@ -79,8 +100,9 @@ def repair_archive(spark: SparkSession, archive: Path, repaired: Path) -> list[s
     folder = repaired.with_suffix("")
     sink.export_directory(*fixed, manifest, folder)
     sink.export_archive(folder, repaired)
-    left = package.source_count_mismatches(fixed[1], fixed[2]).limit(100).collect()
-    return verify(spark, repaired) + [f"source_count_raw of {r.answer_id}" for r in left]
+    left = package.source_count_mismatches(fixed[1], fixed[2])
+    named = left.withColumn("fault", F.concat(F.lit("source_count_raw of "), F.coalesce(F.col("answer_id").cast("string"), F.lit("None"))))
+    return verify(spark, repaired) + _listed(named, ["answer_id"], repaired.with_suffix(".counts.jsonl"))
 
 
 def run(spark: SparkSession, batch_dir: str, batch_id: str, platform: str, archive: str, targets: mention.Targets | None = None, classifier: sentiment.Classifier | None = None, manifest: dict | None = None) -> PipelineResult:

@@ -82,6 +82,18 @@ def test_an_archive_is_repaired(spark, tmp_path):
     assert landed.newest_package(spark, str(tmp_path)).endswith("b.zip")
 
 
+def test_all_faults_are_told(spark, tmp_path, monkeypatch):
+    archive = tmp_path / "b.zip"
+    folder = tmp_path / "batch"
+    folder.mkdir()
+    assert pipeline.run(spark, str(batch(folder)), "b", "p", str(archive)).status == "completed"
+    many = spark.range(250).selectExpr("12 AS check_no", "'unique task_id' AS check_name", "format_string('%03d', id) AS subject")
+    monkeypatch.setattr(pipeline.package, "verify", lambda *tables: many)
+    got = pipeline.verify(spark, archive)
+    assert len(got) == 101 and got[99] == "unique task_id: 099" and got[-1].startswith("250 faults in all")
+    assert [json.loads(line) for line in (tmp_path / "b.faults.jsonl").read_text().splitlines()] == [f"unique task_id: {i:03}" for i in range(250)]
+
+
 def test_metrics_documents(spark, tmp_path):
     from citeloom.operators import citations, mention
     from citeloom.sinks import metrics
