@@ -13,6 +13,8 @@ BUSY_MOST_CHARS = 120
 QUOTA_PHRASES = (
     "今日使用次数已达上限", "今日次数已达上限", "今日次数已用完", "使用次数已达上限", "已达到使用上限", "本次服务次数已用完", "暂无可用次数", "当前账号暂无可用次数",
 )
+#: Around a phrase: an apology before it; marks, an advice and marks after it.
+QUOTA_COURTESIES = ("抱歉[，, ]*", "[，,。.!！ ]*", "请稍后再试|请稍后重试|请明日再试", "[。.!！ ]*")
 QUOTA_MOST_CHARS = 300
 RISK_TEXTS = ("请拖动下方滑块完成验证", "通过验证以确保正常访问", "验证失败")
 
@@ -30,6 +32,9 @@ CLASSIFIED = ("success", "success_with_warnings")
 ERROR_STATUSES = ("failed", "rate_limited", "timeout")
 RETRYABLE = ("rate_limit", "transient_api_error", "timeout", "network_error")
 
+#: Lines of a recommendation card, as patterns.
+CARD_DURATION, CARD_TITLE, CARD_CREATOR = r"\d{1,2}:\d{2}", r"\S(?:.{0,118}\S)", r"[A-Za-z0-9_\-一-鿿#?]{2,20}"
+
 TRACKING_KEYS = ("spm", "utm_campaign", "utm_content", "utm_medium", "utm_source", "utm_term")
 TOP_LIMIT = 10
 

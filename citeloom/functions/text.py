@@ -1,4 +1,4 @@
-"""Text functions. Built-ins wherever Spark has them; Arrow UDFs for NFKC and the card tail."""
+"""Text functions. Built-ins wherever Spark has them; an Arrow UDF for NFKC."""
 
 from __future__ import annotations
 
@@ -76,12 +76,16 @@ def is_busy(c: Column, markers: Sequence[str] = C.BUSY_MARKERS, most: int = C.BU
     return F.coalesce(found, F.lit(False))
 
 
+def quota_pattern(phrases: Sequence[str] = C.QUOTA_PHRASES) -> str:
+    """A pattern of a whole notice: one of the phrases between courtesies. Any engine takes it."""
+    before, marks, after, end = C.QUOTA_COURTESIES
+    return "".join(["^(?:", before, ")?(?:", "|".join(map(re.escape, phrases)), ")(?:", marks, "(?:", after, ")?", end, ")?$"])
+
+
 def is_quota_exhausted(c: Column, phrases: Sequence[str] = C.QUOTA_PHRASES, most: int = C.QUOTA_MOST_CHARS) -> Column:
     """Whether a text is a notice of an exhausted quota, with or without courtesies around it."""
     text = collapse(c)
-    listed = "|".join(re.escape(p) for p in phrases)
-    pattern = f"^(?:抱歉[，, ]*)?(?:{listed})(?:[，,。.!！ ]*(?:请稍后再试|请稍后重试|请明日再试)?[。.!！ ]*)?$"
-    return F.coalesce((F.length(text) > 0) & (F.length(text) <= most) & text.rlike(pattern), F.lit(False))
+    return F.coalesce(F.length(text).between(1, most) & text.rlike(quota_pattern(phrases)), F.lit(False))
 
 
 def shows_risk_control(c: Column, texts: Sequence[str] = C.RISK_TEXTS) -> Column:
@@ -132,36 +136,47 @@ def rule_hits(normalized: Column, rules: Sequence[tuple[str, Sequence[str]]], ma
     return F.concat(*parts)
 
 
-_DURATION = re.compile(r"\d{1,2}:\d{2}")
-_CREATOR = re.compile(r"[A-Za-z0-9_\-一-鿿#?]{2,20}")
+#: What ends a line, as Python's ``splitlines`` has it.
+_LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+#: A tail of cards in the letters of ``_line_kinds``, read from the last line up.
+_CARDS = "^(?:N[NT]D?)+"
+
+
+def _line_kinds() -> tuple[tuple[str, str], ...]:
+    """Letters of stripped lines and their patterns, the first that fits counts: D duration, N name (fit for a title too), T title."""
+    return tuple((k, f"^{p}$") for k, p in (("D", C.CARD_DURATION), ("N", C.CARD_CREATOR), ("T", C.CARD_TITLE)))
 
 
 def strip_cards(text: str | None, mode: str | None) -> str:
-    """An answer without the recommendation cards at its end: (duration,) title, creator, from the last one up."""
+    """``clean_answer`` of one text, on the driver."""
     value = (text or "").strip()
-    if mode != "quick" or not value:
-        return value
-    lines = [line.rstrip() for line in value.splitlines()]
-    kept = len(lines)
-    while kept >= 2:
-        title, creator = lines[kept - 2].strip(), lines[kept - 1].strip()
-        is_card = 2 <= len(title) <= 120 and not _DURATION.fullmatch(title) and _CREATOR.fullmatch(creator) and not _DURATION.fullmatch(creator)
-        if not is_card:
-            break
-        kept -= 2
-        if kept and _DURATION.fullmatch(lines[kept - 1].strip()):
-            kept -= 1
-    return value if kept == len(lines) else "\n".join(lines[:kept]).rstrip()
-
-
-def clean_answer(text: Column, mode: Column) -> Column:
-    """``strip_cards`` of each row; the peeling is a loop from the end, which no built-in expresses."""
+    lines = re.split(_LINE_END, value)
+    kind = lambda line: next((k for k, p in _line_kinds() if re.search(p, line.strip())), "-")
+    tail = re.match(_CARDS, "".join(map(kind, reversed(lines)))) if mode == "quick" else None
+    return "\n".join(x.rstrip() for x in lines[: len(lines) - tail.end()]).rstrip() if tail else value
 
-    @F.pandas_udf("string")
-    def clean(texts: pd.Series, modes: pd.Series) -> pd.Series:
-        return pd.Series([strip_cards(t, m) for t, m in zip(texts, modes, strict=True)], dtype="object")
 
-    return clean(text, mode)
+def clean_answer(answer: Column, mode: Column) -> Column:
+    """A quick answer without the recommendation cards at its end, stripped; null gives ''.
+
+    A card is (duration,) title and creator, a line each. Every line becomes a letter for what it can be,
+    and the letters, last line first, are matched as a whole: all of it built-ins, without a loop.
+    """
+    value = strip(F.coalesce(answer, F.lit("")))
+
+    def kind(line: Column) -> Column:
+        out = F.when(F.lit(False), F.lit(""))
+        for letter, pattern in _line_kinds():
+            out = out.when(strip(line).rlike(f"(?U){pattern}"), letter)
+        return out.otherwise("-")
+
+    lines = F.split(value, _LINE_END)
+    shape = F.reverse(F.array_join(F.transform(lines, kind), ""))
+    # The possessive form runs without recursion; the letters leave one reading only.
+    cards = F.length(F.regexp_extract(shape, f"{_CARDS}+", 0))
+    ends = rf"{_SPACE}+$"
+    kept = F.regexp_replace(F.array_join(F.transform(F.slice(lines, F.lit(1), F.size(lines) - cards), lambda x: F.regexp_replace(x, ends, "")), "\n"), ends, "")
+    return F.when((mode == "quick") & (cards > 0), kept).otherwise(value)
 
 
 def unquoted(c: Column) -> Column:

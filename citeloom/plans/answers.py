@@ -47,7 +47,7 @@ def answer_validity(spark, d):
 _NOTICES = rf"""WITH a AS (SELECT DISTINCT answer_id, answer_text_raw AS raw, trim(regexp_replace(answer_text_raw, '[{_S}]+', ' ', 'g')) AS t FROM geo_answers)
 SELECT answer_id, coalesce(regexp_replace(raw, '^[{_S}]+|[{_S}]+$', '', 'g') = '{_REFUSAL}', FALSE) AS refusal,
   coalesce(length(t) <= 120 AND contains(t, '当前访问人数过多') AND contains(t, '疯狂加服务器中') AND contains(t, '请稍后再试'), FALSE) AS busy,
-  coalesce(length(t) BETWEEN 1 AND 300 AND regexp_matches(t, '^(?:抱歉[，, ]*)?(?:今日使用次数已达上限|今日次数已达上限|今日次数已用完|使用次数已达上限|已达到使用上限|本次服务次数已用完|暂无可用次数|当前账号暂无可用次数)(?:[，,。.!！ ]*(?:请稍后再试|请稍后重试|请明日再试)?[。.!！ ]*)?$'), FALSE) AS quota,
+  coalesce(length(t) BETWEEN 1 AND 300 AND regexp_matches(t, '{text.quota_pattern()}'), FALSE) AS quota,
   coalesce(contains(raw, '请拖动下方滑块完成验证') OR contains(raw, '通过验证以确保正常访问') OR contains(raw, '验证失败'), FALSE) AS risk FROM a"""
 
 
@@ -71,7 +71,16 @@ def text_document_normalized(spark, d):
     return table(spark, d, "documents").select("doc_id", text.normalize(F.col("text")).alias("normalized"))
 
 
-@registry.add("clean_answer_tail")
+_CLEAN = rf"""WITH a AS (SELECT DISTINCT answer_id, mode_code, regexp_replace(coalesce(answer_text_raw, ''), '^[{_S}]+|[{_S}]+$', '', 'g') AS v FROM geo_answers),
+lined AS (SELECT *, regexp_split_to_array(v, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]') AS lines FROM a),
+shaped AS (SELECT *, reverse(array_to_string(list_transform(list_transform(lines, lambda x: regexp_replace(x, '^[{_S}]+|[{_S}]+$', '', 'g')), lambda x: CASE
+  WHEN regexp_full_match(x, '[0-9]{{1,2}}:[0-9]{{2}}') THEN 'D' WHEN regexp_full_match(x, '[A-Za-z0-9_\-一-鿿#?]{{2,20}}') THEN 'N' WHEN length(x) BETWEEN 2 AND 120 THEN 'T' ELSE '-' END), '')) AS shape FROM lined),
+cut AS (SELECT *, length(regexp_extract(shape, '^(?:N[NT]D?)+')) AS cards FROM shaped)
+SELECT answer_id, CASE WHEN mode_code = 'quick' AND cards > 0
+  THEN regexp_replace(array_to_string(list_transform(lines[1:len(lines) - cards], lambda x: regexp_replace(x, '[{_S}]+$', '', 'g')), chr(10)), '[{_S}]+$', '', 'g') ELSE v END AS answer_text_clean FROM cut"""
+
+
+@registry.add("clean_answer_tail", _CLEAN)
 def clean_answer_tail(spark, d):
     rows = table(spark, d, "geo_answers").select("answer_id", "answer_text_raw", "mode_code").distinct()
     return rows.select("answer_id", text.clean_answer(F.col("answer_text_raw"), F.col("mode_code")).alias("answer_text_clean"))

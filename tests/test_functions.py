@@ -127,3 +127,13 @@ def test_queries_are_unquoted_and_distinct(spark):
 def test_ratio(spark):
     df = spark.createDataFrame([(1, 2), (1, 0), (None, 3), (1, None)], "a int, b int")
     assert [r.v for r in df.select(text.ratio(F.col("a"), F.col("b")).alias("v")).collect()] == [0.5, 0.0, 0.0, 0.0]
+
+
+CARDED = ["正文。\n00:30\n标题一\n甲_1\n标题二\n乙", "x\r\n标题 三\r\nabc", "00:10\n00:20\nab", "一 两个 三字母", " 只有\n一行 \n", "标题\n甲乙\n" * 3000, "序\n" * 2999 + "标题\n甲乙", None, "", "长" * 121 + "\n甲乙", "正文\n\n\n标题\n甲乙\n"]
+
+
+def test_cards_by_column_and_on_the_driver(spark):
+    for mode in ("quick", "research", None):
+        want = [text.strip_cards(t, mode) for t in CARDED]
+        assert values(spark, CARDED, lambda c: text.clean_answer(c, F.lit(mode).cast("string"))) == want  # noqa: B023
+    assert [text.strip_cards(t, "quick") for t in CARDED[:6]] == ["正文。\n00:30\n标题一\n甲_1\n标题二\n乙", "x", "00:10\n00:20\nab", "一", "", ""]
