@@ -13,27 +13,27 @@ are looked up in all texts, and a text is cut if they are usually followed by mo
 from __future__ import annotations
 
 import re
-import zlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from citeloom.llm.bloom import filter_of, may_hold, mixed
 from citeloom.session import cut_lineage
 
 #: A heap: this many texts within the width of a cut, and this many times what the lengths below it hold.
 HEAP, HEAP_RATIO, BELOW = 5, 4.0, 60
 #: Below the greatest length there are many lengths to look at: a heap there is this many standard deviations above its surroundings.
 DEVIATIONS = 5.0
-#: Up to this many phrases that endings ask for are broadcast to the counts (some 20 MB); beyond, all phrases are counted.
-BROADCAST_PHRASES = 300_000
+#: Phrases that the broadcast filter is sized for (16 MB); with more of them it grows no further and lets more pass.
+BROADCAST_PHRASES = 8_000_000
 #: Characters whose phrases are counted at once.
-PART_CHARS = 1_000_000
-#: Tokens remembered by a worker.
-VOCABULARY = 500_000
+PART_CHARS = 400_000
 #: Share of whole occurrences under which an ending counts as cut: usually, and at a limit.
 OPEN_SHARE, LIMIT_SHARE = 0.5, 0.85
 #: Occurrences elsewhere that make the words before an ending known.
@@ -44,138 +44,173 @@ BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029\u3000"
 CLOSING = "。．！？!?；;。〞｡"
 QUOTES = "”’」』\"'»）)】]》*_"
 CUT_MARKS = re.compile(r"(?:…|\.\.\.|\[\.\.\.\]|（未完）|\[truncated\]|\(truncated\)|（截断）|……?（?展开全文）?|>>|查看更多|read more)\s*$", re.I)
-BROKEN = re.compile(
-    r"&#?[A-Za-z0-9]{0,8}$|\\u?[0-9A-Fa-f]{0,3}$|<[A-Za-z/!][^<>\n]{0,80}$|�+\s*$|https?:?/{0,2}[\w.-]{0,3}$|[，,、（(《“「『【\[{：:=]\s*$|(?:^|\n)\s*(?:[-*•]|\d{1,2}[.)])\s*$"
-)
+BROKEN = re.compile(r"&#?[A-Za-z0-9]{0,8}$|\\u?[0-9A-Fa-f]{0,3}$|<[A-Za-z/!][^<>\n]{0,80}$|�$|https?:?/{0,2}[\w.-]{0,3}$|[，,、（(《“「『【\[{：:=]$")
+BARE_ITEM = re.compile(r"\s*(?:[-*•]|\d{1,2}[.)])$")
 SIGN_OFF = re.compile(r"(?:[\U0001F300-\U0001FAFF☀-➿]️?|[~～]|[（(](?:完|end|fin|Ende|終|以上)[)）])\s*$", re.I)
-_TOKEN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ’']+|[0-9]+|\s+|.", re.S)
+CARD = re.compile(r"(?:^|\n)\d{1,2}:\d{2}\n[^\n]{2,120}\n[A-Za-z0-9_\-一-鿿#?]{2,20}$")
 _ITEM = re.compile(r"^[ \t]*(?:[-*•]|\d{1,2}[.)])[ \t]+", re.M)
 _OPEN, _CLOSE = "（(《“「『【[", "）)》”」』】]"
 
 
-def _token_id(token: str, names: bool) -> int:
-    """Words count as they are or, with ``names``, capitalised ones alike; numbers count by their number of digits."""
-    if names and token[:1].isupper() and len(token) > 1:
-        return 1
-    if token.isdigit() and token.isascii():
-        token = "0" * min(len(token), 6)
-    return zlib.crc32(token.encode("utf-8", "replace")) | (min(len(token), 255) << 32)
-
-
-class _Vocabulary:
-    """Tokens met by a worker, by number, with what the counts ask of each."""
-
-    def __init__(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.rows: list[tuple[int, int, bool, bool, bool, bool]] = []
-
-    def add(self, token: str) -> int:
-        self.numbers[token] = n = len(self.rows)
-        self.rows.append(
-            (_token_id(token, False), _token_id(token, True), token in "。！？!?；;…\n", token == ".", token[0] in "0123456789.", token == "\n")
-        )
-        return n
-
-    def look(self, tokens: list[str]) -> tuple[np.ndarray, ...]:
-        """Exact ids, ids with names alike, and flags (end mark, dot, digit or dot, line start) of tokens."""
-        if len(self.rows) > VOCABULARY:
-            self.__init__()  # type: ignore[misc]
-        known, add = self.numbers, self.add
-        at = np.array([known[t] if t in known else add(t) for t in tokens], dtype=np.int64)
-        used, back = np.unique(at, return_inverse=True)
-        columns = list(zip(*[self.rows[i] for i in used], strict=True))
-        kinds = (np.uint64, np.uint64, bool, bool, bool, bool)
-        return tuple(np.array(c, dtype=k)[back] for c, k in zip(columns, kinds, strict=True))
-
-
-_vocabulary = _Vocabulary()
-
-
 #: Phrases that are looked up, the last known one decides: tokens, never beyond the start of a line, and whether names in it are alike.
 PHRASES = ((1, False), (2, False), (3, False), (10, True), (10, False))
 LONGEST = 10
 #: Tokens of a text that counts as a phrase by itself, its line's start included.
 TINY = 5
 _MULTIPLIERS = [np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1) + 0x632BE59BD9B4E019 * k) % 2**64 | 1) for k in range(LONGEST)]
-
-
-def _grams(ids: np.ndarray, in_line: np.ndarray) -> list[np.ndarray]:
-    """Hashes of the phrases that end at each token; ``in_line`` counts tokens from the start of a line.
-
-    Where names are alike, any brand may stand in a phrase.
-    """
-    n, out = ids.shape[1], []
-    with np.errstate(over="ignore"):
-        for length, alike in PHRASES:
-            row, total = ids[int(alike)] + np.uint64(length + 100 * alike), np.zeros(n, dtype=np.uint64)
-            for k in range(min(length, n)):
-                back = np.zeros(n, dtype=np.uint64)
-                back[k:] = (row[: n - k] + np.uint64(1)) * _MULTIPLIERS[k]
-                total = total + np.where(in_line >= k, back, np.uint64(0))
-            out.append((total ^ (total >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9))
-    return out
-
-
-def _places(starts: np.ndarray) -> np.ndarray:
-    """Place of each token in its line."""
-    at = np.arange(len(starts))
-    return at - np.maximum.accumulate(np.where(starts, at, 0))
-
-
-def _tokens(text: str) -> list[str]:
-    """Tokens with the start of each line marked; spaces and list marks are dropped, line feeds kept."""
-    out = ["\n"]
-    for t in _TOKEN.findall(_ITEM.sub("", text)):
-        if t.isspace():
-            if "\n" in t and out[-1] != "\n":
-                out.append("\n")
-        else:
-            out.append(t)
+_LETTER, _NUMBER, _SPACE, _OTHER = range(4)
+_NAME, _DIGIT_BASE = np.uint64(1), np.uint64(16)
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """Class of each code point below 0x10000 those above are others: runs of letters, of digits and of space are tokens, others by themselves."""
+    out = np.full(0x10000, _OTHER, dtype=np.uint8)
+    for code in range(0x10000):
+        c = chr(code)
+        if re.match("[A-Za-zÀ-ÖØ-öø-ÿ’']", c):
+            out[code] = _LETTER
+        elif "0" <= c <= "9":
+            out[code] = _NUMBER
+        elif c.isspace():
+            out[code] = _SPACE
     return out
 
 
-def _ending(text: str) -> tuple[int, ...]:
-    """Hashes of the phrases at a text's end."""
-    tail = _tokens(text[-400:])
-    if len(text) > 400:
-        tail = tail[2:] or tail
-    exact, alike, _, _, _, starts = _vocabulary.look(tail)
-    return tuple(int(g[-1:].view(np.int64)[0]) for g in _grams(np.stack([exact, alike]), _places(starts)))
+class _Tokens:
+    """Tokens of texts in arrays: each text starts a line, spaces and list marks are dropped, line feeds kept once.
 
+    ``exact`` counts words as they are, ``alike`` takes capitalised ones for one; numbers count by
+    their number of digits. ``text`` is the text of each token, ``place`` its place in its line.
+    """
 
-def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[list[str]]:
-    """The texts of batches in parts of about ``PART_CHARS``, so that long texts don't add up in memory."""
-    for b in batches:
-        part, size = [], 0
-        for text in b["text"]:
-            part.append(text)
-            size += len(text or "")
+    def __init__(self, texts: Sequence[str]):
+        joined = "\0".join(["", *(_ITEM.sub("", t.replace("\0", " ")) for t in texts)])
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        kind = np.where(codes < 0x10000, _classes()[np.minimum(codes, 0xFFFF)], _OTHER)
+        border = codes == 0
+        kind = np.where(border, _OTHER, kind)
+        starts = np.flatnonzero(np.concatenate(([True], (kind[1:] != kind[:-1]) | (kind[1:] == _OTHER))) if len(codes) else [])
+        sizes = np.diff(np.concatenate((starts, [len(codes)])))
+        of_token = kind[starts]
+        feeds = np.add.reduceat(codes == 10, starts) > 0
+        line = border[starts] | ((of_token == _SPACE) & feeds)
+        kept = line | (of_token != _SPACE)
+        # A border or a line feed after another one is dropped, but a border stays.
+        kept_at = np.flatnonzero(kept)
+        again = np.zeros(len(kept_at), dtype=bool)
+        again[1:] = line[kept_at][1:] & line[kept_at][:-1] & ~border[starts][kept_at][1:]
+        kept_at = kept_at[~again]
+        at = np.arange(len(codes)) - np.repeat(starts, sizes)
+        with np.errstate(over="ignore"):
+            powers = np.cumprod(np.full(int(sizes.max(initial=1)), 0x9E3779B97F4A7C15, dtype=np.uint64))
+            words = mixed(np.add.reduceat(codes.astype(np.uint64) * powers[at], starts) + sizes.astype(np.uint64))
+        first = codes[starts]
+        number = of_token == _NUMBER
+        words = np.where(number, _DIGIT_BASE + np.minimum(sizes, 6).astype(np.uint64), words)
+        words = np.where(line, np.uint64(10), words)
+        upper = (of_token == _LETTER) & (sizes > 1) & (((first >= 65) & (first <= 90)) | ((first >= 0xC0) & (first <= 0xDE)))
+        self.exact, self.alike = words[kept_at], np.where(upper, _NAME, words)[kept_at]
+        self.line, first = line[kept_at], first[kept_at]
+        self.text = np.cumsum(border[starts][kept_at]) - 1
+        index = np.arange(len(kept_at))
+        self.place = index - np.maximum.accumulate(np.where(self.line, index, 0)) if len(index) else index
+        dot = (first == 46) & ~self.line
+        mark = self.line | np.isin(first, [ord(c) for c in "。！？!?；;…"])
+        next_is = lambda flags, filling: np.concatenate((flags[1:], [filling]))
+        after_dot = next_is(dot, False)
+        # Whether a unit ends with the token: a mark or a line's end follows, or a dot that belongs to no number and to no row of dots.
+        self.ends = next_is(mark, True) | (after_dot & ~next_is(next_is(dot | number[kept_at], False), False) & ~dot)
+
+    def grams(self) -> list[np.ndarray]:
+        """Hashes of the phrases that end at each token, in the order of ``PHRASES``."""
+        n, out = len(self.exact), []
+        with np.errstate(over="ignore"):
+            for length, alike in PHRASES:
+                row, total = (self.alike if alike else self.exact) + np.uint64(length + 100 * alike), np.zeros(n, dtype=np.uint64)
+                for k in range(min(length, n)):
+                    back = np.zeros(n, dtype=np.uint64)
+                    back[k:] = (row[: n - k] + np.uint64(1)) * _MULTIPLIERS[k]
+                    total = total + np.where(self.place >= k, back, np.uint64(0))
+                out.append(mixed(total))
+        return out
+
+
+def _tails(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(texts x phrases) hashes of the phrases at the ends of texts, and whole texts' numbers of tokens, their line's start included; ``LONGEST`` + 1 for longer ones or several lines."""
+    if not len(texts):
+        return np.zeros((0, len(PHRASES)), dtype=np.int64), np.zeros(0, dtype=np.int64)
+    reach = [64] * len(texts)
+    grams, counts = np.zeros((len(texts), len(PHRASES)), dtype=np.int64), np.full(len(texts), LONGEST + 1)
+    waiting = list(range(len(texts)))
+    while waiting:
+        tokens = _Tokens([texts[i][-reach[i] :] for i in waiting])
+        last = np.flatnonzero(np.concatenate((tokens.text[1:] != tokens.text[:-1], [True])))
+        held = np.diff(np.concatenate(([-1], last)))
+        found = np.stack([g[last].view(np.int64) for g in tokens.grams()], axis=1)
+        later = []
+        for k, i in enumerate(waiting):
+            # Where the tail starts inside a line, its border, its first token and a list mark's rest are no true ones.
+            inside = reach[i] < len(texts[i]) and tokens.place[last[k]] == held[k] - 1
+            if inside and tokens.place[last[k]] <= LONGEST:
+                reach[i] *= 2
+                later.append(i)
+                continue
+            grams[i] = found[k]
+            if reach[i] >= len(texts[i]) and "\n" not in texts[i].strip():
+                counts[i] = held[k]
+        waiting = later
+    return grams, counts
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """A text without its closing blanks, cut at line feeds into pieces of about ``PART_CHARS``; no phrase goes beyond a line."""
+    text, at = text.rstrip(), 0
+    while len(text) - at > PART_CHARS:
+        cut = text.rfind("\n", at, at + PART_CHARS)
+        cut = cut if cut > at else text.find("\n", at + PART_CHARS)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut + 1
+    yield text[at:]
+
+
+def _parts(texts: Iterable[str | None]) -> Iterator[list[str]]:
+    """Pieces of texts in parts of about ``PART_CHARS``, so that long texts don't add up in memory."""
+    part, size = [], 0
+    for text in texts:
+        for piece in _pieces(text or ""):
+            if piece.strip():
+                part.append(piece)
+                size += len(piece)
             if size >= PART_CHARS:
                 yield part
                 part, size = [], 0
+    if part:
         yield part
 
 
-def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(level, gram, ends, total): occurrences of word ends, and those where a unit ends there."""
-    for texts in _parts(batches):
-        tokens = [t for text in texts if text and text.strip() for t in _tokens(text.rstrip())]
-        if not tokens:
-            continue
-        # A text starts with a line feed, so phrases and ends stop at its borders by themselves.
-        exact, alike, mark, dot, numeric, starts = _vocabulary.look([*tokens, "\n", "\n"])
-        whole = mark[1:-1] | (dot[1:-1] & ~numeric[2:] & ~dot[:-2])
-        grams = _grams(np.stack([exact[:-2], alike[:-2]]), _places(starts[:-2]))
-        for level, gram in enumerate(grams, 1):
-            unique, inverse = np.unique(gram.view(np.int64), return_inverse=True)
-            yield pd.DataFrame(
-                {
-                    "level": np.full(len(unique), level, dtype=np.int32),
-                    "gram": unique,
-                    "ends": np.bincount(inverse, weights=whole, minlength=len(unique)).astype(np.int64),
-                    "total": np.bincount(inverse, minlength=len(unique)).astype(np.int64),
-                }
-            )
+def _gram_counts(wanted: Broadcast) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """(level, gram, ends, total): occurrences of wanted phrases, and those where a unit ends there."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for texts in _parts(b["text"]):
+                tokens = _Tokens(texts)
+                for level, gram in enumerate(tokens.grams(), 1):
+                    at = np.flatnonzero(may_hold(wanted.value, gram))
+                    unique, inverse = np.unique(gram[at].view(np.int64), return_inverse=True)
+                    yield pd.DataFrame(
+                        {
+                            "level": np.full(len(unique), level, dtype=np.int32),
+                            "gram": unique,
+                            "ends": np.bincount(inverse, weights=tokens.ends[at], minlength=len(unique)).astype(np.int64),
+                            "total": np.bincount(inverse, minlength=len(unique)).astype(np.int64),
+                        }
+                    )
+
+    return count
 
 
 def inspect(text: str | None) -> tuple[str, str]:
@@ -186,22 +221,23 @@ def inspect(text: str | None) -> tuple[str, str]:
     if not text or not text.strip():
         return "whole", ""
     stripped = text.rstrip()
-    if BROKEN.search(stripped):
+    last = stripped[stripped.rfind("\n") + 1 :]
+    # The longest of each set of patterns tells how far back it can reach.
+    if BROKEN.search(stripped, max(0, len(stripped) - 100)) or BARE_ITEM.match(last):
         return "cut", ""
     if stripped.count("```") % 2:
         return "cut", ""
     if stripped.endswith("```"):
         return "whole", ""
-    last = stripped[stripped.rfind("\n") + 1 :]
     if last.lstrip().startswith("|"):
         rows = [r for r in stripped.split("\n") if r.lstrip().startswith("|")]
         widths = [r.count("|") for r in rows]
         return ("whole" if last.endswith("|") and last.count("|") >= max(widths[:-1], default=0) else "cut"), ""
     if last.count("**") % 2:
         return "cut", ""
-    if SIGN_OFF.search(stripped):
+    if SIGN_OFF.search(stripped, max(0, len(stripped) - 20)):
         return "whole", ""
-    if (mark := CUT_MARKS.search(stripped)) and not stripped.endswith("……"):
+    if (mark := CUT_MARKS.search(stripped, max(0, len(stripped) - 40))) and not stripped.endswith("……"):
         return "marked", stripped[: mark.start()].rstrip()
     clause = re.split(r"[。！？!?]", last)[-1]
     core = stripped.rstrip(QUOTES)
@@ -211,7 +247,7 @@ def inspect(text: str | None) -> tuple[str, str]:
         return ("open", core[:-1]) if core[-2:-1].isdigit() or re.search("[一-鿿]{4}", core[-12:]) else ("whole", "")
     if sum(clause.count(c) for c in _OPEN) > sum(clause.count(c) for c in _CLOSE) or clause.count('"') % 2:
         return "cut", ""
-    if re.search(r"(?:^|\n)\d{1,2}:\d{2}\n[^\n]{2,120}\n[A-Za-z0-9_\-一-鿿#?]{2,20}$", stripped):
+    if CARD.search(stripped, max(0, len(stripped) - 160)):
         return "whole", ""  # a recommendation card: duration, title, creator
     return "open", stripped
 
@@ -220,52 +256,84 @@ def inspect(text: str | None) -> tuple[str, str]:
 MEASURES = {"characters": 1, "utf16": 2, "utf8": 4, "gbk": 2, "html": 6, "html_utf8": 6, "json": 2, "json_utf8": 4, "json_ascii": 6, "crlf": 2, "crlf_utf8": 4}
 
 
-def with_lengths(rows: DataFrame, text: str, name: str = "lengths") -> DataFrame:
-    """``rows`` with an array of a text's lengths in the order of ``MEASURES``, a partial last character left out.
-
-    Each character class is counted once; the measures are sums over the counts.
-    """
-    whole = F.when(F.col(text).endswith("�"), F.regexp_replace(F.col(text), "�+$", "")).otherwise(F.col(text))
-    keep = rows.columns
-
-    def times(c: str):
-        return ((F.length("_t") - F.length(F.replace("_t", F.lit(c), F.lit("")))) / len(c)).cast("bigint")
-
-    base = rows.withColumn("_t", whole).withColumns(
-        {
-            "_n": F.length("_t"),
-            "_u8": F.octet_length("_t"),
-            "_u16": (F.octet_length(F.encode("_t", "UTF-16LE")) / 2).cast("bigint"),
-            "_amp": times("&"),
-            "_tag": times("<") + times(">"),
-            "_quote": times('"') + times("'"),
-            "_escape": times('"') + times("\\") + times("\n") + times("\r") + times("\t"),
-            "_feed": times("\n"),
-            "_crlf": times("\r\n"),
-            "_wide": F.length(F.regexp_replace("_t", r"[\x00-\x7f]+", "")),
-        }
-    )
-    n, u8 = F.col("_n"), F.col("_u8")
-    html = n + 4 * F.col("_amp") + 3 * F.col("_tag") + 5 * F.col("_quote")
-    feeds = F.col("_feed") - F.col("_crlf")
-    measures = {
-        "characters": n, "utf16": F.col("_u16"), "utf8": u8, "gbk": n + F.col("_wide"), "html": html, "html_utf8": html + u8 - n, "json": n + F.col("_escape"), "json_utf8": u8 + F.col("_escape"),
-        "json_ascii": n + F.col("_escape") + 5 * F.col("_wide"), "crlf": n + feeds, "crlf_utf8": u8 + feeds,
+def lengths_of(texts: Sequence[str]) -> np.ndarray:
+    """(texts x ``MEASURES``) lengths, a partial last character left out; each character class is counted once."""
+    texts = [t.rstrip("�") for t in texts]
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    n = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    ends = np.cumsum(n)
+
+    def times(flags: np.ndarray) -> np.ndarray:
+        upto = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
+        return upto[ends] - upto[ends - n]
+
+    wide, far = times(codes > 0x7F), times(codes > 0xFFFF)
+    u8 = n + wide + times(codes > 0x7FF) + far
+    feed = times(codes == 10)
+    pair = np.concatenate((codes[1:] == 10, [False])) & (codes == 13) if len(codes) else codes == 13
+    pair[ends[(n > 0) & (ends < len(codes))] - 1] = False  # not across two texts
+    feeds = feed - times(pair)
+    quotes = times(codes == 34)
+    html = n + 4 * times(codes == 38) + 3 * (times(codes == 60) + times(codes == 62)) + 5 * (quotes + times(codes == 39))
+    escape = quotes + times(codes == 92) + feed + times(codes == 13) + times(codes == 9)
+    sizes = {
+        "characters": n, "utf16": n + far, "utf8": u8, "gbk": n + wide, "html": html, "html_utf8": html + u8 - n, "json": n + escape, "json_utf8": u8 + escape,
+        "json_ascii": n + escape + 5 * wide, "crlf": n + feeds, "crlf_utf8": u8 + feeds,
     }
-    return base.select(*keep, F.array(*[measures[m].cast("bigint") for m in MEASURES]).alias(name))
+    return np.stack([sizes[m] for m in MEASURES], axis=1)
+
+
+_LENGTHS, _PHRASES = [f"_m{i}" for i in range(len(MEASURES))], [f"_p{i}" for i in range(1, len(PHRASES) + 1)]
+
+
+def _facts(rows: DataFrame, endings: bool = True) -> DataFrame:
+    """One scan of texts (column ``text``, replaced by what is told of it): copies' hash, whether it lacks a closing mark, lengths and, with ``endings``, its ending and what is to be looked up."""
+    keep = [c for c in rows.columns if c != "text"]
+    own = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    told = ["state", "short", "in_word", *_PHRASES] if endings else []
+    kinds = ["state string", "short int", "in_word boolean", *[f"{p} bigint" for p in _PHRASES]] if endings else []
+    schema = ", ".join([own, "_same bigint", "_open int", *[f"{m} bigint" for m in _LENGTHS], *kinds])
+
+    def one(b: pd.DataFrame) -> pd.DataFrame:
+        texts = list(b["text"])
+        out = b[[*keep, "_same"]].reset_index(drop=True)
+        out["_open"] = np.array([t.rstrip().rstrip(QUOTES)[-1:] not in (*CLOSING, ".", "…") for t in texts], dtype=np.int32)
+        out[_LENGTHS] = lengths_of(texts)
+        if endings:
+            states, rests = zip(*map(inspect, texts), strict=True)
+            asked = [i for i, (s, r) in enumerate(zip(states, rests, strict=True)) if s not in ("whole", "cut") and r]
+            grams, counts = np.zeros((len(texts), len(PHRASES)), dtype=np.int64), np.full(len(texts), LONGEST + 1)
+            grams[asked], counts[asked] = _tails([rests[i] for i in asked])
+            out["state"], out["short"] = states, np.where(counts <= TINY, 2, np.where(counts <= LONGEST, 1, 0)).astype(np.int32)
+            out["in_word"] = [r[-1:].isalpha() and not re.search("[\u3040-\u9fff]", r[-1:]) for r in rests]
+            out[_PHRASES] = grams
+        return out[[*keep, "_same", "_open", *_LENGTHS, *told]]
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            part = b["text"].str.len().cumsum() // PART_CHARS
+            for _, rows_of_part in b.groupby(part.to_numpy(), sort=True):
+                yield one(rows_of_part)
+
+    return rows.where(F.col("text").isNotNull()).select(*keep, "text", F.xxhash64("text").alias("_same")).mapInPandas(scan, schema)
 
 
 def hidden_limits(rows: DataFrame, groups: Sequence[str], text: str = "text") -> DataFrame:
     """(groups, measure, limit_length, width, texts): heaps of texts at any length of a group.
 
     At the greatest length all texts count; below it only those without a closing mark, since texts
-    that a limit cut stop anywhere, and they must stand out from both sides. Copies of a text count once.
+    that a limit cut stop anywhere, and they must stand out from both sides. Copies of a text count
+    once; null and empty texts don't count. Below a few widths there is nothing to stand out from.
     """
-    ended = F.rtrim(F.col(text), F.lit(BLANKS)).rlike(f"[{re.escape(CLOSING)}.…][{re.escape(QUOTES)}]*$")
-    rows = rows.where(F.length(text) > 20).select(*groups, F.col(text).alias("_text"), (~ended).cast("int").alias("_open"), F.xxhash64(text).alias("_same"))
-    sized = with_lengths(rows, "_text").select(*groups, "_same", "_open", "lengths").distinct().select(*groups, "_open", F.posexplode("lengths").alias("at", "length"))
+    names = [f"_s{i}" for i in range(len(groups))]
+    slim = rows.select(F.col(text).alias("text"), *[F.col(g).alias(n) for g, n in zip(groups, names, strict=True)]).where("text <> ''")
+    return _heaps(_facts(slim, endings=False), names).withColumnsRenamed(dict(zip(names, groups, strict=True)))
+
+
+def _heaps(facts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    sized = facts.dropDuplicates([*groups, "_same"]).select(*groups, "_open", F.posexplode(F.array(*_LENGTHS)).alias("at", "length"))
     names, widths = F.array(*[F.lit(m) for m in MEASURES]), F.array(*[F.lit(w) for w in MEASURES.values()])
-    counted = sized.groupBy(*groups, "at", "length").agg(F.count(F.lit(1)).alias("n"), F.sum("_open").alias("open"))
+    counted = sized.where("length > 0").groupBy(*groups, "at", "length").agg(F.count(F.lit(1)).alias("n"), F.sum("_open").alias("open"))
     lengths = counted.select(*groups, F.get(names, F.col("at")).alias("measure"), F.get(widths, F.col("at")).alias("width"), "length", "n", "open")
     # A histogram: one row per group, measure and length, whatever the number of texts.
     one = Window.partitionBy(*groups, "measure")
@@ -286,8 +354,10 @@ def hidden_limits(rows: DataFrame, groups: Sequence[str], text: str = "text") ->
             "open_above": F.coalesce(F.sum("open").over(around(1, BELOW)), F.lit(0)),
         }
     )
-    usual = (F.col("to_here") - F.col("texts")) / (BELOW - F.col("width")) * F.col("width")
-    usual_open = F.greatest((F.col("open_to_here") - F.col("open_texts")) / (BELOW - F.col("width")), F.col("open_above") / BELOW) * F.col("width")
+    below = F.least(F.lit(BELOW), F.col("length")) - F.col("width")  # as many lengths as there are
+    near = near.withColumn("below", below).where(F.col("below") >= HEAP_RATIO * F.col("width"))
+    usual = (F.col("to_here") - F.col("texts")) / F.col("below") * F.col("width")
+    usual_open = F.greatest((F.col("open_to_here") - F.col("open_texts")) / F.col("below"), F.col("open_above") / BELOW) * F.col("width")
     at_top = F.col("greatest") & (F.col("texts") >= HEAP) & (F.col("texts") >= HEAP_RATIO * (usual + 0.5))
     inside = (F.col("open_texts") >= HEAP) & (F.col("open_texts") >= HEAP_RATIO * (usual_open + 0.5)) & (F.col("open_texts") >= usual_open + DEVIATIONS * F.sqrt(usual_open + 1))
     # Of the lengths that share a heap, the one that holds most of it.
@@ -311,48 +381,29 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
     slim = rows.select(
         F.col(row_id).cast("string").alias("row_id"), F.col(text).alias("text"), *[c.alias(n) for c, n in zip(stores, names, strict=True)]
     ).where("row_id IS NOT NULL AND text IS NOT NULL")
-    limits = hidden_limits(slim, names, "text")
-    phrases = [f"g{n}" for n in range(1, len(PHRASES) + 1)]
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows whose ending is not whole by itself, with what is to be looked up."""
-        for b in batches:
-            at, out = [], []
-            for n, t in enumerate(b["text"]):
-                state, rest = inspect(t)
-                if state == "whole":
-                    continue
-                grams = _ending(rest) if state != "cut" and rest else (0,) * len(PHRASES)
-                count = len(_tokens(rest)) if len(rest) <= 80 and "\n" not in rest.strip() else LONGEST + 1
-                short = 2 if count <= TINY else 1 if count <= LONGEST else 0
-                at.append(n)
-                out.append((state, short, rest[-1:].isalpha() and not re.search("[\u3040-\u9fff]", rest[-1:]), *grams))
-            extra = pd.DataFrame(out, columns=["state", "short", "in_word", *phrases])
-            yield pd.concat([b.iloc[at].reset_index(drop=True), extra], axis=1)
-
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema)
-    unsure = slim.mapInPandas(judge, f"{own}, state string, short int, in_word boolean, " + ", ".join(f"{p} bigint" for p in phrases))
+    facts = cut_lineage(_facts(slim))
     # One row per group with its heaps: a small table whatever the number of texts.
-    heaps = limits.groupBy(*names).agg(F.collect_list(F.struct("measure", "width", "limit_length")).alias("heaps"))
+    heaps = _heaps(facts.where("_m0 > 0"), names).groupBy(*names).agg(F.collect_list(F.struct("measure", "width", "limit_length")).alias("heaps"))
     heaps = heaps.select(*[F.col(n).alias(f"h{n}") for n in names], "heaps")
-    held = with_lengths(unsure, "text").drop("text").join(heaps, [F.col(n).eqNullSafe(F.col(f"h{n}")) for n in names], "left")
+    unsure = facts.where("state <> 'whole'").withColumn("lengths", F.array(*_LENGTHS))
+    held = unsure.join(heaps, [F.col(n).eqNullSafe(F.col(f"h{n}")) for n in names], "left")
     names_of = F.array(*[F.lit(m) for m in MEASURES])
     at_limit = F.coalesce(
         F.exists("heaps", lambda h: F.get("lengths", F.array_position(names_of, h["measure"]).cast("int") - 1).between(h["limit_length"] - h["width"] + 1, h["limit_length"])), F.lit(False)
     )
     judged = held.withColumn("at_limit", at_limit).withColumn("state", F.when((F.col("state") == "marked") & F.col("at_limit"), "cut").otherwise(F.col("state")))
-    judged = cut_lineage(judged.select("row_id", "at_limit", "state", "short", "in_word", *phrases))
+    judged = cut_lineage(judged.select("row_id", "at_limit", "state", "short", "in_word", *_PHRASES))
     # What is cut by itself looks nothing up: it gets a key of its own that no phrase has.
     cut = F.col("state") == "cut"
     lookups = F.when(cut, F.array(F.struct(F.lit(0).alias("level"), F.xxhash64("row_id").alias("gram")))).otherwise(
-        F.array(*[F.struct(F.lit(n).alias("level"), F.col(p).alias("gram")) for n, p in enumerate(phrases, 1)])
+        F.array(*[F.struct(F.lit(n).alias("level"), F.col(p).alias("gram")) for n, p in enumerate(_PHRASES, 1)])
     )
     looked_up = judged.where(~cut).select(F.inline(lookups)).distinct()
     # Each text once: the end of a copy says nothing about its own ending.
     texts = slim.select(F.rtrim("text", F.lit(BLANKS)).alias("text")).distinct()
-    counts = texts.mapInPandas(_gram_counts, "level int, gram bigint, ends bigint, total bigint")
-    few = looked_up.limit(BROADCAST_PHRASES + 1).count() <= BROADCAST_PHRASES
-    counts = counts.join(F.broadcast(looked_up), ["level", "gram"], "left_semi") if few else counts
+    wanted_phrases = slim.sparkSession.sparkContext.broadcast(filter_of(looked_up.select("gram").distinct(), "gram", BROADCAST_PHRASES))
+    # What passes the filter unasked finds no partner in the join below.
+    counts = texts.mapInPandas(_gram_counts(wanted_phrases), "level int, gram bigint, ends bigint, total bigint")
     stats = counts.groupBy("level", "gram").agg(F.sum("ends").alias("ends"), F.sum("total").alias("total"))
     wanted = judged.select("row_id", "at_limit", "state", "short", "in_word", F.inline(lookups))
     known = wanted.join(stats, ["level", "gram"], "left")
