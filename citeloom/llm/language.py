@@ -62,10 +62,15 @@ def language(text: str) -> str | None:
     return "zh" if han >= 3 and han >= len(words) else best if latin else None
 
 
+_BEYOND_LATIN = re.compile(r"[0-9Ͱ-\U0010FFFF]")
+
+
 def is_pseudo_latin(sentence: str, least: int = 8) -> bool:
     """Whether a sentence is filler: Latin letters only, many words, none of them a function word."""
+    if _BEYOND_LATIN.search(sentence):
+        return False
     words = [w.lower() for w in _WORD.findall(sentence)]
-    if len(words) < least or re.search(r"[0-9Ͱ-\U0010FFFF]", sentence):
+    if len(words) < least:
         return False
     known = _lexicon()
     return not any(w in known for w in words) and len(set(words)) < 0.95 * len(words) + 1

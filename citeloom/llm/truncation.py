@@ -31,7 +31,7 @@ HEAP, HEAP_RATIO, BELOW = 5, 4.0, 60
 #: Below the greatest length there are many lengths to look at: a heap there is this many standard deviations above its surroundings.
 DEVIATIONS = 5.0
 #: Phrases that the broadcast filter is sized for (16 MB); with more of them it grows no further and lets more pass.
-BROADCAST_PHRASES = 8_000_000
+BROADCAST_PHRASES = 4_000_000
 #: Characters whose phrases are counted at once.
 PART_CHARS = 400_000
 #: Share of whole occurrences under which an ending counts as cut: usually, and at a limit.
