@@ -2,13 +2,17 @@
 
 A linear-chain conditional random field tags the clauses of an answer as answer, refusal, echo,
 foreign or unfinished; the coverage of the tags decides the defect of the pair. The field is
-trained here: on a bounded sample of the input (``TRAINING_ROWS`` rows in the order of a hash) with
-clauses labelled where their evidence is plain, and on copies of them with planted defects. A
-Gaussian prior around hand-set weights carries it where the input is too small to learn from.
+trained here on pairs whose tags are known because they were made: sound answers of a bounded
+sample of the input (``TRAINING_ROWS``) as they are, and the same with planted defects (refusals of
+a bank of wordings, the question in changed form and frame, answers to questions in another
+language, cuts). A Gaussian prior around hand-set weights carries it where the input is too small
+to learn from. Beside wording patterns the field reads how much a clause's character trigrams look
+like refusals, by log odds that are learned from the same sample.
 """
 
 from __future__ import annotations
 
+import random
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,6 +29,8 @@ from citeloom.llm.truncation import find_truncated, inspect
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 #: Rows of the input that the field is trained on at most, and the longest answer among them in characters.
 TRAINING_ROWS, TRAINING_CHARS = 3000, 20_000
+#: Sound clauses of a language for each of the bank's that let the language be learned.
+KNOWN = 5
 #: Share of a text's prose that a defect must cover.
 COVERAGE = 0.5
 
@@ -46,6 +52,27 @@ WANTED = {
     "fr": ("用法文", "用法语", "in french", "auf französisch", "en français", "en francés", "フランス語で"), "es": ("用西班牙文", "用西班牙语", "in spanish", "auf spanisch", "en espagnol", "en español", "スペイン語で"),
     "zh": ("用中文", "用汉语", "in chinese", "auf chinesisch", "en chinois", "en chino", "中国語で"), "ja": ("用日文", "用日语", "in japanese", "auf japanisch", "en japonais", "en japonés", "日本語で"),
 }
+# Whole refusals that are planted in training, by language; their wording is not that of the patterns.
+REFUSALS = {
+    "zh": (
+        "这类话题我不参与讨论。", "很抱歉，我没法为您解答这一点。", "按照使用规范，我不发表意见。", "这一问题暂时不在可以说明的内容之内。", "我需要跳过这个问题，请您谅解。", "对此我只能说声抱歉，恕不作答。", "目前我不对具体品牌作判断。", "很遗憾，我帮不了您这个忙。",
+    ),
+    "en": (
+        "I'd rather not weigh in on that.", "That is something I have to pass on.", "Answering this isn't possible for me.", "I must refrain from giving an opinion here.", "Sorry, this falls outside what I'm here to help with.", "My guidelines keep me from discussing particular brands.",
+        "I'm afraid I don't take positions on such questions.", "Unfortunately, there is nothing I may say about this.",
+    ),
+    "de": ("Dazu möchte ich mich nicht äußern.", "Leider bleibt mir hier nur, auf eine Antwort zu verzichten.", "Zu einzelnen Marken gebe ich keine Einschätzung ab.", "Diese Frage lasse ich lieber offen.", "Es tut mir leid, das liegt außerhalb meiner Aufgaben."),
+    "fr": ("Je préfère ne pas me prononcer sur ce sujet.", "Désolé, cela dépasse mon rôle.", "Je m'abstiens de donner un avis sur des marques.", "Malheureusement, je n'ai pas la possibilité de répondre.", "Cette question restera sans réponse de ma part."),
+    "es": ("Prefiero no pronunciarme sobre este tema.", "Lo siento, eso va más allá de mi función.", "No doy opiniones sobre marcas concretas.", "Lamentablemente, aquí no tengo nada que responder.", "Esta pregunta la dejo sin contestar."),
+    "ja": ("この件についてはお答えを控えます。", "申し訳ありませんが、ご質問には対応しておりません。", "特定のブランドについて意見は述べません。", "恐れ入りますが、こちらではご案内できません。"),
+}
+# Frames of a question that is said again, and of a refusal that somebody else is quoted with.
+FRAMES = (
+    "{q}", "{q}\n{q}", "关于“{q}”这个问题：", "您是想问“{q}”，对吗", "问题：{q}\n回答：{q}", "您的问题是：{q}", "Question: {q}\nAnswer: {q}", "Your question: {q}", "You asked: {q}", "Ihre Frage: {q}", "Sie fragen: {q}", "Votre question : {q}", "Su pregunta: {q}", "ご質問：{q}",
+)
+QUOTED = {"zh": "有用户抱怨客服总说“{r}”，后来才得到解释。", "en": "One buyer was told “{r}” by the shop and wrote to it again.", "de": "Ein Käufer hörte vom Laden nur „{r}“ und schrieb noch einmal.", "fr": "Un acheteur a reçu la réponse « {r} » et a écrit encore.", "es": "Un comprador recibió la respuesta «{r}» y escribió otra vez."}
+#: Words that frame a question said again.
+FRAME = re.compile(r"问题|回答|想问|对吗|关于|ご質問|\b(?:question|answer|asked|frage|fragen|antwort|réponse|pregunta|respuesta)\b", re.I)
 #: Strings of which a text holds one wherever the patterns of refusals and courtesies find something.
 HINTS = {
     "REFUSING": (
@@ -59,9 +86,14 @@ HINTS = {
 #: How a question asks for sources, and words around a repeated question.
 SOURCES = r"请结合公开资料说明，?并列出来源|请查阅公开网页后作答，?附上出处|麻烦给出依据和链接|Please use public pages and list your sources|Cite where you found it|Bitte mit Quellen|Merci de citer les sources|Cita las fuentes, por favor"
 
+_ASKED_SOURCES = re.compile(SOURCES)
 _MARKUP = re.compile(r"<[^<>]{1,60}>|&(?:[A-Za-z]{2,8}|#x?[0-9A-Fa-f]{1,6});|[​-‏⁠-⁤﻿]")
 _DIGIT = re.compile(r"\d")
 _LETTERS = re.compile(r"[^\W_]", re.U)
+_NO_LETTERS = re.compile(r"[\W_]+", re.U)
+_QUOTATION = re.compile(r"“[^”]*”|\"[^\"]*\"|「[^」]*」|‘[^’]*’|„[^“”]*[“”]|«[^»]*»")
+_REPORTED = re.compile(r"(?:客服|门店|店员|商家|用户|品牌)[^。]{0,8}(?:表示|说|回复|称)")
+_APOLOGY = re.compile(r"\W*(?:很?抱歉|对不起|非常遗憾|sorry|unfortunately|leider|es tut|je suis désolé|lo siento)", re.I)
 #: What a text in Chinese holds wherever ``language`` calls it another: two words in Latin letters, or kana.
 _NOT_CHINESE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿß]+[^A-Za-zÀ-ÖØ-öø-ÿß]+[A-Za-zÀ-ÖØ-öø-ÿß]|[぀-ヿ]")
 #: What lower() leaves apart and a pattern without case takes for one.
@@ -96,7 +128,7 @@ def expected_language(question: str | None) -> str | None:
 
 def _fold(text: str) -> str:
     """Letters and digits only, case folded: what a change of form leaves alone."""
-    return "".join(_LETTERS.findall(text.casefold()))
+    return _NO_LETTERS.sub("", text.casefold())
 
 
 def _grams(folded: str, n: int = 3) -> set[str]:
@@ -107,43 +139,155 @@ def clauses(text: str) -> list[str]:
     return [m[0] for m in _CLAUSE.finditer(text) if m[0].strip()]
 
 
-FEATURES = ("bias", "refusing", "quoted", "courtesy", "apology_start", "echo", "echo_most", "asked_words", "foreign", "native", "last", "cut", "digits", "short", "first", "mark_only", "near_refusing")
+class Lexicon:
+    """Log odds of character trigrams to stand in a refusal, by hash."""
+
+    SIZE = 1 << 16
+    #: Mean log odds from which a clause counts as rather, much and very much like a refusal, and neutral trigrams that each clause has besides its own, so that a few say little.
+    STEPS, NEUTRAL = (0.35, 0.6, 0.9), 20
+
+    def __init__(self, odds: np.ndarray | None = None):
+        self.odds = np.zeros(self.SIZE, dtype=np.float32) if odds is None else odds
+
+    @staticmethod
+    def _hashes(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all trigrams and the clause that each belongs to."""
+        codes = np.frombuffer("".join(parts).lower().encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+        sizes = np.fromiter((len(p.lower()) for p in parts), dtype=np.int64, count=len(parts))
+        owner = np.repeat(np.arange(len(parts)), sizes)
+        if len(codes) < 3:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        same = owner[:-2] == owner[2:]
+        with np.errstate(over="ignore"):
+            h = (codes[:-2] * np.uint64(0x9E3779B97F4A7C15) + codes[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + codes[2:] * np.uint64(0x165667B19E3779F9)) >> np.uint64(48)
+        return h[same].astype(np.int64), owner[:-2][same]
+
+    @classmethod
+    def learn(cls, refusals: list[str], sound: list[str]) -> Lexicon:
+        """The odds between clauses of refusals and of sound answers; each clause counts a trigram once."""
+        counts = []
+        for parts in (refusals, sound):
+            h, owner = cls._hashes(parts)
+            pairs = np.unique(owner * cls.SIZE + h)
+            counts.append((np.bincount(pairs % cls.SIZE, minlength=cls.SIZE), max(1, len(parts))))
+        (bad, n), (good, m) = counts
+        seen = bad + good
+        odds = np.log((bad + 0.2) / (n + 1)) - np.log((good + 0.2) / (m + 1))
+        # What was seen seldom says little, what was never seen nothing.
+        return cls((np.clip(odds, -3, 3) * seen / (seen + 2)).astype(np.float32) if refusals and sound else None)
+
+    def scores(self, parts: list[str]) -> np.ndarray:
+        """Mean log odds of each clause, quotations left out."""
+        parts = [_QUOTATION.sub("", p) for p in parts]
+        h, owner = self._hashes(parts)
+        sums = np.bincount(owner, weights=self.odds[h], minlength=len(parts))
+        return sums / (self.NEUTRAL + np.bincount(owner, minlength=len(parts)))
+
+
+FEATURES = (
+    "bias", "refusing", "quoted", "courtesy", "apology_start", "near_refusing", "like_refusal", "much_like_refusal", "very_like_refusal", "echo", "echo_most", "echo_some", "frame", "after_echo", "frame_after_echo", "foreign", "native", "last", "cut", "digits", "short", "first", "mark_only",
+)
+_BIT = {name: 1 << i for i, name in enumerate(FEATURES)}
 
 
-def clause_features(question: str | None, answer: str, cut: bool) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """(clauses x FEATURES, letters per clause that count as prose, clauses)."""
-    parts = clauses(answer)
-    wanted = expected_language(question)
-    asked = _fold(question or "")
-    asked_less = _fold(re.sub(SOURCES, "", question or ""))
-    asked_grams = _grams(asked)
-    x = np.zeros((len(parts), len(FEATURES)))
-    size = np.zeros(len(parts))
-    whole = language(prose(answer))
-    # What the whole answer does not hold, no clause holds.
+def _said(parts: list[str], answer: str, screen: bool) -> tuple[list[int], bool]:
+    """Bits of what a clause's wording tells, and whether any clause holds a refusal's."""
     lower = answer.lower() if answer.isascii() else answer.lower().translate(_CASES)
-    may_refuse, may_excuse = (any(h in lower for h in HINTS[n]) and _any(n).search(answer) is not None for n in ("REFUSING", "COURTESY"))
+    may_refuse, may_excuse = ((not screen or any(h in lower for h in HINTS[n])) and _any(n).search(answer) is not None for n in ("REFUSING", "COURTESY"))
+    if not (may_refuse or may_excuse):
+        return [0] * len(parts), False
+    bits = []
+    for part in parts:
+        outside = _QUOTATION.sub("", part)
+        refusing = may_refuse and _any("REFUSING").search(outside) is not None and not _REPORTED.search(part)
+        bit = _BIT["refusing"] if refusing else _BIT["quoted"] if may_refuse and _any("REFUSING").search(part) else 0
+        if may_excuse and _any("COURTESY").search(outside):
+            bit |= _BIT["courtesy"]
+        if _APOLOGY.match(part):
+            bit |= _BIT["apology_start"]
+        bits.append(bit)
+    at = [i for i, bit in enumerate(bits) if bit & _BIT["refusing"]]
+    for i in {j for k in at for j in range(max(0, k - 2), min(len(bits), k + 3))}:
+        bits[i] |= _BIT["near_refusing"]
+    return bits, bool(at)
+
+
+class _Question:
+    """What the clauses of an answer are compared with."""
+
+    def __init__(self, question: str | None):
+        self.wanted = expected_language(question)
+        self.asked = _fold(question or "")
+        self.less = _fold(_ASKED_SOURCES.sub("", question or ""))
+        self.grams = _grams(self.asked)
+
+
+def clause_bits(question: str | None, answer: str, cut: bool, parts: list[str], like: np.ndarray, screen: bool = True) -> tuple[list[int], list[int], list[int]]:
+    """(bits of FEATURES, letters that count as prose, letters) of each clause."""
+    q = _Question(question)
+    said_bits, _ = _said(parts, answer, screen)
+    whole = language(prose(answer))
     chinese = whole == "zh"
-    refusing = []
+    bits, sizes, letters = [], [], []
+    after_echo = 0
     for i, part in enumerate(parts):
         folded = _fold(part)
         said = prose(_INTRO.sub("", part) if ":" in part or "：" in part else part)
-        size[i] = len(folded) if said is part else len(_LETTERS.findall(said))
-        outside = part if not (may_refuse or may_excuse) else re.sub(r"“[^”]*”|\"[^\"]*\"|「[^」]*」|‘[^’]*’", "", part)
-        refusing.append(may_refuse and bool(_any("REFUSING").search(outside)) and not re.search(r"(?:客服|门店|店员|商家|用户|品牌)[^。]{0,8}(?:表示|说|回复|称)", part))
+        n = len(folded)
+        size = n if said is part else len(_NO_LETTERS.sub("", said))
+        bit = _BIT["bias"] | said_bits[i] | after_echo
+        after_echo = 0
         # A clause of more than twice the question's length cannot be mostly the question.
-        own = _grams(folded) if asked and 4 <= len(folded) <= 2 * len(asked) + 4 else set()
-        overlap = len(own & asked_grams) / len(own) if own else 0.0
-        holds = bool(asked_less) and len(asked_less) >= 6 and asked_less in folded
-        lang = None if size[i] < 8 else whole if chinese and not _NOT_CHINESE.search(said) else language(said) or whole
-        x[i] = (
-            1, refusing[i], may_refuse and bool(_any("REFUSING").search(part)) and not refusing[i], may_excuse and bool(_any("COURTESY").search(outside)), bool(re.match(r"\W*(?:很?抱歉|对不起|非常遗憾|sorry|unfortunately|leider|es tut|je suis désolé|lo siento)", part, re.I)),
-            overlap >= 0.8 or holds, overlap >= 0.5, overlap, bool(wanted and lang and lang != wanted), bool(wanted and lang == wanted), i == len(parts) - 1, cut and i == len(parts) - 1, _DIGIT.search(part) is not None, len(folded) < 8, i == 0, not folded, 0,
-        )
-    at = FEATURES.index("near_refusing")
-    for i in range(len(parts)):
-        x[i, at] = any(refusing[max(0, i - 2) : i + 3])
-    return x, size, parts
+        if q.asked and 4 <= n <= 2 * len(q.asked) + 4:
+            own = _grams(folded)
+            overlap = len(own & q.grams) / len(own)
+            if overlap >= 0.8:
+                bit |= _BIT["echo"]
+            if overlap >= 0.5:
+                bit |= _BIT["echo_most"]
+            if overlap >= 0.25:
+                bit |= _BIT["echo_some"]
+        if len(q.less) >= 6 and q.less in folded:
+            bit |= _BIT["echo"]
+        if bit & _BIT["echo"]:
+            after_echo = _BIT["after_echo"]
+        if n <= 40 and FRAME.search(part):
+            bit |= _BIT["frame"]
+        for step, name in zip(Lexicon.STEPS, ("like_refusal", "much_like_refusal", "very_like_refusal"), strict=True):
+            if like[i] >= step:
+                bit |= _BIT[name]
+        lang = None if size < 8 else whole if chinese and not _NOT_CHINESE.search(said) else language(said) or whole
+        if q.wanted and lang:
+            bit |= _BIT["native" if lang == q.wanted else "foreign"]
+        if i == len(parts) - 1:
+            bit |= _BIT["last"] | (_BIT["cut"] if cut else 0)
+        if _DIGIT.search(part):
+            bit |= _BIT["digits"]
+        if n < 8:
+            bit |= _BIT["short"]
+            if bit & _BIT["after_echo"] and (bit & _BIT["frame"] or not n):
+                bit |= _BIT["frame_after_echo"]
+        if i == 0:
+            bit |= _BIT["first"]
+        if not n:
+            bit |= _BIT["mark_only"]
+        bits.append(bit)
+        sizes.append(size)
+        letters.append(n)
+    return bits, sizes, letters
+
+
+def _matrix(bits: list[int] | tuple[int, ...]) -> np.ndarray:
+    return ((np.array(bits, dtype=np.int64)[:, None] >> np.arange(len(FEATURES))) & 1).astype(float)
+
+
+def clause_features(question: str | None, answer: str, cut: bool, lexicon: Lexicon | None = None) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(clauses x FEATURES, letters per clause that count as prose, clauses)."""
+    parts = clauses(answer)
+    if not parts:
+        return np.zeros((0, len(FEATURES))), np.zeros(0), parts
+    bits, sizes, _ = clause_bits(question, answer, cut, parts, (lexicon or Lexicon()).scores(parts))
+    return _matrix(bits), np.array(sizes, dtype=float), parts
 
 
 def prior() -> tuple[np.ndarray, np.ndarray]:
@@ -151,8 +295,8 @@ def prior() -> tuple[np.ndarray, np.ndarray]:
     w = np.zeros((len(TAGS), len(FEATURES)))
     for tag, values in {
         "answer": {"bias": 1.0, "native": 1.0, "digits": 0.8, "quoted": 1.0},
-        "refusal": {"bias": -1.5, "refusing": 5.0, "courtesy": 2.2, "near_refusing": 2.0, "apology_start": 0.6, "digits": -1.0, "echo": -2.0},
-        "echo": {"bias": -2.0, "echo": 5.0, "echo_most": 1.5, "asked_words": 1.0},
+        "refusal": {"bias": -1.5, "refusing": 5.0, "courtesy": 2.2, "near_refusing": 2.0, "like_refusal": 0.3, "much_like_refusal": 0.7, "very_like_refusal": 1.0, "apology_start": 0.6, "digits": -1.0, "short": -1.0, "echo": -2.0},
+        "echo": {"bias": -2.0, "echo": 5.0, "echo_most": 2.5, "echo_some": 0.5, "frame": 2.0, "after_echo": 1.0, "frame_after_echo": 2.0},
         "foreign": {"bias": -2.0, "foreign": 5.0, "native": -3.0},
         "unfinished": {"bias": -3.0, "cut": 6.5, "last": 0.3},
     }.items():
@@ -217,68 +361,143 @@ def decode(x: np.ndarray, w: np.ndarray, t: np.ndarray) -> np.ndarray:
     return np.array(tags[::-1])
 
 
-def plain_labels(x: np.ndarray) -> np.ndarray | None:
-    """Tags where the evidence is plain; None where a clause's is not."""
-    f = {name: x[:, i] > 0.5 for i, name in enumerate(FEATURES)}
-    refused = f["refusing"].any()
-    y = np.zeros(len(x), dtype=int)
-    y[f["foreign"]] = TAGS.index("foreign")
-    y[f["refusing"] | (refused & f["courtesy"])] = TAGS.index("refusal")
-    y[f["echo"]] = TAGS.index("echo")
-    y[f["cut"]] = TAGS.index("unfinished")
-    unsure = refused & ~(f["refusing"] | f["courtesy"] | f["echo"] | f["digits"] | f["foreign"])
-    return None if unsure.any() else y
+def _made(pieces: list[tuple[str, str]]) -> tuple[str, list[str]]:
+    """The text of pieces (text, tag) and the tag of each clause: that of the piece most of it stands in."""
+    text, owner = "".join(p for p, _ in pieces), []
+    for p, tag in pieces:
+        owner += [tag] * len(p)
+    tags = []
+    for m in _CLAUSE.finditer(text):
+        if m[0].strip():
+            inside = owner[m.start() : m.end()]
+            tags.append(max(set(inside), key=lambda k: (inside.count(k), k)))
+    return text, tags
 
 
-def training_set(rows: list[tuple[str | None, str | None, bool]]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Labelled clauses of a sample, with copies that have the question repeated or belong to another one."""
+def planted(rows: list[tuple[str | None, str | None, bool]], seed: int = 0) -> list[tuple[str | None, str, bool, list[str]]]:
+    """(question, answer, cut, tag of each clause) made of sound rows: some as they are, some with a defect put in.
+
+    Rows where the prior sees a defect are left out, so that no defect is called sound. What is
+    made depends on the rows and the seed alone.
+    """
+    prior_w, prior_t = prior()
+    sound = [(q, a, c) for q, a, c in rows if q and a and not c and defect(q, a, c, prior_w, prior_t) is None]
+    by_language: dict[str, list[str]] = {}
+    for _, a, _ in sound:
+        by_language.setdefault(language(prose(a)) or "", []).append(a)
     out = []
-    others = [q for q, _, _ in rows if q]
-    for i, (question, answer, cut) in enumerate(rows):
-        if is_empty(answer):
-            continue
-        variants = [(question, answer, cut)]
-        if question and i % 5 == 0:
-            variants += [(question, question, False), (question, f"{question}\n{answer}", cut), (others[(i * 7 + 3) % len(others)], answer, cut)]
-        for q, a, c in variants:
-            x, _, _ = clause_features(q, a, c)
-            if len(x) and len(x) <= 40 and (y := plain_labels(x)) is not None:
-                out.append((x, y))
+    for i, (q, a, _) in enumerate(sound):
+        rng = random.Random(f"{seed} {i}")
+        lang = expected_language(q) or ""
+        bank, kind = REFUSALS.get(lang, REFUSALS["en"]), i % 8
+        pieces, cut = [(a, "answer")], False
+        if kind == 1:
+            pieces = [(r + " ", "refusal") for r in rng.sample(bank, rng.randint(1, 3))]
+        elif kind == 2:
+            core = rng.choice([q, q, _ASKED_SOURCES.sub("", q), q.upper(), q.rstrip("?？。.!")])
+            pieces = [(rng.choice(FRAMES).format(q=core.replace("{", "").replace("}", "")), "echo")]
+        elif kind == 3 and (others := [k for k in by_language if k and k != lang]) and lang:
+            pieces = [(rng.choice(by_language[rng.choice(sorted(others))]), "foreign")]
+        elif kind == 4 and len(a) > 12:
+            last = a.rstrip()
+            at = rng.randint(len(last) // 2, len(last) - 3)
+            start = max([0, *(m.end() for m in re.finditer(r"[。！？!?\n]|\. ", last[:at]))])
+            pieces, cut = [(last[:start], "answer"), (last[start:at], "unfinished")], True
+        elif kind == 5:
+            pieces = [(f"{q}\n", "echo"), (a, "answer")]
+        elif kind == 6 and lang in QUOTED:
+            pieces = [(QUOTED[lang].format(r=rng.choice(bank).rstrip("。.")) + " ", "answer"), (a, "answer")]
+        elif kind == 7:
+            pieces = [("".join(re.findall(r"[A-Za-zÀ-ÿ'’]+ ?|.", rng.choice(clauses(a)).strip())[: rng.randint(1, 6)]), "answer")]
+        text, tags = _made([p for p in pieces if p[0]])
+        if tags:
+            # A frame may end in a colon, which problem 1 takes for a cut.
+            out.append((q, text, tags[-1] == "unfinished" if cut else kind == 2 and inspect(text)[0] == "cut", tags))
     return out
 
 
-def defect(question: str | None, answer: str | None, cut: bool, w: np.ndarray, t: np.ndarray) -> str | None:
-    """The defect of one pair, or None: empty, copy, refusal, wrong_language, truncated, in this order."""
-    if is_empty(answer):
-        return "empty"
-    x, size, parts = clause_features(question, answer, cut)
-    if not len(x):
-        return "empty"
-    tags = decode(x, w, t)
-    letters = np.array([len(_LETTERS.findall(p)) for p in parts], dtype=float)
-    cover = {tag: letters[tags == k].sum() for k, tag in enumerate(TAGS)}
-    total = max(1.0, letters.sum())
-    if question and _is_copy(question, answer):
-        return "copy"
-    if x[:, FEATURES.index("refusing")].any() and cover["refusal"] / total >= COVERAGE:
-        return "refusal"
-    told = size.sum()
-    if told >= 8 and size[tags == TAGS.index("foreign")].sum() / told >= COVERAGE:
-        return "wrong_language"
-    return "truncated" if cut and tags[-1] == TAGS.index("unfinished") else None
-
-
-def _is_copy(question: str, answer: str) -> bool:
-    """Whether an answer covers nothing but the question, with or without its request for sources and a few words around it."""
-    said = _fold(answer)
-    for asked in dict.fromkeys((_fold(question), _fold(re.sub(SOURCES, "", question)))):
-        if len(asked) >= 4 and asked in said:
-            left = said.replace(_fold(question), "").replace(asked, "")
-            for request in (_fold(m) for m in re.findall(SOURCES, question)):
-                left = left.replace(request, "")
-            if len(left) <= (14 if re.search("[぀-鿿]", left) else 40) and not re.search(r"\d", left):
-                return True
-    return False
+def learn_lexicon(rows: list[tuple[str | None, str | None, bool]]) -> Lexicon:
+    """Odds from the bank and from answers that the prior calls refusals, against sound answers.
+
+    A language is learned where sound answers hold ``KNOWN`` times as many of its clauses as the bank, else the language itself would look like a refusal.
+    """
+    w, t = prior()
+    bad: dict[str | None, list[str]] = {lang: [c for r in bank for c in clauses(r)] for lang, bank in REFUSALS.items()}
+    good: dict[str | None, list[str]] = {}
+    least = {lang: KNOWN * len(parts) for lang, parts in bad.items()}
+    for q, a, c in rows:
+        kind = defect(q, a, c, w, t)
+        if a and kind in ("refusal", None):
+            (bad if kind else good).setdefault(language(prose(a)), []).extend(clauses(a))
+    known = [lang for lang in least if len(good.get(lang, ())) >= least[lang]]
+    return Lexicon.learn([c for lang in known for c in bad[lang]], [c for lang in known for c in good[lang]])
+
+
+def training_set(rows: list[tuple[str | None, str | None, bool]], lexicon: Lexicon | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Clauses of a sample's rows, sound or with planted defects, with their tags."""
+    return [(clause_features(q, a, c, lexicon)[0], np.array([TAGS.index(t) for t in tags])) for q, a, c, tags in planted(rows)]
+
+
+class Model:
+    """A fitted field with its lexicon; tags of equal clause features are remembered."""
+
+    MEMORY = 50_000
+
+    def __init__(self, lexicon: Lexicon, w: np.ndarray, t: np.ndarray):
+        self.lexicon, self.w, self.t = lexicon, w, t
+        self._known: dict[tuple[int, ...], np.ndarray] = {}
+
+    def tags(self, bits: list[int]) -> np.ndarray:
+        key = tuple(bits)
+        if (found := self._known.get(key)) is None:
+            if len(self._known) >= self.MEMORY:
+                self._known.clear()
+            found = self._known[key] = decode(_matrix(bits), self.w, self.t)
+        return found
+
+    def defects(self, rows: list[tuple[str | None, str | None, bool]]) -> list[str | None]:
+        """The defect of each pair or None: empty, copy, refusal, wrong_language, truncated, in this order.
+
+        A copy is covered by echo without any clause tagged as answer; a refusal and a foreign answer
+        are covered by their tags; a truncated answer ends with an unfinished clause.
+        """
+        parts = [[] if is_empty(a) else clauses(a) for _, a, _ in rows]  # type: ignore[arg-type]
+        like = self.lexicon.scores([p for ps in parts for p in ps])
+        out, at = [], 0
+        for (question, answer, cut), ps in zip(rows, parts, strict=True):
+            if not ps:
+                out.append("empty")
+                continue
+            bits, sizes, letters = clause_bits(question, answer, cut, ps, like[at : at + len(ps)])  # type: ignore[arg-type]
+            at += len(ps)
+            tags = self.tags(bits)
+            cover = [0] * len(TAGS)
+            foreign = 0
+            for tag, size, n in zip(tags, sizes, letters, strict=True):
+                cover[tag] += n
+                foreign += size if tag == 3 else 0
+            total, told = max(1, sum(letters)), sum(sizes)
+            answered, refused, echoed = cover[0], cover[1], cover[2]
+            if echoed >= COVERAGE * total and not answered:
+                out.append("copy")
+            elif refused >= COVERAGE * total:
+                out.append("refusal")
+            elif told >= 8 and foreign >= COVERAGE * told:
+                out.append("wrong_language")
+            else:
+                out.append("truncated" if cut and tags[-1] == 4 else None)
+        return out
+
+
+def defect(question: str | None, answer: str | None, cut: bool, w: np.ndarray, t: np.ndarray, lexicon: Lexicon | None = None) -> str | None:
+    """The defect of one pair by ``Model.defects``."""
+    return Model(lexicon or Lexicon(), w, t).defects([(question, answer, cut)])[0]
+
+
+def train(rows: list[tuple[str | None, str | None, bool]]) -> Model:
+    """A model of a sample's rows (question, answer, whether the answer's end is broken by itself)."""
+    lexicon = learn_lexicon(rows)
+    return Model(lexicon, *fit(training_set(rows, lexicon)))
 
 
 def pair_defects(
@@ -296,18 +515,22 @@ def pair_defects(
     ).where("row_id IS NOT NULL")
     residues = template_residue(slim, "row_id", "question", "answer").select("row_id").distinct()
     cuts = find_truncated(slim, "row_id", "answer", [f"g_{g}" for g in groups]).select("row_id", F.lit(True).alias("cut"))
-    once = slim.groupBy("row_id").agg(F.min(F.struct("question", "answer")).alias("p")).select("row_id", "p.*")
-    pairs = once.join(residues, "row_id", "left_anti").join(cuts, "row_id", "left").withColumn("cut", F.coalesce("cut", F.lit(False)))
-    # A bounded sample, the same rows at every run: the least hashes of the ids.
-    sample = once.where(F.length("answer") <= TRAINING_CHARS).orderBy(F.xxhash64("row_id"), "row_id").limit(training_rows).select("question", "answer").collect()
-    w, t = fit(training_set([(r.question, r.answer, inspect(r.answer)[0] == "cut") for r in sample]))
+
+    def each_once(df: DataFrame) -> DataFrame:
+        return df.groupBy("row_id").agg(F.min(F.struct("question", "answer")).alias("p")).select("row_id", "p.*")
+
+    pairs = each_once(slim).join(residues, "row_id", "left_anti").join(cuts, "row_id", "left").withColumn("cut", F.coalesce("cut", F.lit(False)))
+    # A bounded sample, the same rows at every run: a share of the hashes of ids about as large as the sample, cut to its size.
+    share = max(1, slim.count() // max(1, training_rows))
+    hashed = F.xxhash64("row_id")
+    few = each_once(slim.where(F.pmod(hashed, F.lit(share)) == 0)).where(F.length("answer") <= TRAINING_CHARS)
+    sample = few.orderBy(hashed, "row_id").limit(training_rows).select("question", "answer").collect()
+    model = slim.sparkSession.sparkContext.broadcast(train([(r.question, r.answer, inspect(r.answer)[0] == "cut") for r in sample]))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = []
-            for i, q, a, c in zip(b["row_id"], b["question"], b["answer"], b["cut"], strict=True):
-                if (kind := defect(q, a, bool(c), w, t)) is not None:
-                    found.append((i, kind))
+            kinds = model.value.defects(list(zip(b["question"], b["answer"], map(bool, b["cut"]), strict=True)))
+            found = [(i, kind) for i, kind in zip(b["row_id"], kinds, strict=True) if kind is not None]
             yield pd.DataFrame(found, columns=["row_id", "defect_type"])
 
     return pairs.mapInPandas(judge, "row_id string, defect_type string")
