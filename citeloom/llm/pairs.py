@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.language import language, prose
+from citeloom.llm.screens import _CASES, hints_in  # noqa: F401
 from citeloom.llm.templates import template_residue
 from citeloom.llm.truncation import find_truncated, inspect
 
@@ -71,16 +72,22 @@ FRAMES = (
     "{q}", "{q}\n{q}", "关于“{q}”这个问题：", "您是想问“{q}”，对吗", "问题：{q}\n回答：{q}", "您的问题是：{q}", "Question: {q}\nAnswer: {q}", "Your question: {q}", "You asked: {q}", "Ihre Frage: {q}", "Sie fragen: {q}", "Votre question : {q}", "Su pregunta: {q}", "ご質問：{q}",
 )
 QUOTED = {"zh": "有用户抱怨客服总说“{r}”，后来才得到解释。", "en": "One buyer was told “{r}” by the shop and wrote to it again.", "de": "Ein Käufer hörte vom Laden nur „{r}“ und schrieb noch einmal.", "fr": "Un acheteur a reçu la réponse « {r} » et a écrit encore.", "es": "Un comprador recibió la respuesta «{r}» y escribió otra vez."}
-#: Words that frame a question said again.
+#: Words that frame a question said again, looked for in answers that repeat any of it.
 FRAME = re.compile(r"问题|回答|想问|对吗|关于|ご質問|\b(?:question|answer|asked|frage|fragen|antwort|réponse|pregunta|respuesta)\b", re.I)
-#: Strings of which a text holds one wherever the patterns of refusals and courtesies find something.
+_UNABLE = ("没有办法", "无法", "不能", "不便", "不方便", "不会", "拒绝")
+_TO_DO = ("就", "对", "给出", "提供", "回答", "回应", "作出", "评论", "讨论", "透露", "协助", "满足", "处理", "继续")
+#: Strings of which a text in lower case holds one wherever the patterns of refusals and courtesies find something.
 HINTS = {
     "REFUSING": (
-        "没有办法", "无法", "不能", "不便", "不方便", "不会", "拒绝", "问题我不", "帮不上", "没学会", "超出", "范围", "不予", "恕", "i c", "i w", "i a", "i h", "i m", "i d", "we ", "decline", "keep me", "outside of", "not able", "not allowed", "not permitted", "ich", "je ", "m'est", "m’est", "sort de", "auskunft", "puedo", "queda fuera", "abstenerme", "posible", "お答え", "回答", "コメント",
+        *[a + b for a in _UNABLE for b in _TO_DO], "问题我不", "暂时不", "帮不上忙", "还没学会", "超出我", "超出了我", "不在我的", "不予", "恕",
+        "cannot", "can't", "can’t", "could not", "won't", "wont", "will not", "be able to", "not able", "unable to", "decline", "keep me from", "outside of what i", "not allowed", "not permitted",
+        "kann ich", "darf ich", "möchte ich", "muss ich", "ich kann", "ich darf", "ich muss", "keine auskunft", "je ne ", "sort de ce que je", "est impossible", "je dois ", "no puedo ", "queda fuera de", "debo abstenerme", "no me es posible",
+        "お答え", "回答でき", "回答いたしかね", "回答は控え", "コメントでき", "コメントいたしかね", "コメントは控え",
     ),
     "COURTESY": (
-        "抱歉", "对不起", "遗憾", "感谢", "谅", "换个", "聊点", "其他", "别的", "专业人士", "不准确", "倾向", "如果愿意", "官方渠道", "直接咨询", "一般常识", "sorry", "unfortunately", "apologies", "thank you", "as an assistant", "another question", "anything else", "a professional", "shopping tips", "one-sided", "better contact", "leider", "tut mir", "frage", "einkaufstipps", "désolé",
-        "malheureusement", "autre question", "conseils", "lo siento", "lamentablemente", "otra pregunta", "consejos", "申し訳", "恐れ入り",
+        "抱歉", "对不起", "遗憾", "感谢您的提问", "感谢提问", "敬请谅解", "见谅", "换个问题", "换个话题", "聊点别的", "其他方面的内容", "问我其他", "问我别的", "咨询专业人士", "给出不准确", "带倾向", "如果愿意", "以官方渠道发布", "直接咨询", "一般常识",
+        "sorry", "unfortunately", "apologies", "thank you for asking", "as an assistant", "try another question", "anything else you need", "ask a professional", "general shopping tips", "one-sided", "better contact",
+        "leider", "tut mir leid", "andere frage", "allgemeine einkaufstipps", "désolé", "malheureusement", "autre question", "conseils généraux", "lo siento", "lamentablemente", "otra pregunta", "consejos generales", "申し訳", "恐れ入り",
     ),
 }
 #: How a question asks for sources, and words around a repeated question.
@@ -96,8 +103,6 @@ _REPORTED = re.compile(r"(?:客服|门店|店员|商家|用户|品牌)[^。]{0,8
 _APOLOGY = re.compile(r"\W*(?:很?抱歉|对不起|非常遗憾|sorry|unfortunately|leider|es tut|je suis désolé|lo siento)", re.I)
 #: What a text in Chinese holds wherever ``language`` calls it another: two words in Latin letters, or kana.
 _NOT_CHINESE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿß]+[^A-Za-zÀ-ÖØ-öø-ÿß]+[A-Za-zÀ-ÖØ-öø-ÿß]|[぀-ヿ]")
-#: What lower() leaves apart and a pattern without case takes for one.
-_CASES = {0x17F: "s", 0x131: "i", 0x307: None}
 _CLAUSE = re.compile(r"[^。！？!?\n；;.]*(?:\.(?!\s|$)[^。！？!?\n；;.]*)*(?:[。！？!?\n；;.]+[”\"’'）)」』]*|$)")
 _INTRO = re.compile(r"^[^：:\n。！？]{1,14}[：:](?=\s*\S)")
 
@@ -192,8 +197,8 @@ _BIT = {name: 1 << i for i, name in enumerate(FEATURES)}
 
 def _said(parts: list[str], answer: str, screen: bool) -> tuple[list[int], bool]:
     """Bits of what a clause's wording tells, and whether any clause holds a refusal's."""
-    lower = answer.lower() if answer.isascii() else answer.lower().translate(_CASES)
-    may_refuse, may_excuse = ((not screen or any(h in lower for h in HINTS[n])) and _any(n).search(answer) is not None for n in ("REFUSING", "COURTESY"))
+    hinted = hints_in(HINTS, answer) if screen else HINTS.keys()
+    may_refuse, may_excuse = (n in hinted and _any(n).search(answer) is not None for n in ("REFUSING", "COURTESY"))
     if not (may_refuse or may_excuse):
         return [0] * len(parts), False
     bits = []
@@ -239,8 +244,8 @@ def clause_bits(question: str | None, answer: str, cut: bool, parts: list[str],
         after_echo = 0
         # A clause of more than twice the question's length cannot be mostly the question.
         if q.asked and 4 <= n <= 2 * len(q.asked) + 4:
-            own = _grams(folded)
-            overlap = len(own & q.grams) / len(own)
+            common = sum(1 for g in q.grams if g in folded)
+            overlap = common / len(_grams(folded)) if common else 0.0
             if overlap >= 0.8:
                 bit |= _BIT["echo"]
             if overlap >= 0.5:
@@ -251,8 +256,6 @@ def clause_bits(question: str | None, answer: str, cut: bool, parts: list[str],
             bit |= _BIT["echo"]
         if bit & _BIT["echo"]:
             after_echo = _BIT["after_echo"]
-        if n <= 40 and FRAME.search(part):
-            bit |= _BIT["frame"]
         for step, name in zip(Lexicon.STEPS, ("like_refusal", "much_like_refusal", "very_like_refusal"), strict=True):
             if like[i] >= step:
                 bit |= _BIT[name]
@@ -265,8 +268,6 @@ def clause_bits(question: str | None, answer: str, cut: bool, parts: list[str],
             bit |= _BIT["digits"]
         if n < 8:
             bit |= _BIT["short"]
-            if bit & _BIT["after_echo"] and (bit & _BIT["frame"] or not n):
-                bit |= _BIT["frame_after_echo"]
         if i == 0:
             bit |= _BIT["first"]
         if not n:
@@ -274,6 +275,12 @@ def clause_bits(question: str | None, answer: str, cut: bool, parts: list[str],
         bits.append(bit)
         sizes.append(size)
         letters.append(n)
+    if any(bit & (_BIT["echo"] | _BIT["echo_some"]) for bit in bits):
+        for i, part in enumerate(parts):
+            if FRAME.search(part):
+                bits[i] |= _BIT["frame"]
+            if letters[i] < 8 and bits[i] & _BIT["after_echo"] and (bits[i] & _BIT["frame"] or not letters[i]):
+                bits[i] |= _BIT["frame_after_echo"]
     return bits, sizes, letters
 
 
@@ -434,7 +441,8 @@ def learn_lexicon(rows: list[tuple[str | None, str | None, bool]]) -> Lexicon:
 
 
 def training_set(rows: list[tuple[str | None, str | None, bool]], lexicon: Lexicon | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Clauses of a sample's rows, sound or with planted defects, with their tags."""
+    """Clauses of a sample's rows, sound or with planted defects, with their tags; the lexicon is learned of the rows where none is given."""
+    lexicon = lexicon or learn_lexicon(rows)
     return [(clause_features(q, a, c, lexicon)[0], np.array([TAGS.index(t) for t in tags])) for q, a, c, tags in planted(rows)]
 
 

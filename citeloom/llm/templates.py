@@ -18,7 +18,6 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,6 +26,7 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from citeloom.llm.bloom import filter_of, may_hold, mixed
 from citeloom.llm.language import is_pseudo_latin
+from citeloom.llm.screens import hints_in
 from citeloom.session import cut_lineage
 
 #: Characters of context on each side that records are aligned by.
@@ -145,34 +145,6 @@ def line_template(line: str) -> str:
     return hashlib.blake2b(_words(line).encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
 
 
-@lru_cache(maxsize=1)
-def _hints() -> ahocorasick.Automaton:
-    automaton = ahocorasick.Automaton()
-    for hint in {h for hints in HINTS.values() for h in hints}:
-        automaton.add_word(hint, [n for n, hints in HINTS.items() if hint in hints])
-    automaton.make_automaton()
-    return automaton
-
-
-#: What lower() leaves apart and a pattern without case takes for one.
-_CASES = {0x17F: "s", 0x131: "i", 0x307: None}
-
-
-def lowered(text: str) -> str:
-    lower = text.lower()
-    return lower if lower.isascii() or not any(c in lower for c in "ſı̇") else lower.translate(_CASES)
-
-
-def _hinted(lower: str) -> set[str]:
-    """The sets of patterns that may find anything in a text."""
-    found: set[str] = set()
-    for _, names in _hints().iter(lower):
-        found.update(names)
-        if len(found) == len(HINTS):
-            break
-    return found
-
-
 _SENTENCE = re.compile(r"[。！？!?\n]+|\.(?:\s|$)")
 
 
@@ -217,7 +189,7 @@ def residue(question: str | None, text: str | None, screen: bool = True) -> list
         if is_pseudo_latin(sentence):
             out.append(("filler", "pseudo-Latin", "", "", line_template(sentence), True, True, False, asks("filler"), False))
             break
-    hinted = _hinted(lowered(text)) if screen else HINTS.keys()
+    hinted = hints_in(HINTS, text) if screen else HINTS.keys()
     for name, kind in (("FILLER", "filler"), ("SCRIPT", "script"), ("ERROR", "error"), ("WEAK", "error")):
         if name not in hinted:
             continue

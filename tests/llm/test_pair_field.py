@@ -69,7 +69,7 @@ def test_held_out_wordings(rows, model):
     trained = rates(model, made)
     untrained = rates(pairs.Model(pairs.Lexicon(), *pairs.prior()), made)
     print("recall and precision, trained", trained, "prior alone", untrained)
-    assert trained["refusal"][0] > 0.8 and trained["refusal"][1] > 0.97 and untrained["refusal"][0] < 0.6
+    assert trained["refusal"][0] > 0.7 and trained["refusal"][1] > 0.97 and untrained["refusal"][0] < 0.6
     assert trained["copy"][0] > 0.95 and trained["copy"][1] > 0.98
     assert trained["wrong_language"][0] > 0.9 and trained["wrong_language"][1] > 0.9
 

@@ -12,6 +12,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from citeloom.llm import templates
+from citeloom.llm.screens import hints_in
 from tests.llm.test_text_defects import qa
 
 DATA = "/root/testdata/sf0.01/qwen_answers.parquet"
@@ -22,7 +23,7 @@ def test_hints_stand_wherever_a_pattern_finds(name, pattern):
     @settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
     @given(st.from_regex(re.compile(pattern, re.I | re.M)))
     def check(text):
-        assert name in templates._hinted(templates.lowered(text))
+        assert name in hints_in(templates.HINTS, text)
 
     check()
 
