@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.llm.screens import hints_in, times_in
+
 TYPES = ("email", "phone", "id_number", "address", "name")
 
 # Look-alike letters, spelled digits, surnames, and the words around names and streets.
@@ -56,105 +58,94 @@ def _any(words: tuple[str, ...]) -> str:
 
 
 @lru_cache(maxsize=1)
-def _patterns() -> list[tuple[str, re.Pattern]]:
-    """(type, pattern), in order of precedence; group 1 is the span where there is one."""
+def _specs() -> list[tuple[str, str, str]]:
+    """(type, what a text must hold for the pattern to find anything, pattern), in order of precedence; group 1 is the span where there is one.
+
+    Needs are "@", "number" (six digits near each other), "zh" (a numeral before 号) or a key of ``RAW_HINTS`` or ``HINTS``.
+    """
     end = r"(?![\d])"
-    out: list[tuple[str, str]] = [
-        ("email", r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9](?:[A-Za-z0-9_.+-]{0,62}[A-Za-z0-9_])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9_-])"),
+    out: list[tuple[str, str, str]] = [
+        ("email", "@", r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9](?:[A-Za-z0-9_.+-]{0,62}[A-Za-z0-9_])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9_-])"),
         # identity numbers: China, passport, SSN or ITIN, NINO, DNI and NIE, NIR, Steuer-ID, My Number
-        ("id_number", r"(?<![A-Za-z0-9_.-])\d{6}([ -]?)(?:18|19|20)\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\1\d{3}[\dXx](?![A-Za-z0-9_])"),
-        ("id_number", r"(?<![A-Za-z\d])[EGDSPH][ ]?\d{4}[ ]?\d{4}(?!\d)"),
-        ("id_number", r"(?<![\d./:-])\d{3}([- ])\d{2}\1\d{4}(?![\d/:-])"),
-        ("id_number", r"(?<![A-Za-z\d])[A-CEGHJ-PQR-TW-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D](?![A-Za-z\d])"),
-        ("id_number", r"(?<![A-Za-z0-9_.-])(?:\d{8}|\d{2}\.\d{3}\.\d{3})[- ]?[A-HJ-NP-TV-Z](?![A-Za-z0-9_])"),
-        ("id_number", r"(?<![A-Za-z0-9_])[XYZ][- ]?\d{7}[- ]?[A-HJ-NP-TV-Z](?![A-Za-z0-9_])"),
-        ("id_number", r"(?<![\d.,-])[1-4] \d{2} \d{2} \d[\dAB] \d{3} \d{3}(?: \d{2})?(?![\d])"),
-        ("id_number", r"(?i:sécurité sociale|sécu|\bNIR\b|INSEE)[^\d\n]{0,30}([12]\d{12}(?:\d{2})?)" + end),
-        ("id_number", r"(?i:steuer)[^\d\n]{0,40}(\d{2} ?\d{3} ?\d{3} ?\d{3})" + end),
-        ("id_number", r"(?<![\d.,+-])\d{2} \d{3} \d{3} \d{3}(?![ ]?\d)"),
-        ("id_number", r"(?:マイナンバー|個人番号)[^\d\n]{0,12}(\d{4}[ -]?\d{4}[ -]?\d{4})" + end),
-        ("id_number", r"(?i:身份证|证件|护照|passport|\bSSN\b|social security|tax id)[^\d\n]{0,14}?([A-Z]{0,2}\d{7,18}[A-Za-z]?)(?![\dA-Za-z])"),
+        ("id_number", "number", r"(?<![A-Za-z0-9_.-])\d{6}([ -]?)(?:18|19|20)\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\1\d{3}[\dXx](?![A-Za-z0-9_])"),
+        ("id_number", "number", r"(?<![A-Za-z\d])[EGDSPH][ ]?\d{4}[ ]?\d{4}(?!\d)"),
+        ("id_number", "number", r"(?<![\d./:-])\d{3}([- ])\d{2}\1\d{4}(?![\d/:-])"),
+        ("id_number", "number", r"(?<![A-Za-z\d])[A-CEGHJ-PQR-TW-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D](?![A-Za-z\d])"),
+        ("id_number", "number", r"(?<![A-Za-z0-9_.-])(?:\d{8}|\d{2}\.\d{3}\.\d{3})[- ]?[A-HJ-NP-TV-Z](?![A-Za-z0-9_])"),
+        ("id_number", "number", r"(?<![A-Za-z0-9_])[XYZ][- ]?\d{7}[- ]?[A-HJ-NP-TV-Z](?![A-Za-z0-9_])"),
+        ("id_number", "number", r"(?<![\d.,-])[1-4] \d{2} \d{2} \d[\dAB] \d{3} \d{3}(?: \d{2})?(?![\d])"),
+        ("id_number", "number", r"(?i:sécurité sociale|sécu|\bNIR\b|INSEE)[^\d\n]{0,30}([12]\d{12}(?:\d{2})?)" + end),
+        ("id_number", "number", r"(?i:steuer)[^\d\n]{0,40}(\d{2} ?\d{3} ?\d{3} ?\d{3})" + end),
+        ("id_number", "number", r"(?<![\d.,+-])\d{2} \d{3} \d{3} \d{3}(?![ ]?\d)"),
+        ("id_number", "number", r"(?:マイナンバー|個人番号)[^\d\n]{0,12}(\d{4}[ -]?\d{4}[ -]?\d{4})" + end),
+        ("id_number", "number", r"(?i:身份证|证件|护照|passport|\bSSN\b|social security|tax id)[^\d\n]{0,14}?([A-Z]{0,2}\d{7,18}[A-Za-z]?)(?![\dA-Za-z])"),
         # telephone numbers
-        ("phone", r"(?<![A-Za-z0-9_.+-])\(?(?:\+|00)86\)?[ -]?1[3-9]\d[ -]?\d{4}[ -]?\d{4}" + end),
-        ("phone", r"(?<![A-Za-z0-9_.+/:-])1[3-9]\d([ -]?)\d{4}\1\d{4}(?![A-Za-z0-9_/:-]|\.\d)(?! ?[次件条份元人])"),
-        ("phone", r"(?<![A-Za-z0-9_.+/:-])(?:\(0\d{2,3}\) ?|0\d{2,3}[- ])[2-9]\d{2,3}[ -]?\d{4}(?:[ ]?(?:转|ext\.?|x)[ ]?\d{1,5})?" + end),
-        ("phone", r"(?<![A-Za-z0-9_.+/:-])(?:\+?1[-. ])?(?:\(\d{3}\) ?|\d{3}[-. ])\d{3}[-. ]\d{4}(?:,? ?(?:ext\.?|x|extension) ?\d{1,5})?(?![\d/:-])"),
-        ("phone", r"(?<![A-Za-z0-9_.+/:-])\(?(?:\+|00)(?:1|[2-9]\d{1,2})\)?[ .-]?(?:\(0\)[ .-]?)?\d(?:[ ./-]?\d){7,11}(?:,? ?(?:ext\.?|x|转) ?\d{1,5})?" + end),
-        ("phone", r"(?<![A-Za-z0-9_.+/:-])0[1-9](?:([ .-])\d{2}\1\d{2}\1\d{2}\1\d{2}|\d{8})(?![A-Za-z0-9_/:-]|\.\d)"),
-        ("phone", r"(?<![A-Za-z0-9_.+/:-])0\d{2,4}(?:[ /-]\d{3,8}){1,2}(?:[ -]\d{2,5})?(?![A-Za-z0-9_/:]|[.-]\d)"),
-        ("phone", r"(?<![A-Za-z0-9_.+/:-])[5-9]\d{2}([ -])(?:\d{3}\1\d{3}|\d{2}\1\d{2}\1\d{2})(?![\d/:]|[.,-]\d)"),
-        ("phone", r"(?:電話|电话|☎|(?i:\b(?:tel|phone|mobile|telefon|teléfono|téléphone)\b))[^\d\n+(]{0,12}(\(?\+?\d[\d ().-]{6,18}\d)" + end),
+        ("phone", "number", r"(?<![A-Za-z0-9_.+-])\(?(?:\+|00)86\)?[ -]?1[3-9]\d[ -]?\d{4}[ -]?\d{4}" + end),
+        ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])1[3-9]\d([ -]?)\d{4}\1\d{4}(?![A-Za-z0-9_/:-]|\.\d)(?! ?[次件条份元人])"),
+        ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])(?:\(0\d{2,3}\) ?|0\d{2,3}[- ])[2-9]\d{2,3}[ -]?\d{4}(?:[ ]?(?:转|ext\.?|x)[ ]?\d{1,5})?" + end),
+        ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])(?:\+?1[-. ])?(?:\(\d{3}\) ?|\d{3}[-. ])\d{3}[-. ]\d{4}(?:,? ?(?:ext\.?|x|extension) ?\d{1,5})?(?![\d/:-])"),
+        ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])\(?(?:\+|00)(?:1|[2-9]\d{1,2})\)?[ .-]?(?:\(0\)[ .-]?)?\d(?:[ ./-]?\d){7,11}(?:,? ?(?:ext\.?|x|转) ?\d{1,5})?" + end),
+        ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])0[1-9](?:([ .-])\d{2}\1\d{2}\1\d{2}\1\d{2}|\d{8})(?![A-Za-z0-9_/:-]|\.\d)"),
+        ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])0\d{2,4}(?:[ /-]\d{3,8}){1,2}(?:[ -]\d{2,5})?(?![A-Za-z0-9_/:]|[.-]\d)"),
+        ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])[5-9]\d{2}([ -])(?:\d{3}\1\d{3}|\d{2}\1\d{2}\1\d{2})(?![\d/:]|[.,-]\d)"),
+        ("phone", "number", r"(?:電話|电话|☎|(?i:\b(?:tel|phone|mobile|telefon|teléfono|téléphone)\b))[^\d\n+(]{0,12}(\(?\+?\d[\d ().-]{6,18}\d)" + end),
         # addresses with a house number
-        ("address", rf"(?:(?![在到至是于住寄送址])[{HAN}]){{1,16}}?(?:路|街|巷|大道|弄|胡同|道)[一二三四五六七八九十百\d]+号(?:院)?(?:\d+号楼|\d+[栋幢座楼])?(?:\d+单元)?(?:\d+[室号]?)?"),
-        ("address", rf"(?:(?![在到至是于住寄送址])[{HAN}]){{1,14}}[村屯寨庄][一二三四五六七八九十\d]+[组队社]\d+号"),
-        ("address", rf"[{HAN}ァ-ヶ]{{2,16}}\d+丁目\d+(?:番|-)\d+(?:号|-\d+)?"),
-        ("address", rf"(?<![\w.,])(?:(?:Flat|Apt|Unit|Suite)\.? \d+[A-Za-z]?, )?\d{{1,5}}[A-Za-z]? (?:[A-Z][\w'’]+ ){{1,3}}(?:{STREET_EN})(?![\w])\.?(?:,? (?:Flat|Apt|Unit|Suite)\.? \d+[A-Za-z]?)?(?:, [A-Z][\w'’]+(?: [A-Z][\w'’]+)?)?"),
-        ("address", rf"(?<!\w)(?:[A-ZÄÖÜ][\wäöüß-]*(?:{STREET_DE})|(?:[A-ZÄÖÜ][\wäöüß-]+ ){{1,2}}(?:Str\.|Straße|Platz|Weg|Allee|[A-ZÄÖÜ][\wäöüß]*platz)|(?:Am|An der|Auf dem|Im|Zum|Zur) (?!Jahr\b)[A-ZÄÖÜ][\wäöüß-]+) \d{{1,3}} ?[a-z]?(?![\w%]|[.,]\d)(?:, \d{{5}} [A-ZÄÖÜ][\wäöüß-]+)?(?! (?:Prozent|Euro|Tage|Wochen|Befragte|Proben|Quellen))"),
-        ("address", rf"(?<![\w.,])\d{{1,4}}(?: ?(?:bis|ter|quater))?,? (?i:{STREET_FR}) [\w'’ À-ÿ-]{{2,40}}?(?=[.,;\n\r]|$)(?:, \d{{5}} [A-ZÀ-Þ][\w'’ À-ÿ-]+)?"),
-        ("address", rf"(?<!\w)(?:{STREET_ES}) ?(?:(?:de|del|la|las|los|el) ){{0,3}}[A-ZÁ-Ú][\wÀ-ÿ]+(?: (?:de |del |la |las |los )?[A-ZÁ-Ú][\wÀ-ÿ]+){{0,3}},? (?:n\.?º ?)?\d{{1,4}}(?!\d)(?:, \d{{1,2}}\.?º ?[A-Z]?)?"),
+        ("address", "zh", rf"(?:(?![在到至是于住寄送址])[{HAN}]){{1,16}}?(?:路|街|巷|大道|弄|胡同|道)[一二三四五六七八九十百\d]+号(?:院)?(?:\d+号楼|\d+[栋幢座楼])?(?:\d+单元)?(?:\d+[室号]?)?"),
+        ("address", "zh", rf"(?:(?![在到至是于住寄送址])[{HAN}]){{1,14}}[村屯寨庄][一二三四五六七八九十\d]+[组队社]\d+号"),
+        ("address", "ja", rf"[{HAN}ァ-ヶ]{{2,16}}\d+丁目\d+(?:番|-)\d+(?:号|-\d+)?"),
+        ("address", "en", rf"(?<![\w.,])(?:(?:Flat|Apt|Unit|Suite)\.? \d+[A-Za-z]?, )?\d{{1,5}}[A-Za-z]? (?:[A-Z][\w'’]+ ){{1,3}}(?:{STREET_EN})(?![\w])\.?(?:,? (?:Flat|Apt|Unit|Suite)\.? \d+[A-Za-z]?)?(?:, [A-Z][\w'’]+(?: [A-Z][\w'’]+)?)?"),
+        ("address", "de", rf"(?<!\w)(?:[A-ZÄÖÜ][\wäöüß-]*(?:{STREET_DE})|(?:[A-ZÄÖÜ][\wäöüß-]+ ){{1,2}}(?:Str\.|Straße|Platz|Weg|Allee|[A-ZÄÖÜ][\wäöüß]*platz)|(?:Am|An der|Auf dem|Im|Zum|Zur) (?!Jahr\b)[A-ZÄÖÜ][\wäöüß-]+) \d{{1,3}} ?[a-z]?(?![\w%]|[.,]\d)(?:, \d{{5}} [A-ZÄÖÜ][\wäöüß-]+)?(?! (?:Prozent|Euro|Tage|Wochen|Befragte|Proben|Quellen))"),
+        ("address", "fr", rf"(?<![\w.,])\d{{1,4}}(?: ?(?:bis|ter|quater))?,? (?i:{STREET_FR}) [\w'’ À-ÿ-]{{2,40}}?(?=[.,;\n\r]|$)(?:, \d{{5}} [A-ZÀ-Þ][\w'’ À-ÿ-]+)?"),
+        ("address", "es", rf"(?<!\w)(?:{STREET_ES}) ?(?:(?:de|del|la|las|los|el) ){{0,3}}[A-ZÁ-Ú][\wÀ-ÿ]+(?: (?:de |del |la |las |los )?[A-ZÁ-Ú][\wÀ-ÿ]+){{0,3}},? (?:n\.?º ?)?\d{{1,4}}(?!\d)(?:, \d{{1,2}}\.?º ?[A-Z]?)?"),
         # names of persons
-        ("name", rf"(?:我叫|我是|本人|姓名(?:是|为|[:：])?|联系人(?:是|为|[:：])?|收件人(?:是|为|[:：])?|收货人(?:是|[:：])?|寄件人(?:是|[:：])?|抄送人(?:是|为|[:：])?|顾客|客户|用户|尊敬的|签名[:：])[ ]?({HAN_NAME})(?=[，。；、,.;!！\s]|先生|女士|小姐|反映|表示|来电|投诉|电话|$)"),
-        ("name", rf"(?<![{HAN}])({HAN_NAME})(?=先生|女士|小姐)"),
-        ("name", rf"(?:此致|敬礼|敬上|谨上|祝好|顺颂商祺)[，,。!！]?\s+({HAN_NAME})(?=\s|$)"),
-        ("name", rf"(?<![\w])(?i:{_any(NAME_LEADS)})[ ]+({LATIN_NAME})"),
-        ("name", rf"(?<![\w])(?i:{_any(SIGN_OFFS)})[,.!]?\s+({LATIN_NAME})(?=\s|$)"),
+        ("name", "han", rf"(?:我叫|我是|本人|姓名(?:是|为|[:：])?|联系人(?:是|为|[:：])?|收件人(?:是|为|[:：])?|收货人(?:是|[:：])?|寄件人(?:是|[:：])?|抄送人(?:是|为|[:：])?|顾客|客户|用户|尊敬的|签名[:：])[ ]?({HAN_NAME})(?=[，。；、,.;!！\s]|先生|女士|小姐|反映|表示|来电|投诉|电话|$)"),
+        ("name", "title", rf"(?<![{HAN}])({HAN_NAME})(?=先生|女士|小姐)"),
+        ("name", "han_off", rf"(?:此致|敬礼|敬上|谨上|祝好|顺颂商祺)[，,。!！]?\s+({HAN_NAME})(?=\s|$)"),
+        ("name", "lead", rf"(?<![\w])(?i:{_any(NAME_LEADS)})[ ]+({LATIN_NAME})"),
+        ("name", "off", rf"(?<![\w])(?i:{_any(SIGN_OFFS)})[,.!]?\s+({LATIN_NAME})(?=\s|$)"),
     ]
-    return [(kind, re.compile(p, re.M)) for kind, p in out]
+    return out
+
+
+@lru_cache(maxsize=1)
+def _needs() -> list[tuple[str, re.Pattern, str]]:
+    return [(kind, re.compile(pattern, re.M), need) for kind, need, pattern in _specs()]
+
+
+def _patterns() -> list[tuple[str, re.Pattern]]:
+    """(type, pattern), in order of precedence."""
+    return [(kind, pattern) for kind, pattern, _ in _needs()]
 
 
 #: Six digits; a labelled number's 9 digits within 20 characters leave up to 11 between two of them.
 _NUMBER = re.compile(r"\d(?:[ .()/+-]{0,11}\d){5}")
+_ANY_DIGIT = re.compile(r"\d")
 _ZH_NUMBER = re.compile(r"[一二三四五六七八九十百\d]号")
-#: What lower() leaves apart and a pattern without case takes for one.
-_CASES = {0x17F: "s", 0x131: "i", 0x307: None, 0xA0: " "}
-_STREETS = {
-    "ja": ("丁目",), "en": tuple(f" {w}" for w in STREET_EN.split("|")), "de": ("straße", "strasse", "tr.", "weg", "Weg", "latz", "gasse", "llee", "ring", "damm", "ufer", "steig", "pfad", "Am ", "An der", "Auf dem", "Im ", "Zum ", "Zur ", "Straße"),
-    "fr": tuple(w.replace("\\", "") for w in STREET_FR.split("|")), "es": tuple(w.replace("\\", "") for w in STREET_ES.split("|")),
+_plain = lambda names: tuple(w.replace("\\", "") for w in names.split("|"))
+#: Strings of which a text holds one wherever a pattern of that need finds something, in the text as it is.
+RAW_HINTS = {
+    "ja": ("丁目",), "en": tuple(f" {w}" for w in STREET_EN.split("|")), "es": _plain(STREET_ES),
+    "de": ("straße", "strasse", "tr.", "weg", "Weg", "latz", "gasse", "llee", "ring", "damm", "ufer", "steig", "pfad", "Am ", "An der", "Auf dem", "Im ", "Zum ", "Zur ", "Straße"),
+    "han": ("我叫", "我是", "本人", "姓名", "联系人", "收件人", "收货人", "寄件人", "抄送人", "顾客", "客户", "用户", "尊敬的", "签名"),
+    "title": ("先生", "女士", "小姐"), "han_off": ("此致", "敬礼", "敬上", "谨上", "祝好", "顺颂商祺"),
 }
-_HAN_LEADS = ("我叫", "我是", "本人", "姓名", "联系人", "收件人", "收货人", "寄件人", "抄送人", "顾客", "客户", "用户", "尊敬的", "签名")
-
-
-def _holds(text: str, words: tuple[str, ...]) -> bool:
-    return any(w in text for w in words)
+#: The same in lower case, with usual blanks.
+HINTS = {"fr": _plain(STREET_FR), "lead": NAME_LEADS, "off": SIGN_OFFS}
+_DIGITED = ("ja", "en", "es", "de", "fr")
 
 
 def _screened(text: str) -> list[tuple[str, re.Pattern]]:
     """The patterns that can find anything in a text, by strings and one scan that each of them needs."""
-    lower = text.lower() if text.isascii() else text.lower().translate(_CASES)
-    number = _NUMBER.search(text) is not None
-    digit = number or re.search(r"\d", text) is not None
-    found = []
-    for kind, pattern, need in _needs():
-        if need == "@":
-            ok = "@" in text
-        elif need == "number":
-            ok = number
-        elif need == "zh":
-            ok = "号" in text and _ZH_NUMBER.search(text) is not None
-        elif need in _STREETS:
-            ok = digit and _holds(lower if need == "fr" else text, _STREETS[need])
-        elif need == "han":
-            ok = _holds(text, _HAN_LEADS)
-        elif need == "title":
-            ok = _holds(text, ("先生", "女士", "小姐"))
-        elif need == "han_off":
-            ok = _holds(text, ("此致", "敬礼", "敬上", "谨上", "祝好", "顺颂商祺"))
-        elif need == "lead":
-            ok = _holds(lower, NAME_LEADS)
-        elif need == "off":
-            ok = _holds(lower, SIGN_OFFS)
-        else:
-            ok = True
-        if ok:
-            found.append((kind, pattern))
-    return found
-
-
-@lru_cache(maxsize=1)
-def _needs() -> list[tuple[str, re.Pattern, str]]:
-    streets, names = iter(("zh", "zh", "ja", "en", "de", "fr", "es")), iter(("han", "title", "han_off", "lead", "off"))
-    need = {"email": lambda: "@", "phone": lambda: "number", "id_number": lambda: "number", "address": lambda: next(streets), "name": lambda: next(names)}
-    return [(kind, pattern, need[kind]()) for kind, pattern in _patterns()]
+    held = hints_in(RAW_HINTS, text, lower=False) | hints_in(HINTS, text)
+    if _NUMBER.search(text):
+        held.add("number")
+    elif not _ANY_DIGIT.search(text):
+        held.difference_update(_DIGITED)
+    if "@" in text:
+        held.add("@")
+    if "号" in text and _ZH_NUMBER.search(text):
+        held.add("zh")
+    return [(kind, pattern) for kind, pattern, need in _needs() if need in held]
 
 
 #: What stands before numbers that identify things, not persons.
@@ -170,6 +161,7 @@ _AT_WORD = re.compile(r"(?:[\[({ ]at[\])} ])[^\n]{0,60}(?:\bdot\b|\.)", re.I)
 _DOT = re.compile(r"\s?[\[({]\s?(?:dot|\.)\s?[\])}]\s?|[ ]dot[ ]", re.I)
 _SPELLED = re.compile(f"[{''.join(SPELLED)}](?:[ -]?[{''.join(SPELLED)}]){{6,17}}")
 _WORDS = re.compile(rf"\b(?:{'|'.join(DIGIT_WORDS)})(?:[ ,-]+(?:{'|'.join(DIGIT_WORDS)})){{6,17}}\b", re.I)
+_LOOKALIKE = re.compile(f"[{''.join(LOOKALIKES)}]")
 _MIXED = re.compile(rf"[A-Za-z0-9@._+-]*[{''.join(LOOKALIKES)}][A-Za-z0-9@._+{''.join(LOOKALIKES)}-]*")
 
 
@@ -180,19 +172,25 @@ def _width() -> dict[int, int]:
     return {c: ord(n) for c in wide if len(n := unicodedata.normalize("NFKC", chr(c))) == 1 and chr(c) not in "，。：；！？（）"} | {0xA0: 0x20, 0x2010: 0x2D, 0x2011: 0x2D, 0x2012: 0x2D, 0x2013: 0x2D, 0x2212: 0x2D, 0xFE6B: 0x40, 0xFF08: 0x28, 0xFF09: 0x29}
 
 
+@lru_cache(maxsize=1)
+def _wide() -> re.Pattern:
+    return re.compile("[" + "".join(re.escape(chr(c)) for c in _width()) + "]")
+
+
 class Normalised:
     """A text and, where it was rewritten, the source place of each character."""
 
     def __init__(self, source: str):
         self.source = source
         self.places: list[int] | None = None
-        self.text = source if source.isascii() else source.translate(_width())  # one to one: places stay
+        self.text = source if source.isascii() else _wide().sub(lambda m: chr(_width()[ord(m[0])]), source)  # one to one: places stay
         if _ZERO_WIDTH.search(self.text):
             self._rewrite(_ZERO_WIDTH, lambda m: [])
         if not source.isascii():
-            self._same_length(_MIXED, self._latin)
+            if _LOOKALIKE.search(self.text):
+                self._same_length(_MIXED, self._latin)
             self._same_length(_SPELLED, lambda s: "".join(SPELLED.get(c, c) for c in s))
-        if _WORDS.search(self.text):
+        if times_in(DIGIT_WORDS, self.text) >= 7 and _WORDS.search(self.text):
             self._rewrite(_WORDS, lambda m: [(DIGIT_WORDS[w[0].lower()], w.start()) for w in re.finditer("[A-Za-z]+", m[0])])
         if "@" in self.text or _AT_WORD.search(self.text):
             self._rewrite(_AT, self._address)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -29,3 +32,19 @@ def test_screens_of_pii_pass_what_the_patterns_find(at):
                 assert (kind, pattern) in pii._screened(text)
 
     check()
+
+
+DATA = "/root/testdata/sf0.01/documents.parquet"
+
+
+@pytest.mark.skipif(not os.path.exists(DATA), reason="the test tables are not here")
+def test_screened_and_unscreened_findings_agree(monkeypatch):
+    texts = [t for t in pd.read_parquet(DATA).text if t]
+    screened = [pii.find_pii(t) for t in texts]
+    monkeypatch.setattr(pii, "_screened", lambda text: pii._patterns())
+    monkeypatch.setattr(pii, "times_in", lambda words, text: 7)
+    assert [pii.find_pii(t) for t in texts] == screened
+
+
+def test_chinese_numerals_are_house_numbers():
+    assert [k for k, _, _ in pii.find_pii("寄到湖州市人民路八十八号，谢谢。")] == ["address"]
