@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 P1, P2 = 2147483647, 2147483629
+#: Characters that are hashed at once.
+PART_CHARS = 1_000_000
 TITLE_SEPARATORS = "|｜"
 #: Of path, query and fragment; parameters are divided by either mark.
 URL_SEPARATORS = ("", "&;", "")
@@ -79,7 +81,14 @@ def _powers(base: int, modulus: int, n: int) -> np.ndarray:
 
 
 def form_hash(texts: list[str | None], separators: str, seed: int = 0, tags: list[int] | None = None) -> np.ndarray:
-    """An int64 per text: the sum of the mixed hashes of its non-empty parts; null gives -1."""
+    """An int64 per text: the sum of the mixed hashes of its non-empty parts; null gives -1. Texts run through in parts of about ``PART_CHARS``."""
+    size = np.cumsum([len(t or "") for t in texts])
+    if len(texts) > 1 and size[-1] > PART_CHARS:
+        borders = np.flatnonzero(np.diff(size // PART_CHARS, prepend=0, append=size[-1] // PART_CHARS + 1)).tolist()
+        cuts = sorted({0, *borders, len(texts)})
+        own = [0] * len(texts) if tags is None else tags
+        halves = [(a, b) for a, b in zip(cuts, cuts[1:], strict=False)] if len(cuts) > 2 else [(0, len(texts) // 2), (len(texts) // 2, len(texts))]
+        return np.concatenate([form_hash(texts[a:b], separators, seed, own[a:b]) for a, b in halves])
     table = fold_table(separators)
     parts = [_spread(t) + "\0" if t else "\0" for t in texts]
     codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
@@ -202,9 +211,12 @@ def form_groups(rows: DataFrame, row_id: str = "source_row_id", title: str = "ti
     its id counts as often as it is landed. An empty table gives no rows; other columns of the
     table are ignored, whatever their names.
     """
-    return _groups(_slim(rows, row_id, title, url), seed).select(
-        F.col("first.id").alias("first_row_id"), F.col("first.title").alias("title"), F.col("first.url").alias("url"), "row_count"
-    )
+    slim = _slim(rows, row_id, title, url)
+    groups = _groups(slim, seed)
+    single = groups.where("row_count = 1").select("first.id", "first.title", "first.url", "row_count")
+    # Rows of larger groups are compared with their first before they are counted.
+    verified = _verified(slim, groups.where("row_count > 1"), seed).groupBy("first_id", "first_title", "first_url").agg(F.count(F.lit(1)).alias("row_count"))
+    return single.toDF("first_row_id", "title", "url", "row_count").unionByName(verified.toDF("first_row_id", "title", "url", "row_count"))
 
 
 def form_copies(rows: DataFrame, row_id: str = "source_row_id", title: str = "title", url: str = "url", seed: int = 0) -> DataFrame:
@@ -214,26 +226,24 @@ def form_copies(rows: DataFrame, row_id: str = "source_row_id", title: str = "ti
     rows of equal hash raise an error naming the seed, so a result is never wrong.
     """
     slim = _slim(rows, row_id, title, url)
+    pairs = _verified(slim, _groups(slim, seed).where("row_count > 1"), seed).where("id <> first_id")
+    return pairs.select(F.col("first_id").alias("first_row_id"), F.col("id").alias("copy_row_id")).distinct()
+
+
+def _verified(slim: DataFrame, groups: DataFrame, seed: int) -> DataFrame:
+    """(id, first_id, first_title, first_url) of each row of the groups, compared with the group's first by two pointers."""
     # A group larger than a partition is split by AQE's skew join: its rows stand on one side only.
-    groups = _groups(slim, seed).where("row_count > 1")
-    pairs = (
-        with_form_keys(slim, "title", "url", seed)
-        .join(groups, ["_title_key", "_url_key"])
-        .where(F.col("id") != F.col("first.id"))
-        .select("id", "title", "url", "first")
-    )
+    rows = with_form_keys(slim, "title", "url", seed).join(groups, ["_title_key", "_url_key"])
+    flat = rows.select("id", "title", "url", F.col("first.id").alias("first_id"), F.col("first.title").alias("first_title"), F.col("first.url").alias("first_url"))
 
-    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for row in zip(b["id"], b["title"], b["url"], b["first_id"], b["first_title"], b["first_url"], strict=True):
-                if not same_citation(row[1], row[2], row[4], row[5]):
+                if row[0] != row[3] and not same_citation(row[1], row[2], row[4], row[5]):
                     raise ValueError(f"rows {row[0]} and {row[3]} share a hash under seed {seed}; run with another seed")
-            yield pd.DataFrame({"first_row_id": b["first_id"], "copy_row_id": b["id"]})
+            yield b[["id", "first_id", "first_title", "first_url"]]
 
-    flat = pairs.select(
-        "id", "title", "url", F.col("first.id").alias("first_id"), F.col("first.title").alias("first_title"), F.col("first.url").alias("first_url")
-    )
-    return flat.mapInPandas(verified, "first_row_id bigint, copy_row_id bigint").distinct()
+    return flat.mapInPandas(compare, "id bigint, first_id bigint, first_title string, first_url string")
 
 
 def _slim(rows: DataFrame, row_id: str, title: str, url: str) -> DataFrame:
