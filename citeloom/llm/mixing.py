@@ -68,13 +68,30 @@ def source_needs(sized: DataFrame, targets: DataFrame, total_tokens: int | None
     return needs.withColumn("rest", F.round(F.col("given") - F.col("whole") * F.col("held")).cast("bigint"))
 
 
+def draw_rates(sized: DataFrame, needs: DataFrame) -> DataFrame:
+    """(plan_id, source, per_weight): the rate whose product with a document's weight is its chance, at most 1, so that chances add up to ``rest`` tokens.
+
+    Documents of the greatest weights are certain where the rate would pass 1, and what they free is
+    spread over the others. One row per source and weight, a weight being 1 / the copies of a text.
+    """
+    by_weight = sized.groupBy("source", "weight").agg(F.sum("n_tokens").alias("tokens"))
+    rows = by_weight.join(F.broadcast(needs.where("rest > 0").select("plan_id", "source", "rest")), "source")
+    down = Window.partitionBy("plan_id", "source").orderBy(F.desc("weight"))
+    certain = F.coalesce(F.sum("tokens").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    left = F.sum(F.col("tokens") * F.col("weight")).over(down.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    rated = rows.withColumn("rate", (F.col("rest") - certain) / left)
+    # A rate too high for any weight means that all documents are certain.
+    fits = F.when(F.col("rate") * F.col("weight") <= 1, F.struct(-F.col("weight"), "rate"))
+    return rated.groupBy("plan_id", "source").agg(F.coalesce(F.min(fits)["rate"], F.lit(1.0) / F.min("weight")).alias("per_weight"))
+
+
 def mix(sized: DataFrame, needs: DataFrame, seed: int = 1) -> DataFrame:
     """(plan_id, source, doc_id, n_tokens, copies) of each document that a plan uses.
 
     A document that would overshoot the target is passed over for those after it in its range that
     fit. Targets without documents give no rows, as do empty tables.
     """
-    small = needs.select("plan_id", "source", "whole", "rest", (F.col("rest") / F.col("weighted")).alias("per_weight"),
+    small = needs.join(draw_rates(sized, needs), ["plan_id", "source"], "left").select("plan_id", "source", "whole", "rest", "per_weight",
         F.least(F.greatest(F.floor(F.col("documents") / RANGE_DOCUMENTS), F.lit(1)), F.lit(MOST_RANGES)).alias("ranges")).where("whole > 0 OR rest > 0")
     rows = sized.join(F.broadcast(small), "source")  # one row per target of the plans, whatever the data
     chance = F.least(F.col("per_weight") * F.col("weight"), F.lit(1 - 1e-9))
