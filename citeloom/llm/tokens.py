@@ -58,6 +58,7 @@ class Encoder:
                 self.rank[k], self.halves[k] = rank, (i, j)
             self.merged[i, j] = rank
         self.words = {i: s for s, i in self.ids.items()}
+        self.longest = max(map(len, self.ids))
         self.shorter: dict[int, int | None] = {}
         self.automaton = ahocorasick.Automaton()
         for s, i in self.ids.items():
@@ -94,7 +95,7 @@ class Encoder:
 
     def _longest(self, text: str, at: int) -> int:
         """The longest token that starts at a place."""
-        end = at + self.automaton.longest_prefix(text[at : at + 256])
+        end = at + self.automaton.longest_prefix(text[at : at + self.longest])
         while (i := self.ids.get(text[at:end])) is None:
             end -= 1
         return i
