@@ -6,6 +6,7 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from citeloom import constants as C
 from citeloom.operators import sentiment
 
 
@@ -21,6 +22,8 @@ class SentimentConfig:
     def classifier(self, **options: object) -> sentiment.Classifier:
         if self.provider == "http":
             options = {"base_url": self.base_url, "model": self.model, "timeout_seconds": self.timeout_seconds, **options}
+        elif self.provider == "lexicon":
+            options = {"positive": C.POSITIVE_WORDS, "negative": C.NEGATIVE_WORDS, **options}
         return sentiment.create_classifier(self.provider, self.max_retries, self.retry_backoff_seconds, **options)
 
 

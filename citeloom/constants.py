@@ -5,6 +5,12 @@ from __future__ import annotations
 MODES = ("quick", "research")
 PACKAGE_MODE = {"quick": "quick", "research": "expert"}
 PACKAGE_STATUS = {"pass": "success", "fail": "failed", "blocked": "failed", "pending": "running"}
+#: What package rows may say.
+PACKAGE_VERSION, BATCH_VERSION = "geo_package_v1", "geo_batch_v1"
+PACKAGE_MODES, TASK_STATUSES = ("quick", "expert"), ("success", "failed", "running")
+ACQUISITION_STATUSES = ("success", "partial_success", "failed", "risk_control", "not_supported")
+VALIDATION_STATUSES = ("PASS", "PASS_WITH_WARNINGS", "FAIL", "NOT_APPLICABLE")
+COLLECTION_STATUSES = ("success", "partial_success", "failed", "not_supported")
 SCOPES = ("quick", "research", "all")
 
 REFUSAL_SENTENCES = ("你好，我无法回答这个问题，我们换一个话题聊聊吧。",)
@@ -28,6 +34,9 @@ NEGATION_MARKERS = ("没有", "并未", "未被", "并非", "不是", "不存在
 NEGATION_REACH, EVIDENCE_REACH = 14, 18
 
 LABELS = ("positive", "neutral", "negative")
+#: The offline classifier's words.
+POSITIVE_WORDS = ("推荐", "值得", "优质", "可靠", "放心", "口碑好", "excellent", "reliable", "recommended", "worth")
+NEGATIVE_WORDS = ("不推荐", "不值得", "投诉", "差评", "虚假", "风险", "poor", "unreliable", "complaint", "misleading")
 CLASSIFIED = ("success", "success_with_warnings")
 ERROR_STATUSES = ("failed", "rate_limited", "timeout")
 RETRYABLE = ("rate_limit", "transient_api_error", "timeout", "network_error")

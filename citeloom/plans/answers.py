@@ -71,7 +71,7 @@ def text_document_normalized(spark, d):
     return table(spark, d, "documents").select("doc_id", text.normalize(F.col("text")).alias("normalized"))
 
 
-_CLEAN = rf"""WITH a AS (SELECT DISTINCT answer_id, mode_code, regexp_replace(coalesce(answer_text_raw, ''), '^[{_S}]+|[{_S}]+$', '', 'g') AS v FROM geo_answers),
+CLEAN = rf"""WITH a AS (SELECT DISTINCT answer_id, mode_code, regexp_replace(coalesce(answer_text_raw, ''), '^[{_S}]+|[{_S}]+$', '', 'g') AS v FROM geo_answers),
 lined AS (SELECT *, regexp_split_to_array(v, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]') AS lines FROM a),
 shaped AS (SELECT *, reverse(array_to_string(list_transform(list_transform(lines, lambda x: regexp_replace(x, '^[{_S}]+|[{_S}]+$', '', 'g')), lambda x: CASE
   WHEN regexp_full_match(x, '[0-9]{{1,2}}:[0-9]{{2}}') THEN 'D' WHEN regexp_full_match(x, '[A-Za-z0-9_\-一-鿿#?]{{2,20}}') THEN 'N' WHEN length(x) BETWEEN 2 AND 120 THEN 'T' ELSE '-' END), '')) AS shape FROM lined),
@@ -80,7 +80,7 @@ SELECT answer_id, CASE WHEN mode_code = 'quick' AND cards > 0
   THEN regexp_replace(array_to_string(list_transform(lines[1:len(lines) - cards], lambda x: regexp_replace(x, '[{_S}]+$', '', 'g')), chr(10)), '[{_S}]+$', '', 'g') ELSE v END AS answer_text_clean FROM cut"""
 
 
-@registry.add("clean_answer_tail", _CLEAN)
+@registry.add("clean_answer_tail", CLEAN)
 def clean_answer_tail(spark, d):
     rows = table(spark, d, "geo_answers").select("answer_id", "answer_text_raw", "mode_code").distinct()
     return rows.select("answer_id", text.clean_answer(F.col("answer_text_raw"), F.col("mode_code")).alias("answer_text_clean"))
@@ -92,6 +92,20 @@ def search_query_counts(spark, d):
     return rows.select("mode", F.explode(text.distinct_queries(F.col("search_queries"))).alias("query")).groupBy("mode", "query").agg(F.count(F.lit(1)).alias("n"))
 
 
+@registry.add(
+    "search_queries_unquoted",
+    rf"""WITH q AS (SELECT DISTINCT turn_id, search_queries FROM qwen_answers), each AS (SELECT turn_id, unnest(search_queries) AS q FROM q)
+SELECT DISTINCT turn_id, u AS query FROM (SELECT turn_id, regexp_replace(regexp_replace(w, '^["“”'']+|["“”'']+$', '', 'g'), '^[{_S}]+|[{_S}]+$', '', 'g') AS u
+  FROM (SELECT turn_id, q AS w FROM each UNION ALL SELECT turn_id, '“' || q || ' ”' FROM each UNION ALL SELECT turn_id, chr(39) || q FROM each)) WHERE u <> ''""",
+)
+def search_queries_unquoted(spark, d):
+    """Search queries of an answer as they are and in quotation marks; each comes once."""
+    rows = table(spark, d, "qwen_answers").select("turn_id", "search_queries").distinct()
+    q = F.col("search_queries")
+    every = F.concat(q, F.transform(q, lambda x: F.concat(F.lit("“"), x, F.lit(" ”"))), F.transform(q, lambda x: F.concat(F.lit("'"), x)))
+    return rows.select("turn_id", F.explode(text.distinct_queries(every)).alias("query"))
+
+
 @registry.add("mention_detail", _DETAIL + "SELECT question_id, mode, item_pos, target_id, mention_count, mention_count > 0 AS mentioned FROM detail")
 def mention_detail(spark, d):
     return mention.mention_detail(items(spark, d), TARGETS)
@@ -121,21 +135,21 @@ def _rule_sql() -> str:
             n = len(term)
             negated = " OR ".join(f"contains(substring(t, greatest(1, i - 14), i - greatest(1, i - 14)), '{m}')" for m in MARKERS)
             parts.append(
-                f"""SELECT turn_id, '{rule}' AS rule, '{term}' AS term, i::INTEGER AS start, trim(substring(t, greatest(1, i - 18), least(length(t), i + {n - 1} + 18) - greatest(1, i - 18) + 1)) AS evidence
-  FROM (SELECT turn_id, t, unnest(list_filter(range(1, length(t) + 1), lambda i: substring(t, i, {n}) = '{term}')) AS i FROM normal WHERE contains(t, '{term}')) WHERE NOT ({negated})"""
+                f"""SELECT turn_id, mode, '{rule}' AS rule, '{term}' AS term, i::INTEGER AS start, trim(substring(t, greatest(1, i - 18), least(length(t), i + {n - 1} + 18) - greatest(1, i - 18) + 1)) AS evidence
+  FROM (SELECT turn_id, mode, t, unnest(list_filter(range(1, length(t) + 1), lambda i: substring(t, i, {n}) = '{term}')) AS i FROM normal WHERE contains(t, '{term}')) WHERE NOT ({negated})"""
             )
     return " UNION ALL ".join(parts)
 
 
 #: Priority rules look at normalised text; full-width marks are what NFKC changes in these answers.
-_NORMAL = _ITEMS + rf""", normal AS (SELECT turn_id, trim(regexp_replace(lower(replace(translate(answer, '？，！：；（）％～｜', '?,!:;()%~|'), '…', '...')), '[{_S}]+', ' ', 'g')) AS t FROM valid WHERE mode = 'quick')
+_NORMAL = _ITEMS + rf""", normal AS (SELECT turn_id, mode, trim(regexp_replace(lower(replace(translate(answer, '？，！：；（）％～｜', '?,!:;()%~|'), '…', '...')), '[{_S}]+', ' ', 'g')) AS t FROM valid)
 """
 
 
-@registry.add("rule_evidence", _NORMAL + "SELECT turn_id, rule, term, start, evidence FROM (" + _rule_sql() + ")")
+@registry.add("rule_evidence", _NORMAL + "SELECT turn_id, mode, rule, term, start, evidence FROM (" + _rule_sql() + ")")
 def rule_evidence(spark, d):
-    """The evidence in quick answers, as its SQL has it; ``rule_evidence_all`` has that of every mode."""
-    return _evidence(items(spark, d).where("mode = 'quick'")).drop("mode")
+    """The evidence of the priority rules in the answers of all modes."""
+    return _evidence(items(spark, d))
 
 
 def _evidence(rows):
@@ -144,12 +158,6 @@ def _evidence(rows):
     return normal.select("turn_id", "mode", F.inline(text.rule_hits(F.col("t"), RULES, MARKERS)))
 
 
-@registry.add("rule_evidence_all")
-def rule_evidence_all(spark, d):
-    """The evidence of the priority rules in the answers of all modes."""
-    return _evidence(items(spark, d))
-
-
 def _classifier():
     return sentiment.LexiconClassifier(POSITIVE, NEGATIVE)
 
@@ -211,9 +219,70 @@ def sentiment_by_scope(spark, d):
     return sentiment.sentiment_summary(_details(spark, d), TARGETS)
 
 
-@registry.add("sentiment_error_count", _SENTIMENT + "SELECT count(*) FILTER (sentiment_status IN ('failed', 'rate_limited', 'timeout'))::BIGINT AS error_count FROM sent")
+class FaultyClassifier:
+    """The lexicon behind a service that fails on some texts: one call per text, in Python."""
+
+    name = "faulty"
+
+    def classify(self, answer_text, target_id, aliases):
+        if "孕期" in answer_text:
+            raise sentiment.ProviderError("rate_limit", "too many calls")
+        if "pharmacist" in answer_text:
+            raise sentiment.ProviderError("timeout", "too late")
+        if "更正" in answer_text:
+            return "mixed"
+        if "客服" in answer_text:
+            raise ValueError("no text")
+        return f" {_classifier().classify(answer_text, target_id, aliases).upper()} "
+
+
+#: Without rules; the first fault of a text counts.
+_FAULTY = (
+    _DETAIL
+    + f""", called AS (SELECT d.question_id, d.mode, d.item_pos, d.target_id, CASE WHEN contains(v.answer, '孕期') THEN 'rate_limit' WHEN contains(v.answer, 'pharmacist') THEN 'timeout'
+  WHEN contains(v.answer, '更正') OR contains(v.answer, '客服') THEN 'ValueError' END AS error_type, CASE WHEN {_score()} > 0 THEN 'positive' WHEN {_score()} < 0 THEN 'negative' ELSE 'neutral' END AS label
+  FROM detail d JOIN valid v ON v.turn_id = d.item_pos WHERE d.mention_count > 0),
+faulty AS (SELECT question_id, mode, item_pos, target_id, CASE error_type WHEN 'rate_limit' THEN 'rate_limited' WHEN 'timeout' THEN 'timeout' WHEN 'ValueError' THEN 'failed' ELSE 'success' END AS sentiment_status,
+  error_type, CASE WHEN error_type IS NULL THEN label END AS final_sentiment FROM called)
+"""
+)
+
+
+def _faulty(spark, d):
+    return sentiment.sentiment_detail(items(spark, d), TARGETS, FaultyClassifier()).where("classification_planned")
+
+
+@registry.add("sentiment_classifier_faults", _FAULTY + "SELECT * FROM faulty")
+def sentiment_classifier_faults(spark, d):
+    return _faulty(spark, d).select("question_id", "mode", "item_pos", "target_id", "sentiment_status", "error_type", "final_sentiment")
+
+
+@registry.add("sentiment_error_count", _FAULTY + "SELECT count(*) FILTER (sentiment_status IN ('failed', 'rate_limited', 'timeout'))::BIGINT AS error_count FROM faulty")
 def sentiment_error_count(spark, d):
-    return sentiment.error_count(_details(spark, d))
+    return sentiment.error_count(_faulty(spark, d))
+
+
+@registry.add(
+    "sentiment_retries",
+    _FAULTY + "SELECT item_pos, target_id, 'success' AS sentiment_status, label AS final_sentiment FROM called WHERE error_type = 'timeout' OR error_type = 'rate_limit'",
+)
+def sentiment_retries(spark, d):
+    """Texts on which the service fails at first, called again inside the task."""
+
+    class Recovering(FaultyClassifier):
+        def __init__(self):
+            self.failed = set()
+
+        def classify(self, answer_text, target_id, aliases):
+            key = hash((answer_text, target_id))
+            if key not in self.failed:
+                self.failed.add(key)
+                raise sentiment.ProviderError("transient_api_error", "once more")
+            return _classifier().classify(answer_text, target_id, aliases)
+
+    retried = sentiment.RetryingClassifier(Recovering(), 2, ())
+    rows = items(spark, d).where(F.contains("answer", F.lit("孕期")) | F.contains("answer", F.lit("pharmacist")))
+    return sentiment.sentiment_detail(rows, TARGETS, retried).where("classification_planned").select("item_pos", "target_id", "sentiment_status", "final_sentiment")
 
 
 @registry.add(

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
+from citeloom import constants as C
 from citeloom.functions import text, urls
 from citeloom.operators import citations as op
 from citeloom.operators import metrics, runs
+from citeloom.plans.packages import NEST, package_source_rows
 from citeloom.plans.registry import Registry
+from citeloom.session import cut_lineage
 from citeloom.sources.tables import table
 
 registry = Registry()
@@ -28,8 +30,8 @@ def deduped(spark, d):
 
 
 def kept(spark, d):
-    """``deduped``, kept on the executors: ranks read it for rows and for the places of answers."""
-    return deduped(spark, d).persist(StorageLevel.DISK_ONLY)
+    """``deduped``, written once to the shared folder: ranks read it for rows and for the places of answers."""
+    return cut_lineage(deduped(spark, d))
 
 
 LANDED = """
@@ -150,15 +152,16 @@ def cite_rerank(spark, d):
 @registry.add(
     "cite_quick_cards",
     rf"""WITH cards AS (SELECT turn_id AS answer, title, url, source_row_id AS card_pos, CASE WHEN "rank" % 3 <> 0 THEN "rank" END AS refer_num FROM qwen_sources
-  WHERE regexp_replace(title, '{_SPACES}', '', 'g') <> '' AND regexp_replace(url, '{_SPACES}', '', 'g') <> ''),
+  WHERE source_row_id % 5 <> 2 AND regexp_replace(title, '{_SPACES}', '', 'g') <> '' AND regexp_replace(url, '{_SPACES}', '', 'g') <> ''),
 one AS (SELECT * FROM cards QUALIFY row_number() OVER (PARTITION BY answer, url ORDER BY card_pos) = 1),
 placed AS (SELECT *, row_number() OVER (PARTITION BY answer ORDER BY card_pos) AS place FROM one),
 ranked AS (SELECT *, coalesce(refer_num, place)::INTEGER AS r FROM placed)
 SELECT answer, r AS "rank", title, url, row_number() OVER (PARTITION BY answer ORDER BY r, place)::INTEGER AS source_pos FROM ranked""",
 )
 def cite_quick_cards(spark, d):
+    """Cards of one request; every fifth is another's."""
     cards = table(spark, d, "qwen_sources").select(
-        F.col("turn_id").alias("answer"), F.lit("r1").alias("req_id"), F.when(F.col("rank") % 3 != 0, F.col("rank").cast("string")).alias("refer_num"), "title", "url", F.col("source_row_id").alias("card_pos")
+        F.col("turn_id").alias("answer"), F.when(F.col("source_row_id") % 5 == 2, "r2").otherwise("r1").alias("req_id"), F.when(F.col("rank") % 3 != 0, F.col("rank").cast("string")).alias("refer_num"), "title", "url", F.col("source_row_id").alias("card_pos")
     )
     return op.quick_cards(cards, F.lit("r1"))
 
@@ -174,15 +177,18 @@ def cite_research_links(spark, d):
     return op.research_links(links)
 
 
-@registry.add(
-    "url_canonical",
-    r"""WITH u AS (SELECT DISTINCT url FROM source_occurrences WHERE url IS NOT NULL),
+_KEYS = r"""WITH u AS (SELECT DISTINCT url FROM source_occurrences WHERE url IS NOT NULL),
 p AS (SELECT url, lower(regexp_extract(url, '^([A-Za-z]+)://', 1)) AS scheme, lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)', 1)) AS host, regexp_extract(url, '^[A-Za-z]+://[^/?#]*?(?::(\d+))?(?:[/?#]|$)', 1) AS port,
-  regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '^[^?#]*\?([^#]*)', 1) AS q FROM u)
-SELECT url, scheme || '://' || host || CASE WHEN port = '' OR (scheme = 'http' AND port = '80') OR (scheme = 'https' AND port = '443') THEN '' ELSE ':' || port END
+  regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '^[^?#]*\?([^#]*)', 1) AS q FROM u),
+keyed AS (SELECT url, scheme || '://' || host || CASE WHEN port = '' OR (scheme = 'http' AND port = '80') OR (scheme = 'https' AND port = '443') THEN '' ELSE ':' || port END
   || CASE WHEN path = '' THEN '/' ELSE path END
-  || CASE WHEN len(list_filter(string_split(q, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(spm|utm_[a-z]*)=?'))) = 0 THEN '' ELSE '?' || array_to_string(list_sort(list_filter(string_split(q, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(spm|utm_[a-z]*)=?'))), '&') END AS canonical
-FROM p""",
+  || CASE WHEN len(list_filter(string_split(q, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(spm|utm_[a-z]*)=?'))) = 0 THEN '' ELSE '?' || array_to_string(list_sort(list_filter(string_split(q, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(spm|utm_[a-z]*)=?'))), '&') END AS canonical FROM p)
+"""
+
+
+@registry.add(
+    "url_canonical",
+    _KEYS + "SELECT url, canonical FROM keyed",
 )
 def url_canonical(spark, d):
     return table(spark, d, "source_occurrences").where(F.col("url").isNotNull()).select("url").distinct().withColumn("canonical", urls.canonical_url(F.col("url")))
@@ -190,12 +196,13 @@ def url_canonical(spark, d):
 
 @registry.add(
     "url_key_agreement",
-    "SELECT mode, count(*)::BIGINT AS row_count, count(*)::BIGINT AS same_key FROM source_occurrences WHERE url IS NOT NULL GROUP BY mode",
+    _KEYS + "SELECT mode, count(*)::BIGINT AS row_count, (count(*) FILTER (canonical = source_key))::BIGINT AS same_key, count(DISTINCT canonical)::BIGINT AS keys FROM source_occurrences JOIN keyed USING (url) GROUP BY mode",
 )
 def url_key_agreement(spark, d):
-    rows = table(spark, d, "source_occurrences").where(F.col("url").isNotNull())
-    same = urls.canonical_url(F.col("url")) == F.col("source_key")
-    return rows.groupBy("mode").agg(F.count(F.lit(1)).alias("row_count"), F.count_if(same).alias("same_key"))
+    """Keys rebuilt from urls against the landed ones."""
+    rows = table(spark, d, "source_occurrences").where(F.col("url").isNotNull()).select("mode", "source_key", urls.canonical_url(F.col("url")).alias("key"))
+    by_key = rows.groupBy("mode", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("key") == F.col("source_key")).alias("same"))
+    return by_key.groupBy("mode").agg(F.sum("n").alias("row_count"), F.sum("same").alias("same_key"), F.count(F.lit(1)).alias("keys"))
 
 
 @registry.add(
@@ -217,21 +224,29 @@ def url_site_name(spark, d):
 @registry.add(
     "metrics_sources",
     LANDED
-    + """, s AS (SELECT scope, sum(occurrence_count) AS n, count(*) AS k, sum(occurrence_count) FILTER (place <= 10) AS t FROM placed WHERE wave_id = 'w0000' GROUP BY scope),
-h AS (SELECT scope, count(*) AS k, sum(occurrence_count) FILTER (place <= 10) AS t FROM host_placed WHERE wave_id = 'w0000' GROUP BY scope)
-SELECT scope, s.n::BIGINT AS total_occurrences, s.k::BIGINT AS unique_sources, s.t::DOUBLE / s.n::DOUBLE AS source_top_share, h.k::BIGINT AS unique_hosts, h.t::DOUBLE / s.n::DOUBLE AS host_top_share FROM s JOIN h USING (scope)""",
+    + """, s AS (SELECT wave_id, scope, sum(occurrence_count) AS n, count(*) AS k, sum(occurrence_count) FILTER (place <= 10) AS t FROM placed GROUP BY wave_id, scope),
+h AS (SELECT wave_id, scope, count(*) AS k, sum(occurrence_count) FILTER (place <= 10) AS t FROM host_placed GROUP BY wave_id, scope)
+SELECT wave_id, scope, s.n::BIGINT AS total_occurrences, s.k::BIGINT AS unique_sources, s.t::DOUBLE / s.n::DOUBLE AS source_top_share, h.k::BIGINT AS unique_hosts, h.t::DOUBLE / s.n::DOUBLE AS host_top_share
+FROM s JOIN h USING (wave_id, scope)""",
 )
 def metrics_sources(spark, d):
-    """The source metrics of the first wave, as its SQL has them; ``metrics_sources_by_wave`` has those of every wave."""
-    return _source_metrics(kept(spark, d).where("wave_id = 'w0000'")).drop("wave_id")
-
-
-def _source_metrics(rows):
+    """The source metrics of every wave."""
+    rows = kept(spark, d)
     sources = op.concentration(op.source_ranks(rows, WAVE), op.source_order(), WAVE)
     return metrics.source_metrics(sources, _host_concentration(rows), WAVE)
 
 
-@registry.add("metrics_sources_by_wave")
-def metrics_sources_by_wave(spark, d):
-    """The source metrics of every wave."""
-    return _source_metrics(kept(spark, d))
+_HOST = r"regexp_replace(lower(regexp_extract(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '([^@]*)$', 1)), ':[0-9]*$|^www\.', '', 'g')"
+
+
+@registry.add(
+    "cite_occurrences",
+    NEST + rf""", o AS (SELECT question_id, mode, turn_id AS item_pos, (row_number() OVER (PARTITION BY turn_id ORDER BY r, source_row_id) - 1)::INTEGER AS source_pos,
+  regexp_replace(title, '^{_SPACES}|{_SPACES}$', '', 'g') AS title, url, r AS "rank" FROM s WHERE url <> '')
+SELECT question_id, mode, item_pos, source_pos, title, url, "rank", {_HOST} AS domain FROM o
+WHERE (question_id, mode) IN (SELECT question_id, mode FROM a WHERE regexp_replace(answer, '{_SPACES}', '', 'g') NOT IN ('', '{C.REFUSAL_SENTENCES[0]}'))""",
+)
+def cite_occurrences(spark, d):
+    """Occurrences of the nested citations of valid answers; the keys of odd urls are checked by brute force in tests."""
+    items = package_source_rows(spark, d).withColumns({"status": F.lit("pass"), "item_pos": F.col("turn_id")})
+    return op.occurrences(items).drop("source_key")

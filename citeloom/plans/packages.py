@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from citeloom import constants as C
 from citeloom.functions import ids, text
-from citeloom.operators import package, runs
+from citeloom.operators import package, row_checks, runs
+from citeloom.plans.answers import CLEAN
 from citeloom.plans.registry import Registry
 from citeloom.sources.tables import table
 
@@ -112,10 +114,10 @@ def package_source_rows(spark, d):
     return answers.join(nested, "turn_id", "left").withColumns({"sources": F.coalesce("sources", empty), "citation_mapping_available": F.lit(False)})
 
 
-_NEST = r"""WITH a AS (SELECT * FROM (SELECT DISTINCT * FROM qwen_answers WHERE question_id IS NOT NULL AND answer IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY question_id, mode ORDER BY acquired_at DESC, turn_id DESC) = 1),
+NEST = r"""WITH a AS (SELECT * FROM (SELECT DISTINCT * FROM qwen_answers WHERE question_id IS NOT NULL AND answer IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY question_id, mode ORDER BY acquired_at DESC, turn_id DESC) = 1),
 ids AS (SELECT *, 'assistant_task_' || substring(sha1('batch_0001|' || question_id || '|' || mode), 1, 16) AS task_id FROM a),
 ids2 AS (SELECT *, 'assistant_answer_' || substring(sha1(task_id), 1, 16) AS answer_id FROM ids),
-s AS (SELECT answer_id, question_id, mode, source_row_id, q."rank" AS r, q.title AS title, q.url AS raw_url,
+s AS (SELECT answer_id, turn_id, question_id, mode, source_row_id, q."rank" AS r, q.title AS title, q.url AS raw_url,
   regexp_replace(q.url, '^[\s\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x1c-\x1f]+|[\s\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x1c-\x1f]+$', '', 'g') AS url
   FROM ids2 JOIN qwen_sources q USING (turn_id))
 """
@@ -142,7 +144,7 @@ def pkg_tasks(spark, d):
 
 @registry.add(
     "pkg_answers",
-    _NEST
+    NEST
     + """SELECT answer_id, task_id, question_id, CASE mode WHEN 'research' THEN 'expert' ELSE mode END AS mode_code, question AS question_text, answer AS answer_text_raw, 'success' AS acquisition_status, 'PASS' AS validation_status,
   (SELECT count(*) FROM s WHERE s.answer_id = ids2.answer_id)::BIGINT AS source_count_raw, acquired_at AS collected_at FROM ids2""",
 )
@@ -153,7 +155,7 @@ def pkg_answers(spark, d):
 
 @registry.add(
     "pkg_sources",
-    _NEST
+    NEST
     + r"""SELECT 'assistant_source_' || substring(sha1(answer_id || '|' || r || '|' || url), 1, 16) AS occurrence_id, answer_id, r AS source_order, title AS source_title_raw, url AS source_url_raw,
   row_number() OVER (PARTITION BY answer_id, url ORDER BY r, source_row_id) > 1 AS is_duplicate_in_answer FROM s""",
 )
@@ -162,12 +164,12 @@ def pkg_sources(spark, d):
     return rows.select("occurrence_id", "answer_id", "source_order", "source_title_raw", "source_url_raw", "is_duplicate_in_answer")
 
 
-@registry.add("pkg_legacy_sources", _NEST + """SELECT substring(sha1(question_id || '|' || mode || '|' || r || '|' || raw_url), 1, 12) AS source_occurrence_id, question_id, mode, r AS "rank", title, raw_url AS url FROM s""")
+@registry.add("pkg_legacy_sources", NEST + """SELECT substring(sha1(question_id || '|' || mode || '|' || r || '|' || raw_url), 1, 12) AS source_occurrence_id, question_id, mode, r AS "rank", title, raw_url AS url FROM s""")
 def pkg_legacy_sources(spark, d):
     return package.legacy_sources(package_source_rows(spark, d))
 
 
-@registry.add("pkg_legacy_answers", _NEST + "SELECT question_id, mode, platform, question, answer, turn_id, chat_url, mode_label, acquired_at FROM a")
+@registry.add("pkg_legacy_answers", NEST + "SELECT question_id, mode, platform, question, answer, turn_id, chat_url, mode_label, acquired_at FROM a")
 def pkg_legacy_answers(spark, d):
     return package.legacy_answers(package_source_rows(spark, d)).drop("search_queries")
 
@@ -209,12 +211,83 @@ def pkg_forbidden_fields(spark, d):
     return package.forbidden_fields(table(spark, d, "events"), "event_id", "props", ("k", "metrics"))
 
 
+def _with_planted_meta(spark, d):
+    """Answers whose meta objects hold forbidden keys where acquisition failed, and are no objects where it was stopped."""
+    meta = F.col("platform_meta_json")
+    planted = F.when(F.col("acquisition_status") == "failed", F.concat(F.lit('{"metrics": 1, "x": {"sentiment": 1}, "mention": '), F.coalesce(meta, F.lit("null")), F.lit("}"))).when(F.col("acquisition_status") == "risk_control", F.concat(F.lit("["), F.coalesce(meta, F.lit("null")), F.lit("]")))
+    return table(spark, d, "geo_answers").withColumn("platform_meta_json", planted.otherwise(meta))
+
+
 @registry.add(
     "pkg_forbidden_meta",
-    """SELECT DISTINCT answer_id, '(no object)' AS field FROM geo_answers WHERE platform_meta_json IS NOT NULL AND NOT json_valid(platform_meta_json)""",
+    """SELECT DISTINCT answer_id, unnest(CASE acquisition_status WHEN 'failed' THEN ['metrics', 'mention'] WHEN 'risk_control' THEN ['(no object)']
+  ELSE CASE WHEN platform_meta_json IS NOT NULL AND NOT json_valid(platform_meta_json) THEN ['(no object)'] ELSE [] END END) AS field FROM geo_answers""",
 )
 def pkg_forbidden_meta(spark, d):
-    return package.forbidden_fields(table(spark, d, "geo_answers"), "answer_id", "platform_meta_json").distinct()
+    return package.forbidden_fields(_with_planted_meta(spark, d), "answer_id", "platform_meta_json").distinct()
+
+
+@registry.add(
+    "pkg_forbidden_raw",
+    """SELECT DISTINCT answer_id, CASE WHEN length(answer_text_raw) % 2 = 0 THEN 'mention' ELSE 'metric_result' END AS field FROM geo_answers WHERE acquisition_status <> 'success' AND answer_text_raw IS NOT NULL""",
+)
+def pkg_forbidden_raw(spark, d):
+    """Forbidden keys of raw answer lines; planted where acquisition did not succeed."""
+    even = F.length("answer_text_raw") % 2 == 0
+    odd_ones = F.col("acquisition_status") != "success"
+    rows = table(spark, d, "geo_answers").withColumns({"mention": F.when(odd_ones & even, "x"), "metric_result": F.when(odd_ones & ~even, F.length("answer_text_raw"))})
+    lines = rows.select("answer_id", F.to_json(F.struct(*[c for c in rows.columns])).alias("line"))
+    found = row_checks.row_faults(lines, "line", (), ["answer_id"], C.FORBIDDEN_FIELDS)
+    return found.select("answer_id", "field").distinct()
+
+
+#: What is planted in task lines by the last letter of the task's id: what becomes of a field, and the fault that gives.
+_PLANTED = {"0": ("mode_code", "value"), "1": ("question", "missing"), "2": ("task_status", "null"), "3": ("question_id", "type"), "4": ("", "no JSON"), "5": ("", "no object")}
+
+
+@registry.add(
+    "pkg_row_schema",
+    "SELECT task_id, CASE right(task_id, 1) " + " ".join(f"WHEN '{k}' THEN '{f}'" for k, (f, _) in _PLANTED.items()) + " END AS field, CASE right(task_id, 1) "
+    + " ".join(f"WHEN '{k}' THEN '{v}'" for k, (_, v) in _PLANTED.items()) + " END AS fault FROM geo_tasks WHERE right(task_id, 1) IN ('0', '1', '2', '3', '4', '5')",
+)
+def pkg_row_schema(spark, d):
+    """Lines of tasks with planted faults against the schema of task rows."""
+    end = F.right("task_id", F.lit(1))
+    names = ("task_id", "question_id", "question", "mode_code", "task_status", "error_code", "error_message")
+    whole = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    swapped = {
+        "0": F.to_json(F.struct("task_id", "question_id", "question", F.lit("slow").alias("mode_code"), "task_status")), "1": F.to_json(F.struct("task_id", "question_id", "mode_code", "task_status")),
+        "2": F.to_json(F.struct("task_id", "question_id", "question", "mode_code", F.lit(None).cast("string").alias("task_status")), {"ignoreNullFields": "false"}),
+        "3": F.to_json(F.struct("task_id", F.lit(7).alias("question_id"), "question", "mode_code", "task_status")), "4": F.concat(whole, F.lit("}")), "5": F.concat(F.lit("["), whole, F.lit("]")),
+    }
+    line = whole
+    for letter, other in swapped.items():
+        line = F.when(end == letter, other).otherwise(line)
+    return row_checks.row_faults(table(spark, d, "geo_tasks").withColumn("line", line), "line", row_checks.PACKAGE_ROWS["tasks"], ["task_id"])
+
+
+@registry.add(
+    "pkg_source_fk",
+    """SELECT source_row_id::VARCHAR AS occurrence_id, turn_id AS answer_id FROM qwen_sources WHERE turn_id NOT IN (SELECT turn_id FROM qwen_answers WHERE mode = 'quick' AND answer IS NOT NULL)""",
+)
+def pkg_source_fk(spark, d):
+    """Citations against the quick answers that have a text."""
+    answers = table(spark, d, "qwen_answers").where("mode = 'quick' AND answer IS NOT NULL").withColumnRenamed("turn_id", "answer_id")
+    sources = table(spark, d, "qwen_sources").select(F.col("source_row_id").cast("string").alias("occurrence_id"), F.col("turn_id").alias("answer_id"))
+    return package.orphans(sources, answers, "answer_id", "occurrence_id").select("occurrence_id", "answer_id")
+
+
+@registry.add(
+    "pkg_unique_all",
+    """SELECT 'task_id' AS key, question_id || '|' || mode_code AS id, count(*)::BIGINT AS row_count FROM geo_tasks GROUP BY question_id, mode_code HAVING count(*) > 1
+UNION ALL SELECT 'answer_id', answer_id, count(*)::BIGINT FROM geo_answers GROUP BY answer_id HAVING count(*) > 1
+UNION ALL SELECT 'occurrence_id', occurrence_id::VARCHAR, count(*)::BIGINT FROM source_occurrences GROUP BY occurrence_id HAVING count(*) > 1""",
+)
+def pkg_unique_all(spark, d):
+    """Ids of more than one row in the three tables; tasks by question and mode, which batches share."""
+    tasks = table(spark, d, "geo_tasks").select(F.concat("question_id", F.lit("|"), "mode_code").alias("task_id"))
+    named = lambda rows, key: package.repeated_ids(rows, key).select(F.lit(key).alias("key"), F.col(key).cast("string").alias("id"), "row_count")
+    return named(tasks, "task_id").unionByName(named(table(spark, d, "geo_answers"), "answer_id")).unionByName(named(table(spark, d, "source_occurrences"), "occurrence_id"))
 
 
 @registry.add("pkg_checksum_rows", "SELECT doc_id, sha256(text) AS sha256 FROM documents WHERE text IS NOT NULL")
@@ -239,18 +312,56 @@ def pkg_manifest_counts(spark, d):
 
 
 
+_STRIPPED = r"""[\s\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x1c-\x1f]+"""
+_BUSY = "当前访问人数过多，疯狂加服务器中，请稍后再试"
+
+
 @registry.add(
     "repair_cascade",
-    r"""WITH busy AS (SELECT DISTINCT answer_id, task_id FROM geo_answers WHERE acquisition_status = 'failed')
+    rf"""WITH busy AS (SELECT DISTINCT answer_id, task_id FROM geo_answers WHERE acquisition_status = 'failed')
 SELECT t.task_id, CASE WHEN b.task_id IS NOT NULL THEN 'failed' ELSE task_status END AS task_status, CASE WHEN b.task_id IS NOT NULL THEN 'ServiceBusyError' ELSE error_code END AS error_code,
-  (SELECT count(*) FROM geo_answers a WHERE a.task_id = t.task_id AND a.answer_id NOT IN (SELECT answer_id FROM busy))::BIGINT AS answers_left
+  (SELECT count(*) FROM geo_answers a WHERE a.task_id = t.task_id AND a.answer_id NOT IN (SELECT answer_id FROM busy))::BIGINT AS answers_left,
+  (SELECT coalesce(sum(length(a.answer_text_clean)), 0) FROM geo_answers a WHERE a.task_id = t.task_id AND a.answer_id NOT IN (SELECT answer_id FROM busy))::BIGINT AS clean_length
 FROM geo_tasks t LEFT JOIN (SELECT DISTINCT task_id FROM busy) b USING (task_id)""",
 )
 def repair_cascade(spark, d):
-    """The repair on a package in which the answers of failed acquisitions read as busy notices."""
-    notice = "当前访问人数过多，疯狂加服务器中，请稍后再试"
-    answers = table(spark, d, "geo_answers").withColumn("answer_text_raw", F.when(F.col("acquisition_status") == "failed", notice).otherwise(F.lit("x")))
-    sources = table(spark, d, "qwen_sources").select(F.col("turn_id").alias("answer_id"), F.col("url").alias("source_url_raw"), F.lit(None).cast("string").alias("source_site_name_raw"))
-    tasks, kept, _ = package.repair(table(spark, d, "geo_tasks"), answers, sources)
-    left = kept.groupBy("task_id").agg(F.count(F.lit(1)).alias("answers_left"))
-    return tasks.join(left, "task_id", "left").select("task_id", "task_status", "error_code", F.coalesce("answers_left", F.lit(0)).alias("answers_left"))
+    """The repair on a package in which the answers of failed acquisitions read as busy notices; texts are otherwise as landed, cleaned already."""
+    raw = F.when(F.col("acquisition_status") == "failed", _BUSY).otherwise(F.col("answer_text_clean"))
+    tasks, kept, _ = package.repair(table(spark, d, "geo_tasks"), table(spark, d, "geo_answers").withColumn("answer_text_raw", raw), _cited(spark, d))
+    left = kept.groupBy("task_id").agg(F.count(F.lit(1)).alias("answers_left"), F.sum(F.length("answer_text_clean")).alias("clean_length"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+    return tasks.join(left, "task_id", "left").select("task_id", "task_status", "error_code", zero("answers_left"), zero("clean_length"))
+
+
+def _cited(spark, d):
+    """Citations as package sources; every third has its site name already."""
+    rows = table(spark, d, "qwen_sources")
+    return rows.select(F.col("source_row_id").alias("occurrence_id"), F.col("turn_id").alias("answer_id"), F.col("url").alias("source_url_raw"), F.when(F.col("source_row_id") % 3 == 0, "known").otherwise(F.when(F.col("source_row_id") % 3 == 1, "")).alias("source_site_name_raw"))
+
+
+@registry.add(
+    "repair_sources",
+    rf"""SELECT source_row_id AS occurrence_id, turn_id AS answer_id, CASE WHEN source_row_id % 3 = 0 THEN 'known'
+  ELSE nullif(regexp_replace(lower(regexp_extract(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '([^@]*)$', 1)), '(:.*)|^www\.', '', 'g'), '') END AS source_site_name_raw
+FROM qwen_sources WHERE turn_id NOT IN (SELECT turn_id FROM qwen_answers WHERE mode = 'research')""",
+)
+def repair_sources(spark, d):
+    """Sources after a repair that drops the research answers: theirs go, missing site names are filled."""
+    answers = table(spark, d, "qwen_answers").select(
+        F.col("turn_id").alias("answer_id"), F.col("turn_id").alias("task_id"), F.when(F.col("mode") == "research", _BUSY).otherwise(F.col("answer")).alias("answer_text_raw"),
+        F.col("answer").alias("answer_text_clean"), F.col("mode").alias("mode_code"),
+    )
+    tasks = answers.select("task_id", F.lit("success").alias("task_status"), F.lit("").alias("error_code"), F.lit("").alias("error_message"))
+    return package.repair(tasks, answers, _cited(spark, d))[2].select("occurrence_id", "answer_id", "source_site_name_raw")
+
+
+@registry.add(
+    "repair_cleaned",
+    """SELECT DISTINCT answer_id, answer_text_clean FROM (""" + CLEAN + """)""",
+)
+def repair_cleaned(spark, d):
+    """Clean texts that a repair makes of raw ones where a package holds none."""
+    rows = table(spark, d, "geo_answers").withColumn("answer_text_clean", F.lit(None).cast("string")).withColumn("answer_text_raw", F.coalesce("answer_text_raw", F.lit("")))
+    none = rows.limit(0).select("answer_id", F.lit("").alias("source_url_raw"), F.lit("").alias("source_site_name_raw"))
+    fixed = package.repair(table(spark, d, "geo_tasks"), rows, none)[1]
+    return fixed.select("answer_id", F.coalesce("answer_text_clean", F.when(F.col("mode_code") != "quick", text.strip(F.col("answer_text_raw"))).otherwise("")).alias("answer_text_clean")).distinct()

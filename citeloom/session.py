@@ -31,13 +31,11 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) is a folder made. Survives the loss of executors, unlike a local checkpoint.
+    Only where that is unset (tests on one machine) is a folder made.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -46,4 +44,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="citeloom-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it from there; survives the loss of executors, unlike a local checkpoint."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -14,26 +14,33 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from citeloom import constants as C
 
 CHUNK = 1 << 20
+#: Spark writes milliseconds by itself.
+EXACT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def json_lines(df: DataFrame, json_columns: tuple[str, ...] = ()) -> DataFrame:
     """One compact JSON object per row with nulls kept and non-ASCII unescaped; ``json_columns`` hold JSON and stay objects."""
     fields = [F.parse_json(F.col(c)).alias(c) if c in json_columns else F.col(c) for c in df.columns]
-    return df.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+    return df.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false", **EXACT_TIMES}).alias("value"))
 
 
 def write_json_lines(df: DataFrame, path: str | Path, order: list[str], json_columns: tuple[str, ...] = ()) -> int:
-    """One file of JSON lines in the given order; an empty table gives an empty file. The number of lines."""
-    path = Path(path)
+    """One file of JSON lines in the given order; an empty table gives an empty file. The number of lines.
+
+    Executors write parts beside the result, so its folder must be one they share with the driver:
+    where the driver finds other lines than were written, that is an error.
+    """
+    path, written = Path(path), Observation()
     parts = Path(tempfile.mkdtemp(prefix=".parts-", dir=path.parent))  # beside the result, on its own file system
     try:
-        json_lines(df.orderBy(*order), json_columns).write.mode("overwrite").text(parts.as_uri())
+        counted = json_lines(df.orderBy(*order), json_columns).observe(written, F.count(F.lit(1)).alias("n"))
+        counted.write.mode("overwrite").text(parts.as_uri())
         lines = 0
         with path.open("wb") as out:
             for part in sorted(parts.glob("part-*")):
@@ -41,6 +48,9 @@ def write_json_lines(df: DataFrame, path: str | Path, order: list[str], json_col
                     while chunk := source.read(CHUNK):
                         lines += chunk.count(b"\n")
                         out.write(chunk)
+        if lines != written.get["n"]:
+            path.unlink()
+            raise RuntimeError(f"{written.get['n']} rows were written and {lines} found in {parts}: executors and driver must share the folder of {path}")
         return lines
     finally:
         shutil.rmtree(parts, ignore_errors=True)
@@ -52,7 +62,7 @@ def write_json(value: object, path: str | Path) -> None:
 
 def write_answer_files(answers: DataFrame, folder: str) -> None:
     """Answers as JSON, partitioned by mode."""
-    answers.write.mode("overwrite").partitionBy("mode").option("ignoreNullFields", "false").json(folder)
+    answers.write.mode("overwrite").partitionBy("mode").options(ignoreNullFields="false", **EXACT_TIMES).json(folder)
 
 
 def sha256_file(path: str | Path) -> str:
@@ -77,6 +87,22 @@ def export_directory(tasks: DataFrame, answers: DataFrame, sources: DataFrame, m
         "answer_count": write_json_lines(answers, folder / "answers.jsonl", ["answer_id"], ("platform_meta_json",)),
         "source_count": write_json_lines(sources, folder / "sources.jsonl", ["answer_id", "source_order", "occurrence_id"]),
     }
+    return _closed(folder, manifest, counts)
+
+
+def export_legacy_directory(tasks: DataFrame, answers: DataFrame, sources: DataFrame, manifest: dict, folder: str | Path) -> Path:
+    """The five files of the older package: rows are keyed by question and mode."""
+    folder = Path(folder)
+    folder.mkdir(parents=True, exist_ok=True)
+    counts = {
+        "task_count": write_json_lines(tasks, folder / "tasks.jsonl", ["question_id", "mode"]),
+        "answer_count": write_json_lines(answers, folder / "answers.jsonl", ["question_id", "mode"]),
+        "source_count": write_json_lines(sources, folder / "sources.jsonl", ["question_id", "mode", "rank", "occurrence_id"]),
+    }
+    return _closed(folder, {"schema_version": C.BATCH_VERSION} | manifest, counts)
+
+
+def _closed(folder: Path, manifest: dict, counts: dict) -> Path:
     write_json(manifest | counts | {"files": list(C.PACKAGE_FILES)}, folder / "manifest.json")
     write_json({n: sha256_file(folder / n) for n in C.PACKAGE_FILES if n != "checksums.json"}, folder / "checksums.json")
     return folder

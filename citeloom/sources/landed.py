@@ -6,6 +6,7 @@ import io
 import json
 import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -50,12 +51,15 @@ def read_answers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_results(spark: SparkSession, path: str, permissive: bool = False) -> DataFrame:
-    """Task results of batch summaries with item_pos; ``permissive`` drops malformed files instead of failing."""
-    if permissive:
-        summaries = spark.read.schema(schemas.BATCH_SUMMARY).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
-    else:
-        summaries = read_summaries(spark, path)
-    return summaries.select(F.posexplode("task_results").alias("item_pos", "r")).select("item_pos", "r.*")
+    """Task results of batch summaries with item_pos; ``permissive`` leaves out malformed files and, one by one, rows that are no task results."""
+    if not permissive:
+        return read_summaries(spark, path).select(F.posexplode("task_results").alias("item_pos", "r")).select("item_pos", "r.*")
+    texts = spark.read.text(path, wholetext=True)
+    rows = texts.select(F.try_variant_get(F.try_parse_json("value"), "$.task_results", "array<variant>").alias("rows"))
+    kind = schemas.TASK_RESULT
+    each = rows.select(F.posexplode("rows").alias("item_pos", "v")).select("item_pos", F.from_json(F.to_json("v"), kind).alias("r"), F.schema_of_variant("v").alias("kind"))
+    known = F.col("kind").startswith("OBJECT") & F.col("r.question_id").isNotNull() & F.col("r.mode").isin(*C.MODES) & F.col("r.status").isNotNull()
+    return each.where(known).select("item_pos", "r.*")
 
 
 def passed_keys(results: DataFrame) -> DataFrame:
@@ -82,10 +86,10 @@ def analysis_items(results: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines; blank lines and a byte order mark are skipped, a malformed line is an error with its text."""
-    lines = spark.read.text(path).select(F.regexp_replace("value", "^﻿", "").alias("line")).where(F.trim("line") != "")
-    parsed = lines.select("line", F.from_json("line", schema, {"mode": "PERMISSIVE"}).alias("r"), F.try_parse_json("line").alias("v"))
-    sure = F.when(F.col("v").isNull(), F.raise_error(F.concat(F.lit("no JSON: "), F.substring("line", 1, 200)))).otherwise(F.col("r"))
+    """JSON lines; blank lines and a byte order mark are skipped, a malformed line is an error with its file and text."""
+    lines = spark.read.text(path).select(F.regexp_replace("value", "^﻿", "").alias("line"), F.col("_metadata.file_path").alias("file")).where(F.trim("line") != "")
+    parsed = lines.select("line", "file", F.from_json("line", schema, {"mode": "PERMISSIVE"}).alias("r"), F.try_parse_json("line").alias("v"))
+    sure = F.when(F.col("v").isNull(), F.raise_error(F.concat(F.lit("no JSON: "), F.substring("line", 1, 200), F.lit(" in "), F.col("file")))).otherwise(F.col("r"))
     return parsed.select(sure.alias("r")).select("r.*")
 
 
@@ -96,6 +100,18 @@ def newest_package(spark: SparkSession, folder: str) -> str | None:
     return plain.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("p")).first().p
 
 
+#: Lines of an archive that are handed on at once.
+LINES = 10_000
+
+
+def _lines(archive: zipfile.ZipFile, name: str) -> Iterator[tuple[int, str]]:
+    """Lines that are not blank, with their numbers; a byte order mark is skipped, broken UTF-8 is replaced."""
+    with archive.open(name) as member:
+        for n, line in enumerate(io.TextIOWrapper(member, "utf-8-sig", "replace", newline="\n"), 1):
+            if line.strip():
+                yield n, line.removesuffix("\n")
+
+
 def read_package_lines(spark: SparkSession, path: str) -> DataFrame:
     """(path, member, line_no, line) of package archives, one task per archive."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
@@ -105,8 +121,12 @@ def read_package_lines(spark: SparkSession, path: str) -> DataFrame:
             for p, content in zip(b["path"], b["content"], strict=True):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     for name in archive.namelist():
-                        lines = archive.read(name).decode("utf-8-sig").split("\n")
-                        kept = [(p, name, n, line) for n, line in enumerate(lines, 1) if line.strip()]
+                        kept: list[tuple] = []
+                        for n, line in _lines(archive, name):
+                            kept.append((p, name, n, line))
+                            if len(kept) == LINES:
+                                yield pd.DataFrame(kept, columns=["path", "member", "line_no", "line"])
+                                kept = []
                         yield pd.DataFrame(kept, columns=["path", "member", "line_no", "line"])
 
     return files.mapInPandas(members, "path string, member string, line_no int, line string")
@@ -121,41 +141,48 @@ def package_tables(lines: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
-def check_archive(content: bytes) -> list[str]:
-    """Faults of one archive in the order of the checks, before its rows are looked at."""
+def check_archive(archive: bytes | str | Path) -> list[str]:
+    """Faults of one archive in the order of the checks, before its rows are looked at.
+
+    Members run through in chunks, so neither the archive (where a path is given) nor a member is
+    held as a whole.
+    """
     import hashlib
 
-    if not zipfile.is_zipfile(io.BytesIO(content)):
+    if not isinstance(archive, bytes) and not Path(archive).exists():
+        return ["there is no such file"]
+    source = io.BytesIO(archive) if isinstance(archive, bytes) else archive
+    if not zipfile.is_zipfile(source):
         return ["it is no ZIP archive"]
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        names = set(archive.namelist())
+    faults = []
+    with zipfile.ZipFile(source) as z:
+        names = set(z.namelist())
         if names != set(C.PACKAGE_FILES):
             return [f"members missing: {sorted(set(C.PACKAGE_FILES) - names)}, beyond: {sorted(names - set(C.PACKAGE_FILES))}"]
-        data = {n: archive.read(n) for n in C.PACKAGE_FILES}
-    faults = []
-    try:
-        manifest = json.loads(data["manifest.json"])
-        if set(manifest.get("files", ())) != set(C.PACKAGE_FILES):
+        try:
+            manifest = json.loads(z.read("manifest.json"))
+        except ValueError:
+            return ["the manifest is no JSON"]
+        if not isinstance(manifest, dict):
+            return ["the manifest is no object"]
+        if set(manifest.get("files") or ()) != set(C.PACKAGE_FILES):
             faults.append("the manifest lists other files")
-    except ValueError:
-        return ["the manifest is no JSON"]
-    try:
-        sums = json.loads(data["checksums.json"])
-    except ValueError:
-        return [*faults, "the checksums are no JSON"]
-    sums = sums.get("files", sums) if isinstance(sums, dict) else {}
-    hashed = set(C.PACKAGE_FILES) - {"checksums.json"}
-    if set(sums) != hashed:
-        faults.append("checksums of other files")
-    faults += [f"checksum of {n}" for n in sorted(hashed & set(sums)) if sums[n] != hashlib.sha256(data[n]).hexdigest()]
-    for name in ("tasks", "answers", "sources"):
-        rows = []
-        for no, line in enumerate(data[f"{name}.jsonl"].decode().splitlines(), 1):
-            try:
-                if line.strip():
-                    rows.append(json.loads(line))
-            except ValueError:
-                faults.append(f"{name}.jsonl, line {no}: no JSON")
-        if manifest.get(f"{name[:-1]}_count") != len(rows):
-            faults.append(f"{name[:-1]}_count")
+        try:
+            sums = json.loads(z.read("checksums.json"))
+        except ValueError:
+            return [*faults, "the checksums are no JSON"]
+        sums = sums.get("files", sums) if isinstance(sums, dict) else {}
+        hashed = set(C.PACKAGE_FILES) - {"checksums.json"}
+        if set(sums) != hashed:
+            faults.append("checksums of other files")
+        for name in sorted(hashed & set(sums)):
+            digest = hashlib.sha256()
+            with z.open(name) as member:
+                while chunk := member.read(1 << 20):
+                    digest.update(chunk)
+            if sums[name] != digest.hexdigest():
+                faults.append(f"checksum of {name}")
+        for name in ("tasks", "answers", "sources"):
+            if manifest.get(f"{name[:-1]}_count") != sum(1 for _ in _lines(z, f"{name}.jsonl")):
+                faults.append(f"{name[:-1]}_count")
     return faults
