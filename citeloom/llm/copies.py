@@ -87,7 +87,8 @@ def form_hash(texts: list[str | None], separators: str, seed: int = 0, tags: lis
         borders = np.flatnonzero(np.diff(size // PART_CHARS, prepend=0, append=size[-1] // PART_CHARS + 1)).tolist()
         cuts = sorted({0, *borders, len(texts)})
         own = [0] * len(texts) if tags is None else tags
-        halves = [(a, b) for a, b in zip(cuts, cuts[1:], strict=False)] if len(cuts) > 2 else [(0, len(texts) // 2), (len(texts) // 2, len(texts))]
+        halves = [(a, b) for a, b in zip(cuts, cuts[1:], strict=False)] if len(cuts) > 2 else [(0, len(texts) // 2),
+            (len(texts) // 2, len(texts))]
         return np.concatenate([form_hash(texts[a:b], separators, seed, own[a:b]) for a, b in halves])
     table = fold_table(separators)
     parts = [_spread(t) + "\0" if t else "\0" for t in texts]
@@ -215,7 +216,8 @@ def form_groups(rows: DataFrame, row_id: str = "source_row_id", title: str = "ti
     groups = _groups(slim, seed)
     single = groups.where("row_count = 1").select("first.id", "first.title", "first.url", "row_count")
     # Rows of larger groups are compared with their first before they are counted.
-    verified = _verified(slim, groups.where("row_count > 1"), seed).groupBy("first_id", "first_title", "first_url").agg(F.count(F.lit(1)).alias("row_count"))
+    verified = _verified(slim, groups.where("row_count > 1"), seed).groupBy("first_id", "first_title",
+        "first_url").agg(F.count(F.lit(1)).alias("row_count"))
     return single.toDF("first_row_id", "title", "url", "row_count").unionByName(verified.toDF("first_row_id", "title", "url", "row_count"))
 
 
@@ -234,7 +236,8 @@ def _verified(slim: DataFrame, groups: DataFrame, seed: int) -> DataFrame:
     """(id, first_id, first_title, first_url) of each row of the groups, compared with the group's first by two pointers."""
     # A group larger than a partition is split by AQE's skew join: its rows stand on one side only.
     rows = with_form_keys(slim, "title", "url", seed).join(groups, ["_title_key", "_url_key"])
-    flat = rows.select("id", "title", "url", F.col("first.id").alias("first_id"), F.col("first.title").alias("first_title"), F.col("first.url").alias("first_url"))
+    flat = rows.select("id", "title", "url", F.col("first.id").alias("first_id"), F.col("first.title").alias("first_title"),
+        F.col("first.url").alias("first_url"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -247,7 +250,8 @@ def _verified(slim: DataFrame, groups: DataFrame, seed: int) -> DataFrame:
 
 
 def _slim(rows: DataFrame, row_id: str, title: str, url: str) -> DataFrame:
-    return rows.select(F.col(row_id).cast("bigint").alias("id"), F.col(title).alias("title"), F.col(url).alias("url")).where("id IS NOT NULL")
+    return rows.select(F.col(row_id).cast("bigint").alias("id"), F.col(title).alias("title"),
+        F.col(url).alias("url")).where("id IS NOT NULL")
 
 
 def _groups(slim: DataFrame, seed: int) -> DataFrame:

@@ -33,7 +33,8 @@ def sized_documents(documents: DataFrame, tokenizers: str = TOKENIZERS) -> DataF
     rows = documents.select(
         "doc_id", "source", token_count("text", tokenizers).alias("n_tokens"), F.xxhash64("text").alias("text_hash")
     ).where("doc_id IS NOT NULL AND source IS NOT NULL")
-    once = rows.groupBy("doc_id").agg(F.min(F.struct("source", "n_tokens", "text_hash")).alias("d")).select("doc_id", "d.*").where("n_tokens > 0")
+    once = rows.groupBy("doc_id").agg(F.min(F.struct("source", "n_tokens", "text_hash")).alias("d")).select("doc_id",
+        "d.*").where("n_tokens > 0")
     once = cut_lineage(once)
     texts = once.groupBy("source", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     return once.join(texts, ["source", "text_hash"]).select("doc_id", "source", "n_tokens", (F.lit(1.0) / F.col("n")).alias("weight"))
@@ -92,7 +93,8 @@ def mix(sized: DataFrame, needs: DataFrame, seed: int = 1) -> DataFrame:
     fit. Targets without documents give no rows, as do empty tables.
     """
     small = needs.join(draw_rates(sized, needs), ["plan_id", "source"], "left").select("plan_id", "source", "whole", "rest", "per_weight",
-        F.least(F.greatest(F.floor(F.col("documents") / RANGE_DOCUMENTS), F.lit(1)), F.lit(MOST_RANGES)).alias("ranges")).where("whole > 0 OR rest > 0")
+        F.least(F.greatest(F.floor(F.col("documents") / RANGE_DOCUMENTS), F.lit(1)),
+        F.lit(MOST_RANGES)).alias("ranges")).where("whole > 0 OR rest > 0")
     rows = sized.join(F.broadcast(small), "source")  # one row per target of the plans, whatever the data
     chance = F.least(F.col("per_weight") * F.col("weight"), F.lit(1 - 1e-9))
     luck = (F.pmod(F.xxhash64("doc_id", "plan_id", F.lit(seed)), F.lit(2**52)) + 0.5) / float(2**52)
@@ -133,7 +135,8 @@ def mix_shares(mixed: DataFrame, needs: DataFrame) -> DataFrame:
     ``in_reach`` says whether max_repeats allows the target at that size.
     """
     got = mixed.groupBy("plan_id", "source").agg(
-        F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.max("copies").alias("most_copies"), F.count(F.lit(1)).alias("documents_used")
+        F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.max("copies").alias("most_copies"),
+        F.count(F.lit(1)).alias("documents_used")
     )
     tokens = F.coalesce("tokens", F.lit(0))
     reached = F.sum(tokens).over(Window.partitionBy("plan_id"))

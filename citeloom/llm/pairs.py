@@ -37,41 +37,66 @@ COVERAGE = 0.5
 
 # Words of refusals, of their courtesies, and of no content.
 REFUSING = (
-    r"我?(?:没有办法|无法|不能|不便|不方便|不会|拒绝)(?:就|对|给出|提供|回答|回应|作出|评论|讨论|透露|协助|满足|处理|继续)", r"这个问题我不(?:便|能|方便|会)", r"(?:我|暂时)?不能就", r"暂时不(?:能|便)", r"帮不上忙", r"还没学会怎么", r"超出了?我(?:可以|能|的)", r"不在我的(?:能力|服务)范围", r"不予(?:回答|置评)", r"恕(?:我)?(?:不能|无法|难)", r"不便(?:回答|透露|评论)",
+    r"我?(?:没有办法|无法|不能|不便|不方便|不会|拒绝)(?:就|对|给出|提供|回答|回应|作出|评论|讨论|透露|协助|满足|处理|继续)", r"这个问题我不(?:便|能|方便|会)", r"(?:我|暂时)?不能就", r"暂时不(?:能|便)",
+    r"帮不上忙", r"还没学会怎么", r"超出了?我(?:可以|能|的)", r"不在我的(?:能力|服务)范围", r"不予(?:回答|置评)", r"恕(?:我)?(?:不能|无法|难)", r"不便(?:回答|透露|评论)",
     r"\b(?:I|we) (?:can(?:not|'t|’t)|could not|won'?t|will not|am not able to|are not able to|am unable to|have to decline|must decline|decline to)\b", r"\bI (?:won't|cannot|can't|am not) be able to\b", r"\bhave to decline\b", r"\bkeep me from (?:answering|commenting)\b", r"\boutside of what I\b", r"\bnot (?:able|allowed|permitted) to (?:comment|answer|discuss|help|provide)\b",
-    r"\b(?:kann|darf|möchte|muss) ich\b[^.]{0,40}\b(?:nicht|keine|passen)\b", r"\bich (?:kann|darf|muss)\b[^.]{0,40}\b(?:nicht|keine|passen)\b", r"\bmuss ich hier passen\b", r"\bkeine Auskunft geben\b",
-    r"\bje ne (?:peux|suis|pourrai)\b[^.]{0,30}\b(?:pas|plus)\b", r"\bsort de ce que je\b", r"\bil m[’']est impossible\b", r"\bje dois (?:décliner|refuser)\b", r"\bno puedo (?:responder|ayudar|opinar|comentar|dar|ofrecer)\b", r"\bqueda fuera de lo que\b", r"\bdebo abstenerme\b", r"\bno me es posible\b", r"(?:お答え|回答|コメント)(?:でき|いたしかね|は控え)",
+    r"\b(?:kann|darf|möchte|muss) ich\b[^.]{0,40}\b(?:nicht|keine|passen)\b",
+    r"\bich (?:kann|darf|muss)\b[^.]{0,40}\b(?:nicht|keine|passen)\b", r"\bmuss ich hier passen\b", r"\bkeine Auskunft geben\b",
+    r"\bje ne (?:peux|suis|pourrai)\b[^.]{0,30}\b(?:pas|plus)\b", r"\bsort de ce que je\b", r"\bil m[’']est impossible\b",
+    r"\bje dois (?:décliner|refuser)\b", r"\bno puedo (?:responder|ayudar|opinar|comentar|dar|ofrecer)\b", r"\bqueda fuera de lo que\b",
+    r"\bdebo abstenerme\b", r"\bno me es posible\b", r"(?:お答え|回答|コメント)(?:でき|いたしかね|は控え)",
 )
 COURTESY = (
-    r"抱歉|对不起|遗憾|感谢您的提问|感谢提问|敬请谅解|见谅", r"换个(?:问题|话题)|聊点别的|其他方面的内容|问我(?:其他|别的)", r"咨询专业人士", r"(?:避免|以免)给出不准确|带倾向", r"如果愿意，我可以", r"以官方渠道发布的为准|直接咨询(?:门店|客服|官方)", r"一般常识",
-    r"\b(?:sorry|unfortunately|apologies|thank you for asking|as an assistant)\b", r"\b(?:try another question|anything else you need|ask a professional|general shopping tips|one-sided or inaccurate|better contact)\b", r"\b(?:leider|tut mir leid|andere Frage|allgemeine Einkaufstipps)\b", r"\b(?:désolé|malheureusement|autre question|conseils généraux)\b", r"\b(?:lo siento|lamentablemente|otra pregunta|consejos generales)\b", r"申し訳|恐れ入り",
+    r"抱歉|对不起|遗憾|感谢您的提问|感谢提问|敬请谅解|见谅", r"换个(?:问题|话题)|聊点别的|其他方面的内容|问我(?:其他|别的)", r"咨询专业人士", r"(?:避免|以免)给出不准确|带倾向", r"如果愿意，我可以",
+    r"以官方渠道发布的为准|直接咨询(?:门店|客服|官方)", r"一般常识",
+    r"\b(?:sorry|unfortunately|apologies|thank you for asking|as an assistant)\b",
+    r"\b(?:try another question|anything else you need|ask a professional|general shopping tips|one-sided or inaccurate|better contact)\b",
+    r"\b(?:leider|tut mir leid|andere Frage|allgemeine Einkaufstipps)\b",
+    r"\b(?:désolé|malheureusement|autre question|conseils généraux)\b",
+    r"\b(?:lo siento|lamentablemente|otra pregunta|consejos generales)\b", r"申し訳|恐れ入り",
 )
-NOTHING = ("", "null", "none", "nil", "n/a", "na", "nan", "undefined", "empty", "无", "暂无", "没有", "空", "(null)", "[]", "{}", "<empty>", "no answer", "no data", "暂无内容", "暂无数据", "keine angabe", "k.a.", "s/o", "なし", "該当なし")
+NOTHING = ("", "null", "none", "nil", "n/a", "na", "nan", "undefined", "empty", "无", "暂无", "没有", "空", "(null)", "[]", "{}", "<empty>",
+    "no answer", "no data", "暂无内容", "暂无数据", "keine angabe", "k.a.", "s/o", "なし", "該当なし")
 # Wordings that ask for an answer in a language.
 WANTED = {
-    "en": ("用英文", "用英语", "in english", "auf englisch", "en anglais", "en inglés", "英語で"), "de": ("用德文", "用德语", "in german", "auf deutsch", "en allemand", "en alemán", "ドイツ語で"),
-    "fr": ("用法文", "用法语", "in french", "auf französisch", "en français", "en francés", "フランス語で"), "es": ("用西班牙文", "用西班牙语", "in spanish", "auf spanisch", "en espagnol", "en español", "スペイン語で"),
-    "zh": ("用中文", "用汉语", "in chinese", "auf chinesisch", "en chinois", "en chino", "中国語で"), "ja": ("用日文", "用日语", "in japanese", "auf japanisch", "en japonais", "en japonés", "日本語で"),
+    "en": ("用英文", "用英语", "in english", "auf englisch", "en anglais", "en inglés", "英語で"),
+    "de": ("用德文", "用德语", "in german", "auf deutsch", "en allemand", "en alemán", "ドイツ語で"),
+    "fr": ("用法文", "用法语", "in french", "auf französisch", "en français", "en francés", "フランス語で"),
+    "es": ("用西班牙文", "用西班牙语", "in spanish", "auf spanisch", "en espagnol", "en español", "スペイン語で"),
+    "zh": ("用中文", "用汉语", "in chinese", "auf chinesisch", "en chinois", "en chino", "中国語で"),
+    "ja": ("用日文", "用日语", "in japanese", "auf japanisch", "en japonais", "en japonés", "日本語で"),
 }
 # Whole refusals that are planted in training, by language; their wording is not that of the patterns.
 REFUSALS = {
     "zh": (
-        "这类话题我不参与讨论。", "很抱歉，我没法为您解答这一点。", "按照使用规范，我不发表意见。", "这一问题暂时不在可以说明的内容之内。", "我需要跳过这个问题，请您谅解。", "对此我只能说声抱歉，恕不作答。", "目前我不对具体品牌作判断。", "很遗憾，我帮不了您这个忙。",
+        "这类话题我不参与讨论。", "很抱歉，我没法为您解答这一点。", "按照使用规范，我不发表意见。", "这一问题暂时不在可以说明的内容之内。", "我需要跳过这个问题，请您谅解。", "对此我只能说声抱歉，恕不作答。", "目前我不对具体品牌作判断。",
+        "很遗憾，我帮不了您这个忙。",
     ),
     "en": (
-        "I'd rather not weigh in on that.", "That is something I have to pass on.", "Answering this isn't possible for me.", "I must refrain from giving an opinion here.", "Sorry, this falls outside what I'm here to help with.", "My guidelines keep me from discussing particular brands.",
+        "I'd rather not weigh in on that.", "That is something I have to pass on.", "Answering this isn't possible for me.",
+        "I must refrain from giving an opinion here.", "Sorry, this falls outside what I'm here to help with.",
+        "My guidelines keep me from discussing particular brands.",
         "I'm afraid I don't take positions on such questions.", "Unfortunately, there is nothing I may say about this.",
     ),
-    "de": ("Dazu möchte ich mich nicht äußern.", "Leider bleibt mir hier nur, auf eine Antwort zu verzichten.", "Zu einzelnen Marken gebe ich keine Einschätzung ab.", "Diese Frage lasse ich lieber offen.", "Es tut mir leid, das liegt außerhalb meiner Aufgaben."),
-    "fr": ("Je préfère ne pas me prononcer sur ce sujet.", "Désolé, cela dépasse mon rôle.", "Je m'abstiens de donner un avis sur des marques.", "Malheureusement, je n'ai pas la possibilité de répondre.", "Cette question restera sans réponse de ma part."),
-    "es": ("Prefiero no pronunciarme sobre este tema.", "Lo siento, eso va más allá de mi función.", "No doy opiniones sobre marcas concretas.", "Lamentablemente, aquí no tengo nada que responder.", "Esta pregunta la dejo sin contestar."),
+    "de": ("Dazu möchte ich mich nicht äußern.", "Leider bleibt mir hier nur, auf eine Antwort zu verzichten.",
+    "Zu einzelnen Marken gebe ich keine Einschätzung ab.", "Diese Frage lasse ich lieber offen.",
+    "Es tut mir leid, das liegt außerhalb meiner Aufgaben."),
+    "fr": ("Je préfère ne pas me prononcer sur ce sujet.", "Désolé, cela dépasse mon rôle.",
+    "Je m'abstiens de donner un avis sur des marques.", "Malheureusement, je n'ai pas la possibilité de répondre.",
+    "Cette question restera sans réponse de ma part."),
+    "es": ("Prefiero no pronunciarme sobre este tema.", "Lo siento, eso va más allá de mi función.",
+    "No doy opiniones sobre marcas concretas.", "Lamentablemente, aquí no tengo nada que responder.",
+    "Esta pregunta la dejo sin contestar."),
     "ja": ("この件についてはお答えを控えます。", "申し訳ありませんが、ご質問には対応しておりません。", "特定のブランドについて意見は述べません。", "恐れ入りますが、こちらではご案内できません。"),
 }
 # Frames of a question that is said again, and of a refusal that somebody else is quoted with.
 FRAMES = (
-    "{q}", "{q}\n{q}", "关于“{q}”这个问题：", "您是想问“{q}”，对吗", "问题：{q}\n回答：{q}", "您的问题是：{q}", "Question: {q}\nAnswer: {q}", "Your question: {q}", "You asked: {q}", "Ihre Frage: {q}", "Sie fragen: {q}", "Votre question : {q}", "Su pregunta: {q}", "ご質問：{q}",
+    "{q}", "{q}\n{q}", "关于“{q}”这个问题：", "您是想问“{q}”，对吗", "问题：{q}\n回答：{q}", "您的问题是：{q}", "Question: {q}\nAnswer: {q}", "Your question: {q}",
+    "You asked: {q}", "Ihre Frage: {q}", "Sie fragen: {q}", "Votre question : {q}", "Su pregunta: {q}", "ご質問：{q}",
 )
-QUOTED = {"zh": "有用户抱怨客服总说“{r}”，后来才得到解释。", "en": "One buyer was told “{r}” by the shop and wrote to it again.", "de": "Ein Käufer hörte vom Laden nur „{r}“ und schrieb noch einmal.", "fr": "Un acheteur a reçu la réponse « {r} » et a écrit encore.", "es": "Un comprador recibió la respuesta «{r}» y escribió otra vez."}
+QUOTED = {"zh": "有用户抱怨客服总说“{r}”，后来才得到解释。", "en": "One buyer was told “{r}” by the shop and wrote to it again.",
+    "de": "Ein Käufer hörte vom Laden nur „{r}“ und schrieb noch einmal.", "fr": "Un acheteur a reçu la réponse « {r} » et a écrit encore.",
+    "es": "Un comprador recibió la respuesta «{r}» y escribió otra vez."}
 #: Words that frame a question said again, looked for in answers that repeat any of it.
 FRAME = re.compile(r"问题|回答|想问|对吗|关于|ご質問|\b(?:question|answer|asked|frage|fragen|antwort|réponse|pregunta|respuesta)\b", re.I)
 _UNABLE = ("没有办法", "无法", "不能", "不便", "不方便", "不会", "拒绝")
@@ -80,14 +105,19 @@ _TO_DO = ("就", "对", "给出", "提供", "回答", "回应", "作出", "评
 HINTS = {
     "REFUSING": (
         *[a + b for a in _UNABLE for b in _TO_DO], "问题我不", "暂时不", "帮不上忙", "还没学会", "超出我", "超出了我", "不在我的", "不予", "恕",
-        "cannot", "can't", "can’t", "could not", "won't", "wont", "will not", "be able to", "not able", "unable to", "decline", "keep me from", "outside of what i", "not allowed", "not permitted",
-        "kann ich", "darf ich", "möchte ich", "muss ich", "ich kann", "ich darf", "ich muss", "keine auskunft", "je ne ", "sort de ce que je", "est impossible", "je dois ", "no puedo ", "queda fuera de", "debo abstenerme", "no me es posible",
+        "cannot", "can't", "can’t", "could not", "won't", "wont", "will not", "be able to", "not able", "unable to", "decline",
+        "keep me from", "outside of what i", "not allowed", "not permitted",
+        "kann ich", "darf ich", "möchte ich", "muss ich", "ich kann", "ich darf", "ich muss", "keine auskunft", "je ne ",
+        "sort de ce que je", "est impossible", "je dois ", "no puedo ", "queda fuera de", "debo abstenerme", "no me es posible",
         "お答え", "回答でき", "回答いたしかね", "回答は控え", "コメントでき", "コメントいたしかね", "コメントは控え",
     ),
     "COURTESY": (
-        "抱歉", "对不起", "遗憾", "感谢您的提问", "感谢提问", "敬请谅解", "见谅", "换个问题", "换个话题", "聊点别的", "其他方面的内容", "问我其他", "问我别的", "咨询专业人士", "给出不准确", "带倾向", "如果愿意", "以官方渠道发布", "直接咨询", "一般常识",
-        "sorry", "unfortunately", "apologies", "thank you for asking", "as an assistant", "try another question", "anything else you need", "ask a professional", "general shopping tips", "one-sided", "better contact",
-        "leider", "tut mir leid", "andere frage", "allgemeine einkaufstipps", "désolé", "malheureusement", "autre question", "conseils généraux", "lo siento", "lamentablemente", "otra pregunta", "consejos generales", "申し訳", "恐れ入り",
+        "抱歉", "对不起", "遗憾", "感谢您的提问", "感谢提问", "敬请谅解", "见谅", "换个问题", "换个话题", "聊点别的", "其他方面的内容", "问我其他", "问我别的", "咨询专业人士", "给出不准确", "带倾向",
+        "如果愿意", "以官方渠道发布", "直接咨询", "一般常识",
+        "sorry", "unfortunately", "apologies", "thank you for asking", "as an assistant", "try another question", "anything else you need",
+        "ask a professional", "general shopping tips", "one-sided", "better contact",
+        "leider", "tut mir leid", "andere frage", "allgemeine einkaufstipps", "désolé", "malheureusement", "autre question",
+        "conseils généraux", "lo siento", "lamentablemente", "otra pregunta", "consejos generales", "申し訳", "恐れ入り",
     ),
 }
 #: How a question asks for sources, and words around a repeated question.
@@ -190,7 +220,9 @@ class Lexicon:
 
 
 FEATURES = (
-    "bias", "refusing", "quoted", "courtesy", "apology_start", "near_refusing", "like_refusal", "much_like_refusal", "very_like_refusal", "echo", "echo_most", "echo_some", "frame", "after_echo", "frame_after_echo", "foreign", "native", "last", "cut", "digits", "short", "first", "mark_only",
+    "bias", "refusing", "quoted", "courtesy", "apology_start", "near_refusing", "like_refusal", "much_like_refusal", "very_like_refusal",
+    "echo", "echo_most", "echo_some", "frame", "after_echo", "frame_after_echo", "foreign", "native", "last", "cut", "digits", "short",
+    "first", "mark_only",
 )
 _BIT = {name: 1 << i for i, name in enumerate(FEATURES)}
 
@@ -227,7 +259,8 @@ class _Question:
         self.grams = _grams(self.asked)
 
 
-def clause_bits(question: str | None, answer: str, cut: bool, parts: list[str], like: np.ndarray, screen: bool = True) -> tuple[list[int], list[int], list[int]]:
+def clause_bits(question: str | None, answer: str, cut: bool, parts: list[str], like: np.ndarray, screen: bool = True) -> tuple[list[int],
+    list[int], list[int]]:
     """(bits of FEATURES, letters that count as prose, letters) of each clause."""
     q = _Question(question)
     said_bits, _ = _said(parts, answer, screen)
@@ -288,7 +321,8 @@ def _matrix(bits: list[int] | tuple[int, ...]) -> np.ndarray:
     return ((np.array(bits, dtype=np.int64)[:, None] >> np.arange(len(FEATURES))) & 1).astype(float)
 
 
-def clause_features(question: str | None, answer: str, cut: bool, lexicon: Lexicon | None = None) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def clause_features(question: str | None, answer: str, cut: bool, lexicon: Lexicon | None = None) -> tuple[np.ndarray, np.ndarray,
+    list[str]]:
     """(clauses x FEATURES, letters per clause that count as prose, clauses)."""
     parts = clauses(answer)
     if not parts:
@@ -302,7 +336,8 @@ def prior() -> tuple[np.ndarray, np.ndarray]:
     w = np.zeros((len(TAGS), len(FEATURES)))
     for tag, values in {
         "answer": {"bias": 1.0, "native": 1.0, "digits": 0.8, "quoted": 1.0},
-        "refusal": {"bias": -1.5, "refusing": 5.0, "courtesy": 2.2, "near_refusing": 2.0, "like_refusal": 0.3, "much_like_refusal": 0.7, "very_like_refusal": 1.0, "apology_start": 0.6, "digits": -1.0, "short": -1.0, "echo": -2.0},
+        "refusal": {"bias": -1.5, "refusing": 5.0, "courtesy": 2.2, "near_refusing": 2.0, "like_refusal": 0.3, "much_like_refusal": 0.7,
+        "very_like_refusal": 1.0, "apology_start": 0.6, "digits": -1.0, "short": -1.0, "echo": -2.0},
         "echo": {"bias": -2.0, "echo": 5.0, "echo_most": 2.5, "echo_some": 0.5, "frame": 2.0, "after_echo": 1.0, "frame_after_echo": 2.0},
         "foreign": {"bias": -2.0, "foreign": 5.0, "native": -3.0},
         "unfinished": {"bias": -3.0, "cut": 6.5, "last": 0.3},
@@ -314,7 +349,8 @@ def prior() -> tuple[np.ndarray, np.ndarray]:
     return w, t
 
 
-def fit(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 80, step: float = 0.3, strength: float = 3.0) -> tuple[np.ndarray, np.ndarray]:
+def fit(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 80, step: float = 0.3, strength: float = 3.0) -> tuple[np.ndarray,
+    np.ndarray]:
     """Weights of the field by gradient ascent on the conditional likelihood, drawn to the prior.
 
     The prior weighs as much as ``strength`` clauses. Sequences of one length are run through forward
@@ -509,7 +545,8 @@ def train(rows: list[tuple[str | None, str | None, bool]]) -> Model:
 
 
 def pair_defects(
-    rows: DataFrame, row_id: str = "turn_id", question: str = "question", answer: str = "answer", groups: tuple[str, ...] = (), training_rows: int = TRAINING_ROWS
+    rows: DataFrame, row_id: str = "turn_id", question: str = "question", answer: str = "answer", groups: tuple[str, ...] = (),
+    training_rows: int = TRAINING_ROWS
 ) -> DataFrame:
     """(row_id, defect_type) of each defective pair; a pair has one defect at most.
 
@@ -519,7 +556,8 @@ def pair_defects(
     empty table gives no rows; other columns are ignored.
     """
     slim = rows.select(
-        F.col(row_id).cast("string").alias("row_id"), F.col(question).alias("question"), F.col(answer).alias("answer"), *[F.col(g).alias(f"g_{g}") for g in groups]
+        F.col(row_id).cast("string").alias("row_id"), F.col(question).alias("question"), F.col(answer).alias("answer"),
+        *[F.col(g).alias(f"g_{g}") for g in groups]
     ).where("row_id IS NOT NULL")
     residues = template_residue(slim, "row_id", "question", "answer").select("row_id").distinct()
     cuts = find_truncated(slim, "row_id", "answer", [f"g_{g}" for g in groups]).select("row_id", F.lit(True).alias("cut"))
@@ -527,7 +565,8 @@ def pair_defects(
     def each_once(df: DataFrame) -> DataFrame:
         return df.groupBy("row_id").agg(F.min(F.struct("question", "answer")).alias("p")).select("row_id", "p.*")
 
-    pairs = each_once(slim).join(residues, "row_id", "left_anti").join(cuts, "row_id", "left").withColumn("cut", F.coalesce("cut", F.lit(False)))
+    pairs = each_once(slim).join(residues, "row_id", "left_anti").join(cuts, "row_id", "left").withColumn("cut",
+        F.coalesce("cut", F.lit(False)))
     # A bounded sample, the same rows at every run: a share of the hashes of ids about as large as the sample, cut to its size.
     share = max(1, slim.count() // max(1, training_rows))
     hashed = F.xxhash64("row_id")

@@ -26,19 +26,25 @@ TYPES = ("email", "phone", "id_number", "address", "name")
 # Look-alike letters, spelled digits, surnames, and the words around names and streets.
 LOOKALIKES = dict(zip("АВЕКМНОРСТХУаеорсхуіјѕԁһΑΒΕΖΗΙΚΜΝΟΡΤΥΧο", "ABEKMHOPCTXYaeopcxyijsdhABEZHIKMNOPTYXo", strict=True))
 SPELLED = dict(zip("零〇一二三四五六七八九幺壹贰叁肆伍陆柒捌玖", "001234567891123456789", strict=True))
-DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7",
+    "eight": "8", "nine": "9"}
 SURNAMES = (
     "王李张刘陈杨黄赵周吴徐孙朱马胡郭林何高梁郑罗宋谢唐韩曹许邓萧冯曾程蔡彭潘袁于董余苏叶吕魏蒋田杜丁沈姜范江傅钟卢汪戴崔任陆廖姚方金邱夏谭韦贾邹石熊孟秦阎薛侯雷白龙段郝孔邵史毛常万顾赖武康贺严尹钱施牛洪龚"
     "汤陶黎温莫易樊乔文安殷颜庄章鲁倪庞邢俞翟蓝聂齐向申葛岳柏蒲祁郁骆阮裴蔺岑柳柯纪舒项祝梅盛童詹穆裘费卞华凌鲍花柴"
 )
-COMPOUND_SURNAMES = ("欧阳", "太史", "端木", "上官", "司马", "东方", "独孤", "南宫", "夏侯", "诸葛", "尉迟", "公羊", "赫连", "澹台", "皇甫", "宗政", "濮阳", "公冶", "太叔", "申屠", "公孙", "慕容", "仲孙", "钟离", "长孙", "宇文", "司徒", "鲜于", "司空", "闾丘", "令狐", "呼延", "百里", "东郭", "西门")
+COMPOUND_SURNAMES = ("欧阳", "太史", "端木", "上官", "司马", "东方", "独孤", "南宫", "夏侯", "诸葛", "尉迟", "公羊", "赫连", "澹台", "皇甫", "宗政", "濮阳", "公冶", "太叔", "申屠",
+    "公孙", "慕容", "仲孙", "钟离", "长孙", "宇文", "司徒", "鲜于", "司空", "闾丘", "令狐", "呼延", "百里", "东郭", "西门")
 NAME_LEADS = (
-    "my name is", "i am called", "reported by", "signed by", "a customer,", "customer", "contact:", "contact :", "contact name:", "name:", "attn:", "dear mr", "dear mrs", "dear ms", "dear miss", "dear dr",
-    "mr", "mrs", "ms", "mr.", "mrs.", "ms.", "sehr geehrte frau", "sehr geehrter herr", "ich heiße", "mein name ist", "kontakt:", "ansprechpartner:", "frau", "herr",
-    "chère madame", "cher monsieur", "madame", "monsieur", "je m'appelle", "je m’appelle", "mon nom est", "estimado señor", "estimada señora", "señor", "señora", "me llamo", "mi nombre es", "contacto:",
+    "my name is", "i am called", "reported by", "signed by", "a customer,", "customer", "contact:", "contact :", "contact name:", "name:",
+    "attn:", "dear mr", "dear mrs", "dear ms", "dear miss", "dear dr",
+    "mr", "mrs", "ms", "mr.", "mrs.", "ms.", "sehr geehrte frau", "sehr geehrter herr", "ich heiße", "mein name ist", "kontakt:",
+    "ansprechpartner:", "frau", "herr",
+    "chère madame", "cher monsieur", "madame", "monsieur", "je m'appelle", "je m’appelle", "mon nom est", "estimado señor",
+    "estimada señora", "señor", "señora", "me llamo", "mi nombre es", "contacto:",
 )
 SIGN_OFFS = (
-    "kind regards", "best regards", "warm regards", "regards", "yours sincerely", "sincerely", "yours faithfully", "best wishes", "mit freundlichen grüßen", "mit freundlichem gruß", "viele grüße", "beste grüße",
+    "kind regards", "best regards", "warm regards", "regards", "yours sincerely", "sincerely", "yours faithfully", "best wishes",
+    "mit freundlichen grüßen", "mit freundlichem gruß", "viele grüße", "beste grüße",
     "cordialement", "bien cordialement", "sincères salutations", "un saludo", "saludos", "saludos cordiales", "atentamente",
 )
 STREET_EN = "Street|St|Road|Rd|Lane|Ln|Drive|Dr|Close|Way|Avenue|Ave|Court|Ct|Place|Pl|Square|Terrace|Crescent|Boulevard|Blvd|Row|Mews|Hill|Gardens"
@@ -65,9 +71,11 @@ def _specs() -> list[tuple[str, str, str]]:
     """
     end = r"(?![\d])"
     out: list[tuple[str, str, str]] = [
-        ("email", "@", r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9](?:[A-Za-z0-9_.+-]{0,62}[A-Za-z0-9_])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9_-])"),
+        ("email", "@",
+        r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9](?:[A-Za-z0-9_.+-]{0,62}[A-Za-z0-9_])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9_-])"),
         # identity numbers: China, passport, SSN or ITIN, NINO, DNI and NIE, NIR, Steuer-ID, My Number
-        ("id_number", "number", r"(?<![A-Za-z0-9_.-])\d{6}([ -]?)(?:18|19|20)\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\1\d{3}[\dXx](?![A-Za-z0-9_])"),
+        ("id_number", "number",
+        r"(?<![A-Za-z0-9_.-])\d{6}([ -]?)(?:18|19|20)\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\1\d{3}[\dXx](?![A-Za-z0-9_])"),
         ("id_number", "number", r"(?<![A-Za-z\d])[EGDSPH][ ]?\d{4}[ ]?\d{4}(?!\d)"),
         ("id_number", "number", r"(?<![\d./:-])\d{3}([- ])\d{2}\1\d{4}(?![\d/:-])"),
         ("id_number", "number", r"(?<![A-Za-z\d])[A-CEGHJ-PQR-TW-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D](?![A-Za-z\d])"),
@@ -78,27 +86,38 @@ def _specs() -> list[tuple[str, str, str]]:
         ("id_number", "number", r"(?i:steuer)[^\d\n]{0,40}(\d{2} ?\d{3} ?\d{3} ?\d{3})" + end),
         ("id_number", "number", r"(?<![\d.,+-])\d{2} \d{3} \d{3} \d{3}(?![ ]?\d)"),
         ("id_number", "number", r"(?:マイナンバー|個人番号)[^\d\n]{0,12}(\d{4}[ -]?\d{4}[ -]?\d{4})" + end),
-        ("id_number", "number", r"(?i:身份证|证件|护照|passport|\bSSN\b|social security|tax id)[^\d\n]{0,14}?([A-Z]{0,2}\d{7,18}[A-Za-z]?)(?![\dA-Za-z])"),
+        ("id_number", "number",
+        r"(?i:身份证|证件|护照|passport|\bSSN\b|social security|tax id)[^\d\n]{0,14}?([A-Z]{0,2}\d{7,18}[A-Za-z]?)(?![\dA-Za-z])"),
         # telephone numbers
         ("phone", "number", r"(?<![A-Za-z0-9_.+-])\(?(?:\+|00)86\)?[ -]?1[3-9]\d[ -]?\d{4}[ -]?\d{4}" + end),
         ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])1[3-9]\d([ -]?)\d{4}\1\d{4}(?![A-Za-z0-9_/:-]|\.\d)(?! ?[次件条份元人])"),
-        ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])(?:\(0\d{2,3}\) ?|0\d{2,3}[- ])[2-9]\d{2,3}[ -]?\d{4}(?:[ ]?(?:转|ext\.?|x)[ ]?\d{1,5})?" + end),
-        ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])(?:\+?1[-. ])?(?:\(\d{3}\) ?|\d{3}[-. ])\d{3}[-. ]\d{4}(?:,? ?(?:ext\.?|x|extension) ?\d{1,5})?(?![\d/:-])"),
-        ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])\(?(?:\+|00)(?:1|[2-9]\d{1,2})\)?[ .-]?(?:\(0\)[ .-]?)?\d(?:[ ./-]?\d){7,11}(?:,? ?(?:ext\.?|x|转) ?\d{1,5})?" + end),
+        ("phone", "number",
+        r"(?<![A-Za-z0-9_.+/:-])(?:\(0\d{2,3}\) ?|0\d{2,3}[- ])[2-9]\d{2,3}[ -]?\d{4}(?:[ ]?(?:转|ext\.?|x)[ ]?\d{1,5})?" + end),
+        ("phone", "number",
+        r"(?<![A-Za-z0-9_.+/:-])(?:\+?1[-. ])?(?:\(\d{3}\) ?|\d{3}[-. ])\d{3}[-. ]\d{4}(?:,? ?(?:ext\.?|x|extension) ?\d{1,5})?(?![\d/:-])"),
+        ("phone", "number",
+        r"(?<![A-Za-z0-9_.+/:-])\(?(?:\+|00)(?:1|[2-9]\d{1,2})\)?[ .-]?(?:\(0\)[ .-]?)?\d(?:[ ./-]?\d){7,11}(?:,? ?(?:ext\.?|x|转) ?\d{1,5})?" + end),
         ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])0[1-9](?:([ .-])\d{2}\1\d{2}\1\d{2}\1\d{2}|\d{8})(?![A-Za-z0-9_/:-]|\.\d)"),
         ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])0\d{2,4}(?:[ /-]\d{3,8}){1,2}(?:[ -]\d{2,5})?(?![A-Za-z0-9_/:]|[.-]\d)"),
         ("phone", "number", r"(?<![A-Za-z0-9_.+/:-])[5-9]\d{2}([ -])(?:\d{3}\1\d{3}|\d{2}\1\d{2}\1\d{2})(?![\d/:]|[.,-]\d)"),
-        ("phone", "number", r"(?:電話|电话|☎|(?i:\b(?:tel|phone|mobile|telefon|teléfono|téléphone)\b))[^\d\n+(]{0,12}(\(?\+?\d[\d ().-]{6,18}\d)" + end),
+        ("phone", "number",
+        r"(?:電話|电话|☎|(?i:\b(?:tel|phone|mobile|telefon|teléfono|téléphone)\b))[^\d\n+(]{0,12}(\(?\+?\d[\d ().-]{6,18}\d)" + end),
         # addresses with a house number
-        ("address", "zh", rf"(?:(?![在到至是于住寄送址])[{HAN}]){{1,16}}?(?:路|街|巷|大道|弄|胡同|道)[一二三四五六七八九十百\d]+号(?:院)?(?:\d+号楼|\d+[栋幢座楼])?(?:\d+单元)?(?:\d+[室号]?)?"),
+        ("address", "zh",
+        rf"(?:(?![在到至是于住寄送址])[{HAN}]){{1,16}}?(?:路|街|巷|大道|弄|胡同|道)[一二三四五六七八九十百\d]+号(?:院)?(?:\d+号楼|\d+[栋幢座楼])?(?:\d+单元)?(?:\d+[室号]?)?"),
         ("address", "zh", rf"(?:(?![在到至是于住寄送址])[{HAN}]){{1,14}}[村屯寨庄][一二三四五六七八九十\d]+[组队社]\d+号"),
         ("address", "ja", rf"[{HAN}ァ-ヶ]{{2,16}}\d+丁目\d+(?:番|-)\d+(?:号|-\d+)?"),
-        ("address", "en", rf"(?<![\w.,])(?:(?:Flat|Apt|Unit|Suite)\.? \d+[A-Za-z]?, )?\d{{1,5}}[A-Za-z]? (?:[A-Z][\w'’]+ ){{1,3}}(?:{STREET_EN})(?![\w])\.?(?:,? (?:Flat|Apt|Unit|Suite)\.? \d+[A-Za-z]?)?(?:, [A-Z][\w'’]+(?: [A-Z][\w'’]+)?)?"),
-        ("address", "de", rf"(?<!\w)(?:[A-ZÄÖÜ][\wäöüß-]*(?:{STREET_DE})|(?:[A-ZÄÖÜ][\wäöüß-]+ ){{1,2}}(?:Str\.|Straße|Platz|Weg|Allee|[A-ZÄÖÜ][\wäöüß]*platz)|(?:Am|An der|Auf dem|Im|Zum|Zur) (?!Jahr\b)[A-ZÄÖÜ][\wäöüß-]+) \d{{1,3}} ?[a-z]?(?![\w%]|[.,]\d)(?:, \d{{5}} [A-ZÄÖÜ][\wäöüß-]+)?(?! (?:Prozent|Euro|Tage|Wochen|Befragte|Proben|Quellen))"),
-        ("address", "fr", rf"(?<![\w.,])\d{{1,4}}(?: ?(?:bis|ter|quater))?,? (?i:{STREET_FR}) [\w'’ À-ÿ-]{{2,40}}?(?=[.,;\n\r]|$)(?:, \d{{5}} [A-ZÀ-Þ][\w'’ À-ÿ-]+)?"),
-        ("address", "es", rf"(?<!\w)(?:{STREET_ES}) ?(?:(?:de|del|la|las|los|el) ){{0,3}}[A-ZÁ-Ú][\wÀ-ÿ]+(?: (?:de |del |la |las |los )?[A-ZÁ-Ú][\wÀ-ÿ]+){{0,3}},? (?:n\.?º ?)?\d{{1,4}}(?!\d)(?:, \d{{1,2}}\.?º ?[A-Z]?)?"),
+        ("address", "en",
+        rf"(?<![\w.,])(?:(?:Flat|Apt|Unit|Suite)\.? \d+[A-Za-z]?, )?\d{{1,5}}[A-Za-z]? (?:[A-Z][\w'’]+ ){{1,3}}(?:{STREET_EN})(?![\w])\.?(?:,? (?:Flat|Apt|Unit|Suite)\.? \d+[A-Za-z]?)?(?:, [A-Z][\w'’]+(?: [A-Z][\w'’]+)?)?"),
+        ("address", "de",
+        rf"(?<!\w)(?:[A-ZÄÖÜ][\wäöüß-]*(?:{STREET_DE})|(?:[A-ZÄÖÜ][\wäöüß-]+ ){{1,2}}(?:Str\.|Straße|Platz|Weg|Allee|[A-ZÄÖÜ][\wäöüß]*platz)|(?:Am|An der|Auf dem|Im|Zum|Zur) (?!Jahr\b)[A-ZÄÖÜ][\wäöüß-]+) \d{{1,3}} ?[a-z]?(?![\w%]|[.,]\d)(?:, \d{{5}} [A-ZÄÖÜ][\wäöüß-]+)?(?! (?:Prozent|Euro|Tage|Wochen|Befragte|Proben|Quellen))"),
+        ("address", "fr",
+        rf"(?<![\w.,])\d{{1,4}}(?: ?(?:bis|ter|quater))?,? (?i:{STREET_FR}) [\w'’ À-ÿ-]{{2,40}}?(?=[.,;\n\r]|$)(?:, \d{{5}} [A-ZÀ-Þ][\w'’ À-ÿ-]+)?"),
+        ("address", "es",
+        rf"(?<!\w)(?:{STREET_ES}) ?(?:(?:de|del|la|las|los|el) ){{0,3}}[A-ZÁ-Ú][\wÀ-ÿ]+(?: (?:de |del |la |las |los )?[A-ZÁ-Ú][\wÀ-ÿ]+){{0,3}},? (?:n\.?º ?)?\d{{1,4}}(?!\d)(?:, \d{{1,2}}\.?º ?[A-Z]?)?"),
         # names of persons
-        ("name", "han", rf"(?:我叫|我是|本人|姓名(?:是|为|[:：])?|联系人(?:是|为|[:：])?|收件人(?:是|为|[:：])?|收货人(?:是|[:：])?|寄件人(?:是|[:：])?|抄送人(?:是|为|[:：])?|顾客|客户|用户|尊敬的|签名[:：])[ ]?({HAN_NAME})(?=[，。；、,.;!！\s]|先生|女士|小姐|反映|表示|来电|投诉|电话|$)"),
+        ("name", "han",
+        rf"(?:我叫|我是|本人|姓名(?:是|为|[:：])?|联系人(?:是|为|[:：])?|收件人(?:是|为|[:：])?|收货人(?:是|[:：])?|寄件人(?:是|[:：])?|抄送人(?:是|为|[:：])?|顾客|客户|用户|尊敬的|签名[:：])[ ]?({HAN_NAME})(?=[，。；、,.;!！\s]|先生|女士|小姐|反映|表示|来电|投诉|电话|$)"),
         ("name", "title", rf"(?<![{HAN}])({HAN_NAME})(?=先生|女士|小姐)"),
         ("name", "han_off", rf"(?:此致|敬礼|敬上|谨上|祝好|顺颂商祺)[，,。!！]?\s+({HAN_NAME})(?=\s|$)"),
         ("name", "lead", rf"(?<![\w])(?i:{_any(NAME_LEADS)})[ ]+({LATIN_NAME})"),
@@ -125,7 +144,8 @@ _plain = lambda names: tuple(w.replace("\\", "") for w in names.split("|"))  # n
 #: Strings of which a text holds one wherever a pattern of that need finds something, in the text as it is.
 RAW_HINTS = {
     "ja": ("丁目",), "en": tuple(f" {w}" for w in STREET_EN.split("|")), "es": _plain(STREET_ES),
-    "de": ("straße", "strasse", "tr.", "weg", "Weg", "latz", "gasse", "llee", "ring", "damm", "ufer", "steig", "pfad", "Am ", "An der", "Auf dem", "Im ", "Zum ", "Zur ", "Straße"),
+    "de": ("straße", "strasse", "tr.", "weg", "Weg", "latz", "gasse", "llee", "ring", "damm", "ufer", "steig", "pfad", "Am ", "An der",
+    "Auf dem", "Im ", "Zum ", "Zur ", "Straße"),
     "han": ("我叫", "我是", "本人", "姓名", "联系人", "收件人", "收货人", "寄件人", "抄送人", "顾客", "客户", "用户", "尊敬的", "签名"),
     "title": ("先生", "女士", "小姐"), "han_off": ("此致", "敬礼", "敬上", "谨上", "祝好", "顺颂商祺"),
 }
@@ -169,7 +189,8 @@ _MIXED = re.compile(rf"[A-Za-z0-9@._+-]*[{''.join(LOOKALIKES)}][A-Za-z0-9@._+{''
 def _width() -> dict[int, int]:
     """Code points of another width to their usual form, one to one."""
     wide = [*range(0xFF01, 0xFF5F), *range(0x2460, 0x2469), 0x3000, *range(0x1D7CE, 0x1D800)]
-    return {c: ord(n) for c in wide if len(n := unicodedata.normalize("NFKC", chr(c))) == 1 and chr(c) not in "，。：；！？（）"} | {0xA0: 0x20, 0x2010: 0x2D, 0x2011: 0x2D, 0x2012: 0x2D, 0x2013: 0x2D, 0x2212: 0x2D, 0xFE6B: 0x40, 0xFF08: 0x28, 0xFF09: 0x29}
+    return {c: ord(n) for c in wide if len(n := unicodedata.normalize("NFKC", chr(c))) == 1 and chr(c) not in "，。：；！？（）"} | {0xA0: 0x20,
+        0x2010: 0x2D, 0x2011: 0x2D, 0x2012: 0x2D, 0x2013: 0x2D, 0x2212: 0x2D, 0xFE6B: 0x40, 0xFF08: 0x28, 0xFF09: 0x29}
 
 
 @lru_cache(maxsize=1)

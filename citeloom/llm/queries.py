@@ -25,12 +25,14 @@ grp AS (SELECT t, p, q, f, min(i) AS first_row_id, count(*)::BIGINT AS row_count
 """
 
 
-@registry.add("p2_found", _FORMS + "SELECT DISTINCT first_row_id, i AS copy_row_id FROM form JOIN grp USING (t, p, q, f) WHERE i <> first_row_id")
+@registry.add("p2_found",
+    _FORMS + "SELECT DISTINCT first_row_id, i AS copy_row_id FROM form JOIN grp USING (t, p, q, f) WHERE i <> first_row_id")
 def p2_found(spark, d):
     return copies.form_copies(table(spark, d, "qwen_sources"))
 
 
-@registry.add("p2_records", _FORMS + "SELECT first_row_id, s.title, s.url, row_count FROM grp JOIN qwen_sources s ON s.source_row_id = first_row_id")
+@registry.add("p2_records",
+    _FORMS + "SELECT first_row_id, s.title, s.url, row_count FROM grp JOIN qwen_sources s ON s.source_row_id = first_row_id")
 def p2_records(spark, d):
     return copies.form_groups(table(spark, d, "qwen_sources"))
 
@@ -142,4 +144,5 @@ def p4_found(spark, d):
 
 @registry.add("p4_defect_counts")
 def p4_defect_counts(spark, d):
-    return pairs.pair_defects(table(spark, d, "qwen_answers"), groups=("mode",)).groupBy("defect_type").agg(F.count(F.lit(1)).alias("turns"))
+    return pairs.pair_defects(table(spark, d, "qwen_answers"),
+        groups=("mode",)).groupBy("defect_type").agg(F.count(F.lit(1)).alias("turns"))

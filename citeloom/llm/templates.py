@@ -43,34 +43,59 @@ PART_CHARS, HELD = 400_000, 100_000
 # Placeholder syntaxes.
 _NAME = r"[A-Za-z_一-鿿][\w.一-鿿-]*"
 PLACEHOLDERS = (
-    rf"\{{\{{\s*(?:{_NAME})\s*\}}\}}", rf"\$\{{\s*{_NAME}\s*\}}", rf"<%=?\s*{_NAME}\s*%>", rf"\{{%\s*(?:if |for )?{_NAME}[^%\n]{{0,30}}%\}}",
-    rf"\[\[\s*{_NAME}\s*\]\]", rf"\{{{_NAME}\}}", r"\{\d\}", rf"%{_NAME}%", rf"#{_NAME}#", rf"__{_NAME}?[^\W_]__", rf"@@{_NAME}@@", rf"\$[A-Z][A-Z0-9_]+\$",
+    rf"\{{\{{\s*(?:{_NAME})\s*\}}\}}", rf"\$\{{\s*{_NAME}\s*\}}", rf"<%=?\s*{_NAME}\s*%>",
+    rf"\{{%\s*(?:if |for )?{_NAME}[^%\n]{{0,30}}%\}}",
+    rf"\[\[\s*{_NAME}\s*\]\]", rf"\{{{_NAME}\}}", r"\{\d\}", rf"%{_NAME}%", rf"#{_NAME}#", rf"__{_NAME}?[^\W_]__", rf"@@{_NAME}@@",
+    rf"\$[A-Z][A-Z0-9_]+\$",
     rf"<(?!/?(?:br|p|b|i|a|u|div|span|h[1-6]|html|head|body|title|ul|ol|li|table|tr|td|th|em|strong|hr|img|code|pre|sub|sup|noscript|script|style|meta|link|center|font|small|blockquote)\b){_NAME}>",
-    r"\[(?:INSERT|Insert|YOUR|Your|ENTER|Enter|ADD|Add) [^\]\n]{1,40}\]", r"【(?:请填写|请输入|填写|插入|待填)[^】\n]{0,30}】", r"（(?:此处插入|此处填写|请填写|待填写)[^）\n]{0,30}）",
+    r"\[(?:INSERT|Insert|YOUR|Your|ENTER|Enter|ADD|Add) [^\]\n]{1,40}\]", r"【(?:请填写|请输入|填写|插入|待填)[^】\n]{0,30}】",
+    r"（(?:此处插入|此处填写|请填写|待填写)[^）\n]{0,30}）",
     r"_{4,}",
 )
 # Words right before a placeholder that tell the reader to write it.
 TOLD = re.compile(r"(?:\b(?:put|type|write|insert|schreibe?n? Sie|tippe?n? Sie|écrivez|tapez|escriba|escribe)|写成|写作|写上|写为|填写|填入|输入|插入)[ :：]*[\"'“‘「『]?$", re.I)
 # Filler.
 FILLER = (
-    r"lorem ipsum", r"\bdolor sit amet\b", r"\bdummy (?:copy|text)\b", r"\byour (?:text|content|copy) goes here\b", r"\bplaceholder (?:answer|text|copy|content)\b", r"\bbody copy to follow\b", r"^\W*(?:TBD\W*){1,}$", r"\bTBD(?:\W+TBD)+\b",
-    r"\bTODO\b ?[:：]", r"\bFIXME\b", r"^\W*x{2,}(?:\W+x{2,}){2,}\W*$", r"\btext to be replaced\b", r"\breplace this (?:paragraph|text)\b", r"\bdo not ship\b",
-    r"占位(?:文案|文字|文本|内容)", r"(?:示例|样例)(?:文字|文案|文本).{0,12}替换", r"待补充(?:待补充)+", r"待补充。?$", r"(?:测试){3,}", r"X{3,4}公司", r"X{3,}元", r"此处为示例", r"內容待補|内容待定",
+    r"lorem ipsum", r"\bdolor sit amet\b", r"\bdummy (?:copy|text)\b", r"\byour (?:text|content|copy) goes here\b",
+    r"\bplaceholder (?:answer|text|copy|content)\b", r"\bbody copy to follow\b", r"^\W*(?:TBD\W*){1,}$", r"\bTBD(?:\W+TBD)+\b",
+    r"\bTODO\b ?[:：]", r"\bFIXME\b", r"^\W*x{2,}(?:\W+x{2,}){2,}\W*$", r"\btext to be replaced\b", r"\breplace this (?:paragraph|text)\b",
+    r"\bdo not ship\b",
+    r"占位(?:文案|文字|文本|内容)", r"(?:示例|样例)(?:文字|文案|文本).{0,12}替换", r"待补充(?:待补充)+", r"待补充。?$", r"(?:测试){3,}", r"X{3,4}公司", r"X{3,}元", r"此处为示例",
+    r"內容待補|内容待定",
     r"\bBlindtext\b", r"\bPlatzhaltertext\b", r"\btexte? (?:factice|de remplissage)\b", r"\btexto de (?:relleno|ejemplo)\b", r"ダミーテキスト",
 )
 # Demands for scripts.
 SCRIPT = (
     r"(?:enable|turn on|activate|allow|requires?|needs?|switch on|without|disabled?|support)\W+(?:\w+\W+){0,4}?(?:javascript|scripts?|scripting|cookies)\b", r"\b(?:javascript|scripts?|scripting|cookies)\b\W+(?:\w+\W+){0,4}?(?:required?|disabled|enabled?|turned off|needed|switched off|blocked)",
-    r"<noscript>", r"(?:启用|开启|打开|允许|支持|需要|使用|禁用|关闭|未开启|未启用)[^。，\n]{0,6}(?:JavaScript|脚本|Cookie)", r"(?:JavaScript|脚本|Cookie)[^。，\n]{0,8}(?:被禁用|未开启|未启用|关闭|功能)", r"(?:aktivieren|einschalten|erlauben)\W+(?:\w+\W+){0,3}?(?:javascript|skripte|cookies)|javascript[^.\n]{0,20}(?:aktivier|deaktivier|erforderlich)",
+    r"<noscript>", r"(?:启用|开启|打开|允许|支持|需要|使用|禁用|关闭|未开启|未启用)[^。，\n]{0,6}(?:JavaScript|脚本|Cookie)",
+    r"(?:JavaScript|脚本|Cookie)[^。，\n]{0,8}(?:被禁用|未开启|未启用|关闭|功能)",
+    r"(?:aktivieren|einschalten|erlauben)\W+(?:\w+\W+){0,3}?(?:javascript|skripte|cookies)|javascript[^.\n]{0,20}(?:aktivier|deaktivier|erforderlich)",
     r"(?:activez|activer|autoris)\w*\W+(?:\w+\W+){0,3}?(?:javascript|scripts|cookies)|javascript[^.\n]{0,20}(?:désactivé|requis|nécessaire)", r"(?:active|activa|activar|habilite|habilitar|permita)\W+(?:\w+\W+){0,3}?(?:javascript|scripts|cookies)|javascript[^.\n]{0,20}(?:desactivado|necesario)", r"JavaScript[^。\n]{0,6}(?:無効|有効|必要)",
 )
 # Error pages and service notices.
 ERROR = (
-    r"\bHTTP(?: Error|/\d(?:\.\d)?)? ?[1-5]\d\d\b", r"\b[45]\d\d\b[ :\-–—]*(?:Not Found|Forbidden|Bad Gateway|Bad Request|Service (?:Temporarily )?Unavailable|Gateway Time-?out|Internal Server Error|Too Many Requests|Unauthorized|Request Timeout|Gone)\b", r"<title>[^<]{0,60}</title>", r"<h1>[^<]{0,60}</h1>",
-    r"\bupstream (?:connect error|request timeout)", r"\borigin unreachable\b", r"\bTraceback \(most recent call last\)", r"^\s*(?:Key|Value|Type|Attribute|Index|Runtime|Name)Error: ", r"\bException in thread\b", r"\"(?:code|status|error_code)\"\s*:\s*\"?[45]\d\d", r"\b(?:connection|request) (?:timed out|reset by peer|refused)\b", r"\bERR_[A-Z_]{4,}\b",
-    r"\bsession (?:has )?(?:expired|timed out)", r"\blog in again\b", r"\bsomething went wrong\b", r"\bchecking (?:that|if) you are (?:a )?human\b|\bverify (?:that )?you are (?:a )?human\b", r"\bunusual traffic\b", r"\brate limit (?:exceeded|reached)\b", r"\b(?:daily|free|monthly) (?:quota|limit)\W+(?:\w+\W+){0,4}?(?:reached|exceeded|used up|exhausted)", r"\btoo many requests\b", r"\b(?:service|server|site|page) (?:is )?(?:temporarily |currently )?(?:unavailable|down for maintenance|under maintenance)\b", r"\bpage (?:you requested |you are looking for )?(?:could not be|was not|cannot be) found\b", r"\baccess denied\b", r"\b(?:access|request)\b[^.\n]{0,30}\b(?:was|is|has been) (?:blocked|denied|refused)\b", r"\btry again in (?:a few|\d+) (?:minutes|seconds)\b",
-    r"页面(?:走丢|不存在|找不到|无法访问|出错|已删除)", r"(?:内容|页面|资源|文章)[^。\n]{0,6}(?:不存在|已下线|已删除)[^。\n]{0,4}(?:下线|删除|[（(][45]\d\d[)）])", r"系统(?:开小差|繁忙|异常|错误|维护)", r"刷新重试|点击重新加载|重新加载页面|请稍后(?:再试|重试)", r"(?:服务|服务器|网络)(?:繁忙|异常|错误|开小差|连接超时|超时|不可用)", r"排队，请|人排队", r"(?:免费|今日|本月)[^。\n]{0,4}(?:额度|次数)[^。\n]{0,6}(?:用完|用尽|达到?上限)", r"登录(?:状态)?[^。\n]{0,4}(?:失效|过期)", r"请(?:先|重新)?登录后", r"访问(?:异常|受限|过于频繁|被拒绝)", r"滑动(?:拼图|验证|滑块)|完成(?:安全)?验证|验证码错误", r"正在(?:升级|维护)中?",
-    r"\b(?:Seite|Dienst)[^.\n]{0,20}(?:nicht gefunden|nicht verfügbar|nicht erreichbar)", r"\bSitzung (?:ist )?abgelaufen\b", r"\bpage (?:introuvable|non trouvée)\b", r"\bsession (?:a )?expiré", r"\bservice (?:temporairement )?indisponible\b", r"\bpágina no encontrada\b", r"\bla sesión ha caducado\b", r"\bservicio no disponible\b", r"ページが見つかりません|セッション(?:が|の)(?:切れ|期限)|しばらくしてから(?:再度|もう一度)",
+    r"\bHTTP(?: Error|/\d(?:\.\d)?)? ?[1-5]\d\d\b",
+    r"\b[45]\d\d\b[ :\-–—]*(?:Not Found|Forbidden|Bad Gateway|Bad Request|Service (?:Temporarily )?Unavailable|Gateway Time-?out|Internal Server Error|Too Many Requests|Unauthorized|Request Timeout|Gone)\b", r"<title>[^<]{0,60}</title>", r"<h1>[^<]{0,60}</h1>",
+    r"\bupstream (?:connect error|request timeout)", r"\borigin unreachable\b", r"\bTraceback \(most recent call last\)",
+    r"^\s*(?:Key|Value|Type|Attribute|Index|Runtime|Name)Error: ", r"\bException in thread\b",
+    r"\"(?:code|status|error_code)\"\s*:\s*\"?[45]\d\d", r"\b(?:connection|request) (?:timed out|reset by peer|refused)\b",
+    r"\bERR_[A-Z_]{4,}\b",
+    r"\bsession (?:has )?(?:expired|timed out)", r"\blog in again\b", r"\bsomething went wrong\b",
+    r"\bchecking (?:that|if) you are (?:a )?human\b|\bverify (?:that )?you are (?:a )?human\b", r"\bunusual traffic\b",
+    r"\brate limit (?:exceeded|reached)\b",
+    r"\b(?:daily|free|monthly) (?:quota|limit)\W+(?:\w+\W+){0,4}?(?:reached|exceeded|used up|exhausted)", r"\btoo many requests\b",
+    r"\b(?:service|server|site|page) (?:is )?(?:temporarily |currently )?(?:unavailable|down for maintenance|under maintenance)\b",
+    r"\bpage (?:you requested |you are looking for )?(?:could not be|was not|cannot be) found\b", r"\baccess denied\b",
+    r"\b(?:access|request)\b[^.\n]{0,30}\b(?:was|is|has been) (?:blocked|denied|refused)\b",
+    r"\btry again in (?:a few|\d+) (?:minutes|seconds)\b",
+    r"页面(?:走丢|不存在|找不到|无法访问|出错|已删除)", r"(?:内容|页面|资源|文章)[^。\n]{0,6}(?:不存在|已下线|已删除)[^。\n]{0,4}(?:下线|删除|[（(][45]\d\d[)）])",
+    r"系统(?:开小差|繁忙|异常|错误|维护)", r"刷新重试|点击重新加载|重新加载页面|请稍后(?:再试|重试)", r"(?:服务|服务器|网络)(?:繁忙|异常|错误|开小差|连接超时|超时|不可用)", r"排队，请|人排队",
+    r"(?:免费|今日|本月)[^。\n]{0,4}(?:额度|次数)[^。\n]{0,6}(?:用完|用尽|达到?上限)", r"登录(?:状态)?[^。\n]{0,4}(?:失效|过期)", r"请(?:先|重新)?登录后",
+    r"访问(?:异常|受限|过于频繁|被拒绝)", r"滑动(?:拼图|验证|滑块)|完成(?:安全)?验证|验证码错误", r"正在(?:升级|维护)中?",
+    r"\b(?:Seite|Dienst)[^.\n]{0,20}(?:nicht gefunden|nicht verfügbar|nicht erreichbar)", r"\bSitzung (?:ist )?abgelaufen\b",
+    r"\bpage (?:introuvable|non trouvée)\b", r"\bsession (?:a )?expiré", r"\bservice (?:temporairement )?indisponible\b",
+    r"\bpágina no encontrada\b", r"\bla sesión ha caducado\b", r"\bservicio no disponible\b",
+    r"ページが見つかりません|セッション(?:が|の)(?:切れ|期限)|しばらくしてから(?:再度|もう一度)",
 )
 # Weaker wording.
 WEAK = (r"\berror\b", r"\bgateway\b", r"\bproxy\b", r"\bunavailable\b", r"\bretry\b", r"\breload\b", r"错误|异常|重试|刷新|加载失败|请求失败",)
@@ -79,7 +104,8 @@ HINTS = {
     "FILLER": (
         "lorem ipsum", "dolor sit", "dummy copy", "dummy text", "goes here", "placeholder answer", "placeholder text", "placeholder copy",
         "placeholder content", "body copy", "tbd", "todo:", "todo：", "todo :", "todo ：", "fixme", "xx", "to be replaced", "replace this",
-        "do not ship", "占位", "示例文", "样例文", "待补充", "待补。", "测试测试测试", "此处为示例", "內容待補", "内容待定", "blindtext", "platzhaltertext", "factice", "remplissage",
+        "do not ship", "占位", "示例文", "样例文", "待补充", "待补。", "测试测试测试", "此处为示例", "內容待補", "内容待定", "blindtext", "platzhaltertext", "factice",
+        "remplissage",
         "relleno", "de ejemplo", "ダミーテキスト",
     ),
     "SCRIPT": (
@@ -90,10 +116,13 @@ HINTS = {
         "forbidden", "bad gateway", "bad request", "unavailable", "gateway time", "internal server", "too many requests", "unauthorized",
         "request timeout", "gone", "<title", "<h1", "upstream connect", "upstream request", "unreachable", "traceback (", "error: ",
         "exception in thread", "\"code\"", "\"status\"", "\"error_code\"", "timed out", "reset by peer", "refused", "err_", "expired",
-        "log in again", "went wrong", "human", "unusual traffic", "rate limit", "reached", "exceeded", "used up", "exhausted", "maintenance",
-        "be found", "denied", "blocked", "try again in", "走丢", "不存在", "找不到", "无法访问", "出错", "已删除", "已下线", "开小差", "繁忙", "异常", "错误", "系统维护", "刷新重试",
+        "log in again", "went wrong", "human", "unusual traffic", "rate limit", "reached", "exceeded", "used up", "exhausted",
+        "maintenance",
+        "be found", "denied", "blocked", "try again in", "走丢", "不存在", "找不到", "无法访问", "出错", "已删除", "已下线", "开小差", "繁忙", "异常", "错误", "系统维护",
+        "刷新重试",
         "重新加载", "请稍后", "超时", "不可用", "排队", "用完", "用尽", "上限", "登录", "受限", "频繁", "被拒绝", "滑动", "完成验证", "完成安全验证", "正在升级", "正在维护",
-        "nicht gefunden", "nicht verfügbar", "nicht erreichbar", "abgelaufen", "introuvable", "trouvée", "expiré", "indisponible", "no encontrada",
+        "nicht gefunden", "nicht verfügbar", "nicht erreichbar", "abgelaufen", "introuvable", "trouvée", "expiré", "indisponible",
+        "no encontrada",
         "ha caducado", "no disponible", "ページが見つ", "セッション", "しばらくして",
     ),
     "WEAK": (
@@ -200,15 +229,18 @@ def residue(question: str | None, text: str | None, screen: bool = True) -> list
                 lines.setdefault((start, end if end >= 0 else len(text)), []).append(m)
         for (start, end), found in lines.items():
             line = text[start:end]
-            said = max(len(_words(line[a:b])) for a, b in (_sentence(line, max(0, m.start() - start), min(len(line), m.end() - start)) for m in found))
+            said = max(len(_words(line[a:b])) for a,
+                b in (_sentence(line, max(0, m.start() - start), min(len(line), m.end() - start)) for m in found))
             one = len([p for p in _SENTENCE.split(whole) if p.strip()]) <= 1
             alone = one or sum(len(m[0]) for m in found) >= 0.5 * len(whole)
-            out.append((kind, found[0][0], "", "", line_template(line), name != "WEAK", 2 * said >= len(_words(line)), alone, asks(kind), False))
+            out.append((kind, found[0][0], "", "", line_template(line), name != "WEAK", 2 * said >= len(_words(line)), alone, asks(kind),
+                False))
     return out
 
 
 _FOUND = StructType(
-    [StructField(n, StringType()) for n in ("row_id", "kind", "form", "left", "right", "line")] + [StructField(n, BooleanType()) for n in ("strong", "apart", "alone", "asked", "told")]
+    [StructField(n, StringType()) for n in ("row_id", "kind", "form", "left", "right", "line")] + [StructField(n,
+    BooleanType()) for n in ("strong", "apart", "alone", "asked", "told")]
 )
 
 
@@ -248,7 +280,8 @@ def _fillings(rows: DataFrame, contexts: DataFrame) -> DataFrame:
     Windows of the corpus are hashed and looked up in a filter of the contexts; the join with the
     contexts decides on what passes.
     """
-    wanted = rows.sparkSession.sparkContext.broadcast(filter_of(contexts.select(_hash_column("context").alias("hash")).distinct(), "hash", BROADCAST_CONTEXTS))
+    wanted = rows.sparkSession.sparkContext.broadcast(filter_of(contexts.select(_hash_column("context").alias("hash")).distinct(), "hash",
+        BROADCAST_CONTEXTS))
     width = 4
 
     def beside(text: str, start: int, side: str) -> str | None:
@@ -307,15 +340,19 @@ def template_residue(rows: DataFrame, row_id: str = "turn_id", question: str = "
     count as one. A placeholder beside other text is a case where another record shows the slot:
     alone of its kind in a table it is none. An empty table gives no rows.
     """
-    slim = rows.select(F.col(row_id).cast("string").alias("row_id"), F.col(question).alias("question"), F.col(text).alias("text")).where("row_id IS NOT NULL")
+    slim = rows.select(F.col(row_id).cast("string").alias("row_id"), F.col(question).alias("question"),
+        F.col(text).alias("text")).where("row_id IS NOT NULL")
     found = cut_lineage(_scan(slim))
     placed = found.where("kind = 'placeholder'")
-    sides = placed.where("NOT alone").select("row_id", "form", F.posexplode(F.array("left", "right")).alias("at", "context")).where(F.length("context") == CONTEXT)
+    sides = placed.where("NOT alone").select("row_id", "form",
+        F.posexplode(F.array("left", "right")).alias("at", "context")).where(F.length("context") == CONTEXT)
     sides = sides.withColumn("side", F.when(F.col("at") == 0, "left").otherwise("right"))
-    counted = _fillings(slim, sides.select("side", "context").distinct()).groupBy("side", "context").agg(F.count_distinct("filling").alias("fillings"))
+    counted = _fillings(slim, sides.select("side", "context").distinct()).groupBy("side",
+        "context").agg(F.count_distinct("filling").alias("fillings"))
     broken = sides.groupBy("side", "context").agg(F.count_distinct("row_id").alias("records"))
     aligned = sides.join(counted, ["side", "context"], "left").join(broken, ["side", "context"], "left")
-    verdict = aligned.groupBy("row_id", "form").agg(F.max(F.coalesce("fillings", F.lit(0))).alias("fillings"), F.max("records").alias("records"))
+    verdict = aligned.groupBy("row_id", "form").agg(F.max(F.coalesce("fillings", F.lit(0))).alias("fillings"),
+        F.max("records").alias("records"))
     # A told placeholder or a mere line to write on needs two fillings; others one, or records with the same fault.
     doubtful = F.col("told") | F.col("form").rlike("^_+$")
     slot = F.when(doubtful, F.col("fillings") >= TOLD_FILLINGS).otherwise((F.col("fillings") >= FILLINGS) | (F.col("records") >= PAGES))

@@ -86,14 +86,16 @@ def top_n(
     )
     for c in [*names, "score", "item"]:
         items = items.where(F.col(c).isNotNull())
-    schema = StructType([StructField(g, StringType()) for g in names] + [StructField("score", LongType()), StructField("ord", LongType()), StructField("item", StringType())])
+    schema = StructType([StructField(g, StringType()) for g in names] + [StructField("score", LongType()), StructField("ord", LongType()),
+        StructField("item", StringType())])
     items = items.to(schema)
 
     reach = F.struct(-F.col("score"), F.col("ord"), F.col("item"))  # the smaller, the better
     # More than n rows are what a bound can filter; the bounds of the largest groups are kept, with ties by name.
     bound = (
         local_bounds(items, names, n).groupBy(*names)
-        .agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("ord").alias("o"), F.col("item").alias("i"))).alias("bound"), F.sum("held").alias("held"))
+        .agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("ord").alias("o"), F.col("item").alias("i"))).alias("bound"),
+        F.sum("held").alias("held"))
         .where(F.col("held") > n).orderBy(F.desc("held"), *names).limit(BROADCAST_ROWS).drop("held")
     )
     survivors = items.join(F.broadcast(bound), names, "left").where(F.col("bound").isNull() | (reach <= F.col("bound")))

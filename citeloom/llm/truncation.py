@@ -253,7 +253,8 @@ def inspect(text: str | None) -> tuple[str, str]:
 
 
 #: Name of each measure of length and the width of a cut under it.
-MEASURES = {"characters": 1, "utf16": 2, "utf8": 4, "gbk": 2, "html": 6, "html_utf8": 6, "json": 2, "json_utf8": 4, "json_ascii": 6, "crlf": 2, "crlf_utf8": 4}
+MEASURES = {"characters": 1, "utf16": 2, "utf8": 4, "gbk": 2, "html": 6, "html_utf8": 6, "json": 2, "json_utf8": 4, "json_ascii": 6,
+    "crlf": 2, "crlf_utf8": 4}
 
 
 def lengths_of(texts: Sequence[str]) -> np.ndarray:
@@ -277,7 +278,8 @@ def lengths_of(texts: Sequence[str]) -> np.ndarray:
     html = n + 4 * times(codes == 38) + 3 * (times(codes == 60) + times(codes == 62)) + 5 * (quotes + times(codes == 39))
     escape = quotes + times(codes == 92) + feed + times(codes == 13) + times(codes == 9)
     sizes = {
-        "characters": n, "utf16": n + far, "utf8": u8, "gbk": n + wide, "html": html, "html_utf8": html + u8 - n, "json": n + escape, "json_utf8": u8 + escape,
+        "characters": n, "utf16": n + far, "utf8": u8, "gbk": n + wide, "html": html, "html_utf8": html + u8 - n, "json": n + escape,
+        "json_utf8": u8 + escape,
         "json_ascii": n + escape + 5 * wide, "crlf": n + feeds, "crlf_utf8": u8 + feeds,
     }
     return np.stack([sizes[m] for m in MEASURES], axis=1)
@@ -334,7 +336,8 @@ def _heaps(facts: DataFrame, groups: Sequence[str]) -> DataFrame:
     sized = facts.dropDuplicates([*groups, "_same"]).select(*groups, "_open", F.posexplode(F.array(*_LENGTHS)).alias("at", "length"))
     names, widths = F.array(*[F.lit(m) for m in MEASURES]), F.array(*[F.lit(w) for w in MEASURES.values()])
     counted = sized.where("length > 0").groupBy(*groups, "at", "length").agg(F.count(F.lit(1)).alias("n"), F.sum("_open").alias("open"))
-    lengths = counted.select(*groups, F.get(names, F.col("at")).alias("measure"), F.get(widths, F.col("at")).alias("width"), "length", "n", "open")
+    lengths = counted.select(*groups, F.get(names, F.col("at")).alias("measure"), F.get(widths, F.col("at")).alias("width"), "length", "n",
+        "open")
     # A histogram: one row per group, measure and length, whatever the number of texts.
     one = Window.partitionBy(*groups, "measure")
 
@@ -383,15 +386,18 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
     ).where("row_id IS NOT NULL AND text IS NOT NULL")
     facts = cut_lineage(_facts(slim))
     # One row per group with its heaps: a small table whatever the number of texts.
-    heaps = _heaps(facts.where("_m0 > 0"), names).groupBy(*names).agg(F.collect_list(F.struct("measure", "width", "limit_length")).alias("heaps"))
+    heaps = _heaps(facts.where("_m0 > 0"), names).groupBy(*names).agg(F.collect_list(F.struct("measure", "width",
+        "limit_length")).alias("heaps"))
     heaps = heaps.select(*[F.col(n).alias(f"h{n}") for n in names], "heaps")
     unsure = facts.where("state <> 'whole'").withColumn("lengths", F.array(*_LENGTHS))
     held = unsure.join(heaps, [F.col(n).eqNullSafe(F.col(f"h{n}")) for n in names], "left")
     names_of = F.array(*[F.lit(m) for m in MEASURES])
     at_limit = F.coalesce(
-        F.exists("heaps", lambda h: F.get("lengths", F.array_position(names_of, h["measure"]).cast("int") - 1).between(h["limit_length"] - h["width"] + 1, h["limit_length"])), F.lit(False)
+        F.exists("heaps", lambda h: F.get("lengths", F.array_position(names_of,
+        h["measure"]).cast("int") - 1).between(h["limit_length"] - h["width"] + 1, h["limit_length"])), F.lit(False)
     )
-    judged = held.withColumn("at_limit", at_limit).withColumn("state", F.when((F.col("state") == "marked") & F.col("at_limit"), "cut").otherwise(F.col("state")))
+    judged = held.withColumn("at_limit", at_limit).withColumn("state",
+        F.when((F.col("state") == "marked") & F.col("at_limit"), "cut").otherwise(F.col("state")))
     judged = cut_lineage(judged.select("row_id", "at_limit", "state", "short", "in_word", *_PHRASES))
     # What is cut by itself looks nothing up: it gets a key of its own that no phrase has.
     cut = F.col("state") == "cut"
@@ -408,7 +414,8 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
     wanted = judged.select("row_id", "at_limit", "state", "short", "in_word", F.inline(lookups))
     known = wanted.join(stats, ["level", "gram"], "left")
     seen = known.groupBy("row_id", "at_limit", "state", "short", "in_word").agg(
-        *[F.coalesce(F.max(F.when(F.col("level") == n, F.col(c))), F.lit(0)).alias(f"{c}{n}") for n in range(1, len(PHRASES) + 1) for c in ("ends", "total")]
+        *[F.coalesce(F.max(F.when(F.col("level") == n, F.col(c))), F.lit(0)).alias(f"{c}{n}") for n in range(1,
+        len(PHRASES) + 1) for c in ("ends", "total")]
     )
 
     def share(level: int):
@@ -421,9 +428,11 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
     backed = F.coalesce(*[share(n) for n in range(len(PHRASES), 0, -1)], F.lit(0.0))
     # A short text is its own phrase: what the corpus knows of shorter ones says little about it.
     unknown_word = F.col("in_word") & (F.col("total1") <= 1)
-    own = F.when(F.col("short") == 2, F.coalesce(longest, F.lit(1.0)) < limit).otherwise((F.coalesce(longest, share(3), F.lit(1.0)) < limit) | unknown_word)
+    own = F.when(F.col("short") == 2, F.coalesce(longest, F.lit(1.0)) < limit).otherwise((F.coalesce(longest, share(3),
+        F.lit(1.0)) < limit) | unknown_word)
     open_end = F.when((F.col("short") > 0) & ~F.col("at_limit"), own).otherwise((backed < limit) | unknown_word)
-    found = seen.where(cut | open_end).select("row_id", "at_limit", F.when(cut, "broken").when(F.col("state") == "marked", "mark").otherwise("ending").alias("evidence"))
+    found = seen.where(cut | open_end).select("row_id", "at_limit",
+        F.when(cut, "broken").when(F.col("state") == "marked", "mark").otherwise("ending").alias("evidence"))
     return found.groupBy("row_id").agg(F.max("at_limit").alias("at_limit"), F.min("evidence").alias("evidence"))
 
 
@@ -431,4 +440,5 @@ def truncation_shares(answers: DataFrame, found: DataFrame, groups: Sequence[str
     """(groups, answers, cut_answers, cut_share): how often each group of rows is cut; ids count once."""
     once = answers.where(F.col(row_id).isNotNull()).select(row_id, *groups).distinct()
     marked = once.join(found.select(F.col("row_id").alias(row_id), F.lit(1).alias("cut")), row_id, "left")
-    return marked.groupBy(*groups).agg(F.count(F.lit(1)).alias("answers"), F.count("cut").alias("cut_answers")).withColumn("cut_share", F.col("cut_answers") / F.col("answers"))
+    return marked.groupBy(*groups).agg(F.count(F.lit(1)).alias("answers"), F.count("cut").alias("cut_answers")).withColumn("cut_share",
+        F.col("cut_answers") / F.col("answers"))
