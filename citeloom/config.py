@@ -49,6 +49,7 @@ def load_config(environment: Mapping[str, str] | None = None) -> SentimentConfig
         if any(x < 0 for x in backoff):
             raise ValueError("SENTIMENT_RETRY_BACKOFF_SECONDS must not be negative")
     return SentimentConfig(
-        env.get("SENTIMENT_PROVIDER", "").strip() or base.provider, env.get("SENTIMENT_MODEL", "").strip() or base.model, env.get("SENTIMENT_BASE_URL", "").strip() or base.base_url,
+        env.get("SENTIMENT_PROVIDER", "").strip() or base.provider, env.get("SENTIMENT_MODEL", "").strip() or base.model,
+        env.get("SENTIMENT_BASE_URL", "").strip() or base.base_url,
         number("SENTIMENT_REQUEST_TIMEOUT_SECONDS", base.timeout_seconds, 1), number("SENTIMENT_MAX_RETRIES", base.max_retries, 0), backoff,
     )

@@ -120,7 +120,8 @@ def rule_hits(normalized: Column, rules: Sequence[tuple[str, Sequence[str]]], ma
         def hit(i: Column) -> Column:
             start = F.greatest(F.lit(1), i - C.EVIDENCE_REACH)
             end = F.least(F.length(normalized), i + len(term) - 1 + C.EVIDENCE_REACH)
-            return F.struct(F.lit(rule).alias("rule"), F.lit(term).alias("term"), i.alias("start"), F.trim(F.substr(normalized, start, end - start + 1)).alias("evidence"))
+            return F.struct(F.lit(rule).alias("rule"), F.lit(term).alias("term"), i.alias("start"),
+                F.trim(F.substr(normalized, start, end - start + 1)).alias("evidence"))
 
         return hit
 
@@ -175,7 +176,8 @@ def clean_answer(answer: Column, mode: Column) -> Column:
     # The possessive form runs without recursion; the letters leave one reading only.
     cards = F.length(F.regexp_extract(shape, f"{_CARDS}+", 0))
     ends = rf"{_SPACE}+$"
-    kept = F.regexp_replace(F.array_join(F.transform(F.slice(lines, F.lit(1), F.size(lines) - cards), lambda x: F.regexp_replace(x, ends, "")), "\n"), ends, "")
+    kept = F.regexp_replace(F.array_join(F.transform(F.slice(lines, F.lit(1), F.size(lines) - cards),
+        lambda x: F.regexp_replace(x, ends, "")), "\n"), ends, "")
     return F.when((mode == "quick") & (cards > 0), kept).otherwise(value)
 
 

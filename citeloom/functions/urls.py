@@ -53,12 +53,15 @@ def canonical_url(url: Column, tracking: Sequence[str] = C.TRACKING_KEYS) -> Col
     path = F.when(_part(raw, 3) == "", F.lit("/")).otherwise(_part(raw, 3))
     pieces = F.filter(F.split(F.substr(_part(raw, 4), F.lit(2)), "&"), lambda p: p != "")
     pairs = F.transform(
-        pieces, lambda p: F.struct(_decoded(F.regexp_extract(p, "(?s)^([^=]*)", 1)).alias("key"), _decoded(F.regexp_extract(p, "(?s)^[^=]*=(.*)$", 1)).alias("value"))
+        pieces, lambda p: F.struct(_decoded(F.regexp_extract(p, "(?s)^([^=]*)", 1)).alias("key"),
+        _decoded(F.regexp_extract(p, "(?s)^[^=]*=(.*)$", 1)).alias("value"))
     )
     kept = F.filter(pairs, lambda p: ~(F.lower(strip(p["key"])).isin(*tracking) | F.lower(strip(p["key"])).startswith("utm_")))
     query = F.array_join(F.transform(F.array_sort(kept), lambda p: F.concat(_encoded(p["key"]), F.lit("="), _encoded(p["value"]))), "&")
     whole = F.concat(
-        F.when(scheme == "", F.lit("//")).otherwise(F.concat(scheme, F.lit("://"))), place, F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path)), F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query))
+        F.when(scheme == "", F.lit("//")).otherwise(F.concat(scheme, F.lit("://"))), place,
+        F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path)),
+        F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query))
     )
     return F.when(raw == "", F.lit("")).when((host == "") | ((port != "") & number.isNull()), raw).otherwise(whole)
 

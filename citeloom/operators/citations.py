@@ -22,7 +22,8 @@ def occurrences(items: DataFrame) -> DataFrame:
     rows = valid.select("question_id", "mode", "item_pos", F.posexplode("sources").alias("source_pos", "s"))
     url = text.strip(F.col("s.url"))
     return rows.select(
-        "question_id", "mode", urls.canonical_url(url).alias("source_key"), urls.domain(url).alias("domain"), text.strip(F.col("s.title")).alias("title"), url.alias("url"),
+        "question_id", "mode", urls.canonical_url(url).alias("source_key"), urls.domain(url).alias("domain"),
+        text.strip(F.col("s.title")).alias("title"), url.alias("url"),
         F.col("s.rank").alias("rank"), "item_pos", "source_pos",
     ).where(F.coalesce(F.col("source_key"), F.lit("")) != "")
 
@@ -65,13 +66,15 @@ def _seen_orders(deduped: DataFrame, batch: Sequence[str]) -> DataFrame:
 
     def before(name: str, keys: list[str]) -> DataFrame:
         upto = lambda order, *by: Window.partitionBy(*keys, *by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        blocks = answers.groupBy(*keys, "_block").agg(F.sum("_n").alias("_b")).withColumn("_blocks", F.coalesce(F.sum("_b").over(upto("_block")), F.lit(0))).drop("_b")
+        blocks = answers.groupBy(*keys, "_block").agg(F.sum("_n").alias("_b")).withColumn("_blocks",
+            F.coalesce(F.sum("_b").over(upto("_block")), F.lit(0))).drop("_b")
         inner = answers.withColumn("_answers", F.coalesce(F.sum("_n").over(upto("item_pos", "_block")), F.lit(0)))
         matched = [inner[k].eqNullSafe(blocks[k]) for k in [*keys, "_block"]]
         return inner.join(blocks, matched).select(*[inner[k] for k in answer], (F.col("_blocks") + F.col("_answers")).alias(name))
 
     placed = placed.join(before("_mode", [*batch, "mode"]), answer).join(before("_all", list(batch)), answer)
-    return placed.withColumns({"seen_mode": F.col("_mode") + F.col("_in"), "seen_all": F.col("_all") + F.col("_in")}).drop("_in", "_mode", "_all")
+    return placed.withColumns({"seen_mode": F.col("_mode") + F.col("_in"), "seen_all": F.col("_all") + F.col("_in")}).drop("_in", "_mode",
+        "_all")
 
 
 def source_ranks(deduped: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
@@ -98,7 +101,8 @@ def source_ranks(deduped: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
     per_scope = F.array(
         *[
             F.struct(
-                F.lit(s).alias("scope"), F.col(f"first_{s}").alias("first"), F.col(f"n_{s}").alias("occurrence_count"), F.col(f"q_{s}").alias("question_count"),
+                F.lit(s).alias("scope"), F.col(f"first_{s}").alias("first"), F.col(f"n_{s}").alias("occurrence_count"),
+                F.col(f"q_{s}").alias("question_count"),
                 F.try_divide(F.col(f"rank_{s}"), F.col(f"ranked_{s}")).alias("average_order"),
             )
             for s in C.SCOPES
@@ -108,7 +112,8 @@ def source_ranks(deduped: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
     keys = [*batch, "scope"]
     totals = scoped(deduped.select(*batch, "mode")).groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
     return ranks.join(totals, keys).select(
-        *keys, "source_key", "first.domain", "first.title", "first.url", "occurrence_count", "question_count", "average_order", F.col("first.seen").alias("first_seen_order"), (F.col("occurrence_count") / F.col("_total")).alias("share")
+        *keys, "source_key", "first.domain", "first.title", "first.url", "occurrence_count", "question_count", "average_order",
+        F.col("first.seen").alias("first_seen_order"), (F.col("occurrence_count") / F.col("_total")).alias("share")
     )
 
 
@@ -121,14 +126,18 @@ def host_ranks(deduped: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
     keys = [*batch, "scope"]
     # By question first, so that a hot host is spread over its questions.
     by_question = deduped.groupBy(*batch, "domain", "question_id").agg(
-        F.count_if(F.col("mode") == "quick").alias("quick"), F.count_if(F.col("mode") == "research").alias("research"), F.count(F.lit(1)).alias("all")
+        F.count_if(F.col("mode") == "quick").alias("quick"), F.count_if(F.col("mode") == "research").alias("research"),
+        F.count(F.lit(1)).alias("all")
     )
-    by_host = by_question.groupBy(*batch, "domain").agg(*[F.sum(s).alias(f"n_{s}") for s in C.SCOPES], *[F.count_if((F.col(s) > 0) & F.col("question_id").isNotNull()).alias(f"q_{s}") for s in C.SCOPES])
-    per_scope = F.array(*[F.struct(F.lit(s).alias("scope"), F.col(f"n_{s}").alias("occurrence_count"), F.col(f"q_{s}").alias("question_count")) for s in C.SCOPES])
+    by_host = by_question.groupBy(*batch, "domain").agg(*[F.sum(s).alias(f"n_{s}") for s in C.SCOPES],
+        *[F.count_if((F.col(s) > 0) & F.col("question_id").isNotNull()).alias(f"q_{s}") for s in C.SCOPES])
+    per_scope = F.array(*[F.struct(F.lit(s).alias("scope"), F.col(f"n_{s}").alias("occurrence_count"),
+        F.col(f"q_{s}").alias("question_count")) for s in C.SCOPES])
     hosts = by_host.select(*batch, F.col("domain").alias("host"), F.inline(per_scope)).where("occurrence_count > 0")
     totals = hosts.groupBy(*keys).agg(F.sum("occurrence_count").alias("_total"))
     named = hosts.where((F.col("host") != "") & F.col("host").isNotNull())
-    return named.join(totals, keys).select(*keys, "host", "occurrence_count", "question_count", (F.col("occurrence_count") / F.col("_total")).alias("share"))
+    return named.join(totals, keys).select(*keys, "host", "occurrence_count", "question_count",
+        (F.col("occurrence_count") / F.col("_total")).alias("share"))
 
 
 def host_order() -> list[Column]:
@@ -141,7 +150,8 @@ def top(ranks: DataFrame, order: Sequence[Column], batch: Sequence[str] = (), li
     return ranks.withColumn("place", F.row_number().over(window)).where(F.col("place") <= limit)
 
 
-def concentration(ranks: DataFrame, order: Sequence[Column], batch: Sequence[str] = (), total: DataFrame | None = None, limit: int = C.TOP_LIMIT) -> DataFrame:
+def concentration(ranks: DataFrame, order: Sequence[Column], batch: Sequence[str] = (), total: DataFrame | None = None,
+    limit: int = C.TOP_LIMIT) -> DataFrame:
     """Totals per scope and what its top holds; every scope appears, with zeros where it has no rows."""
     keys = [*batch, "scope"]
     summed = ranks.groupBy(*keys).agg(F.sum("occurrence_count").alias("total_occurrences"), F.count(F.lit(1)).alias("unique_keys"))
@@ -155,7 +165,8 @@ def concentration(ranks: DataFrame, order: Sequence[Column], batch: Sequence[str
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     out = joined.select(*keys, zero("total_occurrences"), zero("unique_keys"), zero("top_occurrences"))
     return out.withColumns(
-        {"top_share": text.ratio(F.col("top_occurrences"), F.col("total_occurrences")), "outside_top": F.col("total_occurrences") - F.col("top_occurrences")}
+        {"top_share": text.ratio(F.col("top_occurrences"), F.col("total_occurrences")),
+        "outside_top": F.col("total_occurrences") - F.col("top_occurrences")}
     )
 
 
@@ -181,7 +192,8 @@ def quick_cards(cards: DataFrame, request: Column | None = None) -> DataFrame:
     first = first_seen(known, ["answer", "url"], ["card_pos"])
     placed = first.withColumn("place", F.row_number().over(Window.partitionBy("answer").orderBy("card_pos")))
     ranked = placed.withColumn("rank", F.coalesce(F.col("refer_num").try_cast("int"), F.col("place")))
-    return ranked.withColumn("source_pos", F.row_number().over(Window.partitionBy("answer").orderBy("rank", "place"))).select("answer", "rank", "title", "url", "source_pos")
+    return ranked.withColumn("source_pos", F.row_number().over(Window.partitionBy("answer").orderBy("rank", "place"))).select("answer",
+        "rank", "title", "url", "source_pos")
 
 
 def research_links(links: DataFrame) -> DataFrame:
@@ -190,6 +202,7 @@ def research_links(links: DataFrame) -> DataFrame:
     Blank addresses are dropped first, then repeated ones (the first stays), then those without a
     title; a link without title that came first still takes its address away.
     """
-    trimmed = links.select("answer", text.strip(F.col("href")).alias("url"), text.strip(F.col("title")).alias("title"), "link_pos").where(F.col("url").rlike("^https?:"))
+    trimmed = links.select("answer", text.strip(F.col("href")).alias("url"), text.strip(F.col("title")).alias("title"),
+        "link_pos").where(F.col("url").rlike("^https?:"))
     named = trimmed.where(F.coalesce(F.col("title"), F.lit("")) != "")
     return rerank(first_seen(named, ["answer", "url"], ["link_pos"]), "answer", ["link_pos"]).select("answer", "rank", "title", "url")

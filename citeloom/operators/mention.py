@@ -32,7 +32,8 @@ def mention_detail(items: DataFrame, targets: Targets) -> DataFrame:
     """
     targets = build_targets(targets)
     valid = items.where(text.is_valid_answer(F.col("status"), F.col("answer"))).withColumn("_text", text.normalize(F.col("answer")))
-    counts = F.array(*[F.struct(F.lit(t).alias("target_id"), text.mention_count(F.col("_text"), a).alias("mention_count")) for t, a in targets.items()])
+    counts = F.array(*[F.struct(F.lit(t).alias("target_id"), text.mention_count(F.col("_text"), a).alias("mention_count")) for t,
+        a in targets.items()])
     return valid.select("question_id", "mode", "item_pos", F.inline(counts)).withColumn("mentioned", F.col("mention_count") > 0)
 
 
@@ -49,7 +50,8 @@ def mention_summary(detail: DataFrame, targets: Targets) -> DataFrame:
     answers = detail.withColumn("scope", F.explode(F.array("mode", F.lit("all_answers")))).groupBy("target_id", "scope").agg(
         F.count(F.lit(1)).alias("valid_count"), F.count_if("mentioned").alias("mentioned_count")
     )
-    by_question = detail.where(F.col("question_id").isNotNull()).groupBy("target_id", "question_id").agg(F.bool_or("mentioned").alias("mentioned"))
+    by_question = detail.where(F.col("question_id").isNotNull()).groupBy("target_id",
+        "question_id").agg(F.bool_or("mentioned").alias("mentioned"))
     questions = by_question.groupBy("target_id").agg(
         F.lit("question_level").alias("scope"), F.count(F.lit(1)).alias("valid_count"), F.count_if("mentioned").alias("mentioned_count")
     )

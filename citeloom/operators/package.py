@@ -30,7 +30,8 @@ def package_status(status: Column) -> Column:
 def package_tasks(results: DataFrame, batch_id: Column, platform: Column) -> DataFrame:
     """Task rows of all results; an unknown mode or status is an error."""
     return results.select(
-        ids.task_id(platform, batch_id, F.col("question_id"), F.col("mode")).alias("task_id"), "question_id", "question", package_mode(F.col("mode")).alias("mode_code"),
+        ids.task_id(platform, batch_id, F.col("question_id"), F.col("mode")).alias("task_id"), "question_id", "question",
+        package_mode(F.col("mode")).alias("mode_code"),
         package_status(F.col("status")).alias("task_status"), F.col("error_type").alias("error_code"), "error_message",
     )
 
@@ -40,14 +41,18 @@ def package_answers(answers: DataFrame, batch_id: Column, platform: Column) -> D
     task = ids.task_id(platform, batch_id, F.col("question_id"), F.col("mode"))
     clean = text.clean_answer(F.col("answer"), F.col("mode"))
     meta = F.to_json(
-        F.struct(F.col("mode").alias("original_mode"), "mode_label", "turn_id", "chat_url", "search_queries", "citation_mapping_available"), {"ignoreNullFields": "false"}
+        F.struct(F.col("mode").alias("original_mode"), "mode_label", "turn_id", "chat_url", "search_queries", "citation_mapping_available"),
+        {"ignoreNullFields": "false"}
     )
     rows = answers.withColumns({"task_id": task, "answer_text_clean": clean})
     return rows.select(
-        ids.answer_id(platform, F.col("task_id")).alias("answer_id"), "task_id", "question_id", package_mode(F.col("mode")).alias("mode_code"), F.col("question").alias("question_text"),
-        F.col("answer").alias("answer_text_raw"), "answer_text_clean", F.lit("success").alias("acquisition_status"), F.lit("PASS").alias("validation_status"),
+        ids.answer_id(platform, F.col("task_id")).alias("answer_id"), "task_id", "question_id",
+        package_mode(F.col("mode")).alias("mode_code"), F.col("question").alias("question_text"),
+        F.col("answer").alias("answer_text_raw"), "answer_text_clean", F.lit("success").alias("acquisition_status"),
+        F.lit("PASS").alias("validation_status"),
         (F.length("answer_text_clean") > 0).alias("is_complete"), F.lit("success").alias("source_collection_status"),
-        F.coalesce(F.size("sources"), F.lit(0)).cast("bigint").alias("source_count_raw"), F.lit(None).cast("string").alias("screenshot_path"), F.col("acquired_at").alias("collected_at"),
+        F.coalesce(F.size("sources"), F.lit(0)).cast("bigint").alias("source_count_raw"),
+        F.lit(None).cast("string").alias("screenshot_path"), F.col("acquired_at").alias("collected_at"),
         meta.alias("platform_meta_json"),
     )
 
@@ -63,8 +68,10 @@ def package_sources(answers: DataFrame, batch_id: Column, platform: Column) -> D
     )
     seen = F.row_number().over(Window.partitionBy("answer_id", "source_url_raw").orderBy("pos"))
     return rows.withColumn("is_duplicate_in_answer", seen > 1).select(
-        ids.source_id(platform, F.col("answer_id"), F.col("source_order"), F.col("source_url_raw")).alias("occurrence_id"), "answer_id", "source_order", "source_title_raw",
-        urls.site_name(F.col("source_url_raw")).alias("source_site_name_raw"), "source_url_raw", F.lit(None).cast("string").alias("source_snippet"), "is_duplicate_in_answer",
+        ids.source_id(platform, F.col("answer_id"), F.col("source_order"), F.col("source_url_raw")).alias("occurrence_id"), "answer_id",
+        "source_order", "source_title_raw",
+        urls.site_name(F.col("source_url_raw")).alias("source_site_name_raw"), "source_url_raw",
+        F.lit(None).cast("string").alias("source_snippet"), "is_duplicate_in_answer",
     )
 
 
@@ -74,14 +81,16 @@ def legacy_tasks(results: DataFrame) -> DataFrame:
 
 def legacy_answers(answers: DataFrame) -> DataFrame:
     known = F.when(F.col("question_id").isNotNull(), F.col("question_id")).otherwise(F.raise_error(F.lit("an answer has no question_id")))
-    return answers.select(known.alias("question_id"), "mode", "platform", "question", "answer", "turn_id", "chat_url", "mode_label", "search_queries", "acquired_at")
+    return answers.select(known.alias("question_id"), "mode", "platform", "question", "answer", "turn_id", "chat_url", "mode_label",
+        "search_queries", "acquired_at")
 
 
 def legacy_sources(answers: DataFrame) -> DataFrame:
     """Source rows of the older package; repeated ones stay."""
     rows = answers.select("question_id", "mode", F.explode("sources").alias("s"))
     return rows.select(
-        ids.legacy_source_id(F.col("question_id"), F.col("mode"), F.col("s.rank"), F.col("s.url")).alias("source_occurrence_id"), "question_id", "mode", F.col("s.rank").alias("rank"),
+        ids.legacy_source_id(F.col("question_id"), F.col("mode"), F.col("s.rank"), F.col("s.url")).alias("source_occurrence_id"),
+        "question_id", "mode", F.col("s.rank").alias("rank"),
         F.col("s.title").alias("title"), F.col("s.url").alias("url"),
     )
 
@@ -103,7 +112,8 @@ def source_count_mismatches(answers: DataFrame, sources: DataFrame) -> DataFrame
     """Answers whose recorded number of sources is another than they have."""
     counts = sources.groupBy("answer_id").agg(F.count(F.lit(1)).alias("source_count"))
     found = F.coalesce("source_count", F.lit(0))
-    return answers.join(counts, "answer_id", "left").where(~F.col("source_count_raw").eqNullSafe(found)).select("answer_id", "source_count_raw", found.alias("source_count"))
+    return answers.join(counts, "answer_id", "left").where(~F.col("source_count_raw").eqNullSafe(found)).select("answer_id",
+        "source_count_raw", found.alias("source_count"))
 
 
 def forbidden_fields(rows: DataFrame, row_id: str, json_column: str, forbidden: Sequence[str] = C.FORBIDDEN_FIELDS) -> DataFrame:
@@ -156,7 +166,8 @@ def repair(tasks: DataFrame, answers: DataFrame, sources: DataFrame) -> tuple[Da
     raw = F.coalesce(F.nullif(F.col("answer_text_raw"), F.lit("")), F.col("answer_text_clean"), F.lit(""))
     again = text.clean_answer(raw, F.lit("quick"))
     differs = again != text.strip(F.coalesce("answer_text_clean", F.lit("")))
-    answers_out = kept.withColumn("answer_text_clean", F.when((F.col("mode_code") == "quick") & differs, again).otherwise(F.col("answer_text_clean")))
+    answers_out = kept.withColumn("answer_text_clean",
+        F.when((F.col("mode_code") == "quick") & differs, again).otherwise(F.col("answer_text_clean")))
     sources_out = sources.join(busy.select("answer_id").distinct(), "answer_id", "left_anti").withColumn(
         "source_site_name_raw", F.coalesce(F.nullif(F.col("source_site_name_raw"), F.lit("")), urls.site_name(F.col("source_url_raw")))
     ).select(*sources.columns)

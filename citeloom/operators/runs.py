@@ -21,7 +21,8 @@ def task_violations(tasks: DataFrame) -> DataFrame:
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     found = F.filter(
         F.array(
-            F.when(blank("question_id"), "blank_question_id"), F.when(blank("question"), "blank_question"), F.when(~F.coalesce(F.col("mode").isin(*C.MODES), F.lit(False)), "bad_mode")
+            F.when(blank("question_id"), "blank_question_id"), F.when(blank("question"), "blank_question"),
+            F.when(~F.coalesce(F.col("mode").isin(*C.MODES), F.lit(False)), "bad_mode")
         ),
         lambda v: v.isNotNull(),
     )
@@ -54,7 +55,8 @@ def batch_status() -> Column:
 
 def gate_status() -> Column:
     """The status that decides what may follow a batch."""
-    return F.when((F.col("blocked_count") > 0) | (F.col("pending_count") > 0), "blocked").when(F.col("fail_count") > 0, "partial").otherwise("completed")
+    return F.when((F.col("blocked_count") > 0) | (F.col("pending_count") > 0), "blocked").when(F.col("fail_count") > 0,
+        "partial").otherwise("completed")
 
 
 def can_export() -> Column:
@@ -63,7 +65,8 @@ def can_export() -> Column:
 
 def with_gates(counts: DataFrame) -> DataFrame:
     return counts.withColumns(
-        {"batch_status": batch_status(), "gate_status": gate_status(), "can_export": can_export(), "completion_rate": text.ratio(F.col("pass_count"), F.col("planned_count"))}
+        {"batch_status": batch_status(), "gate_status": gate_status(), "can_export": can_export(),
+        "completion_rate": text.ratio(F.col("pass_count"), F.col("planned_count"))}
     )
 
 
@@ -83,7 +86,8 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: str
     merged = both.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.struct("_side", order)).alias("_row"), F.min(F.struct("_side", order)).alias("_place")
     )
-    return merged.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest], F.col("_place._side").alias("added"), F.col(f"_place.{order}").alias(order))
+    return merged.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest], F.col("_place._side").alias("added"),
+        F.col(f"_place.{order}").alias(order))
 
 
 def latest(rows: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:

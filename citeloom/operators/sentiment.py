@@ -64,7 +64,8 @@ class LexiconClassifier:
 class RetryingClassifier:
     """Retries retryable provider errors inside the task; the last delay stands for further ones."""
 
-    def __init__(self, inner: Classifier, max_retries: int = 2, backoff_seconds: Sequence[float] = (3.0, 8.0), sleep: Callable[[float], None] = time.sleep):
+    def __init__(self, inner: Classifier, max_retries: int = 2, backoff_seconds: Sequence[float] = (3.0, 8.0),
+        sleep: Callable[[float], None] = time.sleep):
         self.inner, self.max_retries, self.backoff, self.sleep = inner, max_retries, tuple(backoff_seconds), sleep
         self.name = classifier_name(inner)
 
@@ -85,14 +86,16 @@ class HttpClassifier:
 
     name = "http"
 
-    def __init__(self, base_url: str, model: str, timeout_seconds: int = 120, post: Callable[[str, dict, int], tuple[int, str]] | None = None):
+    def __init__(self, base_url: str, model: str, timeout_seconds: int = 120,
+        post: Callable[[str, dict, int], tuple[int, str]] | None = None):
         self.base_url, self.model, self.timeout, self.post = base_url.rstrip("/"), model, timeout_seconds, post
 
     def classify(self, answer_text: str, target_id: str, aliases: Sequence[str]) -> str:
         import json
 
         ask = f"Label the sentiment towards {aliases[0]} in the text as positive, neutral or negative. Answer as JSON with the key label.\n\n{answer_text}"
-        body = {"model": self.model, "stream": False, "format": "json", "options": {"temperature": 0}, "messages": [{"role": "user", "content": ask}]}
+        body = {"model": self.model, "stream": False, "format": "json", "options": {"temperature": 0},
+            "messages": [{"role": "user", "content": ask}]}
         try:
             status, content = (self.post or _post)(f"{self.base_url}/api/chat", body, self.timeout)
         except TimeoutError as error:
@@ -100,7 +103,8 @@ class HttpClassifier:
         except OSError as error:
             raise ProviderError("network_error", str(error)) from error
         if status != 200:
-            raise ProviderError("rate_limit" if status == 429 else "transient_api_error" if status >= 500 else "api_error", f"HTTP {status}")
+            raise ProviderError("rate_limit" if status == 429 else "transient_api_error" if status >= 500 else "api_error",
+                f"HTTP {status}")
         try:
             return json.loads(json.loads(content)["message"]["content"])["label"]
         except (ValueError, KeyError, TypeError) as error:
@@ -158,14 +162,16 @@ def _classified(rows: DataFrame, targets: Targets, classifier: Classifier) -> Da
                     out.append((None, error.error_type, str(error)))
                 except Exception as error:  # noqa: BLE001 - a row's failure is a result
                     out.append((None, type(error).__name__, str(error)))
-            yield b.assign(**dict(zip(("label", "error_type", "error_message"), map(list, zip(*out, strict=True)) if out else ([], [], []), strict=True)))
+            yield b.assign(**dict(zip(("label", "error_type", "error_message"), map(list, zip(*out, strict=True)) if out else ([], [], []),
+                strict=True)))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", label string, error_type string, error_message string"
     return rows.mapInPandas(call, schema)
 
 
 def sentiment_detail(
-    items: DataFrame, targets: Targets, classifier: Classifier, rules: dict[str, Rules] | None = None, markers: Sequence[str] = C.NEGATION_MARKERS
+    items: DataFrame, targets: Targets, classifier: Classifier, rules: dict[str, Rules] | None = None,
+    markers: Sequence[str] = C.NEGATION_MARKERS
 ) -> DataFrame:
     """One row per item and target; items that are not classified are not_applicable.
 
@@ -189,21 +195,26 @@ def sentiment_detail(
     planned = labelled.select(
         "question_id", "mode", "item_pos", "target_id",
         F.lit(True).alias("classification_planned"),
-        F.when(F.col("label").isNull(), F.when(F.col("error_type") == "rate_limit", "rate_limited").when(F.col("error_type") == "timeout", "timeout").otherwise("failed"))
+        F.when(F.col("label").isNull(), F.when(F.col("error_type") == "rate_limit", "rate_limited").when(F.col("error_type") == "timeout",
+        "timeout").otherwise("failed"))
         .when(override, "success_with_warnings").otherwise("success").alias("sentiment_status"),
         F.col("label").alias("model_sentiment"),
         F.when(hit, "negative").otherwise(F.col("label")).alias("final_sentiment"),
         F.lit(classifier_name(classifier)).alias("provider"),
-        F.when(hit, F.concat(F.lit("negative priority rule: "), F.array_join(F.array_distinct(F.col("_hits.rule")), ", "))).otherwise(F.col("error_message")).alias("reason"),
+        F.when(hit, F.concat(F.lit("negative priority rule: "), F.array_join(F.array_distinct(F.col("_hits.rule")),
+        ", "))).otherwise(F.col("error_message")).alias("reason"),
         F.when(hit, F.array_distinct(F.col("_hits.evidence"))).otherwise(F.array().cast("array<string>")).alias("evidence"),
         hit.alias("rule_hit"), F.coalesce(override, F.lit(False)).alias("rule_override"),
-        F.when(override, F.array(F.lit("model sentiment overridden by negative priority rule"))).otherwise(F.array().cast("array<string>")).alias("warnings"),
+        F.when(override,
+        F.array(F.lit("model sentiment overridden by negative priority rule"))).otherwise(F.array().cast("array<string>")).alias("warnings"),
         "error_type", "error_message",
     )
     empty = F.array().cast("array<string>")
     rest = everything.join(mentioned, ["item_pos", "target_id"], "left_anti").select(
-        "question_id", "mode", "item_pos", "target_id", F.lit(False).alias("classification_planned"), F.lit("not_applicable").alias("sentiment_status"),
-        none.alias("model_sentiment"), none.alias("final_sentiment"), none.alias("provider"), none.alias("reason"), empty.alias("evidence"), F.lit(False).alias("rule_hit"),
+        "question_id", "mode", "item_pos", "target_id", F.lit(False).alias("classification_planned"),
+        F.lit("not_applicable").alias("sentiment_status"),
+        none.alias("model_sentiment"), none.alias("final_sentiment"), none.alias("provider"), none.alias("reason"), empty.alias("evidence"),
+        F.lit(False).alias("rule_hit"),
         F.lit(False).alias("rule_override"), empty.alias("warnings"), none.alias("error_type"), none.alias("error_message"),
     )
     return planned.unionByName(rest)
@@ -224,7 +235,8 @@ def sentiment_summary(detail: DataFrame, targets: Targets) -> DataFrame:
     weight = F.when(~ok, 0).when(F.col("final_sentiment") == "negative", 3).when(F.col("final_sentiment") == "positive", 2).otherwise(1)
     by_question = planned.groupBy("target_id", "question_id").agg(F.max(weight).alias("_w"))
     questions = by_question.groupBy("target_id").agg(
-        F.lit("question_level").alias("scope"), F.count(F.lit(1)).alias("planned_count"), F.count_if(F.col("_w") > 0).alias("classified_count"),
+        F.lit("question_level").alias("scope"), F.count(F.lit(1)).alias("planned_count"),
+        F.count_if(F.col("_w") > 0).alias("classified_count"),
         *[F.count_if(F.col("_w") == w).alias(f"{n}_count") for n, w in (("positive", 2), ("neutral", 1), ("negative", 3))],
     )
     found = answers.unionByName(questions)
@@ -232,7 +244,8 @@ def sentiment_summary(detail: DataFrame, targets: Targets) -> DataFrame:
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     counts = ("planned_count", "classified_count", *[f"{n}_count" for n in C.LABELS])
     out = frame.join(found, ["target_id", "scope"], "left").select("target_id", "scope", *[zero(c) for c in counts])
-    out = out.withColumns({"failed_count": F.col("planned_count") - F.col("classified_count"), "non_negative_count": F.col("positive_count") + F.col("neutral_count")})
+    out = out.withColumns({"failed_count": F.col("planned_count") - F.col("classified_count"),
+        "non_negative_count": F.col("positive_count") + F.col("neutral_count")})
     return out.withColumns({f"{n}_rate": text.ratio(F.col(f"{n}_count"), F.col("classified_count")) for n in (*C.LABELS, "non_negative")})
 
 

@@ -48,9 +48,12 @@ def analyse(items: DataFrame, targets: mention.Targets, classifier: sentiment.Cl
     sources, hosts = citations.source_ranks(cited), citations.host_ranks(cited)
     total = citations.scoped(cited).groupBy("scope").agg(F.count(F.lit(1)).alias("total_occurrences"))
     return {
-        "kept": [items, sentiments], "source_ranks": sources, "host_ranks": hosts, "mention_detail": mentions, "mention_summary": summary, "sentiment_detail": sentiments, "sentiment_summary": tone, "target_metrics": metrics.target_metrics(summary, tone),
-        "occurrences": cited, "source_top": citations.top(sources, citations.source_order()), "host_top": citations.top(hosts, citations.host_order()),
-        "source_metrics": metrics.source_metrics(citations.concentration(sources, citations.source_order()), citations.concentration(hosts, citations.host_order(), (), total)),
+        "kept": [items, sentiments], "source_ranks": sources, "host_ranks": hosts, "mention_detail": mentions, "mention_summary": summary,
+        "sentiment_detail": sentiments, "sentiment_summary": tone, "target_metrics": metrics.target_metrics(summary, tone),
+        "occurrences": cited, "source_top": citations.top(sources, citations.source_order()),
+        "host_top": citations.top(hosts, citations.host_order()),
+        "source_metrics": metrics.source_metrics(citations.concentration(sources, citations.source_order()),
+        citations.concentration(hosts, citations.host_order(), (), total)),
     }
 
 
@@ -60,7 +63,8 @@ def export_legacy(items: DataFrame, package_id: str, platform: str, archive: Pat
     answers = package.legacy_answers(passed).withColumn("citation_mapping_available", F.lit(False)).drop("platform")
     sources = package.legacy_sources(passed).withColumnRenamed("source_occurrence_id", "occurrence_id")
     folder = archive.with_suffix("")
-    sink.export_legacy_directory(package.legacy_tasks(items), answers, sources, {"platform": platform, "package_id": package_id, "created_at": datetime.now().isoformat()}, folder)
+    sink.export_legacy_directory(package.legacy_tasks(items), answers, sources,
+        {"platform": platform, "package_id": package_id, "created_at": datetime.now().isoformat()}, folder)
     sink.export_archive(folder, archive)
     return verify(items.sparkSession, archive, legacy=True)
 
@@ -69,9 +73,11 @@ def export(items: DataFrame, batch_id: str, platform: str, manifest: dict, archi
     """Write a package and check it; the faults found."""
     batch, name = F.lit(batch_id), F.lit(platform)
     passed = items.where("status = 'pass'")
-    tables = (package.package_tasks(items, batch, name), package.package_answers(passed, batch, name), package.package_sources(passed, batch, name))
+    tables = (package.package_tasks(items, batch, name), package.package_answers(passed, batch, name),
+        package.package_sources(passed, batch, name))
     folder = archive.with_suffix("")
-    known = {"schema_version": C.PACKAGE_VERSION, "geo_batch_version": C.BATCH_VERSION, "platform_code": platform, "batch_id": batch_id, "product_id": "", "product_name": "", "collector_version": __version__}
+    known = {"schema_version": C.PACKAGE_VERSION, "geo_batch_version": C.BATCH_VERSION, "platform_code": platform, "batch_id": batch_id,
+        "product_id": "", "product_name": "", "collector_version": __version__}
     sink.export_directory(*tables, known | manifest, folder)
     sink.export_archive(folder, archive)
     return verify(items.sparkSession, archive)
@@ -107,22 +113,26 @@ def verify(spark: SparkSession, archive: Path, legacy: bool = False) -> list[str
     if not legacy:
         tables = landed.package_tables(lines)
         found = package.verify(tables["tasks"], tables["answers"], tables["sources"])
-        named = named.unionByName(found.withColumn("fault", F.concat("check_name", F.lit(": "), F.coalesce(F.col("subject").cast("string"), F.lit("None")))))
+        named = named.unionByName(found.withColumn("fault",
+            F.concat("check_name", F.lit(": "), F.coalesce(F.col("subject").cast("string"), F.lit("None")))))
     return _listed(named, ["check_no", "check_name", "subject"], Path(archive).with_suffix(".faults.jsonl"))
 
 
 def package_row_faults(lines: DataFrame, legacy: bool = False) -> DataFrame:
     """(check_no, check_name, subject, fault): manifest, lines and rows of a package that break their schema, and forbidden fields of raw answers."""
     manifest = lines.where("member = 'manifest.json'").groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("line"))
-    found = [(4, manifest.withColumns({"member": F.lit("manifest.json"), "line_no": F.lit(1)}), row_checks.LEGACY_MANIFEST if legacy else row_checks.MANIFEST, ())]
+    found = [(4, manifest.withColumns({"member": F.lit("manifest.json"), "line_no": F.lit(1)}),
+        row_checks.LEGACY_MANIFEST if legacy else row_checks.MANIFEST, ())]
     for name, fields in (row_checks.LEGACY_ROWS if legacy else row_checks.PACKAGE_ROWS).items():
-        found.append((10, lines.where(F.col("member") == f"{name}.jsonl"), fields, C.FORBIDDEN_FIELDS if name == "answers" and not legacy else ()))
+        found.append((10, lines.where(F.col("member") == f"{name}.jsonl"), fields,
+            C.FORBIDDEN_FIELDS if name == "answers" and not legacy else ()))
     out = None
     for no, rows, fields, forbidden in found:
         told = row_checks.row_faults(rows, "line", fields, ["member", "line_no"], forbidden)
         check = F.when(F.col("fault") == "no JSON", 9).when(F.col("fault") == "forbidden", 15).otherwise(no)
         subject = F.format_string("%s, line %08d", "member", "line_no")
-        text = F.concat_ws(" ", F.concat(F.format_string("%s, line %d", "member", "line_no"), F.lit(":")), F.nullif("field", F.lit("")), "fault")
+        text = F.concat_ws(" ", F.concat(F.format_string("%s, line %d", "member", "line_no"), F.lit(":")), F.nullif("field", F.lit("")),
+            "fault")
         told = told.select(check.alias("check_no"), F.lit("row").alias("check_name"), subject.alias("subject"), text.alias("fault"))
         out = told if out is None else out.unionByName(told)
     return out
@@ -138,7 +148,8 @@ def merge_batches(spark: SparkSession, batch_dir: str, more: str) -> dict:
     merged = runs.upsert(old, new, ["question_id", "mode"])
     counts = runs.with_gates(runs.status_counts(merged)).first().asDict()
     head = json.loads(path.read_text(encoding="utf-8"))
-    head = {k: v for k, v in head.items() if k != "task_results"} | {k: counts[k] for k in ("planned_count", "executed_count", "pass_count", "fail_count", "blocked_count", "pending_count")}
+    head = {k: v for k, v in head.items() if k != "task_results"} | {k: counts[k] for k in ("planned_count", "executed_count", "pass_count",
+        "fail_count", "blocked_count", "pending_count")}
     head |= {"status": counts["batch_status"], "finished_at": datetime.now().isoformat()}
     partial = path.with_suffix(".partial")
     with partial.open("w", encoding="utf-8") as out:
@@ -152,7 +163,8 @@ def merge_batches(spark: SparkSession, batch_dir: str, more: str) -> dict:
 
 def pending_tasks(spark: SparkSession, tasks: str, batch_dir: str) -> DataFrame:
     """Tasks of a CSV file that a resumed run has still to do: those without a passed result."""
-    return runs.pending_tasks(landed.read_tasks(spark, tasks), landed.read_results(spark, f"{batch_dir}/batch_summary.json", permissive=True), ["question_id", "mode"])
+    return runs.pending_tasks(landed.read_tasks(spark, tasks),
+        landed.read_results(spark, f"{batch_dir}/batch_summary.json", permissive=True), ["question_id", "mode"])
 
 
 def repair_archive(spark: SparkSession, archive: Path, repaired: Path) -> list[str]:
@@ -169,7 +181,8 @@ def repair_archive(spark: SparkSession, archive: Path, repaired: Path) -> list[s
     return verify(spark, repaired) + _listed(named, ["answer_id"], repaired.with_suffix(".counts.jsonl"))
 
 
-def run(spark: SparkSession, batch_dir: str, batch_id: str, platform: str, archive: str, targets: mention.Targets | None = None, classifier: sentiment.Classifier | None = None, manifest: dict | None = None, rules: dict | None = None) -> PipelineResult:
+def run(spark: SparkSession, batch_dir: str, batch_id: str, platform: str, archive: str, targets: mention.Targets | None = None,
+    classifier: sentiment.Classifier | None = None, manifest: dict | None = None, rules: dict | None = None) -> PipelineResult:
     """The gate decides: blocked and partial batches end there; analysis errors leave a package and a partial status.
 
     Without a classifier that of the environment's settings is taken; without rules the usual ones hold for every target. Metrics, task issues and the result are written beside the batch.
@@ -182,14 +195,16 @@ def run(spark: SparkSession, batch_dir: str, batch_id: str, platform: str, archi
         result.status = counts["gate_status"]
         if not counts["can_export"]:
             return result
-        items = landed.analysis_items(results, landed.read_answers(spark, f"{batch_dir}/*_*.json").where("file_name <> 'batch_summary.json'"))
+        items = landed.analysis_items(results, landed.read_answers(spark,
+            f"{batch_dir}/*_*.json").where("file_name <> 'batch_summary.json'"))
         errors = 0
         if targets:
             result.analysis_status = "failed"
             rules = {t: C.NEGATIVE_RULES for t in targets} if rules is None else rules
             found = analyse(items, targets, classifier or load_config().classifier(), rules)
             for name in ("target_metrics", "source_metrics", "source_top", "host_top", "sentiment_detail", "mention_detail", "occurrences"):
-                found[name].write.mode("overwrite").options(ignoreNullFields="false", **sink.EXACT_TIMES).json(f"{batch_dir}/analysis/{name}")
+                found[name].write.mode("overwrite").options(ignoreNullFields="false",
+                    **sink.EXACT_TIMES).json(f"{batch_dir}/analysis/{name}")
             write_metric_documents(found, targets, Path(batch_dir) / "analysis" / "metrics.json")
             errors = sentiment.error_count(found["sentiment_detail"]).first().error_count
             for kept in found["kept"]:
@@ -264,11 +279,14 @@ def main(arguments: list[str] | None = None) -> int:
         if given.action == "verify":
             faults = verify(spark, source, given.legacy)
         elif given.action == "repair":
-            faults = repair_archive(spark, source, Path(given.archive) if given.archive else source.with_name(f"{source.stem}_repaired.zip"))
+            faults = repair_archive(spark, source,
+                Path(given.archive) if given.archive else source.with_name(f"{source.stem}_repaired.zip"))
         else:
             results = landed.read_results(spark, f"{given.path}/batch_summary.json")
-            items = landed.analysis_items(results, landed.read_answers(spark, f"{given.path}/*_*.json").where("file_name <> 'batch_summary.json'"))
-            faults = export_legacy(items, given.batch_id, given.platform, archive) if given.legacy else export(items, given.batch_id, given.platform, {}, archive)
+            items = landed.analysis_items(results,
+                landed.read_answers(spark, f"{given.path}/*_*.json").where("file_name <> 'batch_summary.json'"))
+            faults = export_legacy(items, given.batch_id, given.platform, archive) if given.legacy else export(items, given.batch_id,
+                given.platform, {}, archive)
         told(faults)
         return EXIT["failed" if faults else "completed"]
     if given.action == "merge":

@@ -30,7 +30,8 @@ _ITEMS = rf"""WITH item AS (SELECT DISTINCT turn_id, question_id, mode, question
 valid AS (SELECT *, lower(answer) AS t FROM item WHERE answer IS NOT NULL AND regexp_replace(answer, '[{_S}]+', '', 'g') <> '' AND regexp_replace(answer, '^[{_S}]+|[{_S}]+$', '', 'g') <> '{_REFUSAL}')
 """
 _COUNTS = {
-    "baixu": r"len(regexp_extract_all(t, '柏\s*序')) + len(regexp_extract_all(t, '柏\s*序\s*堂'))", "norara": r"len(regexp_extract_all(t, 'n\s*o\s*r\s*a\s*r\s*a'))",
+    "baixu": r"len(regexp_extract_all(t, '柏\s*序')) + len(regexp_extract_all(t, '柏\s*序\s*堂'))",
+    "norara": r"len(regexp_extract_all(t, 'n\s*o\s*r\s*a\s*r\s*a'))",
     "fen undo": r"len(regexp_extract_all(t, 'f\s*e\s*n\s*u\s*n\s*d\s*o'))", "unseen": r"len(regexp_extract_all(t, '没有这个品牌名'))",
 }
 _DETAIL = _ITEMS + ", detail AS (" + " UNION ALL ".join(f"SELECT question_id, mode, turn_id AS item_pos, '{k}' AS target_id, ({v})::BIGINT AS mention_count FROM valid" for k, v in _COUNTS.items()) + ")\n"
@@ -55,7 +56,8 @@ SELECT answer_id, coalesce(regexp_replace(raw, '^[{_S}]+|[{_S}]+$', '', 'g') = '
 def answer_notices(spark, d):
     raw = F.col("answer_text_raw")
     rows = table(spark, d, "geo_answers").select("answer_id", "answer_text_raw").distinct()
-    return rows.select("answer_id", text.is_refusal(raw).alias("refusal"), text.is_busy(raw).alias("busy"), text.is_quota_exhausted(raw).alias("quota"), text.shows_risk_control(raw).alias("risk"))
+    return rows.select("answer_id", text.is_refusal(raw).alias("refusal"), text.is_busy(raw).alias("busy"),
+        text.is_quota_exhausted(raw).alias("quota"), text.shows_risk_control(raw).alias("risk"))
 
 
 @registry.add(
@@ -86,10 +88,12 @@ def clean_answer_tail(spark, d):
     return rows.select("answer_id", text.clean_answer(F.col("answer_text_raw"), F.col("mode_code")).alias("answer_text_clean"))
 
 
-@registry.add("search_query_counts", "SELECT mode, q AS query, count(*)::BIGINT AS n FROM (SELECT mode, unnest(list_distinct(list_transform(search_queries, lambda x: trim(x)))) AS q FROM (SELECT DISTINCT * FROM qwen_answers)) WHERE q <> '' GROUP BY mode, q")
+@registry.add("search_query_counts",
+    "SELECT mode, q AS query, count(*)::BIGINT AS n FROM (SELECT mode, unnest(list_distinct(list_transform(search_queries, lambda x: trim(x)))) AS q FROM (SELECT DISTINCT * FROM qwen_answers)) WHERE q <> '' GROUP BY mode, q")
 def search_query_counts(spark, d):
     rows = table(spark, d, "qwen_answers").select("turn_id", "mode", "search_queries").distinct()
-    return rows.select("mode", F.explode(text.distinct_queries(F.col("search_queries"))).alias("query")).groupBy("mode", "query").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("mode", F.explode(text.distinct_queries(F.col("search_queries"))).alias("query")).groupBy("mode",
+        "query").agg(F.count(F.lit(1)).alias("n"))
 
 
 @registry.add(
@@ -106,7 +110,8 @@ def search_queries_unquoted(spark, d):
     return rows.select("turn_id", F.explode(text.distinct_queries(every)).alias("query"))
 
 
-@registry.add("mention_detail", _DETAIL + "SELECT question_id, mode, item_pos, target_id, mention_count, mention_count > 0 AS mentioned FROM detail")
+@registry.add("mention_detail",
+    _DETAIL + "SELECT question_id, mode, item_pos, target_id, mention_count, mention_count > 0 AS mentioned FROM detail")
 def mention_detail(spark, d):
     return mention.mention_detail(items(spark, d), TARGETS)
 
@@ -192,7 +197,8 @@ sent AS (SELECT question_id, mode, item_pos, target_id, TRUE AS classification_p
   WHERE NOT EXISTS (SELECT 1 FROM mentioned m WHERE m.item_pos = i.turn_id AND m.target_id = t.target_id))
 """
 )
-_SENT_COLUMNS = ("question_id", "mode", "item_pos", "target_id", "classification_planned", "sentiment_status", "model_sentiment", "final_sentiment", "rule_hit", "rule_override")
+_SENT_COLUMNS = ("question_id", "mode", "item_pos", "target_id", "classification_planned", "sentiment_status", "model_sentiment",
+    "final_sentiment", "rule_hit", "rule_override")
 
 
 @registry.add("sentiment_detail", _SENTIMENT + f"SELECT {', '.join(_SENT_COLUMNS)} FROM sent")
@@ -257,7 +263,8 @@ def sentiment_classifier_faults(spark, d):
     return _faulty(spark, d).select("question_id", "mode", "item_pos", "target_id", "sentiment_status", "error_type", "final_sentiment")
 
 
-@registry.add("sentiment_error_count", _FAULTY + "SELECT count(*) FILTER (sentiment_status IN ('failed', 'rate_limited', 'timeout'))::BIGINT AS error_count FROM faulty")
+@registry.add("sentiment_error_count",
+    _FAULTY + "SELECT count(*) FILTER (sentiment_status IN ('failed', 'rate_limited', 'timeout'))::BIGINT AS error_count FROM faulty")
 def sentiment_error_count(spark, d):
     return sentiment.error_count(_faulty(spark, d))
 
@@ -282,14 +289,16 @@ def sentiment_retries(spark, d):
 
     retried = sentiment.RetryingClassifier(Recovering(), 2, ())
     rows = items(spark, d).where(F.contains("answer", F.lit("孕期")) | F.contains("answer", F.lit("pharmacist")))
-    return sentiment.sentiment_detail(rows, TARGETS, retried).where("classification_planned").select("item_pos", "target_id", "sentiment_status", "final_sentiment")
+    return sentiment.sentiment_detail(rows, TARGETS, retried).where("classification_planned").select("item_pos", "target_id",
+        "sentiment_status", "final_sentiment")
 
 
 @registry.add(
     "metrics_targets",
     _SUMMARY.rstrip() + _SENT_SUMMARY[len(_DETAIL) :].replace(f", {_FRAME}", "")
     + """SELECT target_id, """ + ", ".join(
-        f"max({c}) FILTER (scope = '{s}') AS {s}_{c}" for s in ("quick", "research", "all_answers", "question_level") for c in ("mention_rate", "non_negative_rate", "negative_rate")
+        f"max({c}) FILTER (scope = '{s}') AS {s}_{c}" for s in ("quick", "research", "all_answers",
+        "question_level") for c in ("mention_rate", "non_negative_rate", "negative_rate")
     ) + " FROM mention JOIN sentiment USING (target_id, scope) GROUP BY target_id",
 )
 def metrics_targets(spark, d):

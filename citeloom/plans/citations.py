@@ -20,7 +20,8 @@ WAVE = ["wave_id"]
 def landed(spark, d):
     """Each occurrence once, in its latest delivery."""
     rows = table(spark, d, "source_occurrences").select(
-        "occurrence_id", "wave_id", "question_id", "mode", "source_key", "domain", "title", "url", "rank", "item_pos", "source_pos", "landed_at"
+        "occurrence_id", "wave_id", "question_id", "mode", "source_key", "domain", "title", "url", "rank", "item_pos", "source_pos",
+        "landed_at"
     )
     return runs.latest(rows, ["occurrence_id"], ["landed_at"]).drop("occurrence_id", "landed_at")
 
@@ -52,7 +53,8 @@ host_placed AS (SELECT *, row_number() OVER (PARTITION BY wave_id, scope ORDER B
 """
 
 
-@registry.add("cite_dedup", LANDED + "SELECT wave_id, question_id, mode, source_key, domain, title, url, \"rank\", item_pos, source_pos FROM one")
+@registry.add("cite_dedup",
+    LANDED + "SELECT wave_id, question_id, mode, source_key, domain, title, url, \"rank\", item_pos, source_pos FROM one")
 def cite_dedup(spark, d):
     return deduped(spark, d)
 
@@ -122,7 +124,8 @@ def cite_raw_and_valid_counts(spark, d):
 
 
 def _citations(spark, d):
-    return table(spark, d, "qwen_sources").select("source_row_id", F.col("turn_id").alias("answer_id"), "rank", "title", text.strip(F.col("url")).alias("url"))
+    return table(spark, d, "qwen_sources").select("source_row_id", F.col("turn_id").alias("answer_id"), "rank", "title",
+        text.strip(F.col("url")).alias("url"))
 
 
 _SPACES = r"[\s\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x1c-\x1f]+"
@@ -161,7 +164,9 @@ SELECT answer, r AS "rank", title, url, row_number() OVER (PARTITION BY answer O
 def cite_quick_cards(spark, d):
     """Cards of one request; every fifth is another's."""
     cards = table(spark, d, "qwen_sources").select(
-        F.col("turn_id").alias("answer"), F.when(F.col("source_row_id") % 5 == 2, "r2").otherwise("r1").alias("req_id"), F.when(F.col("rank") % 3 != 0, F.col("rank").cast("string")).alias("refer_num"), "title", "url", F.col("source_row_id").alias("card_pos")
+        F.col("turn_id").alias("answer"), F.when(F.col("source_row_id") % 5 == 2, "r2").otherwise("r1").alias("req_id"),
+        F.when(F.col("rank") % 3 != 0, F.col("rank").cast("string")).alias("refer_num"), "title", "url",
+        F.col("source_row_id").alias("card_pos")
     )
     return op.quick_cards(cards, F.lit("r1"))
 
@@ -173,7 +178,8 @@ def cite_quick_cards(spark, d):
   WHERE regexp_matches(url, '^https?:') AND t <> '' GROUP BY answer_id, url)""",
 )
 def cite_research_links(spark, d):
-    links = table(spark, d, "qwen_sources").select(F.col("turn_id").alias("answer"), F.col("url").alias("href"), "title", F.col("source_row_id").alias("link_pos"))
+    links = table(spark, d, "qwen_sources").select(F.col("turn_id").alias("answer"), F.col("url").alias("href"), "title",
+        F.col("source_row_id").alias("link_pos"))
     return op.research_links(links)
 
 
@@ -191,7 +197,8 @@ keyed AS (SELECT url, scheme || '://' || host || CASE WHEN port = '' OR (scheme
     _KEYS + "SELECT url, canonical FROM keyed",
 )
 def url_canonical(spark, d):
-    return table(spark, d, "source_occurrences").where(F.col("url").isNotNull()).select("url").distinct().withColumn("canonical", urls.canonical_url(F.col("url")))
+    return table(spark, d, "source_occurrences").where(F.col("url").isNotNull()).select("url").distinct().withColumn("canonical",
+        urls.canonical_url(F.col("url")))
 
 
 @registry.add(
@@ -200,7 +207,8 @@ def url_canonical(spark, d):
 )
 def url_key_agreement(spark, d):
     """Keys rebuilt from urls against the landed ones."""
-    rows = table(spark, d, "source_occurrences").where(F.col("url").isNotNull()).select("mode", "source_key", urls.canonical_url(F.col("url")).alias("key"))
+    rows = table(spark, d, "source_occurrences").where(F.col("url").isNotNull()).select("mode", "source_key",
+        urls.canonical_url(F.col("url")).alias("key"))
     by_key = rows.groupBy("mode", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("key") == F.col("source_key")).alias("same"))
     return by_key.groupBy("mode").agg(F.sum("n").alias("row_count"), F.sum("same").alias("same_key"), F.count(F.lit(1)).alias("keys"))
 
@@ -210,7 +218,8 @@ def url_key_agreement(spark, d):
     r"SELECT DISTINCT url, regexp_replace(lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)', 1)), '^www\.', '') AS domain FROM source_occurrences WHERE url IS NOT NULL",
 )
 def url_domain(spark, d):
-    return table(spark, d, "source_occurrences").where(F.col("url").isNotNull()).select("url").distinct().withColumn("domain", urls.domain(F.col("url")))
+    return table(spark, d, "source_occurrences").where(F.col("url").isNotNull()).select("url").distinct().withColumn("domain",
+        urls.domain(F.col("url")))
 
 
 @registry.add(

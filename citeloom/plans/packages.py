@@ -21,10 +21,12 @@ BLOCKING = "(RiskControl|Quota)Error$"
 def results(spark, d):
     """Package tasks as run results: failed tasks with a blocking error are blocked, running ones pending."""
     status = (
-        F.when(F.col("task_status") == "success", "pass").when(F.col("task_status") == "running", "pending").when(F.col("error_code").rlike(BLOCKING), "blocked").otherwise("fail")
+        F.when(F.col("task_status") == "success", "pass").when(F.col("task_status") == "running",
+        "pending").when(F.col("error_code").rlike(BLOCKING), "blocked").otherwise("fail")
     )
     mode = F.when(F.col("mode_code") == "expert", "research").otherwise(F.col("mode_code"))
-    return table(spark, d, "geo_tasks").select("task_id", "batch_id", "question_id", "question", mode.alias("mode"), status.alias("status"), F.col("error_code").alias("error_type"), "error_message")
+    return table(spark, d, "geo_tasks").select("task_id", "batch_id", "question_id", "question", mode.alias("mode"), status.alias("status"),
+        F.col("error_code").alias("error_type"), "error_message")
 
 
 _RESULTS = """WITH result AS (SELECT task_id, batch_id, question_id, question, CASE mode_code WHEN 'expert' THEN 'research' ELSE mode_code END AS mode,
@@ -80,7 +82,8 @@ def run_resume_pending(spark, d):
     _RESULTS + """SELECT batch_id, question_id, mode, status FROM result r WHERE NOT EXISTS (SELECT 1 FROM result b WHERE b.batch_id = r.batch_id AND b.status = 'blocked' AND (b.question_id, b.mode) < (r.question_id, r.mode))""",
 )
 def run_until_first_blocked(spark, d):
-    return runs.until_first_blocked(results(spark, d), ["batch_id"], ["question_id", "mode"]).select("batch_id", "question_id", "mode", "status")
+    return runs.until_first_blocked(results(spark, d), ["batch_id"], ["question_id", "mode"]).select("batch_id", "question_id", "mode",
+        "status")
 
 
 @registry.add(
@@ -88,7 +91,8 @@ def run_until_first_blocked(spark, d):
     """SELECT occurrence_id, arg_max(url, (landed_at, url)) AS url, max(landed_at) AS landed_at FROM source_occurrences GROUP BY occurrence_id""",
 )
 def run_latest_merge(spark, d):
-    return runs.latest(table(spark, d, "source_occurrences").select("occurrence_id", "url", "landed_at"), ["occurrence_id"], ["landed_at", "url"])
+    return runs.latest(table(spark, d, "source_occurrences").select("occurrence_id", "url", "landed_at"), ["occurrence_id"],
+        ["landed_at", "url"])
 
 
 @registry.add(
@@ -100,7 +104,8 @@ SELECT user_id, event_type, coalesce(new.value, old.value) AS value, CASE WHEN o
 def run_upsert(spark, d):
     """Two halves of the events as a run log and its continuation."""
     rows = table(spark, d, "events").select("user_id", "event_type", "value", F.col("event_id").alias("pos"))
-    return runs.upsert(rows.where("pos % 2 = 0"), rows.where("pos % 2 = 1"), ["user_id", "event_type"]).select("user_id", "event_type", "value", "added", "pos")
+    return runs.upsert(rows.where("pos % 2 = 0"), rows.where("pos % 2 = 1"), ["user_id", "event_type"]).select("user_id", "event_type",
+        "value", "added", "pos")
 
 
 def package_source_rows(spark, d):
@@ -109,9 +114,11 @@ def package_source_rows(spark, d):
     answers = runs.latest(answers, ["question_id", "mode"], ["acquired_at", "turn_id"])
     cited = table(spark, d, "qwen_sources").where(F.length(text.strip(F.col("url"))) > 0)
     # An answer's citations are few.
-    nested = cited.groupBy("turn_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "source_row_id", "title", "url"))), lambda s: F.struct(s["rank"], s["title"], s["url"])).alias("sources"))
+    nested = cited.groupBy("turn_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "source_row_id", "title", "url"))),
+        lambda s: F.struct(s["rank"], s["title"], s["url"])).alias("sources"))
     empty = F.array().cast("array<struct<rank:int,title:string,url:string>>")
-    return answers.join(nested, "turn_id", "left").withColumns({"sources": F.coalesce("sources", empty), "citation_mapping_available": F.lit(False)})
+    return answers.join(nested, "turn_id", "left").withColumns({"sources": F.coalesce("sources", empty),
+        "citation_mapping_available": F.lit(False)})
 
 
 NEST = r"""WITH a AS (SELECT * FROM (SELECT DISTINCT * FROM qwen_answers WHERE question_id IS NOT NULL AND answer IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY question_id, mode ORDER BY acquired_at DESC, turn_id DESC) = 1),
@@ -150,7 +157,8 @@ def pkg_tasks(spark, d):
 )
 def pkg_answers(spark, d):
     rows = package.package_answers(package_source_rows(spark, d), F.lit(BATCH), F.lit(PLATFORM))
-    return rows.select("answer_id", "task_id", "question_id", "mode_code", "question_text", "answer_text_raw", "acquisition_status", "validation_status", "source_count_raw", "collected_at")
+    return rows.select("answer_id", "task_id", "question_id", "mode_code", "question_text", "answer_text_raw", "acquisition_status",
+        "validation_status", "source_count_raw", "collected_at")
 
 
 @registry.add(
@@ -164,12 +172,14 @@ def pkg_sources(spark, d):
     return rows.select("occurrence_id", "answer_id", "source_order", "source_title_raw", "source_url_raw", "is_duplicate_in_answer")
 
 
-@registry.add("pkg_legacy_sources", NEST + """SELECT substring(sha1(question_id || '|' || mode || '|' || r || '|' || raw_url), 1, 12) AS source_occurrence_id, question_id, mode, r AS "rank", title, raw_url AS url FROM s""")
+@registry.add("pkg_legacy_sources",
+    NEST + """SELECT substring(sha1(question_id || '|' || mode || '|' || r || '|' || raw_url), 1, 12) AS source_occurrence_id, question_id, mode, r AS "rank", title, raw_url AS url FROM s""")
 def pkg_legacy_sources(spark, d):
     return package.legacy_sources(package_source_rows(spark, d))
 
 
-@registry.add("pkg_legacy_answers", NEST + "SELECT question_id, mode, platform, question, answer, turn_id, chat_url, mode_label, acquired_at FROM a")
+@registry.add("pkg_legacy_answers",
+    NEST + "SELECT question_id, mode, platform, question, answer, turn_id, chat_url, mode_label, acquired_at FROM a")
 def pkg_legacy_answers(spark, d):
     return package.legacy_answers(package_source_rows(spark, d)).drop("search_queries")
 
@@ -189,7 +199,8 @@ def pkg_fk_violations(spark, d):
     return package.orphans(table(spark, d, "geo_answers"), tasks, "task_id", "answer_id")
 
 
-@registry.add("pkg_unique_violations", "SELECT answer_id, count(*)::BIGINT AS row_count FROM geo_answers GROUP BY answer_id HAVING count(*) > 1")
+@registry.add("pkg_unique_violations",
+    "SELECT answer_id, count(*)::BIGINT AS row_count FROM geo_answers GROUP BY answer_id HAVING count(*) > 1")
 def pkg_unique_violations(spark, d):
     return package.repeated_ids(table(spark, d, "geo_answers"), "answer_id")
 
@@ -202,11 +213,13 @@ WHERE length(turn_id) % 7 <> coalesce(n, 0)""",
 )
 def pkg_source_count_check(spark, d):
     """Landed citations against a recorded number, here a made-up one."""
-    answers = table(spark, d, "qwen_answers").select(F.col("turn_id").alias("answer_id"), (F.length("turn_id") % 7).cast("bigint").alias("source_count_raw")).distinct()
+    answers = table(spark, d, "qwen_answers").select(F.col("turn_id").alias("answer_id"),
+        (F.length("turn_id") % 7).cast("bigint").alias("source_count_raw")).distinct()
     return package.source_count_mismatches(answers, table(spark, d, "qwen_sources").withColumnRenamed("turn_id", "answer_id"))
 
 
-@registry.add("pkg_forbidden_fields", "SELECT event_id::BIGINT AS event_id, 'k' AS field FROM events WHERE props IS NOT NULL AND json_extract(props, '$.k') IS NOT NULL")
+@registry.add("pkg_forbidden_fields",
+    "SELECT event_id::BIGINT AS event_id, 'k' AS field FROM events WHERE props IS NOT NULL AND json_extract(props, '$.k') IS NOT NULL")
 def pkg_forbidden_fields(spark, d):
     return package.forbidden_fields(table(spark, d, "events"), "event_id", "props", ("k", "metrics"))
 
@@ -214,7 +227,9 @@ def pkg_forbidden_fields(spark, d):
 def _with_planted_meta(spark, d):
     """Answers whose meta objects hold forbidden keys where acquisition failed, and are no objects where it was stopped."""
     meta = F.col("platform_meta_json")
-    planted = F.when(F.col("acquisition_status") == "failed", F.concat(F.lit('{"metrics": 1, "x": {"sentiment": 1}, "mention": '), F.coalesce(meta, F.lit("null")), F.lit("}"))).when(F.col("acquisition_status") == "risk_control", F.concat(F.lit("["), F.coalesce(meta, F.lit("null")), F.lit("]")))
+    planted = F.when(F.col("acquisition_status") == "failed",
+        F.concat(F.lit('{"metrics": 1, "x": {"sentiment": 1}, "mention": '), F.coalesce(meta, F.lit("null")),
+        F.lit("}"))).when(F.col("acquisition_status") == "risk_control", F.concat(F.lit("["), F.coalesce(meta, F.lit("null")), F.lit("]")))
     return table(spark, d, "geo_answers").withColumn("platform_meta_json", planted.otherwise(meta))
 
 
@@ -235,20 +250,24 @@ def pkg_forbidden_raw(spark, d):
     """Forbidden keys of raw answer lines; planted where acquisition did not succeed."""
     even = F.length("answer_text_raw") % 2 == 0
     odd_ones = F.col("acquisition_status") != "success"
-    rows = table(spark, d, "geo_answers").withColumns({"mention": F.when(odd_ones & even, "x"), "metric_result": F.when(odd_ones & ~even, F.length("answer_text_raw"))})
+    rows = table(spark, d, "geo_answers").withColumns({"mention": F.when(odd_ones & even, "x"), "metric_result": F.when(odd_ones & ~even,
+        F.length("answer_text_raw"))})
     lines = rows.select("answer_id", F.to_json(F.struct(*[c for c in rows.columns])).alias("line"))
     found = row_checks.row_faults(lines, "line", (), ["answer_id"], C.FORBIDDEN_FIELDS)
     return found.select("answer_id", "field").distinct()
 
 
 #: What is planted in task lines by the last letter of the task's id: what becomes of a field, and the fault that gives.
-_PLANTED = {"0": ("mode_code", "value"), "1": ("question", "missing"), "2": ("task_status", "null"), "3": ("question_id", "type"), "4": ("", "no JSON"), "5": ("", "no object")}
+_PLANTED = {"0": ("mode_code", "value"), "1": ("question", "missing"), "2": ("task_status", "null"), "3": ("question_id", "type"),
+    "4": ("", "no JSON"), "5": ("", "no object")}
 
 
 @registry.add(
     "pkg_row_schema",
-    "SELECT task_id, CASE right(task_id, 1) " + " ".join(f"WHEN '{k}' THEN '{f}'" for k, (f, _) in _PLANTED.items()) + " END AS field, CASE right(task_id, 1) "
-    + " ".join(f"WHEN '{k}' THEN '{v}'" for k, (_, v) in _PLANTED.items()) + " END AS fault FROM geo_tasks WHERE right(task_id, 1) IN ('0', '1', '2', '3', '4', '5')",
+    "SELECT task_id, CASE right(task_id, 1) " + " ".join(f"WHEN '{k}' THEN '{f}'" for k,
+    (f, _) in _PLANTED.items()) + " END AS field, CASE right(task_id, 1) "
+    + " ".join(f"WHEN '{k}' THEN '{v}'" for k, (_,
+    v) in _PLANTED.items()) + " END AS fault FROM geo_tasks WHERE right(task_id, 1) IN ('0', '1', '2', '3', '4', '5')",
 )
 def pkg_row_schema(spark, d):
     """Lines of tasks with planted faults against the schema of task rows."""
@@ -256,14 +275,18 @@ def pkg_row_schema(spark, d):
     names = ("task_id", "question_id", "question", "mode_code", "task_status", "error_code", "error_message")
     whole = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
     swapped = {
-        "0": F.to_json(F.struct("task_id", "question_id", "question", F.lit("slow").alias("mode_code"), "task_status")), "1": F.to_json(F.struct("task_id", "question_id", "mode_code", "task_status")),
-        "2": F.to_json(F.struct("task_id", "question_id", "question", "mode_code", F.lit(None).cast("string").alias("task_status")), {"ignoreNullFields": "false"}),
-        "3": F.to_json(F.struct("task_id", F.lit(7).alias("question_id"), "question", "mode_code", "task_status")), "4": F.concat(whole, F.lit("}")), "5": F.concat(F.lit("["), whole, F.lit("]")),
+        "0": F.to_json(F.struct("task_id", "question_id", "question", F.lit("slow").alias("mode_code"), "task_status")),
+        "1": F.to_json(F.struct("task_id", "question_id", "mode_code", "task_status")),
+        "2": F.to_json(F.struct("task_id", "question_id", "question", "mode_code", F.lit(None).cast("string").alias("task_status")),
+        {"ignoreNullFields": "false"}),
+        "3": F.to_json(F.struct("task_id", F.lit(7).alias("question_id"), "question", "mode_code", "task_status")),
+        "4": F.concat(whole, F.lit("}")), "5": F.concat(F.lit("["), whole, F.lit("]")),
     }
     line = whole
     for letter, other in swapped.items():
         line = F.when(end == letter, other).otherwise(line)
-    return row_checks.row_faults(table(spark, d, "geo_tasks").withColumn("line", line), "line", row_checks.PACKAGE_ROWS["tasks"], ["task_id"])
+    return row_checks.row_faults(table(spark, d, "geo_tasks").withColumn("line", line), "line", row_checks.PACKAGE_ROWS["tasks"],
+        ["task_id"])
 
 
 @registry.add(
@@ -273,7 +296,8 @@ def pkg_row_schema(spark, d):
 def pkg_source_fk(spark, d):
     """Citations against the quick answers that have a text."""
     answers = table(spark, d, "qwen_answers").where("mode = 'quick' AND answer IS NOT NULL").withColumnRenamed("turn_id", "answer_id")
-    sources = table(spark, d, "qwen_sources").select(F.col("source_row_id").cast("string").alias("occurrence_id"), F.col("turn_id").alias("answer_id"))
+    sources = table(spark, d, "qwen_sources").select(F.col("source_row_id").cast("string").alias("occurrence_id"),
+        F.col("turn_id").alias("answer_id"))
     return package.orphans(sources, answers, "answer_id", "occurrence_id").select("occurrence_id", "answer_id")
 
 
@@ -286,8 +310,10 @@ UNION ALL SELECT 'occurrence_id', occurrence_id::VARCHAR, count(*)::BIGINT FROM
 def pkg_unique_all(spark, d):
     """Ids of more than one row in the three tables; tasks by question and mode, which batches share."""
     tasks = table(spark, d, "geo_tasks").select(F.concat("question_id", F.lit("|"), "mode_code").alias("task_id"))
-    named = lambda rows, key: package.repeated_ids(rows, key).select(F.lit(key).alias("key"), F.col(key).cast("string").alias("id"), "row_count")
-    return named(tasks, "task_id").unionByName(named(table(spark, d, "geo_answers"), "answer_id")).unionByName(named(table(spark, d, "source_occurrences"), "occurrence_id"))
+    named = lambda rows, key: package.repeated_ids(rows, key).select(F.lit(key).alias("key"), F.col(key).cast("string").alias("id"),
+        "row_count")
+    return named(tasks, "task_id").unionByName(named(table(spark, d, "geo_answers"), "answer_id")).unionByName(named(table(spark, d,
+        "source_occurrences"), "occurrence_id"))
 
 
 @registry.add("pkg_checksum_rows", "SELECT doc_id, sha256(text) AS sha256 FROM documents WHERE text IS NOT NULL")
@@ -307,7 +333,8 @@ def pkg_manifest_counts(spark, d):
     manifests = table(spark, d, "geo_manifests").select("batch_id", F.col("task_count").alias("mt"), F.col("answer_count").alias("ma"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return manifests.join(tasks, "batch_id", "left").join(answers, "batch_id", "left").select(
-        "batch_id", zero("t").alias("task_count"), zero("a").alias("answer_count"), (~F.col("mt").eqNullSafe(zero("t")) | ~F.col("ma").eqNullSafe(zero("a"))).alias("differs")
+        "batch_id", zero("t").alias("task_count"), zero("a").alias("answer_count"),
+        (~F.col("mt").eqNullSafe(zero("t")) | ~F.col("ma").eqNullSafe(zero("a"))).alias("differs")
     )
 
 
@@ -327,7 +354,8 @@ FROM geo_tasks t LEFT JOIN (SELECT DISTINCT task_id FROM busy) b USING (task_id)
 def repair_cascade(spark, d):
     """The repair on a package in which the answers of failed acquisitions read as busy notices; texts are otherwise as landed, cleaned already."""
     raw = F.when(F.col("acquisition_status") == "failed", _BUSY).otherwise(F.col("answer_text_clean"))
-    tasks, kept, _ = package.repair(table(spark, d, "geo_tasks"), table(spark, d, "geo_answers").withColumn("answer_text_raw", raw), _cited(spark, d))
+    tasks, kept, _ = package.repair(table(spark, d, "geo_tasks"), table(spark, d, "geo_answers").withColumn("answer_text_raw", raw),
+        _cited(spark, d))
     left = kept.groupBy("task_id").agg(F.count(F.lit(1)).alias("answers_left"), F.sum(F.length("answer_text_clean")).alias("clean_length"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return tasks.join(left, "task_id", "left").select("task_id", "task_status", "error_code", zero("answers_left"), zero("clean_length"))
@@ -336,7 +364,9 @@ def repair_cascade(spark, d):
 def _cited(spark, d):
     """Citations as package sources; every third has its site name already."""
     rows = table(spark, d, "qwen_sources")
-    return rows.select(F.col("source_row_id").alias("occurrence_id"), F.col("turn_id").alias("answer_id"), F.col("url").alias("source_url_raw"), F.when(F.col("source_row_id") % 3 == 0, "known").otherwise(F.when(F.col("source_row_id") % 3 == 1, "")).alias("source_site_name_raw"))
+    return rows.select(F.col("source_row_id").alias("occurrence_id"), F.col("turn_id").alias("answer_id"),
+        F.col("url").alias("source_url_raw"), F.when(F.col("source_row_id") % 3 == 0,
+        "known").otherwise(F.when(F.col("source_row_id") % 3 == 1, "")).alias("source_site_name_raw"))
 
 
 @registry.add(
@@ -348,10 +378,12 @@ FROM qwen_sources WHERE turn_id NOT IN (SELECT turn_id FROM qwen_answers WHERE m
 def repair_sources(spark, d):
     """Sources after a repair that drops the research answers: theirs go, missing site names are filled."""
     answers = table(spark, d, "qwen_answers").select(
-        F.col("turn_id").alias("answer_id"), F.col("turn_id").alias("task_id"), F.when(F.col("mode") == "research", _BUSY).otherwise(F.col("answer")).alias("answer_text_raw"),
+        F.col("turn_id").alias("answer_id"), F.col("turn_id").alias("task_id"),
+        F.when(F.col("mode") == "research", _BUSY).otherwise(F.col("answer")).alias("answer_text_raw"),
         F.col("answer").alias("answer_text_clean"), F.col("mode").alias("mode_code"),
     )
-    tasks = answers.select("task_id", F.lit("success").alias("task_status"), F.lit("").alias("error_code"), F.lit("").alias("error_message"))
+    tasks = answers.select("task_id", F.lit("success").alias("task_status"), F.lit("").alias("error_code"),
+        F.lit("").alias("error_message"))
     return package.repair(tasks, answers, _cited(spark, d))[2].select("occurrence_id", "answer_id", "source_site_name_raw")
 
 
@@ -361,7 +393,9 @@ def repair_sources(spark, d):
 )
 def repair_cleaned(spark, d):
     """Clean texts that a repair makes of raw ones where a package holds none."""
-    rows = table(spark, d, "geo_answers").withColumn("answer_text_clean", F.lit(None).cast("string")).withColumn("answer_text_raw", F.coalesce("answer_text_raw", F.lit("")))
+    rows = table(spark, d, "geo_answers").withColumn("answer_text_clean", F.lit(None).cast("string")).withColumn("answer_text_raw",
+        F.coalesce("answer_text_raw", F.lit("")))
     none = rows.limit(0).select("answer_id", F.lit("").alias("source_url_raw"), F.lit("").alias("source_site_name_raw"))
     fixed = package.repair(table(spark, d, "geo_tasks"), rows, none)[1]
-    return fixed.select("answer_id", F.coalesce("answer_text_clean", F.when(F.col("mode_code") != "quick", text.strip(F.col("answer_text_raw"))).otherwise("")).alias("answer_text_clean")).distinct()
+    return fixed.select("answer_id", F.coalesce("answer_text_clean", F.when(F.col("mode_code") != "quick",
+        text.strip(F.col("answer_text_raw"))).otherwise("")).alias("answer_text_clean")).distinct()

@@ -39,7 +39,8 @@ def source_metrics(sources: DataFrame, hosts: DataFrame, source_top: DataFrame,
         lists: dict = {}
         for r in best.orderBy("scope", "place").collect():
             lists.setdefault(r.scope, []).append({k: v for k, v in r.asDict().items() if k not in ("scope", "place")})
-        return {r.scope: {**{k: v for k, v in r.asDict().items() if k != "scope"}, "top": lists.get(r.scope, [])} for r in totals.orderBy("scope").collect()}
+        return {r.scope: {**{k: v for k, v in r.asDict().items() if k != "scope"},
+            "top": lists.get(r.scope, [])} for r in totals.orderBy("scope").collect()}
 
     return {"url_level": level(sources, source_top), "host_level": level(hosts, host_top)}
 
@@ -53,4 +54,5 @@ def task_issues(results: DataFrame) -> DataFrame:
     passed = results.where("status = 'pass'").select("question_id", "mode").distinct()
     open_ones = results.where(F.col("status").isin("fail", "blocked")).join(passed, ["question_id", "mode"], "left_anti")
     name = F.concat_ws("_", "question_id", "mode", F.when(F.col("status") == "blocked", "blocked").otherwise("failed"))
-    return open_ones.select("question_id", "mode", "status", "error_type", "error_message", F.concat(name, F.lit(".json")).alias("file_name"))
+    return open_ones.select("question_id", "mode", "status", "error_type", "error_message",
+        F.concat(name, F.lit(".json")).alias("file_name"))

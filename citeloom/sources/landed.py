@@ -36,7 +36,8 @@ def read_tasks(spark: SparkSession, path: str) -> DataFrame:
     if wrong:
         raise ValueError(f"{path}: " + "; ".join(f"{r.violation} in ({r.question_id}, {r['mode']})" for r in wrong))
     # A task file is read by one task, so ids ascend with its rows.
-    return rows.select(text.strip(F.col("question_id")).alias("question_id"), text.strip(F.col("question")).alias("question"), "mode", F.monotonically_increasing_id().alias("item_pos"))
+    return rows.select(text.strip(F.col("question_id")).alias("question_id"), text.strip(F.col("question")).alias("question"), "mode",
+        F.monotonically_increasing_id().alias("item_pos"))
 
 
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
@@ -57,7 +58,8 @@ def read_results(spark: SparkSession, path: str, permissive: bool = False) -> Da
     texts = spark.read.text(path, wholetext=True)
     rows = texts.select(F.try_variant_get(F.try_parse_json("value"), "$.task_results", "array<variant>").alias("rows"))
     kind = schemas.TASK_RESULT
-    each = rows.select(F.posexplode("rows").alias("item_pos", "v")).select("item_pos", F.from_json(F.to_json("v"), kind).alias("r"), F.schema_of_variant("v").alias("kind"))
+    each = rows.select(F.posexplode("rows").alias("item_pos", "v")).select("item_pos", F.from_json(F.to_json("v"), kind).alias("r"),
+        F.schema_of_variant("v").alias("kind"))
     known = F.col("kind").startswith("OBJECT") & F.col("r.question_id").isNotNull() & F.col("r.mode").isin(*C.MODES) & F.col("r.status").isNotNull()
     return each.where(known).select("item_pos", "r.*")
 
@@ -72,24 +74,31 @@ def analysis_items(results: DataFrame, answers: DataFrame) -> DataFrame:
     An answer's own question_id and mode must be the task's.
     """
     own = answers.select(
-        F.col("file_name"), F.col("question_id").alias("_q"), F.col("mode").alias("_m"), "answer", "turn_id", "chat_url", "mode_label", "platform", "search_queries", "sources", "citation_mapping_available", "acquired_at"
+        F.col("file_name"), F.col("question_id").alias("_q"), F.col("mode").alias("_m"), "answer", "turn_id", "chat_url", "mode_label",
+        "platform", "search_queries", "sources", "citation_mapping_available", "acquired_at"
     )
     named = results.withColumn("file_name", F.when(F.col("status") == "pass", F.element_at(F.split("output_path", r"[/\\]"), -1)))
     joined = named.join(own, "file_name", "left")
     passed = F.col("status") == "pass"
     fault = (
-        F.when(passed & F.col("file_name").isNull(), "has no output path").when(passed & F.col("_q").isNull() & F.col("_m").isNull(), "has no answer file")
-        .when(passed & ~(F.col("_q").eqNullSafe(F.col("question_id")) & F.col("_m").eqNullSafe(F.col("mode"))), "has the answer of another task")
+        F.when(passed & F.col("file_name").isNull(), "has no output path").when(passed & F.col("_q").isNull() & F.col("_m").isNull(),
+        "has no answer file")
+        .when(passed & ~(F.col("_q").eqNullSafe(F.col("question_id")) & F.col("_m").eqNullSafe(F.col("mode"))),
+        "has the answer of another task")
     )
-    sure = F.when(fault.isNotNull(), F.raise_error(F.concat_ws(" ", F.lit("task"), "question_id", "mode", fault)).cast("string")).otherwise(F.col("question_id"))
+    sure = F.when(fault.isNotNull(), F.raise_error(F.concat_ws(" ", F.lit("task"), "question_id", "mode",
+        fault)).cast("string")).otherwise(F.col("question_id"))
     return joined.withColumn("question_id", sure).drop("_q", "_m", "file_name")
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines; blank lines and a byte order mark are skipped, a malformed line is an error with its file and text."""
-    lines = spark.read.text(path).select(F.regexp_replace("value", "^﻿", "").alias("line"), F.col("_metadata.file_path").alias("file")).where(F.trim("line") != "")
-    parsed = lines.select("line", "file", F.from_json("line", schema, {"mode": "PERMISSIVE"}).alias("r"), F.try_parse_json("line").alias("v"))
-    sure = F.when(F.col("v").isNull(), F.raise_error(F.concat(F.lit("no JSON: "), F.substring("line", 1, 200), F.lit(" in "), F.col("file")))).otherwise(F.col("r"))
+    lines = spark.read.text(path).select(F.regexp_replace("value", "^﻿", "").alias("line"),
+        F.col("_metadata.file_path").alias("file")).where(F.trim("line") != "")
+    parsed = lines.select("line", "file", F.from_json("line", schema, {"mode": "PERMISSIVE"}).alias("r"),
+        F.try_parse_json("line").alias("v"))
+    sure = F.when(F.col("v").isNull(), F.raise_error(F.concat(F.lit("no JSON: "), F.substring("line", 1, 200), F.lit(" in "),
+        F.col("file")))).otherwise(F.col("r"))
     return parsed.select(sure.alias("r")).select("r.*")
 
 
