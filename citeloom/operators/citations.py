@@ -199,8 +199,8 @@ def quick_cards(cards: DataFrame, request: Column | None = None) -> DataFrame:
 def research_links(links: DataFrame) -> DataFrame:
     """Sources of research links: answer, href, title, link_pos.
 
-    Blank addresses are dropped first, then repeated ones (the first stays), then those without a
-    title; a link without title that came first still takes its address away.
+    Blank addresses and links without a title are dropped first, then repeated addresses (the first
+    titled one stays), so a link without title takes no address away.
     """
     trimmed = links.select("answer", text.strip(F.col("href")).alias("url"), text.strip(F.col("title")).alias("title"),
         "link_pos").where(F.col("url").rlike("^https?:"))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Scopes of a host rank and the modes each covers.
 SCOPES = {"quick": ("quick",), "research": ("research",), "all": ("quick", "research")}
@@ -26,24 +27,56 @@ def weighted_values(df: DataFrame, keys: Sequence[str], value: str | Column, nam
     )
 
 
+#: Range of values whose frequencies one window sums up.
+WIDTH = 1024
+
+
 def weighted_summary(
     weighted: DataFrame, keys: Sequence[str], value: str = "value", percentiles: Sequence[float] = (0.5, 0.9)
 ) -> DataFrame:
-    """Exact count, distinct count, mode and percentiles per key from weighted values.
+    """Exact count, distinct count, mode and percentiles per key from weighted numeric values.
 
     Null values count as rows but are no value. The mode is the most frequent value, the smallest
     of them on a tie; percentiles interpolate. A key with null values only gets null statistics.
+    A percentile is where running sums of frequencies pass its place: they run within ranges of
+    ``WIDTH`` values, and over the ranges, so no task buffers the values of a key.
     """
-    known = F.col(value).isNotNull()
-    return weighted.groupBy(*keys).agg(
+    v = F.col(value)
+    totals = weighted.groupBy(*keys).agg(
         F.sum("frequency").alias("row_count"),
         F.count(value).alias("distinct_count"),
-        F.min_by(value, F.when(known, F.struct(-F.col("frequency"), F.col(value)))).alias("mode_value"),
-        *[
-            F.expr(f"percentile(`{value}`, {p}D, frequency)").alias(f"p{round(p * 100):02d}")
-            for p in percentiles
-        ],
+        F.min_by(value, F.when(v.isNotNull(), F.struct(-F.col("frequency"), v))).alias("mode_value"),
+        F.sum(F.when(v.isNotNull(), F.col("frequency"))).alias("_known"),
     )
+    if not percentiles:
+        return totals.drop("_known")
+    known = weighted.where(v.isNotNull()).withColumn("_range", F.floor(v / WIDTH))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = known.groupBy(*keys, "_range").agg(F.sum("frequency").alias("_sum"))
+    ranges = ranges.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    inside = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = known.withColumn("_inside", F.sum("frequency").over(inside))
+
+    def joined(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+        """A join in which null keys are equal."""
+        named = right.select(*[F.col(k).alias(f"_on_{k}") for k in on], *[c for c in right.columns if c not in on])
+        return left.join(named, [F.col(k).eqNullSafe(F.col(f"_on_{k}")) for k in on], how).drop(*[f"_on_{k}" for k in on])
+
+    placed = joined(joined(running, ranges, [*keys, "_range"], "inner"), totals.select(*keys, "_known"), keys, "inner")
+    upto, picks = F.col("_before") + F.col("_inside"), []
+    for i, p in enumerate(percentiles):
+        place = (F.col("_known") - 1) * F.lit(float(p))
+        for name, index in (("low", F.floor(place)), ("high", F.ceil(place))):
+            picks.append(F.min(F.when(upto > index, v)).alias(f"_{name}{i}"))
+    picked = placed.groupBy(*keys).agg(*picks)
+    out = joined(totals, picked, keys, "left")
+    columns = []
+    for i, p in enumerate(percentiles):
+        place = (F.col("_known") - 1) * F.lit(float(p))
+        low, high = F.col(f"_low{i}").cast("double"), F.col(f"_high{i}").cast("double")
+        between = (F.ceil(place) - place) * low + (place - F.floor(place)) * high
+        columns.append(F.when(F.floor(place) == F.ceil(place), low).otherwise(between).alias(f"p{round(p * 100):02d}"))
+    return out.select(*keys, "row_count", "distinct_count", "mode_value", *columns)
 
 
 def host_counts(occurrences: DataFrame) -> DataFrame:

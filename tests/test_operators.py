@@ -287,3 +287,25 @@ def test_repair(spark):
     t, a, s = package.repair(tasks, answer, sources)
     assert {r.task_id: r.task_status for r in t.collect()} == {"t1": "failed", "t2": "success"}
     assert [(r.answer_id, r.answer_text_clean) for r in a.collect()] == [("a2", "正文。")] and [(r.occurrence_id, r.source_site_name_raw) for r in s.collect()] == [("s2", "y.test")]
+
+
+def test_weighted_percentiles_match_the_plain_ones(spark, monkeypatch):
+    import random
+
+    import numpy as np
+
+    from citeloom.operators import hosts
+
+    monkeypatch.setattr(hosts, "WIDTH", 7)
+    rng = random.Random(4)
+    rows = [(rng.choice(["hot"] * 8 + ["a", "b", None]), rng.choice([None, *range(-30, 60)])) for _ in range(3000)] + [("one", 5), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    got = {r.k: r for r in hosts.weighted_summary(hosts.weighted_values(df, ["k"], "v"), ["k"], percentiles=(0.0, 0.25, 0.5, 0.9, 1.0)).collect()}
+    for key in {k for k, _ in rows}:
+        values = [v for k, v in rows if k == key and v is not None]
+        r = got[key]
+        assert r.row_count == sum(k == key for k, _ in rows) and r.distinct_count == len(set(values))
+        want = [None] * 5 if not values else [float(np.percentile(values, 100 * p)) for p in (0.0, 0.25, 0.5, 0.9, 1.0)]
+        assert [r.p00, r.p25, r.p50, r.p90, r.p100] == pytest.approx(want)
+        assert r.mode_value == (min(sorted(set(values)), key=lambda v: (-values.count(v), v)) if values else None)
+    assert hosts.weighted_summary(hosts.weighted_values(df.limit(0), ["k"], "v"), ["k"]).count() == 0
