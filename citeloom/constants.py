@@ -22,6 +22,10 @@ QUOTA_PHRASES = (
 #: Around a phrase: an apology before it; marks, an advice and marks after it.
 QUOTA_COURTESIES = ("抱歉[，, ]*", "[，,。.!！ ]*", "请稍后再试|请稍后重试|请明日再试", "[。.!！ ]*")
 QUOTA_MOST_CHARS = 300
+ANCHOR_PREFIX = "reference-link-anchor-"
+SEARCH_HEADING, SOURCE_HEADING = r"^搜索\s*(\d+)\s*个关键词，参考\s*(\d+)\s*篇资料$", r"^\s*\d+\s*[篇条]来源\s*$"
+#: Error types of answers that no retry mended.
+QUOTA_ERROR, BUSY_ERROR, REFUSAL_ERROR = "QuotaExhaustedError", "ServiceBusyError", "RefusalError"
 RISK_TEXTS = ("请拖动下方滑块完成验证", "通过验证以确保正常访问", "验证失败")
 
 NEGATIVE_RULES = (

@@ -191,6 +191,25 @@ def distinct_queries(queries: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(queries, unquoted), lambda q: F.length(q) > 0))
 
 
+def anchor_request(anchor: Column) -> Column:
+    """The request that a reference link's anchor id names; null for other ids and for none."""
+    name = strip(anchor)
+    rest = strip(F.substr(name, F.lit(len(C.ANCHOR_PREFIX) + 1)))
+    return F.when(F.startswith(name, F.lit(C.ANCHOR_PREFIX)) & (rest != ""), rest)
+
+
+def search_heading(heading: Column) -> Column:
+    """struct<keywords, articles> that a heading of a search announces; null for other texts."""
+    value = strip(heading)
+    count = lambda n: F.regexp_extract(value, C.SEARCH_HEADING, n).try_cast("int")
+    return F.when(value.rlike(C.SEARCH_HEADING), F.struct(count(1).alias("keywords"), count(2).alias("articles")))
+
+
+def is_source_heading(c: Column) -> Column:
+    """Whether a text is the number of an answer's sources and nothing else; null is none."""
+    return F.coalesce(c.rlike(f"(?U){C.SOURCE_HEADING}"), F.lit(False))
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole as a double, 0 where whole is 0 or null."""
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))

@@ -105,3 +105,41 @@ def until_first_blocked(results: DataFrame, batch: Sequence[str], order: Sequenc
     place = F.struct(*order)
     first = results.where("status = 'blocked'").groupBy(*batch).agg(F.min(place).alias("_stop"))
     return results.join(first, list(batch), "left").where(F.col("_stop").isNull() | (place <= F.col("_stop"))).drop("_stop")
+
+
+#: Outcomes of a task by its attempts, a letter each: Q quota, B busy, R refusal, O an answer. One retry follows a busy service and one a refusal.
+_BEFORE = "^B?(?:RB?)?"
+OUTCOMES = (
+    ("pass", f"{_BEFORE}O", None, "", None), ("blocked", f"{_BEFORE}Q", C.QUOTA_ERROR, "_blocked", "the account's quota is exhausted"),
+    ("blocked", "^B?RB?R", C.REFUSAL_ERROR, "_blocked", "the refusal persisted after a retry"), ("fail", "^(?:B?R)?BB", C.BUSY_ERROR, "_failed", "the service stayed busy after a retry"),
+)
+
+
+def attempt_outcomes(attempts: DataFrame, order: str = "attempt") -> DataFrame:
+    """Task results (question_id, mode, question, status, output_path, error_type, error_message, answer) of the attempts at each task.
+
+    ``attempts`` has question_id, mode, question, answer and an order. What an attempt brought becomes
+    a letter, and the letters in their order say what became of the task; attempts beyond the
+    deciding one don't count. A task whose attempts decide nothing is pending, with neither path nor
+    error. A task's attempts are few.
+    """
+    answer = F.col("answer")
+    letter = F.when(text.is_quota_exhausted(answer), "Q").when(text.is_busy(answer), "B").when(text.is_refusal(answer), "R").otherwise("O")
+    tried = attempts.withColumn("_letter", letter).groupBy("question_id", "mode").agg(
+        F.array_sort(F.collect_list(F.struct(F.col(order).alias("_at"), "_letter", "question", "answer"))).alias("_tries")
+    )
+    letters = F.array_join(F.col("_tries._letter"), "")
+
+    def decided(at: int) -> Column:
+        out = F.when(F.lit(False), F.lit(None).cast("string"))
+        for outcome in OUTCOMES:
+            out = out.when(letters.rlike(outcome[1]), F.lit(outcome[at]).cast("string"))
+        return out
+
+    status = F.coalesce(decided(0), F.lit("pending"))
+    path = F.when(status != "pending", F.concat(F.concat_ws("_", "question_id", "mode"), decided(3), F.lit(".json")))
+    passing = F.get(F.col("_tries.answer"), F.length(F.regexp_extract(letters, OUTCOMES[0][1], 0)) - 1)
+    return tried.select(
+        "question_id", "mode", F.get(F.col("_tries.question"), F.lit(0)).alias("question"), status.alias("status"), path.alias("output_path"), decided(2).alias("error_type"),
+        decided(4).alias("error_message"), F.when(status == "pass", passing).alias("answer"),
+    )

@@ -86,6 +86,43 @@ def run_until_first_blocked(spark, d):
         "status")
 
 
+_TRIED = """WITH tried AS (SELECT DISTINCT turn_id, question, translate(reverse(right(turn_id, 3)), '0123456789abcdef', 'QQBBBBRRRROOOOOO') AS letters FROM qwen_answers)
+"""
+
+
+@registry.add(
+    "run_attempts",
+    _TRIED + """SELECT turn_id AS question_id, 'quick' AS mode, status, CASE status WHEN 'pending' THEN NULL ELSE turn_id || '_quick' || CASE status WHEN 'blocked' THEN '_blocked' WHEN 'fail' THEN '_failed' ELSE '' END || '.json' END AS output_path,
+  CASE status WHEN 'blocked' THEN CASE WHEN regexp_matches(letters, '^B?(RB?)?Q') THEN 'QuotaExhaustedError' ELSE 'RefusalError' END WHEN 'fail' THEN 'ServiceBusyError' END AS error_type,
+  CASE WHEN status = 'pass' THEN 'answer ' || (length(regexp_extract(letters, '^B?(RB?)?O')))::VARCHAR END AS answer
+FROM (SELECT *, CASE WHEN regexp_matches(letters, '^B?(RB?)?O') THEN 'pass' WHEN regexp_matches(letters, '^B?(RB?)?Q|^B?RB?R') THEN 'blocked' WHEN regexp_matches(letters, '^(B?R)?BB') THEN 'fail' ELSE 'pending' END AS status FROM tried)""",
+)
+def run_attempts(spark, d):
+    """Three attempts at each turn's question, what they bring drawn from the turn's id."""
+    rows = table(spark, d, "qwen_answers").select("turn_id", "question").distinct()
+    place = F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)]))
+    drawn = rows.select("turn_id", "question", place.alias("attempt")).withColumn("c", F.substr("turn_id", F.length("turn_id") + 1 - F.col("attempt"), F.lit(1)))
+    said = F.when(F.col("c").isin("0", "1"), C.QUOTA_PHRASES[0]).when(F.col("c").isin(*"2345"), _BUSY).when(F.col("c").isin(*"6789"), C.REFUSAL_SENTENCES[0])
+    attempts = drawn.select(F.col("turn_id").alias("question_id"), F.lit("quick").alias("mode"), "question", "attempt", said.otherwise(F.concat(F.lit("answer "), F.col("attempt").cast("string"))).alias("answer"))
+    return runs.attempt_outcomes(attempts).drop("question", "error_message")
+
+
+@registry.add(
+    "search_headings",
+    """SELECT turn_id, n AS announced, coalesce(len(search_queries), 0)::INTEGER AS found, n <> coalesce(len(search_queries), 0) AS differs, CASE WHEN length(question) % 2 = 0 THEN 'r' || length(question)::VARCHAR END AS request
+FROM (SELECT DISTINCT turn_id, question, search_queries, (coalesce(len(search_queries), 0) + length(question) % 2)::INTEGER AS n FROM qwen_answers WHERE question IS NOT NULL)""",
+)
+def search_headings(spark, d):
+    """Headings that announce a number of search words, made up from the answers, against the words there are; and requests of anchors."""
+    found = F.greatest(F.coalesce(F.size("search_queries"), F.lit(0)), F.lit(0))
+    rows = table(spark, d, "qwen_answers").where("question IS NOT NULL").select("turn_id", "question", "search_queries").distinct().withColumn("found", found)
+    odd = F.length("question") % 2
+    heading = F.concat(F.lit(" 搜索 "), (F.col("found") + odd).cast("string"), F.lit(" 个关键词，参考 7 篇资料\n"))
+    anchor = F.concat(F.when(odd == 0, C.ANCHOR_PREFIX).otherwise("link-"), F.lit("r"), F.length("question").cast("string"), F.lit(" "))
+    said = rows.withColumns({"h": text.search_heading(heading), "request": text.anchor_request(anchor)})
+    return said.select("turn_id", F.col("h.keywords").alias("announced"), "found", (F.col("h.keywords") != F.col("found")).alias("differs"), "request")
+
+
 @registry.add(
     "run_latest_merge",
     """SELECT occurrence_id, arg_max(url, (landed_at, url)) AS url, max(landed_at) AS landed_at FROM source_occurrences GROUP BY occurrence_id""",

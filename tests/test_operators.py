@@ -309,3 +309,45 @@ def test_weighted_percentiles_match_the_plain_ones(spark, monkeypatch):
         assert [r.p00, r.p25, r.p50, r.p90, r.p100] == pytest.approx(want)
         assert r.mode_value == (min(sorted(set(values)), key=lambda v: (-values.count(v), v)) if values else None)
     assert hosts.weighted_summary(hosts.weighted_values(df.limit(0), ["k"], "v"), ["k"]).count() == 0
+
+
+def test_outcomes_of_attempts(spark):
+    from citeloom import constants as C
+    from citeloom.operators import runs
+
+    texts = {"Q": "今日次数已用完", "B": "当前访问人数过多，疯狂加服务器中，请稍后再试", "R": C.REFUSAL_SENTENCES[0]}
+
+    def machine(letters):
+        """The retries as a loop: one after a busy service, one after a refusal."""
+        left = list(letters)
+
+        def ask():
+            if not left:
+                raise EOFError
+            got = left.pop(0)
+            if got == "B":
+                if not left:
+                    raise EOFError
+                got = left.pop(0)
+                if got == "B":
+                    raise ValueError(("fail", C.BUSY_ERROR))
+            if got == "Q":
+                raise ValueError(("blocked", C.QUOTA_ERROR))
+            return got
+
+        try:
+            if ask() == "R" and ask() == "R":
+                return "blocked", C.REFUSAL_ERROR
+            return "pass", None
+        except ValueError as error:
+            return error.args[0]
+        except EOFError:
+            return "pending", None
+
+    import itertools
+
+    cases = ["".join(c) for n in range(1, 5) for c in itertools.product("QBRO", repeat=n)]
+    rows = [(c, "quick", "q", k, texts.get(x, f"{c}{k}")) for c in cases for k, x in enumerate(c)] + [("null", "quick", "q", 0, None)]
+    got = {r.question_id: r for r in runs.attempt_outcomes(spark.createDataFrame(rows, "question_id string, mode string, question string, attempt int, answer string")).collect()}
+    assert {c: (got[c].status, got[c].error_type) for c in cases} == {c: machine(c) for c in cases}
+    assert got["BRO"].answer == "BRO2" and got["OO"].answer == "OO0" and got["RR"].output_path == "RR_quick_blocked.json" and got["BB"].output_path == "BB_quick_failed.json" and got["B"].output_path is None
