@@ -228,14 +228,14 @@ def form_copies(rows: DataFrame, row_id: str = "source_row_id", title: str = "ti
     rows of equal hash raise an error naming the seed, so a result is never wrong.
     """
     slim = _slim(rows, row_id, title, url)
-    pairs = _verified(slim, _groups(slim, seed).where("row_count > 1"), seed).where("id <> first_id")
+    pairs = _verified(slim, _groups(slim, seed).where("row_count > 1"), seed, "id <> first.id")
     return pairs.select(F.col("first_id").alias("first_row_id"), F.col("id").alias("copy_row_id")).distinct()
 
 
-def _verified(slim: DataFrame, groups: DataFrame, seed: int) -> DataFrame:
-    """(id, first_id, first_title, first_url) of each row of the groups, compared with the group's first by two pointers."""
+def _verified(slim: DataFrame, groups: DataFrame, seed: int, which: str = "true") -> DataFrame:
+    """(id, first_id, first_title, first_url) of each row of the groups (or of ``which`` of them), compared with the group's first by two pointers."""
     # A group larger than a partition is split by AQE's skew join: its rows stand on one side only.
-    rows = with_form_keys(slim, "title", "url", seed).join(groups, ["_title_key", "_url_key"])
+    rows = with_form_keys(slim, "title", "url", seed).join(groups, ["_title_key", "_url_key"]).where(which)
     flat = rows.select("id", "title", "url", F.col("first.id").alias("first_id"), F.col("first.title").alias("first_title"),
         F.col("first.url").alias("first_url"))
 
