@@ -8,6 +8,8 @@ as a heap of texts without a closing mark at any other, since some rows may have
 Endings: some endings are whole (a closing mark) or broken (half an entity, an open bracket, a
 table row without its cells) by themselves. The others are judged by the corpus: the last words
 are looked up in all texts, and a text is cut if they are usually followed by more of a sentence.
+Ends of texts are what is in question, so they are counted apart: half words and half sentences
+come back at them the more often the larger the corpus is, and must not vouch for one another.
 """
 
 from __future__ import annotations
@@ -53,8 +55,10 @@ _OPEN, _CLOSE = "（(《“「『【[", "）)》”」』】]"
 
 
 #: Phrases that are looked up, the last known one decides: tokens, never beyond the start of a line, and whether names in it are alike.
-PHRASES = ((1, False), (2, False), (3, False), (10, True), (10, False))
+#: The last of all is the longest without its last token, whatever that is: what else follows there.
+PHRASES = ((1, False), (2, False), (3, False), (10, True), (10, False), (10, False))
 LONGEST = 10
+LAST_PHRASE, BEFORE = len(PHRASES) - 1, len(PHRASES)
 #: Tokens of a text that counts as a phrase by itself, its line's start included.
 TINY = 5
 _MULTIPLIERS = [np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1) + 0x632BE59BD9B4E019 * k) % 2**64 | 1) for k in range(LONGEST)]
@@ -112,6 +116,7 @@ class _Tokens:
         upper = (of_token == _LETTER) & (sizes > 1) & (((first >= 65) & (first <= 90)) | ((first >= 0xC0) & (first <= 0xDE)))
         self.exact, self.alike = words[kept_at], np.where(upper, _NAME, words)[kept_at]
         self.line, first = line[kept_at], first[kept_at]
+        self._starts, self._stops = starts[kept_at], np.concatenate((np.flatnonzero(border)[1:], [len(codes)]))
         self.text = np.cumsum(border[starts][kept_at]) - 1
         index = np.arange(len(kept_at))
         self.place = index - np.maximum.accumulate(np.where(self.line, index, 0)) if len(index) else index
@@ -122,13 +127,18 @@ class _Tokens:
         # Whether a unit ends with the token: a mark or a line's end follows, or a dot that belongs to no number and to no row of dots.
         self.ends = next_is(mark, True) | (after_dot & ~next_is(next_is(dot | number[kept_at], False), False) & ~dot)
 
+    def lasts(self, after: Sequence[int]) -> np.ndarray:
+        """Place of each text's last token before its closing ``after`` characters."""
+        borders = np.flatnonzero(np.concatenate(([True], self.text[1:] != self.text[:-1])))
+        return np.maximum(np.searchsorted(self._starts, self._stops - np.asarray(after)) - 1, borders)
+
     def grams(self) -> list[np.ndarray]:
         """Hashes of the phrases that end at each token, in the order of ``PHRASES``."""
         n, out = len(self.exact), []
         with np.errstate(over="ignore"):
-            for length, alike in PHRASES:
+            for level, (length, alike) in enumerate(PHRASES, 1):
                 row, total = (self.alike if alike else self.exact) + np.uint64(length + 100 * alike), np.zeros(n, dtype=np.uint64)
-                for k in range(min(length, n)):
+                for k in range(level == BEFORE, min(length, n)):
                     back = np.zeros(n, dtype=np.uint64)
                     back[k:] = (row[: n - k] + np.uint64(1)) * _MULTIPLIERS[k]
                     total = total + np.where(self.place >= k, back, np.uint64(0))
@@ -164,14 +174,14 @@ def _tails(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pieces(text: str) -> Iterator[str]:
-    """A text without its closing blanks, cut at line feeds into pieces of about ``PART_CHARS``; no phrase goes beyond a line."""
+    """A text without its closing blanks, cut after line feeds into pieces of about ``PART_CHARS``; no phrase goes beyond a line, and all but the last end with their line feed."""
     text, at = text.rstrip(), 0
     while len(text) - at > PART_CHARS:
         cut = text.rfind("\n", at, at + PART_CHARS)
         cut = cut if cut > at else text.find("\n", at + PART_CHARS)
         if cut < 0:
             break
-        yield text[at:cut]
+        yield text[at : cut + 1]
         at = cut + 1
     yield text[at:]
 
@@ -192,27 +202,58 @@ def _parts(texts: Iterable[str | None]) -> Iterator[list[str]]:
 
 
 def _gram_counts(wanted: Broadcast) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """(level, gram, ends, total): occurrences of wanted phrases, and those where a unit ends there."""
+    """(level, gram, ends, total, lasts, lines): occurrences of wanted phrases within texts, those where a unit ends there, and apart from both those where a text ends, with a bit for what stands before the last line."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for texts in _parts(b["text"]):
                 tokens = _Tokens(texts)
-                for level, gram in enumerate(tokens.grams(), 1):
+                last = np.zeros(len(tokens.exact), dtype=bool)
+                last[tokens.lasts([len(t) - len(t[: _end(t)].rstrip()) if t[-1] != "\n" else 0 for t in texts])] = True
+                inner_end, inner = tokens.ends & ~last, ~last
+                grams = tokens.grams()
+                # The end of the line before a text's last one; texts of one line are alike.
+                start = np.arange(len(last)) - tokens.place
+                first = np.concatenate(([True], tokens.text[1:] != tokens.text[:-1]))
+                bits = np.where(last & ~first[start], np.uint64(1) << (grams[2][start - 1] & np.uint64(63)), last.astype(np.uint64))
+                for level, gram in enumerate(grams, 1):
                     at = np.flatnonzero(may_hold(wanted.value, gram))
                     unique, inverse = np.unique(gram[at].view(np.int64), return_inverse=True)
+                    lines = np.zeros(len(unique), dtype=np.uint64)
+                    np.bitwise_or.at(lines, inverse, bits[at])
+                    times = lambda flags: np.bincount(inverse, weights=flags[at], minlength=len(unique)).astype(np.int64)  # noqa: B023, E731
                     yield pd.DataFrame(
                         {
                             "level": np.full(len(unique), level, dtype=np.int32),
                             "gram": unique,
-                            "ends": np.bincount(inverse, weights=tokens.ends[at], minlength=len(unique)).astype(np.int64),
-                            "total": np.bincount(inverse, minlength=len(unique)).astype(np.int64),
+                            "ends": times(inner_end),
+                            "total": times(inner),
+                            "lasts": times(last),
+                            "lines": lines.view(np.int64),
                         }
                     )
 
     return count
 
 
+def _mark(stripped: str) -> re.Match | None:
+    """The mark that a cut may have left at the end."""
+    return None if stripped.endswith("……") else CUT_MARKS.search(stripped, max(0, len(stripped) - 40))
+
+
+def _open_dot(core: str) -> bool:
+    """Whether the closing dot may belong to a number or a mark."""
+    return core.endswith(".") and bool(core[-2:-1].isdigit() or re.search("[一-鿿]{4}", core[-12:]))
+
+
+def _end(stripped: str) -> int:
+    """Where the part of a text ends that ``inspect`` has looked up."""
+    if mark := _mark(stripped):
+        return mark.start()
+    core = stripped.rstrip(QUOTES)
+    return len(core) - 1 if _open_dot(core) else len(stripped)
+
+
 def inspect(text: str | None) -> tuple[str, str]:
     """('whole' | 'cut' | 'open' | 'marked', what to look up): the ending by itself.
 
@@ -237,14 +278,14 @@ def inspect(text: str | None) -> tuple[str, str]:
         return "cut", ""
     if SIGN_OFF.search(stripped, max(0, len(stripped) - 20)):
         return "whole", ""
-    if (mark := CUT_MARKS.search(stripped, max(0, len(stripped) - 40))) and not stripped.endswith("……"):
+    if mark := _mark(stripped):
         return "marked", stripped[: mark.start()].rstrip()
     clause = re.split(r"[。！？!?]", last)[-1]
     core = stripped.rstrip(QUOTES)
     if core and core[-1] in CLOSING or core.endswith("……"):
         return "whole", ""
     if core.endswith("."):
-        return ("open", core[:-1]) if core[-2:-1].isdigit() or re.search("[一-鿿]{4}", core[-12:]) else ("whole", "")
+        return ("open", core[:-1]) if _open_dot(core) else ("whole", "")
     if sum(clause.count(c) for c in _OPEN) > sum(clause.count(c) for c in _CLOSE) or clause.count('"') % 2:
         return "cut", ""
     if CARD.search(stripped, max(0, len(stripped) - 160)):
@@ -409,29 +450,37 @@ def find_truncated(rows: DataFrame, row_id: str, text: str, groups: Sequence[str
     texts = slim.select(F.rtrim("text", F.lit(BLANKS)).alias("text")).distinct()
     wanted_phrases = slim.sparkSession.sparkContext.broadcast(filter_of(looked_up.select("gram").distinct(), "gram", BROADCAST_PHRASES))
     # What passes the filter unasked finds no partner in the join below.
-    counts = texts.mapInPandas(_gram_counts(wanted_phrases), "level int, gram bigint, ends bigint, total bigint")
-    stats = counts.groupBy("level", "gram").agg(F.sum("ends").alias("ends"), F.sum("total").alias("total"))
+    counts = texts.mapInPandas(_gram_counts(wanted_phrases), "level int, gram bigint, ends bigint, total bigint, lasts bigint, lines bigint")
+    stats = counts.groupBy("level", "gram").agg(F.sum("ends").alias("ends"), F.sum("total").alias("total"), F.sum("lasts").alias("lasts"),
+        F.bit_count(F.bit_or("lines")).cast("bigint").alias("lines"))
     wanted = judged.select("row_id", "at_limit", "state", "short", "in_word", F.inline(lookups))
     known = wanted.join(stats, ["level", "gram"], "left")
     seen = known.groupBy("row_id", "at_limit", "state", "short", "in_word").agg(
         *[F.coalesce(F.max(F.when(F.col("level") == n, F.col(c))), F.lit(0)).alias(f"{c}{n}") for n in range(1,
-        len(PHRASES) + 1) for c in ("ends", "total")]
+        len(PHRASES) + 1) for c in ("ends", "total", "lasts", "lines")]
     )
 
-    def share(level: int):
-        """Whole share of the other occurrences; the text's own ending, counted once for all its copies, does not count."""
-        others = F.col(f"total{level}") - 1
-        return F.when(others >= KNOWN, (F.col(f"ends{level}") - 1) / others)
+    def others(level: int) -> Column:
+        """Other texts that end so: the text's own ending, counted once for all its copies, does not count."""
+        return F.greatest(F.col(f"lasts{level}") - 1, F.lit(0))
+
+    def share(level: int) -> Column:
+        """Whole share of the occurrences within texts; ends of texts, the own one among them, don't count."""
+        return F.when(F.col(f"total{level}") >= KNOWN, F.col(f"ends{level}") / F.col(f"total{level}"))
 
-    longest = share(len(PHRASES))
+    longest = share(LAST_PHRASE)
     limit = F.when(F.col("at_limit"), LIMIT_SHARE).otherwise(OPEN_SHARE)
-    backed = F.coalesce(*[share(n) for n in range(len(PHRASES), 0, -1)], F.lit(0.0))
+    backed = F.coalesce(*[share(n) for n in range(LAST_PHRASE, 0, -1)], F.lit(0.0))
     # A short text is its own phrase: what the corpus knows of shorter ones says little about it.
-    unknown_word = F.col("in_word") & (F.col("total1") <= 1)
+    # A word stands within texts more often than other texts stop after it, half a word does not.
+    unknown_word = F.col("in_word") & (F.col("total1") <= others(1))
+    # A sign-off: what stands before its last token is usually followed by it at the end of a text, after several other lines.
+    otherwise = F.col(f"total{BEFORE}") - F.col(f"ends{LAST_PHRASE}")
+    closing = (F.col(f"lines{LAST_PHRASE}") > KNOWN) & (others(LAST_PHRASE) > otherwise)
     own = F.when(F.col("short") == 2, F.coalesce(longest, F.lit(1.0)) < limit).otherwise((F.coalesce(longest, share(3),
         F.lit(1.0)) < limit) | unknown_word)
     open_end = F.when((F.col("short") > 0) & ~F.col("at_limit"), own).otherwise((backed < limit) | unknown_word)
-    found = seen.where(cut | open_end).select("row_id", "at_limit",
+    found = seen.where(cut | (open_end & ~closing)).select("row_id", "at_limit",
         F.when(cut, "broken").when(F.col("state") == "marked", "mark").otherwise("ending").alias("evidence"))
     return found.groupBy("row_id").agg(F.max("at_limit").alias("at_limit"), F.min("evidence").alias("evidence"))
 
